@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -38,6 +39,9 @@ class Durable:
         schema = df.schema
         df.write.partitionBy(*partition_by).parquet(self.path)
         self.df = self.spark.read.schema(schema).parquet(self.path)
+        # the table stands for the shuffles that made it: let Spark's cleaner remove their files now
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
 
     def drop(self) -> None:
         """Free the files once nothing reads them any more."""
