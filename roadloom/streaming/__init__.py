@@ -1,0 +1 @@
+"""Structured Streaming front end for travel lists."""
