@@ -5,15 +5,17 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from ..shipping import ship
+
+__all__ = ["CHUNK_BYTES", "Durable", "shared_dir", "ship", "table", "text_buffer", "text_chunks"]
+
 #: Bytes of text that one numpy pass handles; bounds the memory of a Python worker.
 CHUNK_BYTES = 2 << 20
 
@@ -79,19 +81,3 @@ def text_chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_BY
         yield batch.slice(start, end - start), data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start]
         start = end
 
-
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application: they need not share the driver's folders."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    package = Path(__file__).resolve().parent.parent
-    target = Path(tempfile.mkdtemp(prefix="roadloom-")) / f"{package.name}.zip"
-    with zipfile.ZipFile(target, "w") as z:
-        for f in sorted(package.rglob("*.py")):
-            z.write(f, f.relative_to(package.parent))
-    spark.sparkContext.addPyFile(str(target))
-    _shipped.add(app)

@@ -5,16 +5,19 @@ symbol and the run's length, and a pair of neighbours whose names fall on the le
 a name made of both. A name depends on content alone, so all tasks name equal runs and pairs alike without a shared
 dictionary. With each symbol goes the range of words that decided it; wherever these words stand, the same symbol arises.
 
-A window of `WINDOW` words takes as its anchor the least symbol whose deciding words lie inside the window (a window
-without one takes its own hash), so equal windows have equal anchors, and neighbouring windows mostly share one.
- 1. An aggregate over (anchor, document) finds anchors in two or more documents and the least document of each.
- 2. Documents get their shared anchors back. Windows of such anchors are verified against the anchor's least document.
- 3. Windows not found there can only repeat in other documents that missed too: those are grouped by hash.
-Only windows below shared anchors are looked at one by one.
+A window of `WINDOW` words takes as its anchor the least symbol whose deciding words lie inside the window, told by the
+hash of these words (a window without one takes its own hash), so equal windows have equal anchors. Neighbouring windows
+mostly share an anchor: they make a span, told by its anchor and the hash of all its words.
+ 1. An aggregate over spans finds the least document of each. A span that also stands in a smaller document repeats as a
+    whole: all its windows are removed, without looking at them one by one.
+ 2. Spans of one anchor that differ (where repeats begin and end) are opened, one copy of each: an aggregate over their
+    windows' hashes finds the least document of each window.
+A third of all rows may be copies: both aggregates combine before the shuffle, and the joins back are plain equi-joins that
+adaptive execution may split.
 
 A window that also starts in a document with a smaller doc_id is removed, judged on the input. Null texts have no words.
 Documents with a null doc_id are left whole and do not count as earlier. Rows with equal doc_id do not remove each other.
-Verification compares 64-bit window hashes below equal 63-bit anchors.
+Equality is told by two 64-bit hashes of the words (a span's or window's, and its anchor's).
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Durable, text_chunks
@@ -31,6 +34,8 @@ from .units import byte_keys
 from .words import packed, words_of
 
 WINDOW, PAIR_ROUNDS = 13, 2
+#: Most windows of one span.
+SPAN = 255
 _U = np.uint64
 _FAR = 1 << 30  # a range that depends on where a text ends fits no window
 _NONE = _U(0xFFFFFFFFFFFFFFFF)
@@ -87,131 +92,152 @@ def symbols(names: np.ndarray, text_of: np.ndarray, rounds: int = PAIR_ROUNDS) -
     return name, at, low, high
 
 
-def windows(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of every window: its text, first word in the text, anchor, and hash."""
-    starts, ends, word_of = words_of(data, offsets)
-    n = len(starts)
-    counts = np.diff(word_of)
-    text_of = np.repeat(np.arange(len(counts)), counts)
-    names, _ = byte_keys(data, starts, ends) if n else (np.zeros(0, np.uint64), None)
-    names = _mix(names)
-    name, at, low, high = symbols(names, text_of)
-    key, before, after = np.full(n + window, _NONE), np.full(n + window, _FAR), np.full(n + window, _FAR)
-    key[at], before[at], after[at] = name >> _U(1), at - low, high - at
-    place = np.flatnonzero(np.arange(n) + window <= word_of[1:][text_of]) if n else np.zeros(0, np.int64)
-    best, digest = np.full(len(place), _NONE), np.zeros(len(place), np.uint64)
-    for o in range(window):
-        here = place + o
-        k = key[here]
-        k[(before[here] > o) | (after[here] > window - o)] = _NONE
-        np.minimum(best, k, out=best)
-        digest = digest * _U(0xD6E8FEB86659FD93) + names[here]
-    digest = _mix(digest)
-    alone = best == _NONE
-    best[alone] = digest[alone] | _U(1 << 63)
-    text = text_of[place]
-    return text, place - word_of[text], best, digest
+_BASE = 0x9FB21C651E98DF25  # odd, so that it has an inverse
+
+
+class _Ranges:
+    """Hashes of any range of words from running sums."""
+
+    def __init__(self, names: np.ndarray):
+        n = len(names)
+        power = np.full(n + 1, _U(_BASE))
+        power[0] = 1
+        inverse = np.full(n + 1, _U(pow(_BASE, -1, 1 << 64)))
+        inverse[0] = 1
+        self.inverse = np.cumprod(inverse)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(names * np.cumprod(power)[:n], out=self.sums[1:])
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return _mix((self.sums[end] - self.sums[start]) * self.inverse[start] + (end - start).astype(np.uint64))
+
+
+class Windows:
+    """All windows of texts that lie end to end: place (first word), text, anchor; and their spans."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, window: int = WINDOW):
+        starts, ends, self.word_of = words_of(data, offsets)
+        n, self.window = len(starts), window
+        text_of = np.repeat(np.arange(len(offsets) - 1), np.diff(self.word_of))
+        names = _mix(byte_keys(data, starts, ends)[0]) if n else np.zeros(0, np.uint64)
+        self.ranges = _Ranges(names)
+        _, at, low, high = symbols(names, text_of)
+        key, before, after = np.full(n + window, _NONE), np.full(n + window, _FAR), np.full(n + window, _FAR)
+        fits = (high - low <= window) & (low >= 0) & (high <= n)
+        at, low, high = at[fits], low[fits], high[fits]
+        key[at], before[at], after[at] = self.ranges.of(low, high) >> _U(1), at - low, high - at
+        place = np.flatnonzero(np.arange(n) + window <= self.word_of[1:][text_of]) if n else np.zeros(0, np.int64)
+        best = np.full(len(place), _NONE)
+        for o in range(window):
+            here = place + o
+            k = key[here]
+            k[(before[here] > o) | (after[here] > window - o)] = _NONE
+            np.minimum(best, k, out=best)
+        alone = np.flatnonzero(best == _NONE)
+        best[alone] = self.digest(place[alone]) | _U(1 << 63)
+        self.place, self.text, self.anchor = place, text_of[place], best
+
+    def digest(self, place: np.ndarray) -> np.ndarray:
+        return self.ranges.of(place, place + self.window)
+
+    def spans(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First window and number of windows of each span, and the hash of all its words."""
+        n = len(self.place)
+        new = np.ones(n, bool)
+        new[1:] = (self.text[1:] != self.text[:-1]) | (self.anchor[1:] != self.anchor[:-1])
+        heads = np.flatnonzero(new)
+        sizes = np.diff(np.append(heads, n))
+        parts = -(-sizes // SPAN)  # a long run of one anchor is cut
+        first = np.repeat(heads, parts) + SPAN * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
+        count = np.minimum(SPAN, np.repeat(heads + sizes, parts) - first)
+        begin = self.place[first]
+        return first, count, self.ranges.of(begin, begin + count + (self.window - 1))
 
 
 def _source(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     slim = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    return slim.withColumn("row", F.xxhash64("text"))  # tells rows of one id apart
+    return slim.withColumn("row", row_of(F.col("text")))
+
+
+def row_of(text: Column) -> Column:
+    """Tells rows of one id apart."""
+    return F.hash(text.cast("string"))
+
 
+def _spans(source: DataFrame, window: int) -> DataFrame:
+    """doc_id, row, anchor, span, at: at holds the first word and the number of windows."""
 
-def _anchor_rows(source: DataFrame, window: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in text_chunks(batch, "text"):
-                text, _, anchor, _ = windows(data, offsets, window)
-                new = np.ones(len(text), bool)
-                new[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(text[new])), pa.array(anchor[new].view(np.int64))], ["doc_id", "anchor"])
+                w = Windows(data, offsets, window)
+                first, count, span = w.spans()
+                text = w.text[first]
+                at = (w.place[first] - w.word_of[text]) * (SPAN + 1) + count
+                rows = pa.array(text)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(2).take(rows), pa.array(w.anchor[first].view(np.int64)), pa.array(span.view(np.int64)), pa.array(at)], ["doc_id", "row", "anchor", "span", "at"])
 
-    return source.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(work, "doc_id long, anchor long")
+    return source.where("doc_id IS NOT NULL").mapInArrow(work, "doc_id long, row int, anchor long, span long, at long")
 
 
-def _windows_to_verify(source: DataFrame, shared: DataFrame, window: int) -> DataFrame:
-    """Rows by (document, least document of the anchors): starts and hashes of its windows. Of its own least ones: to be looked up."""
+def _opened(source: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+    """wanted: anchor, span, doc_id. Windows of these spans in these documents: doc_id, row, anchor, digest, at (one window each)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in text_chunks(batch, "text"):
-                text, start, anchor, digest = windows(data, offsets, window)
-                signed = anchor.view(np.int64)
+                w = Windows(data, offsets, window)
+                first, count, span = w.spans()
+                text, signed = w.text[first], span.view(np.int64)
                 cut = np.searchsorted(text, np.arange(part.num_rows + 1))
-                rows: list[tuple] = []
-                anchors, leasts = part.column(3), part.column(4)
-                for i, (doc, row) in enumerate(zip(part.column(0).to_pylist(), part.column(2).to_pylist(), strict=True)):
-                    known, least = (np.asarray(x[i].values) for x in (anchors, leasts))
-                    order = np.argsort(known)
-                    known, least = known[order], least[order]
-                    mine = signed[cut[i] : cut[i + 1]]
-                    spot = np.minimum(np.searchsorted(known, mine), len(known) - 1)
-                    hit = np.flatnonzero(known[spot] == mine)
-                    to = least[spot[hit]]
-                    for m in np.unique(to):
-                        w = cut[i] + hit[to == m]
-                        rows.append((int(m), doc, row, start[w].astype("<i4").tobytes(), digest[w].astype("<u8").tobytes()))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["least", "doc_id", "row", "starts", "digests"])
-
-    lists = shared.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"), F.collect_list("least").alias("leasts"))
-    return source.join(lists, "doc_id").select("doc_id", "text", "row", "anchors", "leasts").mapInArrow(work, "least long, doc_id long, row long, starts binary, digests binary")
-
-
-def _look_up(verify: DataFrame) -> DataFrame:
-    """Rows (doc_id, row, starts found in the least document, starts and digests not found there)."""
-    own = verify.where("doc_id = least").select("least", F.col("digests").alias("held"))
-    asked = verify.where("doc_id > least")
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found, missed, missing = [], [], []
-            for held, starts, digests in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
-                start, digest = np.frombuffer(starts, "<i4"), np.frombuffer(digests, "<u8")
-                hit = np.isin(digest, np.frombuffer(held, "<u8"))
-                found.append(start[hit].tobytes())
-                missed.append(start[~hit])
-                missing.append(digest[~hit].view("<i8"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary()), pa.array(missed, pa.list_(pa.int32())), pa.array(missing, pa.list_(pa.int64()))], ["doc_id", "row", "found", "missed", "missing"])
+                hit = np.zeros(len(first), bool)
+                for i, asked in enumerate(part.column(3)):
+                    hit[cut[i] : cut[i + 1]] = np.isin(signed[cut[i] : cut[i + 1]], np.asarray(asked.values))
+                first, count = first[hit], count[hit]
+                each = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+                rows = pa.array(w.text[each])
+                at = (w.place[each] - w.word_of[w.text[each]]) * (SPAN + 1) + 1
+                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(2).take(rows), pa.array(w.anchor[each].view(np.int64)), pa.array(w.digest(w.place[each]).view(np.int64)), pa.array(at)], ["doc_id", "row", "anchor", "digest", "at"])
 
-    return asked.join(own, "least").select("doc_id", "row", "held", "starts", "digests").mapInArrow(work, "doc_id long, row long, found binary, missed array<int>, missing array<bigint>")
+    lists = wanted.groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
+    return source.join(lists, "doc_id").select("doc_id", "text", "row", "spans").mapInArrow(work, "doc_id long, row int, anchor long, digest long, at long")
 
 
 def removals(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, row, places: for documents with windows to remove, lists of the windows' first words."""
+    """doc_id, row, places: of documents with windows to remove, the first word and number of windows of each stretch."""
     source = _source(docs, doc_id, text)
-    anchors = Durable(_anchor_rows(source, window), "anchors")
-    both = anchors.df.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("anchor", "least")
-    shared = Durable(anchors.df.join(both, "anchor").select("doc_id", "anchor", "least"), "shared-anchors")
-    anchors.drop()
-    verify = Durable(_windows_to_verify(source, shared.df.distinct(), window), "windows-to-verify")
+    spans = Durable(_spans(source, window), "spans")
+    contents = Durable(spans.df.groupBy("anchor", "span").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")), "span-contents")
+    several = contents.df.groupBy("anchor").agg(F.count("*").alias("contents"), F.min("least").alias("front")).where("contents > 1")
+    # spans in two or more documents, and spans whose anchor has others
+    found = contents.df.join(several, "anchor", "left").where("least < most OR contents IS NOT NULL")
+    shared = Durable(found.select("anchor", "span", "least", (F.col("least") < F.col("most")).alias("repeats"), F.col("contents").isNotNull().alias("differs")), "shared-spans")
+    contents.drop()
+    whole = Durable(spans.df.join(shared.df.where("repeats").select("anchor", "span", "least"), ["anchor", "span"]).where("least < doc_id").select("doc_id", "row", "at"), "repeated-spans")
+    spans.drop()
+    opened = Durable(_opened(source, shared.df.where("differs").select("anchor", "span", F.col("least").alias("doc_id")), window), "opened-spans")
     shared.drop()
-    looked = Durable(_look_up(verify.df), "looked-up")
-    verify.drop()
-    left = looked.df.where("size(missed) > 0").select("doc_id", "row", F.inline(F.arrays_zip("missed", "missing")))
-    first = left.groupBy("missing").agg(F.min("doc_id").alias("least"))
-    late = left.join(first, "missing").where("least < doc_id").groupBy("doc_id", "row").agg(F.collect_list("missed").alias("starts"))
-    found = looked.df.where("length(found) > 0").groupBy("doc_id", "row").agg(F.collect_list("found").alias("found"))
-    return found.join(late, ["doc_id", "row"], "full")
+    first = opened.df.groupBy("anchor", "digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("anchor", "digest", "least")
+    single = opened.df.join(first, ["anchor", "digest"]).where("least < doc_id").select("doc_id", "row", "at")
+    return whole.df.unionByName(single).groupBy("doc_id", "row").agg(F.collect_list("at").alias("places"))
 
 
-def _kept(data: np.ndarray, offsets: np.ndarray, found: list, late: list, window: int) -> tuple[list[int], list[bytes]]:
-    """How many words each text loses, and the others joined by one blank. found, late: lists of first words of windows."""
+def _kept(data: np.ndarray, offsets: np.ndarray, places_of: list, window: int) -> tuple[list[int], list[bytes]]:
+    """How many words each text loses, and the others joined by one blank. places_of: stretches of windows, or None."""
     starts, ends, word_of = words_of(data, offsets)
     joined, places = packed(data, starts, ends) if len(starts) else (data[:0], np.zeros(1, np.int64))
     raw = joined.tobytes()
     removed, kept = [], []
-    for i, (some, more) in enumerate(zip(found, late, strict=True)):
+    for i, stretches in enumerate(places_of):
         s, e = word_of[i], word_of[i + 1]
-        if not some and not more:
+        if not stretches:
             kept.append(raw[places[s] : max(places[s], places[e] - 1)])
             removed.append(0)
             continue
-        begin = np.concatenate([*(np.frombuffer(x, "<i4") for x in some or []), np.array(more or [], np.int32)])
+        begin, count = np.divmod(np.asarray(stretches, np.int64), SPAN + 1)
         cover = np.zeros(e - s + 1, np.int64)
         np.add.at(cover, begin, 1)
-        np.add.at(cover, begin + window, -1)
+        np.add.at(cover, begin + count + (window - 1), -1)
         gone = np.cumsum(cover[:-1]) > 0
         removed.append(int(gone.sum()))
         kept.append(joined[places[s] : places[e]][np.repeat(~gone, np.diff(places[s : e + 1]))].tobytes()[:-1])
@@ -224,13 +250,13 @@ def cut(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in text_chunks(batch, "text"):
-                removed, kept = _kept(data, offsets, part.column(2).to_pylist(), part.column(3).to_pylist(), window)
+                removed, kept = _kept(data, offsets, part.column(2).to_pylist(), window)
                 n_words = np.diff(words_of(data, offsets)[2])
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(4), pa.array(n_words), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "row", "n_words", "n_removed", "kept"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(3), pa.array(n_words), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "row", "n_words", "n_removed", "kept"])
 
     source = _source(docs, doc_id, text)
     gone = Durable(removals(docs, window, doc_id, text), "removals").df
-    return source.join(gone, ["doc_id", "row"], "left").select("doc_id", "text", "found", "starts", "row").mapInArrow(work, "doc_id long, row long, n_words long, n_removed long, kept string")
+    return source.join(gone, ["doc_id", "row"], "left").select("doc_id", "text", "places", "row").mapInArrow(work, "doc_id long, row int, n_words long, n_removed long, kept string")
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -240,20 +266,20 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def apply(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows with all their columns; texts that lose words hold the kept ones, joined by one blank, and their n_chars."""
-    gone = Durable(removals(docs, window), "removals").df.select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row"), "found", "starts")
-    joined = docs.join(gone, (F.col("doc_id") == F.col("gone_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("gone_row")), "left")
+    gone = Durable(removals(docs, window), "removals").df.select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row"), "places")
+    joined = docs.join(gone, (F.col("doc_id") == F.col("gone_id")) & (row_of(F.col("text")) == F.col("gone_row")), "left")
     kept_schema, at = docs.schema, docs.columns.index("text")
     columns = docs.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in text_chunks(batch, "text"):
-                found, late = part.column(len(columns)).to_pylist(), part.column(len(columns) + 1).to_pylist()
-                if any(x or y for x, y in zip(found, late, strict=True)):
+                places = part.column(len(columns)).to_pylist()
+                if any(places):
                     texts, counts = part.column(at).to_pylist(), part.column(columns.index("n_chars")).to_pylist() if "n_chars" in columns else None
-                    _, kept = _kept(data, offsets, found, late, window)
+                    _, kept = _kept(data, offsets, places, window)
                     for i in range(part.num_rows):
-                        if found[i] or late[i]:
+                        if places[i]:
                             texts[i] = kept[i].decode("utf-8")
                             if counts:
                                 counts[i] = len(texts[i])
@@ -266,4 +292,4 @@ def apply(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 else:
                     yield part.select(columns)
 
-    return joined.select(*[docs[c] for c in columns], "found", "starts").mapInArrow(work, kept_schema)
+    return joined.select(*[docs[c] for c in columns], "places").mapInArrow(work, kept_schema)
