@@ -7,6 +7,7 @@ import string
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def ascii_upper(s: Column) -> Column:
@@ -69,7 +70,7 @@ def reversed_border(label: Column) -> Column:
     return F.when(at > 0, F.concat(F.substring_index(label, "/", -1), F.lit("/"), F.substring_index(label, "/", 1))).otherwise(label)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def fifteen_digits(x: pd.Series) -> pd.Series:
     """Coordinates with 15 significant digits and no trailing zeros; Spark's format keeps them."""
     return x.map(lambda v: None if pd.isna(v) else f"{v:.15g}")
