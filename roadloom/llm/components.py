@@ -11,9 +11,10 @@ from .common import Durable
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """edges: a, b (long). Rows (node, component) for every node of an edge; component is its least reachable node.
 
-    Each round gives every node the least node next to it, follows that pointer once more, and keeps the edges between
-    different pointers; every tree at least halves, so the rounds grow with the logarithm of the longest path. Rounds are
-    written to the shared folder, which cuts the lineage. No edges: no rows. Loops and repeated edges do no harm.
+    Each round gives every node the least node next to it, doubles these pointers until they end at the roots of their
+    trees, and keeps the edges between different roots. A root with an edge left joins another one, so the roots at least
+    halve with each round, and doubling takes the logarithm of a tree's depth. Rounds are written to the shared folder,
+    which cuts the lineage. No edges: no rows. Loops and repeated edges do no harm.
     """
     both = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
     live = Durable(both, "edges")
@@ -24,11 +25,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         # the least neighbour, or itself: pointers go down, so they form trees
         ends = live.df.select(F.explode(F.array(F.struct("a", F.col("a").alias("to")), F.struct(F.col("b").alias("a"), F.col("a").alias("to")))).alias("e")).select("e.*")
         first = ends.groupBy("a").agg(F.min("to").alias("to"))
-        # follow the pointer of the pointer twice
-        for _ in range(2):
-            hop = first.select(F.col("a").alias("to"), F.col("to").alias("further"))
-            first = first.join(hop, "to", "left").select("a", F.coalesce("further", "to").alias("to"))
-        pointer = Durable(first, "pointers")
+        pointer = _followed(Durable(first, "pointers"))
         fresh = Durable(labels.df.join(pointer.df, labels.df["component"] == pointer.df["a"], "left").select("node", F.coalesce("to", "component").alias("component")), "labels")
         pa_, pb = pointer.df.select("a", F.col("to").alias("ta")), pointer.df.select(F.col("a").alias("b"), F.col("to").alias("tb"))
         left = live.df.join(pa_, "a").join(pb, "b").select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).where("a < b").distinct()
@@ -39,3 +36,15 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     return labels.df
+
+
+def _followed(pointer: Durable) -> Durable:
+    """Pointers (a, to) doubled until each ends at a root."""
+    while True:
+        hop = pointer.df.select(F.col("a").alias("to"), F.col("to").alias("further"))
+        further = Durable(pointer.df.join(hop, "to", "left").select("a", F.coalesce("further", "to").alias("to"), (F.coalesce("further", "to") != F.col("to")).alias("moved")), "pointers")
+        moved = not further.df.where("moved").isEmpty()
+        pointer.drop()
+        pointer = further
+        if not moved:
+            return pointer

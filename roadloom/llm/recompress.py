@@ -8,11 +8,14 @@ dictionary. With each symbol goes the range of words that decided it; wherever t
 A window of `WINDOW` words takes as its anchor the least symbol whose deciding words lie inside the window, told by the
 hash of these words (a window without one takes its own hash), so equal windows have equal anchors. Neighbouring windows
 mostly share an anchor: they make a span, told by its anchor and the hash of all its words.
- 1. An aggregate over spans finds the least document of each. A span that also stands in a smaller document repeats as a
-    whole: all its windows are removed, without looking at them one by one.
- 2. Spans of one anchor that differ (where repeats begin and end) are opened, one copy of each: an aggregate over their
+ 1. An aggregate over anchors finds those of two or more documents. A bit map of fixed size tells the tasks which anchors
+    may be among them, so that the rest of the work only carries spans of shared anchors (and a few more, which do no harm:
+    a full map would only let all spans through).
+ 2. An aggregate over these spans finds the least document of each. A span that also stands in a smaller document repeats
+    as a whole: all its windows are removed, without looking at them one by one.
+ 3. Spans of one anchor that differ (where repeats begin and end) are opened, one copy of each: an aggregate over their
     windows' hashes finds the least document of each window.
-A third of all rows may be copies: both aggregates combine before the shuffle, and the joins back are plain equi-joins that
+A third of all rows may be copies: the aggregates combine before the shuffle, and the joins back are plain equi-joins that
 adaptive execution may split.
 
 A window that also starts in a document with a smaller doc_id is removed, judged on the input. Null texts have no words.
@@ -36,6 +39,8 @@ from .words import packed, words_of
 WINDOW, PAIR_ROUNDS = 13, 2
 #: Most windows of one span.
 SPAN = 255
+#: The size of the map of shared anchors: 2**26 bits are 8 MB.
+MAP_BITS = 26
 _U = np.uint64
 _FAR = 1 << 30  # a range that depends on where a text ends fits no window
 _NONE = _U(0xFFFFFFFFFFFFFFFF)
@@ -164,14 +169,42 @@ def row_of(text: Column) -> Column:
     return F.hash(text.cast("string"))
 
 
-def _spans(source: DataFrame, window: int) -> DataFrame:
-    """doc_id, row, anchor, span, at: at holds the first word and the number of windows."""
+def _anchors(source: DataFrame, window: int) -> DataFrame:
+    """doc_id, anchor of every span."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, offsets in text_chunks(batch, "text"):
+                w = Windows(data, offsets, window)
+                new = np.ones(len(w.text), bool)
+                new[1:] = (w.text[1:] != w.text[:-1]) | (w.anchor[1:] != w.anchor[:-1])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(w.text[new])), pa.array(w.anchor[new].view(np.int64))], ["doc_id", "anchor"])
+
+    return source.where("doc_id IS NOT NULL").mapInArrow(work, "doc_id long, anchor long")
+
+
+def bit_map(keys: DataFrame, column: str, bits: int = MAP_BITS) -> np.ndarray:
+    """A map of 2**bits bits with the keys' places set: at most 2**(bits - 6) rows come to the driver, whatever the input."""
+    place = F.col(column).bitwiseAND((1 << bits) - 1)
+    word, bit = F.shiftrightunsigned(place, 6).alias("word"), F.expr(f"shiftleft(1L, CAST({column} & 63 AS INT))").alias("bit")
+    rows = keys.select(word, bit).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[rows["word"].to_numpy()] = rows["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def _spans(source: DataFrame, window: int, shared: np.ndarray) -> DataFrame:
+    """doc_id, row, anchor, span, at of spans whose anchor may be shared: at holds the first word and the number of windows."""
+    known, mask = source.sparkSession.sparkContext.broadcast(shared), _U(len(shared) * 64 - 1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in text_chunks(batch, "text"):
                 w = Windows(data, offsets, window)
                 first, count, span = w.spans()
+                place = w.anchor[first] & mask
+                hit = np.flatnonzero((known.value[(place >> _U(6)).astype(np.int64)] >> (place & _U(63))) & _U(1))
+                first, count, span = first[hit], count[hit], span[hit]
                 text = w.text[first]
                 at = (w.place[first] - w.word_of[text]) * (SPAN + 1) + count
                 rows = pa.array(text)
@@ -206,7 +239,10 @@ def _opened(source: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
 def removals(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, row, places: of documents with windows to remove, the first word and number of windows of each stretch."""
     source = _source(docs, doc_id, text)
-    spans = Durable(_spans(source, window), "spans")
+    several = _anchors(source, window).groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
+    anchors = Durable(several.select("anchor"), "shared-anchors")
+    spans = Durable(_spans(source, window, bit_map(anchors.df, "anchor")), "spans")
+    anchors.drop()
     contents = Durable(spans.df.groupBy("anchor", "span").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")), "span-contents")
     several = contents.df.groupBy("anchor").agg(F.count("*").alias("contents"), F.min("least").alias("front")).where("contents > 1")
     # spans in two or more documents, and spans whose anchor has others
