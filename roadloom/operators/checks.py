@@ -168,7 +168,7 @@ def combinable(ends: DataFrame) -> DataFrame:
     """COMBINE_CON_ROUTES. ends: con_id, system, region, name, lat, lng (two rows for each connected route)."""
     a, b = (ends.select("system", "name", "lat", "lng", F.col("con_id").alias(f"c{k}"), F.col("region").alias(f"r{k}")) for k in (1, 2))
     same = a.join(b, ["system", "name", "lat", "lng"]).where("c1 < c2 AND r1 <> r2").select(F.col("c1").alias("root"), "c2").distinct()
-    return same.select(*row("COMBINE_CON_ROUTES", F.col("c2")))
+    return same.select(*row("COMBINE_CON_ROUTES", F.lit(""), info=F.col("c2")))
 
 
 def route_checks() -> dict[str, Column]:

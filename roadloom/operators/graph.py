@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,14 +9,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-SHOWN = "level IN ('active', 'preview')"
-
+from ..storage import ensure_checkpoints
 
-def ensure_checkpoints(df: DataFrame) -> None:
-    """Iterations checkpoint to the folder of spark.checkpoint.dir; a temporary one only where that is unset."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="roadloom-checkpoints-"))
+SHOWN = "level IN ('active', 'preview')"
 
 
 def vertices(points: DataFrame, routes: DataFrame) -> DataFrame:
@@ -52,7 +46,8 @@ def visibility(vertices_: DataFrame, edges_: DataFrame, travelled: DataFrame | N
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -> DataFrame:
-    """node, component (least reachable node). Pointer doubling over the least neighbour; each round is checkpointed."""
+    """node, component (least reachable node). Each round points every node to its least smaller neighbour,
+    doubles the pointers down to the roots and contracts; roots at least halve, and every step is checkpointed."""
     ensure_checkpoints(links)
     pairs = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
     live = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().checkpoint()
@@ -61,10 +56,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -
         if live.isEmpty():
             return label
         down = live.groupBy(F.col("b").alias("n")).agg(F.min("a").alias("to"))
-        for _ in range(2):
-            hop = down.select(F.col("n").alias("to"), F.col("to").alias("further"))
-            down = down.join(hop, "to", "left").select("n", F.coalesce("further", "to").alias("to"))
         down = down.checkpoint()
+        while True:  # double the pointers until each ends at a root
+            hop = down.select(F.col("n").alias("to"), F.col("to").alias("further"))
+            further = down.join(hop, "to", "left").select("n", F.coalesce("further", "to").alias("to"), F.col("further").isNotNull().alias("moved")).checkpoint()
+            down = further.select("n", "to")
+            if further.where("moved").isEmpty():
+                break
         label = label.join(down, F.col("component") == F.col("n"), "left").select("node", F.coalesce("to", "component").alias("component")).checkpoint()
         x, y = down.select(F.col("n").alias("a"), F.col("to").alias("ta")), down.select(F.col("n").alias("b"), F.col("to").alias("tb"))
         moved = live.join(x, "a", "left").join(y, "b", "left").select(F.coalesce("ta", "a").alias("a"), F.coalesce("tb", "b").alias("b"))

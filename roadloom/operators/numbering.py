@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import ensure_checkpoints
+
 
 def dense(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     """Adds 0, 1, 2, ... in the order of the columns: range-partitioned, numbered inside, moved by the counts before."""
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a fixed number: adaptive execution then leaves the partitions as they are
+    ensure_checkpoints(rows)
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parted = rows.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
     inside = Window.partitionBy("_p").orderBy(*order)
-    counts = parted.groupBy("_p").agg(F.count("*").alias("_n"))
+    # range bounds are drawn anew in each run of a plan: the checkpoint makes sure that counts and numbers see the same ones
+    numbered = parted.withColumn("_r", F.row_number().over(inside)).checkpoint()
+    counts = numbered.groupBy("_p").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_s"))  # one row for each partition
-    return parted.withColumn("_r", F.row_number().over(inside)).join(F.broadcast(starts), "_p").withColumn(name, F.col("_r") - 1 + F.col("_s")).drop("_p", "_r", "_s")
+    return numbered.join(F.broadcast(starts), "_p").withColumn(name, F.col("_r") - 1 + F.col("_s")).drop("_p", "_r", "_s")

@@ -136,13 +136,13 @@ _XYZ = ", ".join(f"cos(radians(lng{s})) * cos(radians(lat{s})) AS x{k}, sin(radi
 d AS (SELECT *, (x1-x0)*(x2-x1) + (y1-y0)*(y2-y1) + (z1-z0)*(z2-z1) AS dot, ((x1-x0)*(x1-x0) + (y1-y0)*(y1-y0) + (z1-z0)*(z1-z0)) * ((x2-x1)*(x2-x1) + (y2-y1)*(y2-y1) + (z2-z1)*(z2-z1)) AS sq FROM v)
 SELECT root, label0 AS label1, label AS label2, label2 AS label3, round(degrees(acos(greatest(-1, least(1, dot / sqrt(sq))))), 1) AS angle FROM d WHERE degrees(acos(greatest(-1, least(1, dot / sqrt(sq))))) > 135""")
 def sharp_angle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.angles(tables.points(spark, sf_dir)).where("code = 'SHARP_ANGLE'").select("root", "label1", "label2", "label3", F.col("info").cast("double").alias("angle"))
+    return checks.angles(tables.points(spark, sf_dir)).where("code = 'SHARP_ANGLE'").select("root", "label1", "label2", "label3", F.col("info").try_cast("double").alias("angle"))
 
 
 @query("dc08_long_segment", "SELECT s.root, p.label AS label1, q.label AS label2, round(len, 2) AS miles FROM seg s JOIN pts p ON s.root = p.root AND s.idx = p.idx JOIN pts q ON s.root = q.root AND s.idx + 1 = q.idx WHERE len > 20")
 def long_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = Net(spark, sf_dir)
-    return checks.long_segments(net.points, net.segments).select("root", "label1", "label2", F.col("info").cast("double").alias("miles"))
+    return checks.long_segments(net.points, net.segments).select("root", "label1", "label2", F.col("info").try_cast("double").alias("miles"))
 
 
 @query("dc09_visible_distance", """, a AS (SELECT p.*, s.len, sum(CASE WHEN hid AND p.idx > 0 THEN 0 ELSE 1 END) OVER (PARTITION BY p.root ORDER BY p.idx) AS island FROM pts p LEFT JOIN seg s ON p.root = s.root AND p.idx = s.idx),
@@ -150,7 +150,7 @@ b AS (SELECT root, island, arg_min(label, idx) AS label, arg_max(label, idx) AS
 SELECT c.root, label AS label1, nxt AS label2, round(miles, 1) AS miles FROM c JOIN rts USING (root) WHERE lvl <> 'active' AND miles > 10""")
 def visible_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = Net(spark, sf_dir)
-    return checks.visible_distance(net.points, net.segments, net.routes).select("root", "label1", "label2", F.col("info").cast("double").alias("miles"))
+    return checks.visible_distance(net.points, net.segments, net.routes).select("root", "label1", "label2", F.col("info").try_cast("double").alias("miles"))
 
 
 @query("dc10_hidden_terminus", "SELECT root, label AS label1 FROM (SELECT *, max(idx) OVER (PARTITION BY root) AS last FROM pts) WHERE hid AND (idx = 0 OR idx = last)")
