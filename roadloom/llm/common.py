@@ -35,15 +35,15 @@ def shared_dir(spark: SparkSession) -> str:
 class Durable:
     """A DataFrame written as Parquet in the shared folder, so that a lost executor costs no recomputation."""
 
-    def __init__(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()):
+    def __init__(self, df: DataFrame, name: str, free: bool = False):
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
         schema = df.schema
-        df.write.partitionBy(*partition_by).parquet(self.path)
+        df.write.parquet(self.path)
         self.df = self.spark.read.schema(schema).parquet(self.path)
-        # the table stands for the shuffles that made it: let Spark's cleaner remove their files now
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        if free:  # the table stands for the shuffles that made it: let Spark's cleaner remove their files now
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
 
     def drop(self) -> None:
         """Free the files once nothing reads them any more."""

@@ -39,7 +39,7 @@ from .words import packed, words_of
 WINDOW, PAIR_ROUNDS = 13, 2
 #: Most windows of one span.
 SPAN = 255
-#: The size of the map of shared anchors: 2**26 bits are 8 MB.
+#: The size of the map of shared anchors: 2**26 bits are 8 MB, sent to the driver as at most 2**20 rows of 16 bytes.
 MAP_BITS = 26
 _U = np.uint64
 _FAR = 1 << 30  # a range that depends on where a text ends fits no window
@@ -240,18 +240,18 @@ def removals(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text
     """doc_id, row, places: of documents with windows to remove, the first word and number of windows of each stretch."""
     source = _source(docs, doc_id, text)
     several = _anchors(source, window).groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    anchors = Durable(several.select("anchor"), "shared-anchors")
-    spans = Durable(_spans(source, window, bit_map(anchors.df, "anchor")), "spans")
+    anchors = Durable(several.select("anchor"), "shared-anchors", free=True)
+    spans = Durable(_spans(source, window, bit_map(anchors.df, "anchor")), "spans", free=True)
     anchors.drop()
-    contents = Durable(spans.df.groupBy("anchor", "span").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")), "span-contents")
+    contents = Durable(spans.df.groupBy("anchor", "span").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")), "span-contents", free=True)
     several = contents.df.groupBy("anchor").agg(F.count("*").alias("contents"), F.min("least").alias("front")).where("contents > 1")
     # spans in two or more documents, and spans whose anchor has others
     found = contents.df.join(several, "anchor", "left").where("least < most OR contents IS NOT NULL")
-    shared = Durable(found.select("anchor", "span", "least", (F.col("least") < F.col("most")).alias("repeats"), F.col("contents").isNotNull().alias("differs")), "shared-spans")
+    shared = Durable(found.select("anchor", "span", "least", (F.col("least") < F.col("most")).alias("repeats"), F.col("contents").isNotNull().alias("differs")), "shared-spans", free=True)
     contents.drop()
-    whole = Durable(spans.df.join(shared.df.where("repeats").select("anchor", "span", "least"), ["anchor", "span"]).where("least < doc_id").select("doc_id", "row", "at"), "repeated-spans")
+    whole = Durable(spans.df.join(shared.df.where("repeats").select("anchor", "span", "least"), ["anchor", "span"]).where("least < doc_id").select("doc_id", "row", "at"), "repeated-spans", free=True)
     spans.drop()
-    opened = Durable(_opened(source, shared.df.where("differs").select("anchor", "span", F.col("least").alias("doc_id")), window), "opened-spans")
+    opened = Durable(_opened(source, shared.df.where("differs").select("anchor", "span", F.col("least").alias("doc_id")), window), "opened-spans", free=True)
     shared.drop()
     first = opened.df.groupBy("anchor", "digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("anchor", "digest", "least")
     single = opened.df.join(first, ["anchor", "digest"]).where("least < doc_id").select("doc_id", "row", "at")
