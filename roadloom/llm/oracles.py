@@ -2,4 +2,41 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+#: Brute force over all pairs of a query and an entry.
+MAX_SCORE = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: TRY_CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(v.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM whole q JOIN whole v ON q.vec_id <> v.vec_id
+  WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+#: Every window of 13 words by itself, told by its text.
+RECOMPRESSION = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, p, array_to_string(words[p : p + 12], ' ') AS k
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS p FROM docs)
+), firsts AS (
+  SELECT k, min(doc_id) AS least FROM windows GROUP BY k HAVING min(doc_id) < max(doc_id)
+), gone AS (
+  SELECT DISTINCT doc_id, p + step AS place
+  FROM (SELECT doc_id, p, unnest(range(13)) AS step FROM windows JOIN firsts USING (k) WHERE least < doc_id)
+), places AS (
+  SELECT doc_id, place, words[place] AS word FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS place FROM docs)
+), kept AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY place) AS kept FROM places ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n_kept, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op8_max_score": MAX_SCORE, "op9_recompression": RECOMPRESSION}
