@@ -190,3 +190,57 @@ def matched(found: DataFrame, marked: DataFrame) -> DataFrame:
     turn = F.row_number().over(Window.partitionBy(*six).orderBy(F.lit(0)))
     left, right = found.withColumn("turn", turn), marked.withColumn("turn", turn).withColumn("hit", F.lit(True))
     return left.join(right, [*six, "turn"], "left").select(*six, F.coalesce("hit", F.lit(False)).alias("fp"))
+
+
+def self_references(points: DataFrame, routes: DataFrame) -> DataFrame:
+    """LABEL_SELFREF: visible labels that name their own route where no other route of that name meets them.
+
+    points: root, idx, lat, lng, label. routes: root, route, banner, abbrev. What stands at a point's coordinates comes from
+    aggregates on equal keys (place and name, number, root or banner), joined back to the labels that may be concerned; a
+    crowded place makes no pairs. info tells the kind.
+    """
+    c, place = F.col, ["lat", "lng"]
+    dashed = c("banner").startswith("-")
+    digits = lambda text: F.regexp_extract(text, "[0-9].*$", 0)
+    here = points.join(routes.select("root", "route", "banner", "abbrev"), "root").withColumns(
+        {
+            "own": F.when(dashed, c("route")).otherwise(F.concat("route", "banner")),
+            "shown": F.regexp_replace("label", r"^\*", ""),
+            "numbered": F.concat(digits(c("route")), F.when(dashed, c("banner")).otherwise("")),
+        }
+    )
+    slash = F.instr("shown", "/")
+    here = here.withColumns({"behind": F.when(slash > 0, F.expr("substring(shown, instr(shown, '/') + 1)")), "number": digits(c("own")), "rest": F.when(F.startswith("shown", "own"), F.expr("substring(shown, length(own) + 1)"))})
+    asked = here.where("NOT startswith(label, '+') AND (behind IS NOT NULL OR rest IS NOT NULL)")
+
+    # the first two points of each name at a place: one of them is not the asking point
+    order = Window.partitionBy(*place, "own").orderBy("root", "idx")
+    member = F.struct("root", "idx", "abbrev")
+    firsts = here.withColumn("turn", F.row_number().over(order)).where("turn <= 2").groupBy(*place, "own").agg(F.min(member).alias("one"), F.max(member).alias("two"))
+    numbers = here.groupBy(*place, c("numbered").alias("number")).agg(F.count("*").alias("n_number"))
+    selves = here.groupBy(*place, "root").agg(F.count("*").alias("n_self"))
+    by_banner = here.groupBy(*place, "route", "banner").agg(F.count("*").alias("n"))
+    banners = by_banner.where("banner <> ''").groupBy(*place, "route").agg(F.collect_list(F.struct("banner", "n")).alias("banners"))
+    matching = by_banner.select(*place, "route", c("banner").alias("abbrev"), c("n").alias("n_matching"))
+    all_ = asked.join(firsts, [*place, "own"], "left").join(numbers, [*place, "number"], "left").join(selves, [*place, "root"], "left")
+    all_ = all_.join(banners, [*place, "route"], "left").join(matching, [*place, "route", "abbrev"], "left")
+
+    another = lambda m: F.when((m["root"] != c("root")) | (m["idx"] != c("idx")), m)
+    same = F.coalesce(another(c("one")), another(c("two")))
+    less = lambda n, own: F.coalesce(c(n), F.lit(0)) - F.when(own, 1).otherwise(0) > 0
+    all_ = all_.withColumns({"same": same, "head": F.substring_index("behind", "_", 1), "after": F.expr("substring(substring_index(behind, '_', 1), 2)")})
+    alone, ends = c("same").isNull(), F.startswith(c("rest"), c("abbrev"))
+    no_number = (c("number") != "") & (c("head") == c("number")) & ~less("n_number", c("numbered") == c("number"))
+    behind_slash = c("behind").isNotNull() & ~c("shown").startswith("Old") & (no_number | ((c("head") == c("own")) & alone))
+    told = F.exists("banners", lambda b: F.contains(c("after"), b["banner"]) & (b["n"] - F.when(b["banner"] == c("banner"), 1).otherwise(0) > 0))
+    abbreviated = (c("abbrev") != "") & ends & ((c("n_self") <= 1) | (c("rest") == c("abbrev"))) & ~less("n_matching", c("banner") == c("abbrev"))
+    kind = (
+        F.when(behind_slash, "NO_COLOC")
+        .when(c("rest").isNull(), None)
+        .when(c("rest") == "", F.when(alone, "NO_COLOC").when(c("same.root") == c("root"), "NO_SUFFIX").when(c("same.abbrev") != "", "NO_ABBREV"))
+        .when(c("rest").rlike("^_U[0-9]*$"), None)
+        .when(c("rest").startswith("_"), F.when(alone, "NO_COLOC").when(c("same.abbrev") != "", "NO_ABBREV"))
+        .when(c("rest").startswith("/"), F.when(alone & (((c("banner") != "") & ~dashed) | ~F.coalesce(told, F.lit(False))), "NO_COLOC"))
+        .when(abbreviated, F.when(F.expr("substring(rest, length(abbrev) + 1, 1)").isin("", "_", "/"), "TRUE_ERROR").otherwise("FULL_MATCH"))
+    )
+    return all_.withColumn("kind", kind).where("kind IS NOT NULL").select(*row("LABEL_SELFREF", info=c("kind")))

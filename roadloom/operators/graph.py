@@ -122,9 +122,10 @@ def packed_travelers(rows: DataFrame, travelers: DataFrame, key: str) -> DataFra
     """Hex code of a set of travelers: traveler n is bit n % 4 of hex digit n / 4, low digits first. travelers: traveler, n (from 0)."""
     digits = travelers.agg((F.floor(F.max("n") / 4) + 1).cast("int").alias("d"))  # one row
     own = rows.join(travelers, "traveler").groupBy(key, F.floor(F.col("n") / 4).cast("int").alias("digit")).agg(F.hex(F.sum(F.expr("shiftleft(1, CAST(n % 4 AS INT))"))).alias("h"))
-    every = rows.select(key).distinct().crossJoin(F.broadcast(digits)).withColumn("digit", F.explode(F.sequence(F.lit(0), F.col("d") - 1)))
-    filled = every.join(own, [key, "digit"], "left").select(key, F.struct("digit", F.coalesce("h", F.lit("0")).alias("h")).alias("p"))
-    return filled.groupBy(key).agg(F.concat_ws("", F.array_sort(F.collect_list("p"))["h"]).alias("code"))
+    held = own.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("digit", "h"))).alias("digits"))
+    # zeros stand for the digits between those that are held
+    code = F.aggregate("digits", F.lit(""), lambda text, p: F.concat(F.rpad(text, p["digit"], F.lit("0")), p["h"]))
+    return held.crossJoin(F.broadcast(digits)).select(key, F.rpad(code, F.col("d"), F.lit("0")).alias("code"))
 
 
 def unique_names(named: DataFrame) -> DataFrame:

@@ -185,6 +185,38 @@ def label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.label_index(_with_alternates(spark, sf_dir)).where("turn = 1").select("root", "key", "idx", "pos")
 
 
+_BANNERS, _ABBREVS, _SIGNS = ["''", "'Bus'", "'-N'", "'Alt'", "''"], ["''", "'Cit'", "'Bus'"], [
+    "route", "own", "own || '_U1'", "own || '_Foo'", "'A/' || (root % 29)", "'X/' || own || '_a'", "own || '/1Bus'", "own || abbrev", "own || abbrev || '_x'", "own || abbrev || 'ton'", "'*' || own", "'Old/' || own", "own || '/x'", "label", "own || '_U'"]
+_SIGNED = f"""SELECT *, CASE WHEN starts_with(label, '+') AND idx % 2 = 0 THEN label ELSE {_case(_SIGNS, f'(root + 7 * idx) % {len(_SIGNS)}')} END AS sign
+FROM (SELECT *, CASE WHEN starts_with(banner, '-') THEN route ELSE route || banner END AS own FROM (
+  SELECT root, idx, lat, lng, label, 'R' || (root % 29) AS route, {_case(_BANNERS, 'root % 5')} AS banner, {_case(_ABBREVS, 'root % 3')} AS abbrev FROM pts))"""
+
+
+@query("dc26_label_selfref", f""", s AS ({_SIGNED}), t AS (SELECT *, regexp_replace(sign, '^\\*', '') AS shown, regexp_extract(route, '[0-9].*$') || CASE WHEN starts_with(banner, '-') THEN banner ELSE '' END AS numbered FROM s),
+u AS (SELECT *, CASE WHEN strpos(shown, '/') > 0 THEN substr(shown, strpos(shown, '/') + 1) END AS behind, CASE WHEN starts_with(shown, own) THEN substr(shown, strlen(own) + 1) END AS rest, regexp_extract(own, '[0-9].*$') AS number FROM t),
+x AS (SELECT *, split_part(behind, '_', 1) AS head FROM u WHERE NOT starts_with(sign, '+') AND (behind IS NOT NULL OR rest IS NOT NULL)),
+o AS (SELECT x.root, x.idx, arg_min(struct_pack(root := t.root, abbrev := t.abbrev), (t.root, t.idx)) AS same FROM x JOIN t ON x.lat = t.lat AND x.lng = t.lng AND x.own = t.own AND (x.root <> t.root OR x.idx <> t.idx) GROUP BY ALL),
+n AS (SELECT DISTINCT x.root, x.idx FROM x JOIN t ON x.lat = t.lat AND x.lng = t.lng AND x.number = t.numbered AND (x.root <> t.root OR x.idx <> t.idx)),
+i AS (SELECT DISTINCT x.root, x.idx FROM x JOIN t ON x.lat = t.lat AND x.lng = t.lng AND x.root = t.root AND x.idx <> t.idx),
+b AS (SELECT x.root, x.idx, bool_or(t.banner <> '' AND contains(substr(head, 2), t.banner)) AS told, bool_or(t.banner = x.abbrev) AS matching FROM x JOIN t ON x.lat = t.lat AND x.lng = t.lng AND x.route = t.route AND (x.root <> t.root OR x.idx <> t.idx) GROUP BY ALL),
+k AS (SELECT x.root, sign, CASE
+  WHEN behind IS NOT NULL AND NOT starts_with(shown, 'Old') AND ((number <> '' AND head = number AND n.root IS NULL) OR (head = own AND same IS NULL)) THEN 'NO_COLOC'
+  WHEN rest IS NULL THEN NULL
+  WHEN rest = '' THEN CASE WHEN same IS NULL THEN 'NO_COLOC' WHEN same.root = x.root THEN 'NO_SUFFIX' WHEN same.abbrev <> '' THEN 'NO_ABBREV' END
+  WHEN regexp_full_match(rest, '_U[0-9]*') THEN NULL
+  WHEN starts_with(rest, '_') THEN CASE WHEN same IS NULL THEN 'NO_COLOC' WHEN same.abbrev <> '' THEN 'NO_ABBREV' END
+  WHEN starts_with(rest, '/') THEN CASE WHEN same IS NULL AND ((banner <> '' AND NOT starts_with(banner, '-')) OR NOT coalesce(told, FALSE)) THEN 'NO_COLOC' END
+  WHEN abbrev <> '' AND starts_with(rest, abbrev) AND (i.root IS NULL OR rest = abbrev) AND NOT coalesce(matching, FALSE) THEN CASE WHEN substr(rest, strlen(abbrev) + 1, 1) IN ('', '_', '/') THEN 'TRUE_ERROR' ELSE 'FULL_MATCH' END
+  END AS info FROM x LEFT JOIN o ON x.root = o.root AND x.idx = o.idx LEFT JOIN n ON x.root = n.root AND x.idx = n.idx LEFT JOIN i ON x.root = i.root AND x.idx = i.idx LEFT JOIN b ON x.root = b.root AND x.idx = b.idx)
+SELECT root, sign AS label1, 'LABEL_SELFREF' AS code, info FROM k WHERE info IS NOT NULL""")
+def label_selfref(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routes get names, banners and abbreviations, and their points labels that name them in every form."""
+    named = spark.sql(_SIGNED.replace("starts_with(", "startswith(").replace("FROM pts", "FROM {pts}"), pts=tables.points(spark, sf_dir))
+    routes = named.select("root", "route", "banner", "abbrev").distinct()
+    points = named.select("root", "idx", "lat", "lng", F.col("sign").alias("label"))
+    return checks.self_references(points, routes).select("root", "label1", "code", "info")
+
+
 @query("dc34_duplicate_label", _ALTS + "SELECT f.root, CASE WHEN pos = 0 THEN f.label WHEN opos = 0 THEN p.label ELSE key END AS label1 FROM f LEFT JOIN pts p ON f.root = p.root AND f.oidx = p.idx WHERE turn > 1")
 def duplicate_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.duplicate_labels(_with_alternates(spark, sf_dir)).select("root", "label1")
@@ -196,13 +228,13 @@ def visible_hidden_coloc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.mixed_visibility(tables.points(spark, sf_dir)).select("root", "label1", "info")
 
 
-@query("dc36_hidden_junction", """, q AS (SELECT *, CASE WHEN root % 2 = 0 THEN TRUE ELSE hid END AS hid2 FROM pts WHERE root % 10 IN (0, 2)), h AS (SELECT lat, lng, min(root || '@' || label) AS label1, bool_and(hid2) AS allh FROM q GROUP BY lat, lng),
+@query("dc36_hidden_junction", """, q AS (SELECT *, hid OR lat < 0 AS hid2 FROM pts), h AS (SELECT lat, lng, min(root || '@' || label) AS label1, bool_and(hid2) AS allh FROM q GROUP BY lat, lng),
 e AS (SELECT DISTINCT alat AS lat, alng AS lng, alat, alng, blat, blng FROM grp WHERE NOT zero UNION SELECT DISTINCT blat, blng, alat, alng, blat, blng FROM grp WHERE NOT zero), w AS (SELECT lat, lng, count(*) AS n FROM e GROUP BY ALL)
 SELECT label1, CAST(n AS VARCHAR) AS info FROM h JOIN w USING (lat, lng) WHERE allh AND n > 2""")
 def hidden_junction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some routes have all their points hidden here; no location of these tables is hidden by itself."""
+    """South of the equator all points are hidden here; no location of these tables is hidden by itself."""
     net = Net(spark, sf_dir)
-    points = net.points.where((F.col("root") % 10).isin(0, 2)).withColumn("is_hidden", (F.col("root") % 2 == 0) | F.col("is_hidden"))
+    points = net.points.withColumn("is_hidden", F.col("is_hidden") | (F.col("lat") < 0))
     return checks.hidden_junctions(points, net.segments).select("label1", "info")
 
 

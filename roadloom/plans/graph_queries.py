@@ -126,7 +126,7 @@ def graph_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count(m.vertices, "vertices").crossJoin(count(m.edges, "edges")).crossJoin(count(travelers, "travelers")).select(F.lit("simple").alias("format"), "vertices", "edges", "travelers")
 
 
-@query("fn16_traveler_codes", """, tn AS (SELECT trav, row_number() OVER (ORDER BY trav) - 1 AS n FROM (SELECT DISTINCT trav FROM ent)), md AS (SELECT CAST(max(n) // 4 AS BIGINT) AS m FROM tn), dr AS (SELECT DISTINCT e.root, n FROM ent e JOIN tn USING (trav) WHERE root % 50 = 0),
+@query("fn16_traveler_codes", """, tn AS (SELECT trav, row_number() OVER (ORDER BY trav) - 1 AS n FROM (SELECT DISTINCT trav FROM ent)), md AS (SELECT CAST(max(n) // 4 AS BIGINT) AS m FROM tn), dr AS (SELECT DISTINCT e.root, n FROM ent e JOIN tn USING (trav)),
 hx AS (SELECT root, n // 4 AS dig, upper(to_hex(CAST(sum(1 << CAST(n % 4 AS INTEGER)) AS BIGINT))) AS h FROM dr GROUP BY ALL), al AS (SELECT root, unnest(range(0, (SELECT m FROM md) + 1)) AS dig FROM (SELECT DISTINCT root FROM dr))
 SELECT root, string_agg(coalesce(h, '0'), '' ORDER BY dig) AS code FROM al LEFT JOIN hx USING (root, dig) GROUP BY root""")
 def traveler_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +134,7 @@ def traveler_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     entries = Net(spark, sf_dir).entries
     numbers = dense(entries.select("traveler").distinct(), ["traveler"], "n")
-    return graph.packed_travelers(entries.where("root % 50 = 0").select("root", "traveler").distinct(), numbers, "root")
+    return graph.packed_travelers(entries.select("root", "traveler").distinct(), numbers, "root")
 
 
 @query("g09_traveled_edges", """, tn AS (SELECT trav, row_number() OVER (ORDER BY trav) - 1 AS n FROM (SELECT DISTINCT trav FROM cli WHERE lvl <> 'devel' AND NOT zero)) SELECT trav AS traveler, CAST(n AS BIGINT) AS n FROM tn""")
@@ -201,14 +201,14 @@ def canonical_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("g02_vertex_names")
 def vertex_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names of the vertices with at most eight points; crowded ones are told by their coordinates elsewhere."""
+    """Names of all vertices."""
     return _members(spark, sf_dir).select(*_at(), graph.vertex_names("members").alias("name"))
 
 
 def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels name another route of the same place, so that the rules have work."""
+    """Each location is spread over forty places by the route's number, so that a place holds some routes, not hundreds."""
     net = Net(spark, sf_dir)
-    shown = net.points.join(net.routes.where(graph.SHOWN), "root").where("root % 40 = 0")
+    shown = net.points.join(net.routes.where(graph.SHOWN), "root").withColumn("lat", F.col("lat") + F.col("root") % 40 / 1000)
     name = F.concat(F.lit("R"), F.col("root").cast("string"))
     member = F.struct("root", "idx", name.alias("name"), "label")
     return shown.groupBy("lat", "lng").agg(F.array_sort(F.collect_list(member)).alias("members"), F.min("region").alias("region"))

@@ -131,9 +131,9 @@ def graph_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graphs.parse(rows)[1].select("graph", "v1", "v2", "name")
 
 
-@query("snk14_unprocessed_log", "SELECT p_name || '.wpt' AS line FROM part WHERE p_partkey % 4 = 0 AND NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = p_partkey)", base=False)
+@query("snk14_unprocessed_log", "SELECT p_name || '.wpt' AS line FROM part WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = p_partkey)", base=False)
 def unprocessed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = tables.read(spark, sf_dir, "part").where("p_partkey % 4 = 0")
+    part = tables.read(spark, sf_dir, "part")
     return part.join(tables.read(spark, sf_dir, "supplier"), F.col("p_partkey") == F.col("s_suppkey"), "left_anti").select(F.concat("p_name", F.lit(".wpt")).alias("line"))
 
 

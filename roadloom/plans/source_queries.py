@@ -57,12 +57,12 @@ def connected_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return native.connected(rows, known)[0].select("con_id", "root", "root_order")
 
 
-@query("src06_route_files")
+@query("src06_route_files", """ SELECT regexp_extract(label, '[0-9]+$') AS root, CAST(sum(length(label || ' http://www.openstreetmap.org/?lat=' || printf('%.6f', lat) || '&lon=' || printf('%.6f', lng)) + 1) AS INTEGER) AS n_chars FROM pts GROUP BY 1""")
 def route_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts of 5,000 points of the network as files in one folder of the session, read back by the crawl."""
+    """All points, a file for each supplier here, in one folder of the session, read back by the crawl."""
     from ..sinks import write_waypoint_files
 
-    points = tables.points(spark, sf_dir).where("root % 200 = 0")
+    points = tables.points(spark, sf_dir).select(F.regexp_extract("label", "[0-9]+$", 0).alias("root"), F.col("root").alias("idx"), "label", "lat", "lng")
     folder = write_waypoint_files(points)
     return native.route_files(spark, folder).select("root", F.length("value").alias("n_chars"))
 
@@ -84,10 +84,10 @@ def waypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return native.waypoints(rows).select("root", "label", F.concat_ws(",", "alt_labels").alias("alts"), "lat", "lng")
 
 
-@query("src09_travelers", "SELECT DISTINCT 'u' || user_id AS traveler FROM events WHERE user_id % 3 = 0", base=False)
+@query("src09_travelers", "SELECT DISTINCT 'u' || user_id AS traveler FROM events", base=False)
 def travelers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = tables.read(spark, sf_dir, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("traveler"), "user_id").distinct()
-    return names.where("user_id % 3 = 0").select("traveler").orderBy("traveler")
+    names = tables.read(spark, sf_dir, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("traveler")).distinct()
+    return names.orderBy("traveler")
 
 
 @query("src10_list_lines", """SELECT CAST(user_id AS VARCHAR) AS traveler, CAST(event_id AS BIGINT) AS line_no, event_type || '|' || CASE WHEN event_id % 3 = 0 THEN 'r1' WHEN event_id % 3 = 1 THEN 'r1|a|b' ELSE 'r1|a|b|x|y' END AS fields FROM events WHERE event_id % 7 <> 0""", base=False)
@@ -250,7 +250,7 @@ def names_in_use(spark: SparkSession, sf_dir: str) -> DataFrame:
 def broken_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = _Lists(spark, sf_dir)
     regions_ = at.routes.join(at.connected.select("root", "con_id"), "root").select("con_id", "region")
-    return lists.broken_warnings(at.resolved_connected, at.connected.where("con_id % 2 = 0"), regions_)
+    return lists.broken_warnings(at.resolved_connected, at.connected, regions_)
 
 
 @query("tl09_control_characters", "SELECT doc_id, regexp_replace(text, '[\\x00-\\x08\\x0A-\\x1F\\x7F]', '?', 'g') AS line FROM documents", base=False)
@@ -303,9 +303,9 @@ def of_miles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read(spark, sf_dir, "part").select("p_partkey", F.when(F.contains(told, F.lit("(-.--%)")), F.lit("-.--%")).when(told.rlike(r"^[0-9]+\.[0-9]{2} of [0-9]+\.[0-9]{2} mi \([0-9]+\.[0-9]{2}%\)$"), "share").otherwise(told).alias("kind"))
 
 
-@query("fn10_quoted", "SELECT doc_id, replace(replace(substr(text, 1, 200), 'e', ''''), '''', '''''') AS quoted FROM documents", base=False)
+@query("fn10_quoted", "SELECT doc_id, replace(replace(text, 'e', ''''), '''', '''''') AS quoted FROM documents", base=False)
 def quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.read(spark, sf_dir, "documents").select("doc_id", T.quoted(F.replace(F.substring("text", 1, 200), F.lit("e"), F.lit("'"))).alias("quoted"))
+    return tables.read(spark, sf_dir, "documents").select("doc_id", T.quoted(F.replace("text", F.lit("e"), F.lit("'"))).alias("quoted"))
 
 
 @query("fn11_fifteen_digits")

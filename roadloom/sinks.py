@@ -49,21 +49,10 @@ def waypoint_text(points: DataFrame) -> DataFrame:
 
 
 def write_waypoint_files(points: DataFrame) -> str:
-    """One folder root=... with a .wpt part for each route; the crawl reads it back. Returns the folder."""
+    """One folder root=... with a text for each route, as Spark's writer names it; the crawl reads them back. Returns the folder."""
     path = folder(points.sparkSession, "wpt")
-    texts = waypoint_text(points)
-    hadoop = points.sparkSession.sparkContext._jvm.org.apache.hadoop.fs
-    conf = points.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    texts = waypoint_text(points).withColumn("value", F.expr("left(value, length(value) - 1)"))  # the writer ends it again
     texts.repartition("root").write.partitionBy("root").text(path)
-    # part files get the names of their routes
-    base = hadoop.Path(path)
-    fs = base.getFileSystem(conf)
-    for status in fs.listStatus(base):
-        name = status.getPath().getName()
-        if name.startswith("root="):
-            for part in fs.listStatus(status.getPath()):
-                if part.getPath().getName().startswith("part-"):
-                    fs.rename(part.getPath(), hadoop.Path(status.getPath(), f"{name[5:]}.wpt"))
     return path
 
 

@@ -98,10 +98,11 @@ def connected(rows: DataFrame, routes_: DataFrame) -> tuple[DataFrame, DataFrame
 
 
 def route_files(spark: SparkSession, folder: str) -> DataFrame:
-    """All .wpt files below a folder but those under _boundaries: path, root, value (the whole text)."""
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.wpt").text(folder, wholetext=True)
+    """All .wpt files below a folder but those under _boundaries, and texts in folders root=...: path, root, value (the whole text)."""
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{wpt,txt}").text(folder, wholetext=True)
     named = files.select(F.col("_metadata.file_path").alias("path"), "value").where(~F.contains("path", F.lit("/_boundaries/")))
-    return named.select("path", F.regexp_extract("path", r"([^/]+)\.wpt$", 1).alias("root"), "value")
+    root = F.coalesce(*[F.nullif(F.regexp_extract("path", p, 1), F.lit("")) for p in (r"([^/]+)\.wpt$", r"/root=([^/]+)/part-[^/]+$")])
+    return named.select("path", root.alias("root"), "value").where("root IS NOT NULL")
 
 
 def waypoint_lines(files: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import pytest
 
 FOLDER = "/root/testdata/sf0.001"
-NAMES = ["a03_region_mileage", "a07_traveler_region_mileage", "dc07_sharp_angle", "dc34_duplicate_label", "set05_all_label_checks", "g06_unhidden_vertices", "g07_contracted_edges", "j08_near_miss_pairs", "j10_radius_join", "tl02_chopped_status", "tl05_connected_ranges", "src03_systems", "snk04_system_pivot", "w07_segment_ids", "fn16_traveler_codes"]
+NAMES = ["a03_region_mileage", "a07_traveler_region_mileage", "dc07_sharp_angle", "dc26_label_selfref", "dc34_duplicate_label", "set05_all_label_checks", "g06_unhidden_vertices", "g07_contracted_edges", "j08_near_miss_pairs", "j10_radius_join", "tl02_chopped_status", "tl05_connected_ranges", "src03_systems", "src06_route_files", "snk04_system_pivot", "w07_segment_ids", "fn16_traveler_codes"]
 
 
 @pytest.fixture(scope="module")
