@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roadloom.llm import language_id, mixing, packing, recompress, simhash
+from roadloom.llm import language_id, mixing, packing, recompress, shingles
 from roadloom.llm.common import Durable, ship, table
 
 
@@ -20,9 +20,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group of SimHash near-duplicates."""
+    """Keeps the document of the smallest id of each group of near-duplicates (word 5-grams, similarity 0.8)."""
     ship(spark)
-    return simhash.keep_first(docs)
+    return shingles.keep_first(docs)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
