@@ -2,8 +2,9 @@
 
 A page is cut into text nodes, each with its path of block tags from the root. For every path, text length and punctuation
 are summed and divided by its number of nodes; link text counts against a path. The node sequence of the fused ratios is
-smoothed with a Gaussian, and paths whose mean is above a share of the page's deviation are content paths. The container
-that holds most of their text gives the article: its blocks in page order, but for those below boilerplate elements (menus,
+smoothed with a Gaussian, and paths whose mean is above a share of the page's deviation are content paths. The
+outermost article or main element that holds most of their text gives the article, else the deepest element that leaves no
+content path outside: its blocks in page order, but for those below boilerplate elements (menus,
 headers and footers, sidebars, notices, adverts, forms, comments, scripts, styles), known by tag name, role, class or id.
 
 Character references are decoded, white space in a block becomes one blank, blocks are trimmed and joined by one line
@@ -152,24 +153,24 @@ def main_text(page: str | None) -> str:
     line = np.convolve(np.pad(fused[of], 3, mode="edge"), kernel / kernel.sum(), mode="valid")
     path_value = np.maximum(np.bincount(of, line) / count, fused)
     content = path_value >= max(SHARE * path_value.max(), 1e-9)
-    # the deepest element below which most of the content paths' text lies
     weight = length * content[of]
-    best: tuple[str, ...] = ()
     total = weight.sum()
     if not total:
         return ""
-    while True:
-        depth = len(best)
-        below: dict[str, float] = {}
-        for (path, _, _), w in zip(usable, weight, strict=True):
-            if w and len(path) > depth and path[:depth] == best:
-                below[path[depth]] = below.get(path[depth], 0.0) + w
-        if not below:
-            break
-        step, most = max(below.items(), key=lambda x: x[1])
-        if most < 0.6 * total or "." not in step:
-            break
-        best = (*best, step)
+    best: tuple[str, ...] = ()
+    below: dict[tuple[str, ...], float] = {}
+    for (path, _, _), w in zip(usable, weight, strict=True):
+        k = next((k for k, step in enumerate(path) if step.split(".")[0] in ("article", "main")), None)
+        if k is not None:
+            below[path[: k + 1]] = below.get(path[: k + 1], 0.0) + w
+    if below and max(below.values()) >= 0.6 * total:
+        best = max(below, key=lambda x: below[x])
+        return "\n".join(b for path, b, linked in usable if path[: len(best)] == best and linked < max(1, 0.8 * len(b)))
+    # the deepest element that holds all blocks of content paths
+    kept = [path for (path, _, _), k in zip(usable, of, strict=True) if content[k]]
+    low, high = min(kept), max(kept)
+    while len(best) < min(len(low), len(high)) and low[len(best)] == high[len(best)] and "." in low[len(best)]:
+        best = low[: len(best) + 1]
     return "\n".join(b for path, b, linked in usable if path[: len(best)] == best and linked < max(1, 0.8 * len(b)))
 
 
