@@ -4,8 +4,11 @@ A page is cut into text nodes, each with its path of block tags from the root. F
 are summed and divided by its number of nodes; link text counts against a path. The node sequence of the fused ratios is
 smoothed with a Gaussian, and paths whose mean is above a share of the page's deviation are content paths. The
 outermost article or main element that holds most of their text gives the article, else the deepest element that leaves no
-content path outside: its blocks in page order, but for those below boilerplate elements (menus,
-headers and footers, sidebars, notices, adverts, forms, comments, scripts, styles), known by tag name, role, class or id.
+content path outside: all its blocks in page order, but for those below boilerplate elements (menus, headers and footers,
+sidebars, notices, adverts, forms, comments, scripts, styles), known by tag name, role, class or id. Layout modifiers
+(has-sidebar), ids of headings and paragraphs, and section ids with other words too are no marks; an element that is only
+marked by class or id stays if most of the text lies in it, and an article or title too or hardly any text elsewhere.
+Without an article or main element, runs of three or more blocks that are nearly all links are left out.
 
 Character references are decoded, white space in a block becomes one blank, blocks are trimmed and joined by one line
 feed. Null or empty html, and pages without content, give the empty string. A page that is cut off in the middle is read
@@ -15,6 +18,7 @@ as far as it goes. Repeated rows each get a row; an empty table gives an empty t
 from __future__ import annotations
 
 import html as _html
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -41,22 +45,41 @@ _SPACE = re.compile(r"\s+")
 SMOOTH, SHARE = 1.0, 0.3
 
 
-def _is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
+#: Elements whose id is an anchor in a text.
+ANCHORED = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd td th pre blockquote".split())
+_MODIFIER = re.compile(r"(?:^|(?<=\s))(?:has|with|no|without)-\S+")
+
+
+def _named_boilerplate(tag: str, name: str, value: str) -> bool:
+    if name == "class":
+        return bool(BOILERPLATE_WORDS.search(_MODIFIER.sub("", value)))
+    if tag in ANCHORED:
+        return False
+    if tag == "section":  # an anchor, unless each of its words tells boilerplate
+        return all(BOILERPLATE_WORDS.search(x) for x in re.split(r"[\s_-]+", value.strip()))
+    return bool(BOILERPLATE_WORDS.search(value))
+
+
+def _is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool | None:
+    """None where only a class or id tells it."""
     if tag in BOILERPLATE or (tag == "header" and not in_article):
         return True
+    soft = False
     if not attributes.strip() or tag in ("html", "body", "article", "main"):
         return False
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
-        if name == "role" and value in ROLES or name in ("class", "id") and BOILERPLATE_WORDS.search(value) or name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
+        soft = soft or name in ("class", "id") and _named_boilerplate(tag, name, value)
+        if name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
             return True
-    return False
+    return None if soft else False
 
 
-def nodes_of(page: str) -> list[tuple[tuple[str, ...], str, bool, int]]:
-    """Blocks in page order: path, text, whether it lies in boilerplate, and the length of its link text."""
-    out: list[tuple[tuple[str, ...], str, bool, int]] = []
-    stack: list[tuple[str, bool]] = []  # block tags (numbered among their siblings) and whether they are boilerplate
+def nodes_of(page: str) -> list[tuple[tuple[str, ...], str, bool, int, tuple[int, ...]]]:
+    """Blocks in page order: path, text, whether it lies in boilerplate, the length of its link text, and the numbers of the
+    elements round it that only a class or id marks as boilerplate."""
+    out: list[tuple[tuple[str, ...], str, bool, int, tuple[int, ...]]] = []
+    stack: list[tuple[str, bool | None, int]] = []  # block tags, whether they are boilerplate, and their numbers
     text: list[str] = []
     linked = in_link = 0
     depth_of: list[str] = []
@@ -68,7 +91,7 @@ def nodes_of(page: str) -> list[tuple[tuple[str, ...], str, bool, int]]:
             # a reference may be cut by a tag, never joined over one
             block = _SPACE.sub(" ", "".join(text)).strip()
             if block:
-                out.append((tuple(depth_of), block, any(bad for _, bad in stack), min(linked, len(block))))
+                out.append((tuple(depth_of), block, any(bad for _, bad, _ in stack), min(linked, len(block)), tuple(k for _, bad, k in stack if bad is None)))
             text.clear()
         linked = 0
 
@@ -94,7 +117,7 @@ def nodes_of(page: str) -> list[tuple[tuple[str, ...], str, bool, int]]:
         if m[1]:
             if tag == "a":
                 in_link = max(0, in_link - 1)
-            elif tag == "br" or tag == "p" and not any(t == "p" for t, _ in stack):
+            elif tag == "br" or tag == "p" and not any(t == "p" for t, *_ in stack):
                 flush()
             elif tag not in INLINE and (k := next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), -1)) >= 0:
                 close(k)
@@ -124,9 +147,9 @@ def nodes_of(page: str) -> list[tuple[tuple[str, ...], str, bool, int]]:
                     break
         if attributes.endswith("/") and tag not in CLOSES_P:
             continue
-        bad = _is_boilerplate(tag, attributes, any(t in ("article", "main") for t, _ in stack))
+        bad = _is_boilerplate(tag, attributes, any(t in ("article", "main") for t, *_ in stack))
         serial[0] += 1
-        stack.append((tag, bad))
+        stack.append((tag, bad, serial[0]))
         depth_of.append(tag if tag in ("p", "li", "td", "tr", "h1", "h2", "h3", "h4", "h5", "h6", "dd", "dt", "pre", "blockquote") else f"{tag}.{serial[0]}")
     flush()
     return out
@@ -135,7 +158,8 @@ def nodes_of(page: str) -> list[tuple[tuple[str, ...], str, bool, int]]:
 def main_text(page: str | None) -> str:
     """The article's blocks joined by line feeds."""
     nodes = nodes_of(page) if page else []
-    usable = [(path, block, linked) for path, block, bad, linked in nodes if not bad]
+    freed = _freed(nodes)
+    usable = [(path, block, linked) for path, block, bad, linked, soft in nodes if not bad and freed.issuperset(soft)]
     if not usable:
         return ""
     paths = sorted({p for p, _, _ in usable})
@@ -165,13 +189,36 @@ def main_text(page: str | None) -> str:
             below[path[: k + 1]] = below.get(path[: k + 1], 0.0) + w
     if below and max(below.values()) >= 0.6 * total:
         best = max(below, key=lambda x: below[x])
-        return "\n".join(b for path, b, linked in usable if path[: len(best)] == best and linked < max(1, 0.8 * len(b)))
+        return "\n".join(b for path, b, _ in usable if path[: len(best)] == best)
     # the deepest element that holds all blocks of content paths
     kept = [path for (path, _, _), k in zip(usable, of, strict=True) if content[k]]
     low, high = min(kept), max(kept)
     while len(best) < min(len(low), len(high)) and low[len(best)] == high[len(best)] and "." in low[len(best)]:
         best = low[: len(best) + 1]
-    return "\n".join(b for path, b, linked in usable if path[: len(best)] == best and linked < max(1, 0.8 * len(b)))
+    inside = [(b, linked >= max(1, 0.8 * len(b))) for path, b, linked in usable if path[: len(best)] == best]
+    out: list[str] = []
+    for dense, run in itertools.groupby(inside, key=lambda x: x[1]):
+        blocks = [b for b, _ in run]
+        out += blocks if not dense or len(blocks) < 3 else []
+    return "\n".join(out)
+
+
+def _freed(nodes: list) -> set[int]:
+    """Numbers of the softly marked elements that hold most of the page's text, and a title or article or nearly all of it."""
+    held: dict[int, float] = {}
+    titled: set[int] = set()
+    total = unmarked = 0.0
+    for path, block, bad, linked, soft in nodes:
+        if bad:
+            continue
+        w = max(0, len(block) - 2 * linked)
+        total += w
+        unmarked += w if not soft else 0
+        for k in soft:
+            held[k] = held.get(k, 0.0) + w
+        if any(step == "h1" or step.startswith(("article.", "main.")) for step in path):
+            titled.update(soft)
+    return {k for k, w in held.items() if w > 0.5 * total and (k in titled or unmarked < 0.2 * total)}
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
