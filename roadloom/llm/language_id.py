@@ -158,7 +158,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows, with all their columns, in whose text a language was found."""
+    """The rows, with all their columns, in whose text a language was found; without labels, all texts that have a letter."""
     model = train(docs.select("doc_id", "text", "lang").where(~held_out(F.col("doc_id"))))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
@@ -167,7 +167,7 @@ def keep_identified(docs: DataFrame) -> DataFrame:
         m = shared.value
         for batch in batches:
             for part, data, offsets in text_chunks(batch, "text"):
-                found = m.scores(data, offsets)[2] if m.languages else np.zeros(part.num_rows, bool)
+                found = grams(data, offsets)[1] if not m.languages else m.scores(data, offsets)[2]
                 yield part.filter(pa.array(found & ~np.asarray(part.column(at).is_null())))
 
     return docs.mapInArrow(work, docs.schema)
