@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -23,27 +23,42 @@ _own_dir: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where that is unset, a temporary one, but only if driver
+    and executors are one process (tests): elsewhere such a folder would lose data."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not _own_dir:
         _own_dir.append(tempfile.mkdtemp(prefix="roadloom-"))
     return _own_dir[0]
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Inside, Spark removes a query's shuffle files as soon as the query ends: what it wrote stands for them."""
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 class Durable:
     """A DataFrame written as Parquet in the shared folder, so that a lost executor costs no recomputation."""
 
-    def __init__(self, df: DataFrame, name: str, free: bool = False):
+    def __init__(self, df: DataFrame, name: str):
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
         schema = df.schema
-        df.write.parquet(self.path)
+        with freed_shuffles(self.spark):
+            df.write.parquet(self.path)
         self.df = self.spark.read.schema(schema).parquet(self.path)
-        if free:  # the table stands for the shuffles that made it: let Spark's cleaner remove their files now
-            gc.collect()
-            self.spark.sparkContext._jvm.System.gc()
 
     def drop(self) -> None:
         """Free the files once nothing reads them any more."""

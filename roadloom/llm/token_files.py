@@ -5,8 +5,8 @@ row of a Parquet table in a folder shared by all executors, so Spark's commit pr
 absent. Rows: `part` and `block` (their order is the documents' order), `n_ids`, `doc_ids` and `doc_lengths` of its
 documents, `payload`. The reader decodes each block, checks its checksum, and adds the number of ids before it.
 
-Null texts count as empty and still get the end id. Documents with equal doc_id stand next to each other, ordered by
-text; documents with a null doc_id come first. An empty table gives an empty file set. A document is never split over
+Null texts count as empty and still get the end id. Documents with equal doc_id stand next to each other, ordered by a
+hash of the text; documents with a null doc_id come first. An empty table gives an empty file set. A document is never split over
 blocks, so a longer one makes a longer block.
 """
 
@@ -62,8 +62,9 @@ def blocks_of(docs: DataFrame, path: str, end_id: int = 0, block_ids: int = id_c
             yield row()
 
     slim = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    n = int(slim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return slim.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(work, BLOCKS)
+    # ranges may cut through equal ids (null ones too), so they are no hot spot
+    order = ["doc_id", F.xxhash64("text")]
+    return slim.repartitionByRange(*order).sortWithinPartitions(*order, "text").mapInArrow(work, BLOCKS)
 
 
 def read_blocks(blocks: DataFrame) -> DataFrame:

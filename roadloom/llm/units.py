@@ -17,7 +17,7 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Distinct units that a worker remembers; beyond it forgets all and starts anew (memory, not results, depend on it).
+#: Distinct units that a worker remembers; beyond it forgets those met only once (memory, not results, depend on it).
 UNIT_LIMIT = 1_200_000
 
 _U = np.uint64
@@ -83,8 +83,21 @@ class UnitTable:
         self.n, self.size = 0, 1 << 16
         self.slots = np.full(self.size, -1, np.int32)
         self.a, self.b = np.zeros(1024, np.uint64), np.zeros(1024, np.uint64)
+        self.again = np.zeros(1024, bool)  # units met in a later call than their first
         self.first, self.flat, self.used = np.zeros(1025, np.int64), np.zeros(4096, self.dtype), 0
 
+    def _forget(self) -> None:
+        """Keeps the units that were met again, unless they are many."""
+        keep = np.flatnonzero(self.again[: self.n])
+        if 2 * len(keep) > self.limit:
+            self._clear()
+            return
+        a, b = self.a[keep], self.b[keep]
+        flat, lengths = self.values(keep)
+        self._clear()
+        if len(keep):
+            self._add(a, b, flat, lengths)
+
     def _find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         found = np.full(len(a), -1, np.int32)
         todo, mask = np.arange(len(a)), self.size - 1
@@ -107,15 +120,17 @@ class UnitTable:
             ids, slot = ids[on], (slot[on] + 1) & mask
 
     def _grow(self, a: np.ndarray, b: np.ndarray, values: list[list[int]]) -> None:
+        lengths = np.fromiter(map(len, values), np.int64, len(a))
+        self._add(a, b, np.fromiter(chain.from_iterable(values), self.dtype, int(lengths.sum())), lengths)
+
+    def _add(self, a: np.ndarray, b: np.ndarray, flat: np.ndarray, lengths: np.ndarray) -> None:
         k, n = len(a), self.n
-        lengths = np.fromiter(map(len, values), np.int64, k)
-        flat = np.fromiter(chain.from_iterable(values), self.dtype, int(lengths.sum()))
         while n + k > len(self.a):
-            self.a, self.b = np.resize(self.a, 2 * len(self.a)), np.resize(self.b, 2 * len(self.b))
+            self.a, self.b, self.again = (np.resize(x, 2 * len(x)) for x in (self.a, self.b, self.again))
             self.first = np.resize(self.first, 2 * len(self.a) + 1)
         while self.used + len(flat) > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.a[n : n + k], self.b[n : n + k] = a, b
+        self.a[n : n + k], self.b[n : n + k], self.again[n : n + k] = a, b, False
         self.flat[self.used : self.used + len(flat)] = flat
         self.first[n + 1 : n + k + 1] = self.used + np.cumsum(lengths)
         self.n, self.used = n + k, self.used + len(flat)
@@ -130,9 +145,10 @@ class UnitTable:
     def lookup(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The table's row for each unit; new units are resolved and kept."""
         if self.n > self.limit:
-            self._clear()
+            self._forget()
         a, b = byte_keys(data, starts, ends)
         rows, raw = self._find(a, b), None
+        self.again[rows] = rows >= 0  # a miss marks the last place, which is set anew when a unit comes there
         while len(new := np.flatnonzero(rows < 0)):
             _, at = np.unique(a[new], return_index=True)
             pick = new[at]
