@@ -158,6 +158,10 @@ class UnitTable:
             rows[new] = self._find(a[new], b[new])
         return rows
 
+    def last(self, rows: np.ndarray) -> np.ndarray:
+        """The last of each row's values; rows must have some."""
+        return self.flat[self.first[rows + 1] - 1]
+
     def values(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The rows' values end to end, and how many each row has."""
         begin = self.first[rows]
