@@ -1,9 +1,10 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
-Training counts the n-grams (1 to 4 characters, hashed into `buckets`) of each labelled language and keeps the matrix of
-log probabilities, whose size is fixed by `buckets` and `MAX_LANGUAGES`, so it may be broadcast. It learns from a bounded
-sample: of the training documents of each language at most about `per_language`, chosen by a hash of doc_id; only the
-first `train_chars` characters of each. Prediction reads every whole text.
+Training counts the n-grams (1 to 4 characters, hashed into buckets) of each labelled language and keeps the matrix of log
+probabilities and the languages' shares of all labelled rows as priors. The matrix has at most `CELLS` cells, however many
+languages there are (64 languages get 2**16 buckets each, more get fewer), so it may be broadcast; over `MAX_LANGUAGES`
+labels raise an error. It learns from a bounded sample: the whole texts of at most about `per_language` training documents
+of each language, chosen by a hash of doc_id. Prediction reads every whole text.
 
 A null text, or one without a letter, gives `und` and score 0. Ties go to the language that is first by code point. With
 no training rows every text gives `und`. Null labels are never learned. Repeated rows each get a row. Columns other than
@@ -22,8 +23,14 @@ from pyspark.sql import functions as F
 
 from .common import text_chunks
 
-BUCKET_BITS, ORDERS, MAX_LANGUAGES = 16, 4, 512
-PER_LANGUAGE, TRAIN_CHARS = 4000, 4000
+ORDERS, MOST_BITS, LEAST_BITS = 4, 16, 8
+#: Cells of the matrix, and so the most languages (each with 2**LEAST_BITS buckets).
+CELLS = 1 << 22
+MAX_LANGUAGES = CELLS >> LEAST_BITS
+#: Labelled rows that are learned from, of each language.
+PER_LANGUAGE = 4000
+#: A text stays in the pipeline if its best language is this likely.
+LEAST_SCORE = 0.4
 UNKNOWN = "und"
 _MULTIPLIERS = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F)]  # one for each order
 
@@ -39,7 +46,11 @@ def _letters() -> tuple[np.ndarray, np.ndarray]:
 _tables: list[tuple[np.ndarray, np.ndarray]] = []
 
 
-def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+def bucket_bits(languages: int) -> int:
+    return max(LEAST_BITS, min(MOST_BITS, (CELLS // max(1, languages)).bit_length() - 1))
+
+
+def grams(data: np.ndarray, offsets: np.ndarray, bits: int = MOST_BITS) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     """Character offsets of the texts, whether each has a letter, and for each order the buckets and where they start.
 
     Letters are lower-cased, any run of other characters counts as one blank, and no n-gram spans two texts.
@@ -68,7 +79,7 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
             break
         h = (h[: len(code) - order] * np.uint32(0x01000193)) ^ code[order:]
         mixed = h * _MULTIPLIERS[order]
-        bucket = ((mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - BUCKET_BITS)
+        bucket = ((mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - bits)
         inside = text_of[: len(code) - order] == text_of[order:]
         out.append((bucket[inside], np.searchsorted(text_of[: len(code) - order][inside], np.arange(len(offsets)))))
     return at, has_letter, out
@@ -78,12 +89,13 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 class Model:
     languages: list[str]
     log_probability: np.ndarray  # language x bucket, of float32
-    prior: np.ndarray
+    log_prior: np.ndarray
+    bits: int
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Log likelihoods (text x language), n-grams per text, has a letter."""
-        _, has_letter, orders = grams(data, offsets)
-        total = np.zeros((len(offsets) - 1, len(self.languages)))
+        """Log likelihoods with priors (text x language), n-grams per text, has a letter."""
+        _, has_letter, orders = grams(data, offsets, self.bits)
+        total = np.tile(self.log_prior, (len(offsets) - 1, 1))
         n = np.zeros(len(offsets) - 1, np.int64)
         for bucket, starts in orders:
             n += np.diff(starts)
@@ -93,38 +105,54 @@ class Model:
                     total[some, k] += np.add.reduceat(self.log_probability[k][bucket], starts[some], dtype=np.float64)
         return total, n, has_letter
 
-
-def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, train_chars: int = TRAIN_CHARS) -> Model:
-    """labelled: doc_id, text, lang. One job counts languages, one counts n-grams; the matrix has a fixed size."""
-    rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).sort("lang").limit(MAX_LANGUAGES).collect()}
-    languages = sorted(sizes)
-    counts = np.zeros((len(languages), 1 << BUCKET_BITS))
+    def tell(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each text's language (one more than the last: none), and the posterior probability of it, its
+        evidence tempered by the root of the number of n-grams."""
+        if not self.languages:
+            return np.zeros(len(offsets) - 1, np.int64), np.zeros(len(offsets) - 1)
+        total, n, has_letter = self.scores(data, offsets)
+        best = total.argmax(axis=1)  # the first of equals
+        lead = (total - total.max(axis=1, keepdims=True)) / np.sqrt(np.maximum(n, 1))[:, None]
+        return np.where(has_letter, best, len(self.languages)), np.where(has_letter, 1 / np.exp(lead).sum(axis=1), 0.0)
+
+
+def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
+    """labelled: doc_id, text, lang. One job counts languages, one counts n-grams; the matrix has a bounded size."""
+    spark = labelled.sparkSession
+    rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).sort("lang").limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} different labels")
+    names = sorted((r["lang"], r["n"]) for r in sizes)
+    languages = [x for x, _ in names]
+    bits = bucket_bits(len(languages))
+    counts = np.zeros((len(languages), 1 << bits))
     if languages:
-        share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, per_language / sizes[lang]))])
-        drawn = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)), F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30)
-        sample = rows.where(F.col("lang").isin(languages)).where(drawn).select("lang", F.substring("text", 1, train_chars).alias("text"))
+        # one row for each language, MAX_LANGUAGES at most
+        shares = F.broadcast(spark.createDataFrame([(x, k, min(1.0, per_language / n)) for k, (x, n) in enumerate(names)], "lang string, k int, share double"))
+        drawn = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)), F.lit(1 << 30)) < F.col("share") * (1 << 30)
+        sample = rows.join(shares, "lang").where(drawn).select("k", "text")
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros((len(languages), 1 << BUCKET_BITS), np.int64)
+            sums = np.zeros(len(languages) << bits, np.int64)
             for batch in batches:
                 for part, data, offsets in text_chunks(batch, "text"):
-                    label = np.array([languages.index(x) for x in part.column(0).to_pylist()])
-                    for bucket, starts in grams(data, offsets)[2]:
-                        np.add.at(sums, (np.repeat(label, np.diff(starts)), bucket), 1)
-            k, b = np.nonzero(sums)
-            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(b, pa.int32()), pa.array(sums[k, b])], ["k", "b", "n"])
-
-        # at most languages x buckets rows, whatever the input
-        found = sample.mapInArrow(work, "k int, b int, n long").groupBy("k", "b").agg(F.sum("n").alias("n")).toArrow()
-        counts[found["k"].to_numpy(), found["b"].to_numpy()] = found["n"].to_numpy()
+                    label = part.column(0).to_numpy().astype(np.int64)
+                    for bucket, starts in grams(data, offsets, bits)[2]:
+                        np.add.at(sums, (np.repeat(label, np.diff(starts)) << bits) + bucket, 1)
+            at = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["cell", "n"])
+
+        # at most CELLS rows, whatever the input
+        found = sample.mapInArrow(work, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+        counts.ravel()[found["cell"].to_numpy()] = found["n"].to_numpy()
     smooth = counts + 0.5
-    prior = np.zeros(len(languages))  # flat: a document's language is told by its text alone
-    return Model(languages, np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32) if languages else smooth, prior)
+    prior = np.log(np.array([n for _, n in names], float) / max(1, sum(n for _, n in names)))
+    return Model(languages, np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32), prior, bits)
 
 
 def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, lang_pred, score: the posterior probability of the language, evidence tempered by the root of the n-gram count."""
+    """doc_id, lang_pred, score of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,14 +160,7 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
         names = np.array([*m.languages, UNKNOWN], dtype=object)
         for batch in batches:
             for part, data, offsets in text_chunks(batch, "text"):
-                if not m.languages:
-                    best, score = np.zeros(part.num_rows, np.int64), np.zeros(part.num_rows)
-                else:
-                    total, n, has_letter = m.scores(data, offsets)
-                    best = total.argmax(axis=1)  # the first of equals
-                    lead = (total - total.max(axis=1, keepdims=True)) / np.sqrt(np.maximum(n, 1))[:, None]
-                    score = np.where(has_letter, 1 / np.exp(lead).sum(axis=1), 0.0)
-                    best = np.where(has_letter, best, len(m.languages))
+                best, score = m.tell(data, offsets)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names[best].tolist(), pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
     slim = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
@@ -157,17 +178,29 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows, with all their columns, in whose text a language was found; without labels, all texts that have a letter."""
+def keep_identified(docs: DataFrame, languages: tuple[str, ...] | None = None, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows, with all their columns, whose text is told to be in one of `languages` (any learned one if None) with a
+    score of `least` or more; `lang` becomes that language. Where no row has a label, nothing can be told but whether a text
+    has a letter: those texts stay, with `lang` null."""
     model = train(docs.select("doc_id", "text", "lang").where(~held_out(F.col("doc_id"))))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
+    at, lang_at = docs.columns.index("text"), docs.columns.index("lang")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        names = np.array([*m.languages, None], dtype=object)
+        wanted = np.array([languages is None or x in languages for x in m.languages] + [False])
         for batch in batches:
-            for part, data, offsets in text_chunks(batch, "text"):
-                found = grams(data, offsets)[1] if not m.languages else m.scores(data, offsets)[2]
-                yield part.filter(pa.array(found & ~np.asarray(part.column(at).is_null())))
+            for part, data, offsets in text_chunks(batch, batch.schema.names[at]):
+                stays = ~np.asarray(part.column(at).is_null())
+                if m.languages:
+                    best, score = m.tell(data, offsets)
+                    stays &= wanted[best] & (score >= least)
+                    columns = list(part.columns)
+                    columns[lang_at] = pa.array(names[best].tolist(), pa.string()).cast(columns[lang_at].type)
+                    part = pa.RecordBatch.from_arrays(columns, part.schema.names)
+                else:
+                    stays &= grams(data, offsets)[1]
+                yield part.filter(pa.array(stays))
 
     return docs.mapInArrow(work, docs.schema)
