@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..shipping import ship
 
-__all__ = ["CHUNK_BYTES", "Durable", "shared_dir", "ship", "table", "text_buffer", "text_chunks"]
+__all__ = ["CHUNK_BYTES", "Durable", "freed_shuffles", "shared_dir", "ship", "table", "text_buffer", "text_chunks", "unlike"]
 
 #: Bytes of text that one numpy pass handles; bounds the memory of a Python worker.
 CHUNK_BYTES = 2 << 20
@@ -67,6 +67,14 @@ class Durable:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def unlike(name: str, columns: list[str]) -> str:
+    """A column name like `name` that none of the columns has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -3,8 +3,10 @@
 Sizes are word counts. Sources in code point order (null last) weigh 1, 2, 3, 1, 2, 3, ... and share the whole volume by
 weight; a source's target stops at `MOST` times its size, and what is left over is shared again by weight until no target
 is above that. A source's rate is target / size: every document gets the whole part of it as certain copies, and the
-fraction is its inclusion probability p for one more. Ranks are q = u / (1 - u) : p / (1 - p) for a hash-derived u, and the
-sample is the run of lowest q whose words come nearest to what the certain copies leave open.
+fraction f is what is left for one more copy of some. A document's inclusion probability for that copy is
+p = f * (mean size / size)**TILT: one more copy of a very long document would take the room of many others and throw the
+total off. Ranks are q = u / (1 - u) : p / (1 - p) for a hash-derived u, and the sample, whose size in words is fixed
+beforehand, is the run of lowest q whose words come nearest to what the certain copies leave open.
 
 The rank order is cut into buckets whose sums are prefix-summed, so only the bucket in which a source's sample ends is ever
 ordered row by row: a source with a third of all rows is no hot spot. Ties in q go by doc_id, then size. All figures
@@ -20,9 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Durable
+from .common import Durable, unlike
 
-MOST, BUCKETS, SEED = 3, 4096, 20
+MOST, BUCKETS, SEED, TILT = 3, 4096, 20, 0.5
+#: Inclusion probabilities stay between these.
+LEAST_P, MOST_P = 1e-9, 1 - 1e-6
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -48,10 +52,11 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
 
 
 def rates(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST) -> DataFrame:
-    """sized: source, size. One row for each source: target, certain copies, inclusion probability and words still open."""
-    per = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
+    """sized: source, size. One row for each source: target, certain copies, fraction f, mean size and words still open."""
+    sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    per = targets(sums, weights, most).join(sums.select(F.col("source").alias("of"), (F.col("source_size") / F.col("n")).alias("mean")), F.col("source").eqNullSafe(F.col("of"))).drop("of")
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(F.lit(0.0))
-    rows = per.withColumn("certain", F.floor(rate + 1e-12).cast("long")).withColumn("p", F.greatest(rate - F.col("certain"), F.lit(0.0)))
+    rows = per.withColumn("certain", F.floor(rate + 1e-12).cast("long")).withColumn("f", F.greatest(rate - F.col("certain"), F.lit(0.0)))
     return rows.withColumn("open", F.greatest(F.col("target") - F.col("certain") * F.col("source_size"), F.lit(0.0)))
 
 
@@ -62,8 +67,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST,
     rate = Durable(rates(sized, weights, most), "rates").df
     share = F.pmod(F.xxhash64(F.lit(SEED), F.coalesce(F.col("doc_id"), F.lit(-1)), F.col("size")), F.lit(1 << 52)).cast("double")
     u = (share + 0.5) / float(1 << 52)
-    odds = F.when(F.col("p") > 0, (u / (1 - u)) / (F.col("p") / (1 - F.col("p"))))
-    rows = sized.join(rate, sized["source"].eqNullSafe(rate["source"])).select(sized["*"], "source_size", "target", "certain", "p", "open", odds.alias("q"))
+    p = F.greatest(F.lit(LEAST_P), F.least(F.lit(MOST_P), F.col("f") * F.pow(F.col("mean") / F.greatest(F.col("size"), F.lit(1)), F.lit(TILT))))
+    odds = F.when(F.col("f") > 0, (u / (1 - u)) / (p / (1 - p)))
+    rows = sized.join(rate, sized["source"].eqNullSafe(rate["source"])).select(sized["*"], "source_size", "target", "certain", "open", odds.alias("q"))
     # q / (1 + q) keeps the order of q and lies between 0 and 1
     rows = rows.withColumn("bucket", F.least(F.floor(F.col("q") / (1 + F.col("q")) * buckets), F.lit(buckets - 1)))
     sums = rows.where("q IS NOT NULL").groupBy("source", "open", "bucket").agg(F.sum("size").alias("words"))
@@ -84,6 +90,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST,
 
 def apply(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST) -> DataFrame:
     """The mix itself: every row as often as it is taken, with the columns of docs."""
-    times = mix(docs, weights, most).where("copies > 0").select(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("size").alias("mix_size"), "copies").distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("mix_id")) & F.col("source").cast("string").eqNullSafe(F.col("mix_source")) & (word_count(F.col("text").cast("string")) == F.col("mix_size"))
-    return docs.join(times, same).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[docs[c] for c in docs.columns])
+    names = [unlike(x, docs.columns) for x in ("mix_id", "mix_source", "mix_size", "copies", "copy")]
+    of_id, of_source, of_size, copies, copy = names
+    times = mix(docs, weights, most).where("copies > 0").select("doc_id", "source", "size", "copies").distinct().toDF(*names[:4])
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(of_id)) & F.col("source").cast("string").eqNullSafe(F.col(of_source)) & (word_count(F.col("text").cast("string")) == F.col(of_size))
+    return docs.join(times, same).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*docs.columns)
