@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Durable, text_chunks
+from .common import Durable, text_chunks, unlike
 from .units import byte_keys
 from .words import packed, words_of
 
@@ -166,7 +166,7 @@ def _source(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def row_of(text: Column) -> Column:
     """Tells rows of one id apart."""
-    return F.hash(text.cast("string"))
+    return F.xxhash64(text.cast("string"))
 
 
 def _anchors(source: DataFrame, window: int) -> DataFrame:
@@ -210,7 +210,7 @@ def _spans(source: DataFrame, window: int, shared: np.ndarray) -> DataFrame:
                 rows = pa.array(text)
                 yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(2).take(rows), pa.array(w.anchor[first].view(np.int64)), pa.array(span.view(np.int64)), pa.array(at)], ["doc_id", "row", "anchor", "span", "at"])
 
-    return source.where("doc_id IS NOT NULL").mapInArrow(work, "doc_id long, row int, anchor long, span long, at long")
+    return source.where("doc_id IS NOT NULL").mapInArrow(work, "doc_id long, row long, anchor long, span long, at long")
 
 
 def _opened(source: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
@@ -233,7 +233,7 @@ def _opened(source: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(2).take(rows), pa.array(w.anchor[each].view(np.int64)), pa.array(w.digest(w.place[each]).view(np.int64)), pa.array(at)], ["doc_id", "row", "anchor", "digest", "at"])
 
     lists = wanted.groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
-    return source.join(lists, "doc_id").select("doc_id", "text", "row", "spans").mapInArrow(work, "doc_id long, row int, anchor long, digest long, at long")
+    return source.join(lists, "doc_id").select("doc_id", "text", "row", "spans").mapInArrow(work, "doc_id long, row long, anchor long, digest long, at long")
 
 
 def removals(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -292,7 +292,7 @@ def cut(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str
 
     source = _source(docs, doc_id, text)
     gone = Durable(removals(docs, window, doc_id, text), "removals").df
-    return source.join(gone, ["doc_id", "row"], "left").select("doc_id", "text", "places", "row").mapInArrow(work, "doc_id long, row int, n_words long, n_removed long, kept string")
+    return source.join(gone, ["doc_id", "row"], "left").select("doc_id", "text", "places", "row").mapInArrow(work, "doc_id long, row long, n_words long, n_removed long, kept string")
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -302,8 +302,9 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def apply(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows with all their columns; texts that lose words hold the kept ones, joined by one blank, and their n_chars."""
-    gone = Durable(removals(docs, window), "removals").df.select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row"), "places")
-    joined = docs.join(gone, (F.col("doc_id") == F.col("gone_id")) & (row_of(F.col("text")) == F.col("gone_row")), "left")
+    gone_id, gone_row, gone_places = (unlike(x, docs.columns) for x in ("gone_id", "gone_row", "places"))
+    gone = Durable(removals(docs, window), "removals").df.toDF(gone_id, gone_row, gone_places)
+    joined = docs.join(gone, (F.col("doc_id") == F.col(gone_id)) & (row_of(F.col("text")) == F.col(gone_row)), "left")
     kept_schema, at = docs.schema, docs.columns.index("text")
     columns = docs.columns
 
@@ -328,4 +329,4 @@ def apply(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 else:
                     yield part.select(columns)
 
-    return joined.select(*[docs[c] for c in columns], "places").mapInArrow(work, kept_schema)
+    return joined.select(*[docs[c] for c in columns], gone_places).mapInArrow(work, kept_schema)

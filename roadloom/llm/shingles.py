@@ -1,14 +1,16 @@
-"""Near-duplicates by word shingles: candidates by banded MinHash, each link verified by exact similarity.
+"""Near-duplicates by word shingles: SimHash candidates and, beyond its radius, buckets; every link is verified exactly.
 
 Words are as in `simhash`; a text's shingles are its distinct word 5-grams (the whole sequence if shorter), told by 64-bit
 hashes. Two texts are linked if the Jaccard similarity of their shingles is 0.8 or more; a group is a component of links.
 Texts of equal shingles stand for one; all texts without a word, null ones too, are equal.
 
-`BANDS` keys of `ROWS` minima each make the buckets: a pair at similarity 0.8 shares none with probability 0.00007, more
-alike pairs with less. Verifying is done in turns: in the first ones every member of a bucket is held against one leader, so
-a crowd of near copies mostly becomes one group by as many pairs as it has members; the last one holds all those members of
-a bucket against each other that the turns before left in different groups. No pair of a bucket is left out, so how many
-are held grows with the square of a bucket only where its members are not alike.
+Candidates come first from the Gray-order index of `simhash` over the fingerprints of the 5-grams. Texts at similarity 0.8
+differ in some 10 of 64 bits, out of reach of any such index, so minima of the shingles' hashes make `BANDS` keys of `ROWS`
+each: a pair at similarity 0.8 shares none with probability 0.00007, more alike pairs with less. Buckets of equal keys are
+held against each other in turns: in the first ones every member of a bucket is held against one leader, so a crowd of near
+copies mostly becomes one group by as many pairs as it has members; the last one holds all those members of a bucket against
+each other that the turns before left in different groups. No pair of a bucket is left out, so how many are held grows with
+the square of a bucket only where its members are not alike.
 """
 
 from __future__ import annotations
@@ -21,8 +23,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Durable, text_chunks
+from .common import Durable, text_chunks, unlike
 from .components import components
+from .simhash import links as simhash_links
+from .simhash import majority
 from .words import packed, words_of
 
 SHINGLE, SEED, BANDS, ROWS, STAR_TURNS = 5, 42, 24, 5, 2
@@ -72,7 +76,7 @@ def bands_of(hashes: np.ndarray, upto: np.ndarray) -> np.ndarray:
 
 
 def _signed(rows: DataFrame) -> DataFrame:
-    """rows: doc_id, row, text. doc_id, row, s (the name of its shingles), bands (empty if it has none)."""
+    """rows: doc_id, row, text. doc_id, row, s (the name of its shingles), fp (their fingerprint), bands (empty if it has none)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,9 +85,9 @@ def _signed(rows: DataFrame) -> DataFrame:
                 some = np.diff(upto) > 0
                 keys = bands_of(hashes, np.concatenate([upto[:-1][some], upto[-1:]])) if some.any() else np.zeros((0, BANDS), np.int64)
                 bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * BANDS)]), pa.int32()), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(names_of(distinct_of(hashes, upto))), bands], ["doc_id", "row", "s", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(names_of(distinct_of(hashes, upto))), pa.array(majority(hashes, upto).view(np.int64)), bands], ["doc_id", "row", "s", "fp", "bands"])
 
-    return rows.mapInArrow(work, "doc_id long, row long, s long, bands array<long>")
+    return rows.mapInArrow(work, "doc_id long, row long, s long, fp long, bands array<long>")
 
 
 def _sets(rows: DataFrame) -> DataFrame:
@@ -112,21 +116,31 @@ def _pair(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _gray(firsts: DataFrame) -> DataFrame:
+    """Pairs (a, b) that the Gray-order index links: of equal fingerprints with one of them, and of near fingerprints."""
+    some = firsts.where(F.size("bands") > 0)
+    distinct = Durable(some.groupBy("fp").agg(F.min("s").alias("node")), "shingle-fingerprints").df
+    equal = some.join(distinct, "fp").where("s <> node").select(*_pair("s", "node"))
+    return equal.unionByName(simhash_links(distinct)).distinct()
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows, with all their columns, that have the least doc_id of their group; where that id repeats, the row of the
     least hash over its columns (equal rows count as one). Null ids stay."""
-    named = docs.where("doc_id IS NOT NULL").withColumn("row_hash", F.xxhash64(*docs.columns))
-    slim = named.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("row_hash").alias("row"), F.col("text").cast("string").alias("text"))
+    row_hash, kept_id, kept_row = (unlike(x, docs.columns) for x in ("row_hash", "kept_id", "kept_row"))
+    named = docs.where("doc_id IS NOT NULL").withColumn(row_hash, F.xxhash64(*docs.columns))
+    slim = named.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(row_hash).alias("row"), F.col("text").cast("string").alias("text"))
     # equal shingles are brought together before anything is dealt out, so crowds of copies are no hot spot
-    firsts = Durable(_signed(slim).groupBy("s").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.min("bands").alias("bands")), "shingle-sets").df
+    firsts = Durable(_signed(slim).groupBy("s").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.min("fp").alias("fp"), F.min("bands").alias("bands")), "shingle-sets").df
     buckets = firsts.select("s", F.explode("bands").alias("g"))
     crowded = buckets.groupBy("g").agg(F.count("*").alias("n")).where("n > 1")
     members = Durable(buckets.join(crowded, "g").select("g", "s"), "buckets").df
-    chosen = firsts.join(members.select("s").distinct(), "s", "left_semi").select("first.doc_id", "first.row")
+    near = Durable(_gray(firsts), "candidates").df
+    asked = members.select("s").unionByName(near.select(F.explode(F.array("a", "b")).alias("s"))).distinct()
+    chosen = firsts.join(asked, "s", "left_semi").select("first.doc_id", "first.row")
     sets = Durable(_sets(slim.join(chosen, ["doc_id", "row"], "left_semi").dropDuplicates(["doc_id", "row"]).select("text")), "shingles").df
-    links: DataFrame | None = None
-    label = firsts.select(F.col("s").alias("node"), F.col("s").alias("component")).limit(0)
-    held: DataFrame | None = None
+    held, links = near, Durable(_alike(near, sets), "links").df
+    label = components(links)
     for turn in range(STAR_TURNS + 1):
         at = members.join(label, F.col("s") == F.col("node"), "left").select("g", "s", F.coalesce("component", "s").alias("c"))
         leaders = at.groupBy("g").agg(F.min(F.struct(F.xxhash64("s", "g", F.lit(turn)).alias("h"), "s", "c")).alias("leader"), F.min("c").alias("least"), F.max("c").alias("most")).where("least <> most")
@@ -135,14 +149,12 @@ def keep_first(docs: DataFrame) -> DataFrame:
         else:
             left = at.join(leaders.select("g"), "g", "left_semi")
             open_ = left.toDF("g", "s", "c").join(left.toDF("g", "s2", "c2"), "g").where("c < c2").select(*_pair("s", "s2"))
-        open_ = open_.distinct()
-        pairs = Durable(open_ if held is None else open_.join(held, ["a", "b"], "left_anti"), "candidates").df
+        pairs = Durable(open_.distinct().join(held, ["a", "b"], "left_anti"), "candidates").df
         if turn == STAR_TURNS and pairs.isEmpty():
             break
-        held = pairs if held is None else held.unionByName(pairs)
-        found = Durable(_alike(pairs, sets), "links").df
-        links = found if links is None else links.unionByName(found)
+        held = held.unionByName(pairs)
+        links = links.unionByName(Durable(_alike(pairs, sets), "links").df)
         label = components(links)
     group = firsts.join(label, F.col("s") == F.col("node"), "left").groupBy(F.coalesce("component", "s").alias("c")).agg(F.min("first").alias("first"))
-    kept = named.join(group.select(F.col("first.doc_id").alias("kept_id"), F.col("first.row").alias("kept_row")), (F.col("doc_id") == F.col("kept_id")) & (F.col("row_hash") == F.col("kept_row")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "row_hash"]).select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    kept = named.join(group.select(F.col("first.doc_id").alias(kept_id), F.col("first.row").alias(kept_row)), (F.col("doc_id") == F.col(kept_id)) & (F.col(row_hash) == F.col(kept_row)), "left_semi")
+    return kept.dropDuplicates(["doc_id", row_hash]).select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))

@@ -54,6 +54,13 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGL
     end = np.minimum(begin + shingle, np.repeat(word_of[1:], grams))
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(raw[s:e], SEED) for s, e in zip(places[begin].tolist(), (places[end] - 1).tolist(), strict=True)), np.uint64, int(upto[-1]))
+    return majority(hashes, upto)
+
+
+def majority(hashes: np.ndarray, upto: np.ndarray) -> np.ndarray:
+    """One fingerprint for each text's range of hashes: the bits set in over half of them; zero where there are none."""
+    grams = np.diff(upto)
+    out = np.zeros(len(grams), np.uint64)
     some = np.flatnonzero(grams)
     for k in range(0, len(some), 256):  # the bit matrix of a few texts at a time
         rows = some[k : k + 256]
@@ -233,12 +240,3 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, doc_id: str = "doc_id
     of = distinct.df.join(label, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return marks.df.join(of, "fp", "left").select("doc_id", hexed.alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
-
-
-def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows, with all their columns, that have the least doc_id of their group; one row where ids repeat. Null ids stay."""
-    groups = near_duplicates(docs, radius)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.where("doc_id IS NOT NULL")
-    kept = named.join(first, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL"))

@@ -104,24 +104,32 @@ def test_token_counts(spark, docs, rows):
     assert prefix_tokens.token_counts(empty(spark), BYTE).count() == 0
 
 
-def test_prefixes_and_cuts(docs, rows):
+def test_every_prefix_and_every_cut(spark, docs, rows):
+    """The stored counts of all prefixes, and cuts and counts from them, against the library on each prefix by itself."""
     tokenizer = Tokenizer.from_file(BYTE)
-    texts = {r[0]: (r[1] or "").encode() for r in rows}
-    prefixes = prefix_tokens.token_prefixes(docs, BYTE).cache()
+    odd = ["x   y", "a \n\n b\n\nc", "we'll they're I've it's", "don't'll!'s", "!!<|endoftext|>x<|endoftext|><|endoftext|", " <|endo  <|endoftext|> ", "naïve café\u00a0\u3000x", "日本 語です", "aaaa" * 40, "-" * 200, "tokenization antidisestablishment", "'r 'l '", "é", " ", "\n \n"]
+    texts = {10_000 + i: t for i, t in enumerate(odd)} | {r[0]: (r[1] or "")[:150] for r in rows[::4]}
+    table = spark.createDataFrame([(i, t, "x") for i, t in texts.items()] + [(7_777, None, "x")], "doc_id long, text string, steps string")
+    prefixes = prefix_tokens.token_prefixes(table, BYTE).cache()
+    want = {}
     for r in prefixes.collect():
-        for at, n in list(zip(r["byte_ends"], r["token_counts"], strict=True))[:5]:
-            assert len(tokenizer.encode(texts[r["doc_id"]][:at].decode(), add_special_tokens=False).ids) == n
-    for r in prefix_tokens.cut_points(prefixes, 40).collect():
-        kept = texts[r["doc_id"]][: r["n_kept_bytes"]].decode()
-        assert len(tokenizer.encode(kept, add_special_tokens=False).ids) == r["n_kept_tokens"] <= 40
-    counter = prefix_tokens.counter(BYTE)
-    for piece in (b" tokenization", b"antidisestablishment", " naïveté".encode(), b"        "):
-        for i, n in enumerate(counter.prefix_counts(piece)):
-            try:
-                part = piece[:i].decode()
-            except UnicodeDecodeError:
-                continue
-            assert n == len(tokenizer.encode(part, add_special_tokens=False).ids)
+        text = texts.get(r["doc_id"], "")
+        want[r["doc_id"]] = [0] + [len(e.ids) for e in tokenizer.encode_batch([text[: k + 1] for k in range(len(text))], add_special_tokens=False)]
+        got = [0] + np.cumsum(np.frombuffer(r["steps"], "<i2")).tolist()
+        assert got == want[r["doc_id"]] and r["n_tokens"] == got[-1], text
+    for budget in (0, 3, 17):
+        for r in prefix_tokens.cut_points(prefixes, budget).collect():
+            counts = want[r["doc_id"]]
+            k = max(i for i, n in enumerate(counts) if n <= budget)
+            assert (r["n_kept_chars"], r["n_kept_tokens"]) == (k, counts[k])
+    for r in prefix_tokens.count_at(prefixes, 9).collect():
+        assert r["n_tokens"] == want[r["doc_id"]][r["n_chars"]] and r["n_chars"] == min(9, len(want[r["doc_id"]]) - 1)
+    assert prefix_tokens.token_prefixes(empty(spark), BYTE).count() == 0
+
+
+def test_long_words_take_linear_time():
+    word = "pneumono" * 5000
+    assert prefix_tokens.counter(BYTE).count(word) == len(Tokenizer.from_file(BYTE).encode(word, add_special_tokens=False).ids)
 
 
 PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
@@ -194,8 +202,6 @@ def test_simhash(spark, docs, rows):
     prints = [fingerprint(t) for _, t, *_ in rows]
     root = groups(prints, lambda a, b: (a ^ b).bit_count() <= 2)
     assert got == {r[0]: (f"{p:016x}", rows[k][0]) for r, p, k in zip(rows, prints, root, strict=True)}
-    kept = simhash.keep_first(docs)
-    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted({rows[k][0] for k in root})
     assert simhash.near_duplicates(empty(spark)).count() == 0
     odd = spark.createDataFrame([(None, "a b c", None, None, 0), (5, "a b c", None, None, 0), (5, "a b c", None, None, 0), (2, "A B C", None, None, 0)], DOCS)
     assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in simhash.near_duplicates(odd).collect()) == [(0, 0), (2, 2), (5, 2), (5, 2)]
@@ -371,6 +377,10 @@ def test_mixing(spark, seed):
         largest = max(g["size"] for g in got if g["source"] == s)
         assert abs(taken[s] - t) <= largest
     assert sorted(map(str, mixing.mix(docs.repartition(7)).collect())) == sorted(map(str, got))
+    again = [g for g in got if g["size"] and 0 < want[g["source"]] % sizes[g["source"]]]
+    order_of = lambda g: g["copies"] - want[g["source"]] // sizes[g["source"]]
+    short, long = ([order_of(g) for g in again if (g["size"] < 20) == small] for small in (True, False))
+    assert sum(short) / len(short) > sum(long) / len(long)  # odds of their own: short documents are drawn more often
     mixed = mixing.apply(docs)
     assert mixed.columns == docs.columns and mixed.count() == sum(g["copies"] for g in got)
     assert mixing.mix(empty(spark)).count() == 0
