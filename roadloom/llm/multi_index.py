@@ -1,16 +1,21 @@
 """Approximate nearest neighbours by an inverted multi-index, for the largest inner product.
 
-Both halves of the vectors are quantised on their own by `CENTROIDS` centroids each, learned from a bounded sample of
-`SAMPLE` vectors; every vector is indexed in the cell of its two nearest centroids. A query walks the centroid pairs by
-falling sum of its halves' inner products with the centroids (a heap over the two sorted lists) until the cells passed hold
-`PROBE_SHARE` of all entries (all of them where there are few), and all these entries are ranked by the exact product.
-
-The entries of one first centroid are cut into shards of at most about `SHARD` entries by a hash, so a crowded cell is no
-hot spot. On vectors spread evenly over the sphere, where no index prunes much, recall at 20 is about 0.94 to 0.97.
-
-Vectors that are null, empty, zero, of another length than the most frequent one, or that hold null or non-finite
-components take no part; nor do rows without an id. vec_id is taken as a key: rows that share one are not compared.
-Equal products go to the smaller vec_id. An empty table gives an empty table.
+Both halves of the vectors are quantised on their own by centroids learned from a bounded sample of `SAMPLE` vectors, about
+as many that a cell holds `CELL` entries (`CENTROIDS` at most); every vector is indexed in the cell of its two nearest
+centroids. A query walks the centroid pairs by falling sum of what its halves can expect from the centroids: the inner
+product, and for the entries' spread round a centroid a few standard deviations of it. A heap over the sorted lists gives
+the next pair. The walk stops when the cells passed hold a share of all entries, and these are ranked by the exact product.
+
+The share is measured on the table at hand: for `PROBES` of its queries the true neighbours are found among all entries,
+and the share is the one within which a part `AIM` of them lies. Vectors in clusters need little of it; on vectors spread
+evenly over a sphere of many dimensions no index prunes much, and it comes near a half.
+
+Cells of one first centroid stay together in shards of about `SHARD` entries, several small ones in one shard; a crowded
+one is cut by a hash. A query goes only to the shards in which it wants a cell.
+
+Vectors that are null, empty, zero, or that hold null or non-finite components take no part; nor do rows without an id.
+Shorter vectors count as ending in zeros. vec_id is taken as a key: rows that share one are not compared. Equal products go
+to the smaller vec_id. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -20,121 +25,197 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Durable
-from .vectors import QUERY_BLOCK, blocks, finite, is_query, merge, salted
+from .vectors import QUERY_BLOCK, Best, blocks, finite, is_query, matrix, merge, salted
 
-CENTROIDS, SAMPLE, PROBE_SHARE, SHARD, FEW = 32, 20_000, 0.65, 4096, 2000
+CENTROIDS, CELL, SAMPLE, PROBES, AIM, SHARD = 256, 50, 8192, 128, 0.96, 16_384
+#: Standard deviations of an entry's distance from its centroid, along a query, that a cell is credited with.
+SPREAD = 3.0
+#: Entries that are ranked at a time.
+RUN = 4096
 
 
-def k_means(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
-    """At most k centroids; the start is spread evenly over the sample's rows."""
+def k_means(x: np.ndarray, k: int, rounds: int = 10) -> tuple[np.ndarray, np.ndarray]:
+    """At most k centroids, and the root mean square of each one's distance from its vectors over the root of the
+    dimensions; the start is spread evenly over the sample's rows."""
     c = x[np.linspace(0, len(x) - 1, min(k, len(x))).astype(int)].copy()
     for _ in range(rounds):
         near = nearest(x, c)
         sums, n = np.zeros_like(c), np.bincount(near, minlength=len(c))
         np.add.at(sums, near, x)
         c[n > 0] = sums[n > 0] / n[n > 0, None]
-    return c
+    near = nearest(x, c)
+    square = np.bincount(near, ((x - c[near]) ** 2).sum(axis=1), minlength=len(c)) / np.maximum(1, np.bincount(near, minlength=len(c)))
+    return c, np.sqrt(square / max(1, x.shape[1]))
 
 
 def nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.argmax(x @ c.T - (c * c).sum(axis=1) / 2, axis=1)
 
 
-def walk(first: np.ndarray, second: np.ndarray, held: np.ndarray, want: int) -> list[tuple[int, int]]:
-    """Pairs of places by falling first[i] + second[j] until their cells hold `want` entries."""
-    a, b = np.argsort(-first, kind="stable"), np.argsort(-second, kind="stable")
-    heap, seen, out, total = [(-(first[a[0]] + second[b[0]]), 0, 0)], {(0, 0)}, [], 0
+def walk(first: np.ndarray, second: np.ndarray, held: np.ndarray, want: float) -> Iterator[tuple[int, int]]:
+    """Pairs of places by falling first[i] + second[j] until their cells hold `want` entries. A row of the pairs enters the
+    heap once the row before it has shown its best."""
+    a, b = np.argsort(-first, kind="stable").tolist(), np.argsort(-second, kind="stable").tolist()
+    f, s, counts = (-first[a]).tolist(), (-second[b]).tolist(), held[np.ix_(a, b)].tolist()
+    heap, total, width = [(f[0] + s[0], 0, 0)], 0, len(b)
     while heap and total < want:
-        _, i, j = heapq.heappop(heap)
-        cell = (int(a[i]), int(b[j]))
-        if held[cell]:
-            out.append(cell)
-            total += int(held[cell])
-        for x, y in ((i + 1, j), (i, j + 1)):
-            if x < len(a) and y < len(b) and (x, y) not in seen:
-                seen.add((x, y))
-                heapq.heappush(heap, (-(first[a[x]] + second[b[y]]), x, y))
-    return out
-
-
-def search(vectors: DataFrame, k: int = 20, every: int = 20, share: float = PROBE_SHARE, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+        _, i, j = heap[0]
+        if counts[i][j]:
+            yield a[i], b[j]
+            total += counts[i][j]
+        if j + 1 < width:
+            heapq.heapreplace(heap, (f[i] + s[j + 1], i, j + 1))
+        else:
+            heapq.heappop(heap)
+        if j == 0 and i + 1 < len(a):
+            heapq.heappush(heap, (f[i + 1] + s[0], i + 1, 0))
+
+
+class Cells:
+    """Centroids of both halves, and what a query expects of them."""
+
+    def __init__(self, sample: np.ndarray, centroids: int):
+        self.half = max(1, sample.shape[1] // 2)
+        self.parts = [k_means(sample[:, : self.half], centroids)]
+        self.parts.append(k_means(sample[:, self.half :], centroids) if sample.shape[1] > 1 else (np.zeros((1, 0)), np.zeros(1)))
+
+    def code(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return nearest(x[:, : self.half], self.parts[0][0]), nearest(x[:, self.half :], self.parts[1][0])
+
+    def expect(self, q: np.ndarray) -> list[np.ndarray]:
+        return [c @ x + SPREAD * spread * np.sqrt(x @ x) for (c, spread), x in zip(self.parts, (q[: self.half], q[self.half :]), strict=True)]
+
+
+def rank_in(x: np.ndarray, query_ids: np.ndarray, e: np.ndarray, ids: np.ndarray, k: int, wanted: np.ndarray | None = None, cell: np.ndarray | None = None) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each query the k nearest entries. wanted (query x cell): which cells it may look into; cell: each entry's."""
+    best = Best(len(x), k)
+    x32, e32 = x.astype(np.float32), e.astype(np.float32)
+    if not (np.isfinite(x32).all() and np.isfinite(e32).all()):
+        x32, e32 = x, e
+    blur = 1e-5 * np.sqrt((x * x).sum(axis=1)) * (np.sqrt((e * e).sum(axis=1).max()) if len(e) else 0.0)  # more than single precision loses
+    for s in range(0, len(e), RUN):
+        near = x32 @ e32[s : s + RUN].T
+        if wanted is not None:
+            near[~wanted[:, cell[s : s + RUN]]] = -np.inf
+        least = best.threshold - blur
+        if s == 0:
+            m = min(k + 1, near.shape[1])  # the query itself may be among them
+            least = np.partition(near, near.shape[1] - m, axis=1)[:, near.shape[1] - m] - 2 * blur
+        i, j = np.nonzero((near >= least[:, None]) & (near > -np.inf))
+        other = query_ids[i] != ids[s + j]
+        i, j = i[other], s + j[other]
+        for p in range(0, len(i), 1 << 16):
+            r, t = i[p : p + (1 << 16)], j[p : p + (1 << 16)]
+            best.add(r, ids[t], (x[r] * e[t]).sum(axis=1))  # one fixed order of addition for every pair
+    return best.lists()
+
+
+def _list_matrix(lists: pa.Array, d: int) -> np.ndarray:
+    return matrix(lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()), d)
+
+
+def search(vectors: DataFrame, k: int = 20, every: int = 20, aim: float = AIM, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k best found for each query (ids divisible by `every`)."""
     spark = vectors.sparkSession
     rows = vectors.select(vectors[vec_id].cast("long").alias("vec_id"), vectors[embedding].cast("array<double>").alias("v")).where("vec_id IS NOT NULL")
     rows = rows.where(finite(F.col("v")) & F.exists("v", lambda x: x != 0))
-    usual = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if usual is None:
+    size = rows.agg(F.count("*").alias("n"), F.sum(is_query(F.col("vec_id"), every).cast("long")).alias("q"), F.max(F.size("v")).alias("d")).first()
+    if not size["n"] or not size["q"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    d, n = usual["d"], usual["count"]
-    half = max(1, d // 2)
-    rows = rows.where(F.size("v") == d)
-    draw = F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(1 << 30)) < int(min(1.0, SAMPLE / n) * (1 << 30))
-    sample = np.array([r["v"] for r in rows.where(draw).orderBy("vec_id").limit(2 * SAMPLE).collect()]).reshape(-1, d)
-    if not len(sample):
-        sample = np.array([r["v"] for r in rows.orderBy("vec_id").limit(CENTROIDS).collect()]).reshape(-1, d)
-    c1, c2 = k_means(sample[:, :half], CENTROIDS), k_means(sample[:, half:], CENTROIDS) if d > 1 else np.zeros((1, 0))
-
-    def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            x = np.stack(frame["v"].to_numpy()) if len(frame) else np.zeros((0, d))
-            yield pd.DataFrame({"vec_id": frame["vec_id"], "v": [r.tobytes() for r in x], "one": nearest(x[:, :half], c1), "two": nearest(x[:, half:], c2)})
-
-    index = Durable(rows.mapInPandas(code, "vec_id long, v binary, one int, two int"), "multi-index").df
-    held = np.zeros((len(c1), len(c2)), np.int64)  # at most CENTROIDS x CENTROIDS numbers
+    n, d = size["n"], size["d"]
+    # the vectors with the smallest hashes: as many at every size, so a bounded sample
+    sampled = rows.orderBy(F.xxhash64("vec_id", F.lit(5)), "vec_id").limit(SAMPLE).select("v").toArrow()["v"].combine_chunks()
+    cells = Cells(_list_matrix(sampled, d), min(CENTROIDS, max(2, int(np.sqrt(n / CELL)))))
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _list_matrix(batch.column(1), d)
+            one, two = cells.code(x)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary()), pa.array(one, pa.int32()), pa.array(two, pa.int32())], ["vec_id", "v", "one", "two"])
+
+    index = Durable(rows.mapInArrow(code, "vec_id long, v binary, one int, two int"), "multi-index").df
+    held = np.zeros((len(cells.parts[0][0]), len(cells.parts[1][0])), np.int64)  # CENTROIDS x CENTROIDS numbers at most
     for r in index.groupBy("one", "two").count().collect():
         held[r["one"], r["two"]] = r["count"]
-    want = max(FEW, int(share * n))
-    shards = np.maximum(1, -(-held.sum(axis=1) // SHARD))
-    shards_of = F.element_at(F.array(*[F.lit(int(s)) for s in shards]), F.col("one") + 1)
     queries = index.where(is_query(F.col("vec_id"), every)).select(F.col("vec_id").alias("query_id"), "v")
-    n_blocks = blocks(queries.count(), QUERY_BLOCK)
+    want = _share(index, queries, cells, held, k, aim) * n
+
+    # shards of first centroids: small ones side by side, a crowded one in parts
+    group, parts, filled = np.zeros(len(held), int), [1], 0
+    for one, count in enumerate(held.sum(axis=1).tolist()):
+        if filled and filled + count > SHARD:
+            parts.append(1)
+            filled = 0
+        group[one] = len(parts) - 1
+        filled += count
+        parts[-1] = max(1, -(-filled // SHARD))
+    n_blocks = blocks(size["q"], QUERY_BLOCK)
+    parts_of = spark.createDataFrame([(g, p) for g, p in enumerate(parts)], "group int, parts int")  # a row for each group of centroids
+    group_of = spark.createDataFrame(list(enumerate(group.tolist())), "one int, group int")  # a row for each centroid
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             out = []
             for q, v in zip(frame["query_id"], frame["v"], strict=True):
-                x = np.frombuffer(v)
-                cells: dict[int, list[int]] = {}
-                for one, two in walk(c1 @ x[:half], c2 @ x[half:], held, want):
-                    cells.setdefault(one, []).append(two)
-                out += [(q, v, one, twos) for one, twos in cells.items()]
-            yield pd.DataFrame(out, columns=["query_id", "v", "one", "twos"])
-
-    probes = queries.repartition(4 * n_blocks, "query_id").mapInPandas(route, "query_id long, v binary, one int, twos array<int>")
-    probes = probes.withColumn("shard", F.explode(F.sequence(F.lit(0), shards_of - 1))).withColumn("block", salted(F.col("query_id"), n_blocks))
-    entries = index.withColumn("shard", salted(F.col("vec_id"), shards_of)).withColumn("block", F.explode(F.array(*[F.lit(b) for b in range(n_blocks)])))
+                wanted = np.zeros(held.shape, bool)
+                pairs = np.array(list(walk(*cells.expect(np.frombuffer(v)), held, want))).reshape(-1, 2)
+                wanted[pairs[:, 0], pairs[:, 1]] = True
+                for g in np.unique(group[pairs[:, 0]]).tolist():
+                    out.append((q, v, g, np.packbits(wanted[group == g]).tobytes()))
+            yield pd.DataFrame(out, columns=["query_id", "v", "group", "cells"])
+
+    probes = queries.repartition("query_id").mapInPandas(route, "query_id long, v binary, group int, cells binary")
+    probes = probes.join(F.broadcast(parts_of), "group").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("block", salted(F.col("query_id"), n_blocks)).drop("parts")
+    entries = index.join(F.broadcast(group_of), "one").join(F.broadcast(parts_of), "group").withColumn("shard", salted(F.col("vec_id"), F.col("parts"))).drop("parts")
+    entries = entries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
 
     def rank(probe: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "vec_ids": [], "scores": []}
-        if len(probe) and len(entry):
-            entry = entry.sort_values(["two", "vec_id"])
-            two, ids = entry["two"].to_numpy(), entry["vec_id"].to_numpy()
-            e = np.frombuffer(b"".join(entry["v"])).reshape(-1, d)
-            edges = np.searchsorted(two, np.arange(len(c2) + 1))
-            wanted = np.zeros((len(probe), len(c2)), bool)
-            for i, twos in enumerate(probe["twos"]):
-                wanted[i, twos] = True
-            x, q_ids = np.frombuffer(b"".join(probe["v"])).reshape(-1, d), probe["query_id"].to_numpy()
-            near = np.full((len(probe), len(e)), -np.inf)
-            for t in np.flatnonzero(np.diff(edges)):
-                q = np.flatnonzero(wanted[:, t])
-                near[q, edges[t] : edges[t + 1]] = x[q] @ e[edges[t] : edges[t + 1]].T
-            near[q_ids[:, None] == ids[None, :]] = -np.inf
-            m = min(k, len(e))
-            least = np.partition(near, len(e) - m, axis=1)[:, len(e) - m]
-            for i in range(len(probe)):
-                hit = np.flatnonzero(near[i] >= max(least[i], -1e300) - 1e-9 * (1 + abs(least[i]) if np.isfinite(least[i]) else 1))
-                exact = (x[i] * e[hit]).sum(axis=1)  # one fixed order of addition for every pair
-                best = np.lexsort((ids[hit], -exact))[:m]
-                out["query_id"].append(int(q_ids[i]))
-                out["vec_ids"].append(ids[hit[best]].tolist())
-                out["scores"].append(exact[best].tolist())
-        return pd.DataFrame(out)
-
-    key = ["one", "shard", "block"]
+        if not len(probe) or not len(entry):
+            return pd.DataFrame({"query_id": [], "vec_ids": [], "scores": []})
+        ones = np.flatnonzero(group == int(probe["group"].iloc[0]))
+        wanted = np.unpackbits(np.frombuffer(b"".join(probe["cells"]), np.uint8).reshape(len(probe), -1), axis=1, count=len(ones) * held.shape[1]).astype(bool)
+        cell = np.searchsorted(ones, entry["one"].to_numpy()) * held.shape[1] + entry["two"].to_numpy()
+        order = np.argsort(cell, kind="stable")
+        asked = wanted[:, cell[order]].any(axis=0)  # entries of cells that no query of the block wants are not read
+        order = order[asked]
+        e = np.frombuffer(b"".join(entry["v"])).reshape(-1, d)[order]
+        x = np.frombuffer(b"".join(probe["v"])).reshape(-1, d)
+        ids, scores = rank_in(x, probe["query_id"].to_numpy(), e, entry["vec_id"].to_numpy()[order], k, wanted, cell[order])
+        return pd.DataFrame({"query_id": probe["query_id"], "vec_ids": [a.tolist() for a in ids], "scores": [b.tolist() for b in scores]})
+
+    key = ["group", "shard", "block"]
     tiles = probes.groupBy(*key).cogroup(entries.groupBy(*key)).applyInPandas(rank, "query_id long, vec_ids array<bigint>, scores array<double>")
     return merge(tiles, k, "double")
+
+
+def _share(index: DataFrame, queries: DataFrame, cells: Cells, held: np.ndarray, k: int, aim: float) -> float:
+    """The share of all entries within which a part `aim` of the true neighbours lies, for PROBES queries of the table."""
+    probes = queries.orderBy(F.xxhash64("query_id", F.lit(9)), "query_id").limit(PROBES).collect()
+    x, ids = np.stack([np.frombuffer(r["v"]) for r in probes]), np.array([r["query_id"] for r in probes])
+
+    def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The k nearest of each probe in a batch; vec_ids hold their cells' numbers beside them."""
+        for frame in batches:
+            cell = frame["one"].to_numpy() * held.shape[1] + frame["two"].to_numpy()
+            entry = frame["vec_id"].to_numpy()
+            near, scores = rank_in(x, ids, np.frombuffer(b"".join(frame["v"])).reshape(len(frame), -1), entry, k)
+            order = np.argsort(entry, kind="stable")
+            rows = [(int(q), int(i), float(s), int(cell[order[np.searchsorted(entry, i, sorter=order)]])) for q, a, b in zip(ids, near, scores, strict=True) for i, s in zip(a, b, strict=True)]
+            yield pd.DataFrame(rows, columns=["query_id", "vec_id", "score", "cell"])
+
+    found = index.mapInPandas(exact, "query_id long, vec_id long, score double, cell int")
+    top = found.groupBy("query_id").agg(F.expr(f"slice(array_sort(collect_list(struct(-score AS s, vec_id, cell))), 1, {int(k)})").alias("near"))  # k for each batch of the index at most
+    n, reached = held.sum(), []
+    cells_of = {r["query_id"]: [c["cell"] for c in r["near"]] for r in top.collect()}  # PROBES rows
+    for q, v in zip(ids.tolist(), x, strict=True):
+        passed, at = 0, {}
+        for one, two in walk(*cells.expect(v), held, n):
+            at[one * held.shape[1] + two] = passed  # the walk goes on to this cell if it wants more than that
+            passed += held[one, two]
+        reached += [(at[c] + 1) / n for c in cells_of.get(q, [])]
+    return float(np.quantile(reached, aim)) if reached else 1.0

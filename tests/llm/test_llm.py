@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
@@ -262,40 +263,86 @@ def test_max_score(spark):
     assert max_score.search(few.limit(0)).count() == 0
 
 
-def test_max_score_runs_prune_without_loss():
+@pytest.mark.parametrize("density", (1.0, 0.3, 0.02))
+@pytest.mark.parametrize("slack", (0.25, 1.0))
+def test_max_score_prunes_without_loss(density, slack):
     r = np.random.default_rng(2)
-    e, q = r.integers(-20, 20, (500, 16)).astype(float), r.integers(-20, 20, (7, 16)).astype(float)
-    found = max_score.top(q, np.arange(7), e, np.arange(500), 10, run=40)
-    for i, (ids, scores) in enumerate(found):
+    kind = np.dtype("<i2")
+    e, q = (r.integers(-20, 20, (n, 16)) * (r.random((n, 16)) < density) for n in (500, 7))
+    q[0] = np.abs(q[0])
+    rows = max_score.posting_rows(e.astype(float), kind)
+    shard = max_score.Postings.read(16, np.arange(500), pd.DataFrame(rows, columns=["term", "entries", "weights", "low", "high"]), kind)
+    assert density == 1.0 or shard.lists
+    ids, scores = max_score.top(q.astype(float), np.arange(7), shard, 10, run=60, first_run=40, slack=slack)
+    for i in range(7):
         s = e @ q[i]
-        s[i] = -1e9
+        s[i] = -(10**9)
         want = np.lexsort((np.arange(500), -s))[:10]
-        assert ids.tolist() == want.tolist() and scores.tolist() == s[want].tolist()
+        assert ids[i].tolist() == want.tolist() and scores[i].tolist() == s[want].tolist()
+
+
+def test_max_score_reads_essential_lists_only():
+    """Once thresholds stand, posting lists of terms that no query finds essential are left alone."""
+    r = np.random.default_rng(3)
+    e = np.concatenate([r.integers(50, 60, (400, 4)), r.integers(1, 2, (400, 28))], axis=1).astype(float)
+    kind = np.dtype("<i2")
+    shard = max_score.Postings.read(32, np.arange(400), pd.DataFrame(max_score.posting_rows(e, kind), columns=["term", "entries", "weights", "low", "high"]), kind)
+    read = []
+
+    class Watched(np.ndarray):
+        def __getitem__(self, at):
+            if isinstance(at, tuple) and isinstance(at[1], slice):
+                read.append(len(at[0]))
+            return super().__getitem__(at)
+
+    shard.full = shard.full.view(Watched)
+    ids, _ = max_score.top(e[:5] * [1], np.arange(1000, 1005), shard, 3, run=100, first_run=100)
+    assert read[0] == 32 and read[1:] and max(read[1:]) <= 4
+    assert ids[0].tolist() == np.lexsort((np.arange(400), -(e @ e[0])))[:3].tolist()
 
 
 def test_multi_index(spark):
-    rows = vectors() + [(1000, [0.0] * 12)]
+    rows = vectors() + [(1000, [0.0] * 12), (1020, [3.0, 1.0])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    want = nearest(rows[:-1], 20, float, lambda a, b: sum(x * y for x, y in zip(a, b, strict=True)))
-    got = sorted(map(tuple, multi_index.search(table).collect()))  # few vectors: all cells are walked
+    padded = [(i, v and v + [0.0] * (12 - len(v))) for i, v in rows if i != 1000]
+    want = nearest(padded, 20, float, lambda a, b: sum(x * y for x, y in zip(a, b, strict=True)))
+    got = sorted(map(tuple, multi_index.search(table, aim=1.0).collect()))  # an aim of all neighbours walks as far as it takes
     assert [g[:3] for g in got] == [w[:3] for w in want]
     assert all(abs(g[3] - w[3]) < 1e-9 for g, w in zip(got, want, strict=True))
     assert multi_index.search(table.limit(0)).count() == 0
 
 
-def test_multi_index_recall(spark, monkeypatch):
-    monkeypatch.setattr(multi_index, "FEW", 50)
+def test_walk_goes_by_falling_sums():
+    r = np.random.default_rng(1)
+    f, s, held = r.normal(size=9), r.normal(size=7), r.integers(0, 3, (9, 7))
+    pairs = list(multi_index.walk(f, s, held, 1e9))
+    sums = [f[i] + s[j] for i, j in pairs]
+    assert sums == sorted(sums, reverse=True) and set(pairs) == set(zip(*np.nonzero(held), strict=True))
+    few = list(multi_index.walk(f, s, held, 5))
+    assert few == pairs[: len(few)] and sum(held[i, j] for i, j in few[:-1]) < 5 <= sum(held[i, j] for i, j in few)
+
+
+@pytest.mark.parametrize("kind", ("sphere", "clusters", "norms"))
+def test_multi_index_recall(spark, monkeypatch, kind):
+    """Recall of the index as it stands; clustered vectors need to look at little."""
     r = np.random.default_rng(4)
-    x = r.normal(size=(1500, 32))
+    x = r.normal(size=(3000, 32))
+    if kind == "clusters":
+        x = 3 * r.normal(size=(40, 32))[r.integers(0, 40, 3000)] + 0.3 * x
     x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "norms":
+        x *= np.exp(r.normal(size=(3000, 1)))
+    shares = []
+    share = multi_index._share
+    monkeypatch.setattr(multi_index, "_share", lambda *a: shares.append(share(*a)) or shares[-1])
     table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     got = {}
     for row in multi_index.search(table).collect():
         got.setdefault(row["query_id"], set()).add(row["vec_id"])
     s = x[::20] @ x.T
-    s[np.arange(75), np.arange(0, 1500, 20)] = -9
-    hits = sum(len(got[20 * i] & set(np.argsort(-s[i])[:20].tolist())) for i in range(75))
-    assert hits / (75 * 20) >= 0.9
+    s[np.arange(150), np.arange(0, 3000, 20)] = -np.inf
+    hits = sum(len(got[20 * i] & set(np.argsort(-s[i])[:20].tolist())) for i in range(150))
+    assert hits / (150 * 20) >= 0.9 and shares[0] < {"sphere": 0.9, "clusters": 0.2, "norms": 0.9}[kind], (hits / 3000, shares)
 
 
 def test_packing(spark, docs, rows):
