@@ -2,7 +2,7 @@
 
 Components are the terms, the whole numbers floor(64 x) their weights. The postings are a table of their own: for each shard
 and term the entries that have it with their weights, and the largest and the least of these, which bound what the term
-can add to a query's score (a list that holds all entries of its shard keeps weights only). For a query, terms are ordered
+can add to a query's score (a list of over a share `DENSE` of its shard's entries keeps a weight for each entry instead). For a query, terms are ordered
 by bound; weak terms whose bounds together stay below a share `SLACK` of the threshold (the k-th best score so far) are
 non-essential. The posting lists of the essential terms are traversed, run by run of entries, for a batch of queries at a
 time; a list that no query of the batch finds essential is not read. An entry whose score so far and the bounds of what is
@@ -35,11 +35,12 @@ FIRST_RUN, RUN, BATCH, PROBE = 1024, 4096, 256, 1 << 16
 #: The share of the threshold that non-essential terms may reach together. Any share up to 1 gives exact results; with a
 #: small one, fewer entries are left to probe.
 SLACK = 0.25
+DENSE = 0.25
 
 
 @dataclass
 class Postings:
-    """One shard: ids of its entries, and for each term entries and weights, of which `full` ones hold every entry."""
+    """One shard: ids of its entries, and for each term entries and weights, of which `full` ones have a weight for every entry."""
 
     ids: np.ndarray
     full_terms: np.ndarray
@@ -69,39 +70,38 @@ def posting_rows(x: np.ndarray, kind: np.dtype) -> list[tuple[int, bytes, bytes,
     for t in range(x.shape[1]):
         at = np.flatnonzero(x[:, t])
         if len(at):
-            every = len(at) == len(x)
-            w = x[at, t]
-            # an entry without the term adds nothing
-            out.append((t, b"" if every else at.astype("<i4").tobytes(), w.astype(kind).tobytes(), min(w.min(), w.min() if every else 0.0), max(w.max(), w.max() if every else 0.0)))
+            dense = len(at) > DENSE * len(x)
+            w = x[:, t] if dense else x[at, t]
+            low, high = (w.min(), w.max()) if dense else (min(w.min(), 0.0), max(w.max(), 0.0))  # an entry without the term adds nothing
+            out.append((t, b"" if dense else at.astype("<i4").tobytes(), w.astype(kind).tobytes(), low, high))
     return out
 
 
 def top(queries: np.ndarray, query_ids: np.ndarray, shard: Postings, k: int, run: int = RUN, first_run: int = FIRST_RUN, slack: float = SLACK) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """For each query the ids and scores of its k best entries in the shard."""
     n, d = len(shard.ids), queries.shape[1]
-    best = Best(len(queries), k)
+    found: tuple[list[np.ndarray], list[np.ndarray]] = [], []
     if not n or not len(queries):
-        return best.lists()
+        return found
     peak = (np.abs(queries).max(axis=0) * np.maximum(np.abs(shard.low), np.abs(shard.high))).sum()
     number = np.float32 if peak < 1 << 24 else np.float64  # both hold all sums exactly
-    full, queries = shard.full.astype(number), queries.astype(number)
+    full = shard.full.astype(number)
     by_entry = np.zeros((n, d), number)  # for probing
     by_entry[:, shard.full_terms] = full.T
-    for t, (at, w) in shard.lists.items():
-        by_entry[at, t] = w
     sparse = {t: (at, w.astype(number)) for t, (at, w) in shard.lists.items()}
-    bounds = np.maximum(queries * shard.high.astype(number), queries * shard.low.astype(number)).astype(float)
-    order = np.argsort(bounds, axis=1, kind="stable")  # weakest terms first
-    reach = np.cumsum(np.take_along_axis(bounds, order, 1), axis=1)
+    for t, (at, w) in sparse.items():
+        by_entry[at, t] = w
     edges = [0, *range(min(n, first_run), n, run), n]
-    for s, e in zip(edges, edges[1:], strict=False):
-        for b in range(0, len(queries), BATCH):
-            q = slice(b, min(b + BATCH, len(queries)))
-            threshold = best.threshold[q]
-            weak = np.zeros(queries[q].shape, bool)
-            np.put_along_axis(weak, order[q], reach[q] < (slack * threshold)[:, None], 1)
-            rest = np.where(weak, bounds[q], 0.0).sum(axis=1)
-            essential = np.where(weak, number(0), queries[q])
+    for b in range(0, len(queries), BATCH):
+        asked, own, best = queries[b : b + BATCH].astype(number), query_ids[b : b + BATCH], Best(len(queries[b : b + BATCH]), k)
+        bounds = np.maximum(asked * shard.high, asked * shard.low)
+        order = np.argsort(bounds, axis=1, kind="stable")  # weakest terms first
+        reach = np.cumsum(np.take_along_axis(bounds, order, 1), axis=1)
+        for s, e in zip(edges, edges[1:], strict=False):
+            weak = np.zeros(asked.shape, bool)
+            np.put_along_axis(weak, order, reach < (slack * best.threshold)[:, None], 1)
+            rest = np.where(weak, bounds, 0.0).sum(axis=1)
+            essential = np.where(weak, number(0), asked)
             read = np.flatnonzero((~weak).any(axis=0)[shard.full_terms])
             partial = essential[:, shard.full_terms[read]] @ full[read, s:e]
             for t, (at, w) in sparse.items():
@@ -113,24 +113,26 @@ def top(queries: np.ndarray, query_ids: np.ndarray, shard: Postings, k: int, run
                 m = min(k + 1, e - s)  # the query itself may be among them
                 alive = partial >= np.partition(partial, e - s - m, axis=1)[:, e - s - m][:, None]
             else:
-                alive = partial >= (threshold - rest)[:, None].astype(number)
+                alive = partial >= (best.threshold - rest)[:, None].astype(number)
             row, entry = np.nonzero(alive)
+            half = np.zeros_like(weak)
+            np.put_along_axis(half, order, np.arange(d) >= (weak.sum(axis=1) // 2)[:, None], 1)
             for p in range(0, len(row), PROBE):
                 i, j = row[p : p + PROBE], entry[p : p + PROBE]
-                other = query_ids[q][i] != shard.ids[s + j]
+                other = own[i] != shard.ids[s + j]
                 i, j = i[other], j[other]
                 score, left = partial[i, j].astype(float), rest[i]
-                half = np.zeros_like(weak)
-                np.put_along_axis(half, order[q], np.arange(d) >= (weak.sum(axis=1) // 2)[:, None], 1)
                 for terms in (weak & half, weak & ~half):
                     if not terms.any() or not len(i):
                         continue
-                    score = score + np.einsum("ij,ij->i", np.where(terms, queries[q], number(0))[i], by_entry[s + j])
-                    left = left - np.where(terms, bounds[q], 0.0).sum(axis=1)[i]
-                    keep = score + left >= threshold[i]
+                    score = score + np.einsum("ij,ij->i", np.where(terms, asked, number(0))[i], by_entry[s + j])
+                    left = left - np.where(terms, bounds, 0.0).sum(axis=1)[i]
+                    keep = score + left >= best.threshold[i]
                     i, j, score, left = i[keep], j[keep], score[keep], left[keep]
-                best.add(b + i, shard.ids[s + j], score)
-    return best.lists()
+                best.add(i, shard.ids[s + j], score)
+        for all_, part in zip(found, best.lists(), strict=True):
+            all_.extend(part)
+    return found
 
 
 def search(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_id", embedding: str = "embedding", scale: float = SCALE) -> DataFrame:
