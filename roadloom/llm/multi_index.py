@@ -35,8 +35,8 @@ from .vectors import QUERY_BLOCK, Best, blocks, finite, is_query, matrix, merge,
 CENTROIDS, CELL, SAMPLE, PROBES, AIM, SHARD = 256, 50, 8192, 128, 0.96, 16_384
 #: Standard deviations of an entry's distance from its centroid, along a query, that a cell is credited with.
 SPREAD = 3.0
-#: Entries that are ranked at a time.
-RUN = 4096
+#: Queries of a batch, and entries that are ranked at a time.
+BATCH, RUN = 256, 4096
 
 
 def k_means(x: np.ndarray, k: int, rounds: int = 10) -> tuple[np.ndarray, np.ndarray]:
@@ -93,26 +93,32 @@ class Cells:
 
 def rank_in(x: np.ndarray, query_ids: np.ndarray, e: np.ndarray, ids: np.ndarray, k: int, wanted: np.ndarray | None = None, cell: np.ndarray | None = None) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """For each query the k nearest entries. wanted (query x cell): which cells it may look into; cell: each entry's."""
-    best = Best(len(x), k)
-    x32, e32 = x.astype(np.float32), e.astype(np.float32)
-    if not (np.isfinite(x32).all() and np.isfinite(e32).all()):
-        x32, e32 = x, e
-    blur = 1e-5 * np.sqrt((x * x).sum(axis=1)) * (np.sqrt((e * e).sum(axis=1).max()) if len(e) else 0.0)  # more than single precision loses
-    for s in range(0, len(e), RUN):
-        near = x32 @ e32[s : s + RUN].T
-        if wanted is not None:
-            near[~wanted[:, cell[s : s + RUN]]] = -np.inf
-        least = best.threshold - blur
-        if s == 0:
-            m = min(k + 1, near.shape[1])  # the query itself may be among them
-            least = np.partition(near, near.shape[1] - m, axis=1)[:, near.shape[1] - m] - 2 * blur
-        i, j = np.nonzero((near >= least[:, None]) & (near > -np.inf))
-        other = query_ids[i] != ids[s + j]
-        i, j = i[other], s + j[other]
-        for p in range(0, len(i), 1 << 16):
-            r, t = i[p : p + (1 << 16)], j[p : p + (1 << 16)]
-            best.add(r, ids[t], (x[r] * e[t]).sum(axis=1))  # one fixed order of addition for every pair
-    return best.lists()
+    found: tuple[list[np.ndarray], list[np.ndarray]] = [], []
+    e32 = e.astype(np.float32)
+    reach = np.sqrt((e * e).sum(axis=1).max()) if len(e) else 0.0
+    for b in range(0, len(x), BATCH):
+        part, own, best = x[b : b + BATCH], query_ids[b : b + BATCH], Best(len(x[b : b + BATCH]), k)
+        left, right = part.astype(np.float32), e32
+        if not (np.isfinite(left).all() and np.isfinite(right).all()):
+            left, right = part, e
+        blur = 1e-5 * np.sqrt((part * part).sum(axis=1)) * reach  # more than single precision loses
+        for s in range(0, len(e), RUN):
+            near = left @ right[s : s + RUN].T
+            if wanted is not None:
+                near[~wanted[b : b + BATCH, cell[s : s + RUN]]] = -np.inf
+            least = best.threshold - blur
+            if s == 0:
+                m = min(k + 1, near.shape[1])  # the query itself may be among them
+                least = np.partition(near, near.shape[1] - m, axis=1)[:, near.shape[1] - m] - 2 * blur
+            i, j = np.nonzero((near >= least[:, None]) & (near > -np.inf))
+            other = own[i] != ids[s + j]
+            i, j = i[other], s + j[other]
+            for p in range(0, len(i), 1 << 16):
+                r, t = i[p : p + (1 << 16)], j[p : p + (1 << 16)]
+                best.add(r, ids[t], (part[r] * e[t]).sum(axis=1))  # one fixed order of addition for every pair
+        for all_, some in zip(found, best.lists(), strict=True):
+            all_.extend(some)
+    return found
 
 
 def _list_matrix(lists: pa.Array, d: int) -> np.ndarray:
