@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import Durable
 from .vectors import QUERY_BLOCK, Best, blocks, finite, is_query, matrix, merge, salted
 
-CENTROIDS, CELL, SAMPLE, PROBES, AIM, SHARD = 256, 50, 8192, 128, 0.96, 16_384
+CENTROIDS, CELL, SAMPLE, PROBES, AIM, SHARD = 256, 50, 8192, 128, 0.95, 16_384
 #: Standard deviations of an entry's distance from its centroid, along a query, that a cell is credited with.
 SPREAD = 3.0
 #: Queries of a batch, and entries that are ranked at a time.
