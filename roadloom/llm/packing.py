@@ -5,7 +5,8 @@ dealt over shards by a hash; each shard is packed by `ISLANDS` populations that
 for an epoch, then send their elite to the next island of the shard (a shuffle by shard and island), for `EPOCHS` epochs.
 Crossover injects whole well-filled bins of one parent into the other, drops the bins that held the same pieces, and
 best-fits displaced pieces again, the largest first. A population that meets the shard's lower bound rests. The least
-filled bins of all shards are then dealt over fewer shards and packed again, until one shard is left.
+filled bins of all shards are then dealt over fewer shards and packed again, until one shard is left (or their pieces get
+no fewer).
 
 A null text counts as empty: one piece, its end id. Repeated rows are documents of their own. An empty table gives an
 empty table. Rows with equal doc_id are told apart by a running number within a hash of their text.
@@ -13,6 +14,7 @@ empty table. Rows with equal doc_id are told apart by a running number within a
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import Durable, text_chunks
 from .units import tokenizer
 
-CAPACITY, ISLANDS, EPOCHS, POPULATION, CHILDREN = 2048, 2, 2, 3, 4
+CAPACITY, ISLANDS, EPOCHS, POPULATION, CHILDREN = 2048, 2, 3, 8, 40
 #: Pieces of a shard (a task's memory and time follow it), and least filled bins of a shard that are packed again.
 SHARD_PIECES, LOOSE_BINS = 6000, 4
 
@@ -85,10 +87,10 @@ def fitness(bins: list[list[int]], sizes: list[int], capacity: int) -> tuple[int
 
 
 def crossover(a: list[list[int]], b: list[list[int]], sizes: list[int], capacity: int, rng: Random) -> list[list[int]]:
-    """b with some of a's well-filled bins: b's bins that hold the same pieces go, their other pieces are best-fitted again."""
+    """b with some of a's well-filled bins, the fullest or any: b's bins that hold the same pieces go, their other pieces are best-fitted again."""
     filled = sorted(range(len(a)), key=lambda k: (-sum(sizes[i] for i in a[k]), k))
-    good = filled[: max(1, len(filled) // 2)]
-    chosen = rng.sample(good, max(1, min(len(good), len(a) // 8)))
+    good = filled[: max(1, 2 * len(filled) // 3)]
+    chosen = good[: rng.randint(1, len(good))] if rng.random() < 0.5 else rng.sample(good, rng.randint(1, len(good)))
     inside = {i for k in chosen for i in a[k]}
     bins, loose = [list(a[k]) for k in chosen], []
     for c in b:
@@ -180,13 +182,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_
     full = pieces.where(F.col("length") >= capacity).select("uid", (F.col("uid") * 2 + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     open_ = pieces.where(F.col("length") < capacity).select("uid", "length")
     done: DataFrame | None = None
-    for turn in range(6):
+    before: int | None = None
+    for turn in itertools.count():
         n = open_.count()
         if not n:
             break
         shards = -(-n // shard_pieces)
         placed = Durable(_pack(open_, shards, capacity, turn), "packed").df
-        if shards == 1 or turn == 5:
+        if shards == 1 or n == before:
             settled = placed
         else:  # the loosest bins of each shard go on to the next turn
             bins = placed.select("shard", "bin", "fill").distinct()
@@ -198,8 +201,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_
         first = settled.where("offset = 0").select("shard", "bin", (F.col("uid") * 2).alias("sequence_id"))
         rows = settled.join(first, ["shard", "bin"]).select("uid", "sequence_id", "offset")
         done = rows if done is None else done.unionByName(rows)
-        if shards == 1:
+        if shards == 1 or n == before:
             break
+        before = n
     return full if done is None else full.unionByName(done)
 
 

@@ -388,6 +388,28 @@ def test_genetic_operators_keep_every_piece():
         assert all(sum(sizes[i] for i in c) <= 100 for c in bins)
 
 
+def triplets(r, n, capacity=1000):
+    """Sizes of which three at a time fill a sequence exactly: best fit by falling size does badly on them."""
+    out = []
+    for _ in range(n):
+        a = r.randint(380, 490)
+        b = r.randint(250, (capacity - a) // 2)
+        out += [a, b, capacity - a - b]
+    return out
+
+
+def test_crossover_beats_its_seeds(spark):
+    for seed in range(3):
+        sizes = triplets(random.Random(seed), 60)
+        seeds = packing.evolve([], sizes, 1000, random.Random(1), children=0)
+        better = packing.evolve([list(map(list, s)) for s in seeds], sizes, 1000, random.Random(1), children=300)
+        assert 60 <= len(better[0]) <= len(seeds[0]) - 2
+    # islands as the operator runs them
+    pieces = spark.createDataFrame(list(enumerate(sizes)), "uid long, length long")
+    used = {r["sequence_id"] for r in packing.pack(pieces, 1000).collect()}
+    assert len(used) < len(seeds[0])
+
+
 def targets(sizes, weights, most=3):
     left, open_, out = sum(sizes.values()), dict(weights), {}
     while open_:
