@@ -20,7 +20,8 @@ adaptive execution may split.
 
 A window that also starts in a document with a smaller doc_id is removed, judged on the input. Null texts have no words.
 Documents with a null doc_id are left whole and do not count as earlier. Rows with equal doc_id do not remove each other.
-Equality is told by two 64-bit hashes of the words (a span's or window's, and its anchor's).
+Names reveal where words may be equal; the words of a span or window are then verified by a second hash that shares nothing
+with the first (another one of each word's bytes, another base): spans and windows count as equal if both agree.
 """
 
 from __future__ import annotations
@@ -97,17 +98,17 @@ def symbols(names: np.ndarray, text_of: np.ndarray, rounds: int = PAIR_ROUNDS) -
     return name, at, low, high
 
 
-_BASE = 0x9FB21C651E98DF25  # odd, so that it has an inverse
+_BASE, _CHECK_BASE = 0x9FB21C651E98DF25, 0xC6A4A7935BD1E995  # odd, so that they have an inverse
 
 
 class _Ranges:
     """Hashes of any range of words from running sums."""
 
-    def __init__(self, names: np.ndarray):
+    def __init__(self, names: np.ndarray, base: int = _BASE):
         n = len(names)
-        power = np.full(n + 1, _U(_BASE))
+        power = np.full(n + 1, _U(base))
         power[0] = 1
-        inverse = np.full(n + 1, _U(pow(_BASE, -1, 1 << 64)))
+        inverse = np.full(n + 1, _U(pow(base, -1, 1 << 64)))
         inverse[0] = 1
         self.inverse = np.cumprod(inverse)
         self.sums = np.zeros(n + 1, np.uint64)
@@ -124,8 +125,9 @@ class Windows:
         starts, ends, self.word_of = words_of(data, offsets)
         n, self.window = len(starts), window
         text_of = np.repeat(np.arange(len(offsets) - 1), np.diff(self.word_of))
-        names = _mix(byte_keys(data, starts, ends)[0]) if n else np.zeros(0, np.uint64)
-        self.ranges = _Ranges(names)
+        first, second = byte_keys(data, starts, ends) if n else (np.zeros(0, np.uint64),) * 2
+        names = _mix(first)
+        self.ranges, self.second = _Ranges(names), second
         _, at, low, high = symbols(names, text_of)
         key, before, after = np.full(n + window, _NONE), np.full(n + window, _FAR), np.full(n + window, _FAR)
         fits = (high - low <= window) & (low >= 0) & (high <= n)
@@ -145,6 +147,10 @@ class Windows:
     def digest(self, place: np.ndarray) -> np.ndarray:
         return self.ranges.of(place, place + self.window)
 
+    def checks(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The second hash of ranges of words."""
+        return _Ranges(_mix(self.second ^ _U(0x5851F42D4C957F2D)), _CHECK_BASE).of(begin, end)
+
     def spans(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First window and number of windows of each span, and the hash of all its words."""
         n = len(self.place)
@@ -194,7 +200,7 @@ def bit_map(keys: DataFrame, column: str, bits: int = MAP_BITS) -> np.ndarray:
 
 
 def _spans(source: DataFrame, window: int, shared: np.ndarray) -> DataFrame:
-    """doc_id, row, anchor, span, at of spans whose anchor may be shared: at holds the first word and the number of windows."""
+    """doc_id, row, anchor, span, verified, at of spans whose anchor may be shared: at holds the first word and the number of windows."""
     known, mask = source.sparkSession.sparkContext.broadcast(shared), _U(len(shared) * 64 - 1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,14 +213,15 @@ def _spans(source: DataFrame, window: int, shared: np.ndarray) -> DataFrame:
                 first, count, span = first[hit], count[hit], span[hit]
                 text = w.text[first]
                 at = (w.place[first] - w.word_of[text]) * (SPAN + 1) + count
+                verified = w.checks(w.place[first], w.place[first] + count + (window - 1))
                 rows = pa.array(text)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(2).take(rows), pa.array(w.anchor[first].view(np.int64)), pa.array(span.view(np.int64)), pa.array(at)], ["doc_id", "row", "anchor", "span", "at"])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(2).take(rows), pa.array(w.anchor[first].view(np.int64)), pa.array(span.view(np.int64)), pa.array(verified.view(np.int64)), pa.array(at)], ["doc_id", "row", "anchor", "span", "verified", "at"])
 
-    return source.where("doc_id IS NOT NULL").mapInArrow(work, "doc_id long, row long, anchor long, span long, at long")
+    return source.where("doc_id IS NOT NULL").mapInArrow(work, "doc_id long, row long, anchor long, span long, verified long, at long")
 
 
 def _opened(source: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """wanted: anchor, span, doc_id. Windows of these spans in these documents: doc_id, row, anchor, digest, at (one window each)."""
+    """wanted: span, doc_id. Windows of these spans in these documents: doc_id, row, digest, verified, at (one window each)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,10 +237,10 @@ def _opened(source: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                 each = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
                 rows = pa.array(w.text[each])
                 at = (w.place[each] - w.word_of[w.text[each]]) * (SPAN + 1) + 1
-                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(2).take(rows), pa.array(w.anchor[each].view(np.int64)), pa.array(w.digest(w.place[each]).view(np.int64)), pa.array(at)], ["doc_id", "row", "anchor", "digest", "at"])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(2).take(rows), pa.array(w.digest(w.place[each]).view(np.int64)), pa.array(w.checks(w.place[each], w.place[each] + window).view(np.int64)), pa.array(at)], ["doc_id", "row", "digest", "verified", "at"])
 
     lists = wanted.groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
-    return source.join(lists, "doc_id").select("doc_id", "text", "row", "spans").mapInArrow(work, "doc_id long, row long, anchor long, digest long, at long")
+    return source.join(lists, "doc_id").select("doc_id", "text", "row", "spans").mapInArrow(work, "doc_id long, row long, digest long, verified long, at long")
 
 
 def removals(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -243,19 +250,22 @@ def removals(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text
     anchors = Durable(several.select("anchor"), "shared-anchors")
     spans = Durable(_spans(source, window, bit_map(anchors.df, "anchor")), "spans")
     anchors.drop()
-    contents = Durable(spans.df.groupBy("anchor", "span").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")), "span-contents")
-    several = contents.df.groupBy("anchor").agg(F.count("*").alias("contents"), F.min("least").alias("front")).where("contents > 1")
+    contents = Durable(spans.df.groupBy("span", "verified").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.min("anchor").alias("anchor")), "span-contents")
+    several = contents.df.groupBy("anchor").agg(F.count("*").alias("contents")).where("contents > 1")
     # spans in two or more documents, and spans whose anchor has others
     found = contents.df.join(several, "anchor", "left").where("least < most OR contents IS NOT NULL")
-    shared = Durable(found.select("anchor", "span", "least", (F.col("least") < F.col("most")).alias("repeats"), F.col("contents").isNotNull().alias("differs")), "shared-spans")
+    shared = Durable(found.select("span", "verified", "least", (F.col("least") < F.col("most")).alias("repeats"), F.col("contents").isNotNull().alias("differs")), "shared-spans")
     contents.drop()
-    whole = Durable(spans.df.join(shared.df.where("repeats").select("anchor", "span", "least"), ["anchor", "span"]).where("least < doc_id").select("doc_id", "row", "at"), "repeated-spans")
+    whole = Durable(spans.df.join(shared.df.where("repeats").select("span", "verified", "least"), ["span", "verified"]).where("least < doc_id").select("doc_id", "row", "at"), "repeated-spans")
     spans.drop()
-    opened = Durable(_opened(source, shared.df.where("differs").select("anchor", "span", F.col("least").alias("doc_id")), window), "opened-spans")
+    opened = Durable(_opened(source, shared.df.where("differs").select("span", F.col("least").alias("doc_id")), window), "opened-spans")
     shared.drop()
-    first = opened.df.groupBy("anchor", "digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("anchor", "digest", "least")
-    single = opened.df.join(first, ["anchor", "digest"]).where("least < doc_id").select("doc_id", "row", "at")
-    return whole.df.unionByName(single).groupBy("doc_id", "row").agg(F.collect_list("at").alias("places"))
+    # written before the join, so that adaptive execution may split a window that many spans have
+    first = Durable(opened.df.groupBy("digest", "verified").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("digest", "verified", "least"), "first-windows")
+    single = Durable(opened.df.join(first.df, ["digest", "verified"]).where("least < doc_id").select("doc_id", "row", "at"), "repeated-windows")
+    opened.drop()
+    first.drop()
+    return whole.df.unionByName(single.df).groupBy("doc_id", "row").agg(F.collect_list("at").alias("places"))
 
 
 def _kept(data: np.ndarray, offsets: np.ndarray, places_of: list, window: int) -> tuple[list[int], list[bytes]]:

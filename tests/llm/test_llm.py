@@ -507,3 +507,32 @@ def test_symbols_follow_their_deciding_words():
         assert len(hit) == 1 and n2[hit[0]] == name[k] and l2[hit[0]] == 50 and h2[hit[0]] == 50 + high[k] - low[k]
 
 
+
+
+def test_hashes_that_agree_are_verified(spark, monkeypatch):
+    """With names so poor that unlike words share them, the second hash keeps unlike passages apart."""
+    monkeypatch.setattr(recompress._Ranges, "of", (lambda of: lambda self, s, e: of(self, s, e) if self.sure else of(self, s, e) & np.uint64(7))(recompress._Ranges.of), raising=True)
+    monkeypatch.setattr(recompress._Ranges, "__init__", (lambda init: lambda self, names, base=recompress._BASE: (init(self, names, base), setattr(self, "sure", base != recompress._BASE))[0])(recompress._Ranges.__init__))
+    rows = corpus(3, 60)
+    source = recompress._source(spark.createDataFrame(rows, DOCS), "doc_id", "text")
+    data = "".join(r[1] or "" for r in rows).encode()
+    w = recompress.Windows(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    words = WORDS.findall(data.decode())
+    same, checks = {}, w.checks(w.place, w.place + 13)
+    assert len(set(w.digest(w.place).tolist())) <= 8 and source.count() == len(rows)
+    for p, c in zip(w.place.tolist(), checks.tolist(), strict=True):
+        assert same.setdefault(c, tuple(words[p : p + 13])) == tuple(words[p : p + 13])
+
+
+def test_clean_documents_keep_all_their_words(spark):
+    """Documents lose words only where 13 in a row stand in an earlier one: shared phrases of 12 words and repeats inside one document stay."""
+    r = random.Random(11)
+    word = lambda: f"w{r.randrange(10**9)}"
+    phrase, passage = [word() for _ in range(12)], [word() for _ in range(60)]
+    rows = []
+    for i in range(30):
+        own = [word() for _ in range(80)]
+        rows.append((i, " ".join(own[:40] + phrase + own[40:] + own[:40]), None, "s", 0))
+    rows += [(100 + i, " ".join([word() for _ in range(20)] + passage + [word() for _ in range(20)]), None, "s", 0) for i in range(5)]
+    got = {x["doc_id"]: x["n_removed"] for x in recompress.digest(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {i: 0 for i in range(30)} | {100: 0} | {100 + i: 60 for i in range(1, 5)}
