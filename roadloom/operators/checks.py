@@ -154,14 +154,14 @@ def hidden_junctions(points: DataFrame, segments: DataFrame) -> DataFrame:
     return hidden.join(ways, ["lat", "lng"]).select(*row("HIDDEN_JUNCTION", "name", info=F.col("n")))
 
 
-def region_overlaps(shared: DataFrame) -> DataFrame:
-    """MULTI_REGION_OVERLAP: members of a pair in another region than its first member, told in both directions."""
-    keyed = shared.where("pair IS NOT NULL AND n_all > 1").select("pair", F.struct("system", "root", "idx", "region").alias("m"))
-    front = keyed.groupBy("pair").agg(F.min("m").alias("f"))
+def region_overlaps(named: DataFrame) -> DataFrame:
+    """MULTI_REGION_OVERLAP: members of a pair in another region than its first member, told in both directions. named:
+    segments with their routes' columns."""
+    keyed = named.where("pair IS NOT NULL").select("pair", F.struct("system", "root", "idx", "region").alias("m"))
+    front = keyed.groupBy("pair").agg(F.min("m").alias("f"), F.min("m.region").alias("x"), F.max("m.region").alias("y")).where("x <> y").select("pair", "f")
     odd = keyed.join(front, "pair").where(F.col("m.region") != F.col("f.region"))
-    one = odd.select(F.col("f.root").alias("root"), F.col("f.idx").alias("i"), F.col("m.root").alias("o"))
-    two = odd.select(F.col("m.root").alias("root"), F.col("m.idx").alias("i"), F.col("f.root").alias("o"))
-    return one.unionByName(two).select(*row("MULTI_REGION_OVERLAP", "i", info=F.col("o")))
+    told = F.array(*[F.struct(F.col(f"{a}.root").alias("root"), F.col(f"{a}.idx").alias("i"), F.col(f"{b}.root").alias("o")) for a, b in ("fm", "mf")])
+    return odd.select(F.inline(told)).select(*row("MULTI_REGION_OVERLAP", "i", info=F.col("o")))
 
 
 def combinable(ends: DataFrame) -> DataFrame:

@@ -24,18 +24,34 @@ def colocated(points: DataFrame) -> DataFrame:
     return points.groupBy("lat", "lng").agg(F.count("*").alias("n_points"))
 
 
-def shares(segments_: DataFrame, routes: DataFrame) -> DataFrame:
-    """Segments with their routes' columns and how many of the same pair there are: all, active, active or preview, in the system.
-
-    Counts per pair come from two aggregates joined back, so a crowded pair is summed map-side and its rows may be split."""
-    named = segments_.join(routes, "root")
-    active, shown = (F.col("level") == "active").cast("int"), F.col("level").isin("active", "preview").cast("int")
-    keyed = named.where("pair IS NOT NULL")
-    whole = keyed.groupBy("pair").agg(F.count("*").alias("n_all"), F.sum(active).alias("n_active"), F.sum(shown).alias("n_shown"))
-    own = keyed.groupBy("pair", "system").agg(F.count("*").alias("n_system"))
-    joined = named.join(whole, "pair", "left").join(own, ["pair", "system"], "left")
-    one = lambda c: F.coalesce(F.col(c), F.lit(1)).cast("long").alias(c)
-    return joined.select(*named.columns, one("n_all"), *(F.coalesce(F.col(c), x).cast("long").alias(c) for c, x in (("n_active", active), ("n_shown", shown))), one("n_system"))
+def shares(named: DataFrame) -> DataFrame:
+    """Segments with how many of the same pair there are: all, active, active or preview, in the system. named: segments with
+    their routes' columns.
+
+    Counts come from one aggregate of pairs and systems joined back, so a crowded pair is summed before the shuffle and its
+    rows may be split."""
+    counts = ["n_all", "n_active", "n_shown", "n_system"]
+    per = groups(named).where("pair IS NOT NULL").groupBy("pair", "system").agg(*(F.first(c).alias(c) for c in counts))
+    active, shown, one = (F.col("level") == "active").cast("long"), F.col("level").isin("active", "preview").cast("long"), F.lit(1).cast("long")
+    joined = named.join(per, ["pair", "system"], "left")
+    return joined.select(*named.columns, *(F.coalesce(F.col(c), x).alias(c) for c, x in zip(counts, (one, active, shown, one), strict=True)))
+
+
+def groups(named: DataFrame) -> DataFrame:
+    """Segments summed by pair, system, level and region: n and length of them, and of the pair n_all, n_active, n_shown and
+    n_system as in `shares`. named: segments with their routes' columns.
+
+    Sums are made before the shuffle, so a crowded pair is a row for each system and region. Segments of equal ends have no
+    pair and share with none; as they have no length, they count as one group without a pair."""
+    keys = ["system", "level", "region"]
+    summed = named.where("pair IS NOT NULL").groupBy("pair", *keys).agg(F.count("*").alias("n"), F.sum("length").alias("length"))
+    of_pair, of_system = Window.partitionBy("pair"), Window.partitionBy("pair", "system")
+    n = lambda level, over=of_pair: F.sum(F.when(level, F.col("n")).otherwise(0)).over(over)
+    is_active, is_shown = F.col("level") == "active", F.col("level").isin("active", "preview")
+    counted = summed.withColumns({"n_all": n(F.lit(True)), "n_active": n(is_active), "n_shown": n(is_shown)}).withColumn("n_system", n(F.lit(True), of_system))
+    alone = named.where("pair IS NULL").groupBy("pair", *keys).agg(F.count("*").alias("n"), F.sum("length").alias("length"))
+    one = F.lit(1).cast("long")
+    return counted.unionByName(alone.withColumns({"n_all": one, "n_active": is_active.cast("long"), "n_shown": is_shown.cast("long"), "n_system": one}))
 
 
 def first_at(points: DataFrame) -> DataFrame:

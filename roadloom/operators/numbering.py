@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import ensure_checkpoints
@@ -10,13 +10,23 @@ from ..storage import ensure_checkpoints
 
 def dense(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     """Adds 0, 1, 2, ... in the order of the columns: range-partitioned, numbered inside, moved by the counts before."""
+    return _running(rows, [F.col(c) for c in order], F.lit(1), name)
+
+
+def ranks(rows: DataFrame, value: str, name: str) -> DataFrame:
+    """value, rank: of each different value how many rows have a larger one, and one more."""
+    per = rows.groupBy(value).agg(F.count("*").alias("_c"))
+    return _running(per, [F.col(value).desc()], F.col("_c"), name).select(value, (F.col(name) + 1).cast("int").alias(name))
+
+
+def _running(rows: DataFrame, order: list[Column], weight: Column, name: str) -> DataFrame:
+    """Adds the sum of the weights of all rows before, in the order given, without a single-task window."""
     ensure_checkpoints(rows)
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parted = rows.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
-    inside = Window.partitionBy("_p").orderBy(*order)
-    # range bounds are drawn anew in each run of a plan: the checkpoint makes sure that counts and numbers see the same ones
-    numbered = parted.withColumn("_r", F.row_number().over(inside)).checkpoint()
-    counts = numbered.groupBy("_p").agg(F.count("*").alias("_n"))
+    parted = rows.repartitionByRange(*order).withColumns({"_p": F.spark_partition_id(), "_w": weight})
+    inside = Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    # range bounds are drawn anew in each run of a plan: the checkpoint makes sure that sums and offsets see the same ones
+    summed = parted.withColumn("_r", F.coalesce(F.sum("_w").over(inside), F.lit(0))).checkpoint()
+    sums = summed.groupBy("_p").agg(F.sum("_w").alias("_n"))
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_s"))  # one row for each partition
-    return numbered.join(F.broadcast(starts), "_p").withColumn(name, F.col("_r") - 1 + F.col("_s")).drop("_p", "_r", "_s")
+    starts = sums.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_s"))  # one row for each partition
+    return summed.join(F.broadcast(starts), "_p").withColumn(name, F.col("_r") + F.col("_s")).drop("_p", "_r", "_s", "_w")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import ensure_checkpoints
+from .numbering import ranks
+
 
 def active(length: str = "length") -> Column:
     return F.when(F.col("level") == "active", F.col(length) / F.col("n_active")).otherwise(F.lit(0.0))
@@ -19,11 +22,16 @@ def miles(value: Column, digits: int = 2) -> Column:
     return F.round(F.sum(value), digits)
 
 
-def region_mileage(shared: DataFrame) -> DataFrame:
-    return shared.groupBy("region").agg(miles(active()).alias("active_miles"), miles(shown()).alias("active_preview_miles"), miles(F.col("length") / F.col("n_all")).alias("overall_miles"))
+def region_mileage(groups: DataFrame) -> DataFrame:
+    return groups.groupBy("region").agg(miles(active()).alias("active_miles"), miles(shown()).alias("active_preview_miles"), miles(F.col("length") / F.col("n_all")).alias("overall_miles"))
 
 
-def ranked(rows: DataFrame, value: str, name: str, allowed: Column) -> DataFrame:
-    """rank() by falling value among the allowed rows; others get -1."""
-    order = Window.partitionBy(allowed).orderBy(F.col(value).desc())
-    return rows.withColumn(name, F.when(allowed, F.rank().over(order)).otherwise(-1).cast("int"))
+def ranked(rows: DataFrame, values: dict[str, str], allowed: Column) -> DataFrame:
+    """rank() by falling value among the allowed rows, for each value its column's name; others get -1. No task sees all
+    rows: different values are counted, and their counts summed over ranges."""
+    ensure_checkpoints(rows)
+    out = rows.withColumn("_ok", F.coalesce(allowed, F.lit(False))).checkpoint()
+    for value, name in values.items():
+        place = ranks(out.where("_ok"), value, "_rank")
+        out = out.join(place, value, "left").withColumn(name, F.when(F.col("_ok"), F.col("_rank")).otherwise(-1).cast("int")).drop("_rank")
+    return out.drop("_ok")

@@ -6,16 +6,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def covered(entries: DataFrame) -> DataFrame:
-    """traveler, root, idx of the segments between each entry's ends; each once."""
-    real = entries.where(F.col("beg") < F.col("end"))
-    return real.select("traveler", "root", F.explode(F.sequence("beg", F.col("end") - 1)).alias("idx")).distinct()
-
-
-def propagated(direct: DataFrame, shared: DataFrame) -> DataFrame:
-    """Travel spread to all active or preview segments of the same pair: traveler, root, idx. shared: from network.shares."""
-    of = shared.select("root", "idx", "pair", "level")
-    mine = direct.join(of, ["root", "idx"])
-    pairs = mine.where("pair IS NOT NULL").select("traveler", "pair").distinct()
-    members = of.where(F.col("level").isin("active", "preview") & F.col("pair").isNotNull()).select("pair", "root", "idx")
-    return direct.select("traveler", "root", "idx").union(pairs.join(members, "pair").select("traveler", "root", "idx")).distinct()
+SHOWN = "level IN ('active', 'preview')"
+
+
+def covered(entries: DataFrame, named: DataFrame) -> DataFrame:
+    """The segments between each entry's ends, with all columns of `named` (segments with their routes' columns), traveler
+    first; a segment that several entries of a traveler cover comes several times. Routes meet entries by their root alone,
+    so segments stay where their points were ordered."""
+    real = entries.where(F.col("beg") < F.col("end")).select("traveler", F.col("root").alias("_root"), "beg", "end")
+    joined = named.join(real, (F.col("root") == F.col("_root")) & (F.col("idx") >= F.col("beg")) & (F.col("idx") < F.col("end")))
+    return joined.select("traveler", *named.columns)
+
+
+def traveled_pairs(direct: DataFrame) -> DataFrame:
+    """traveler, pair: each once."""
+    return direct.where("pair IS NOT NULL").select("traveler", "pair").distinct()
+
+
+def clinched(direct: DataFrame, named: DataFrame) -> DataFrame:
+    """Travel spread to all active or preview segments of the same pair, each once for a traveler, with the columns of `named`.
+
+    What a traveled pair holds is complete and free of repeats; only segments that nothing is spread to (in development, or of
+    equal ends) come from the lists themselves."""
+    spread = traveled_pairs(direct).join(named.where(SHOWN), "pair").select("traveler", *named.columns)
+    own = direct.where(f"pair IS NULL OR NOT {SHOWN}").dropDuplicates(["traveler", "root", "idx"])
+    return spread.unionByName(own)
+
+
+def clinched_groups(direct: DataFrame, groups: DataFrame) -> DataFrame:
+    """The same, summed: traveler and the columns of network.groups, for active and preview segments."""
+    spread = traveled_pairs(direct).join(groups.where(f"pair IS NOT NULL AND {SHOWN}"), "pair").select("traveler", *groups.columns)
+    # segments of equal ends have no length, but their traveler was in their region
+    own = direct.where(f"pair IS NULL AND {SHOWN}").select("traveler", "pair", "system", "level", "region").distinct()
+    one, active = F.lit(1).cast("long"), (F.col("level") == "active").cast("long")
+    return spread.unionByName(own.withColumns({"n": one, "length": F.lit(0.0), "n_all": one, "n_active": active, "n_shown": one, "n_system": one}))

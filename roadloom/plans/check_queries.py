@@ -241,7 +241,7 @@ def hidden_junction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("dc37_multi_region_overlap", """, f AS (SELECT *, first(root) OVER w AS froot, first(reg) OVER w AS freg, first(idx) OVER w AS fidx FROM grp WHERE NOT zero WINDOW w AS (PARTITION BY alat, alng, blat, blng ORDER BY sys, root, idx))
 SELECT froot AS root, CAST(fidx AS VARCHAR) AS label1, CAST(root AS VARCHAR) AS info FROM f WHERE reg <> freg UNION ALL SELECT root, CAST(idx AS VARCHAR), CAST(froot AS VARCHAR) FROM f WHERE reg <> freg""")
 def multi_region_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.region_overlaps(Net(spark, sf_dir).shared).select("root", "label1", "info")
+    return checks.region_overlaps(Net(spark, sf_dir).named).select("root", "label1", "info")
 
 
 @query("dc39_combine_con_routes", """, z AS (SELECT con, sys, min(reg) AS reg, arg_min(lat, (p.root, idx)) AS lat0, arg_min(lng, (p.root, idx)) AS lng0, arg_max(lat, (p.root, idx)) AS lat1, arg_max(lng, (p.root, idx)) AS lng1 FROM pts p JOIN rts USING (root) GROUP BY con, sys),

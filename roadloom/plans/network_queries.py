@@ -16,12 +16,14 @@ class Net:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.points, self.routes = tables.points(spark, sf_dir), tables.routes(spark, sf_dir)
         self.segments = network.segments(self.points)
-        self.shared = network.shares(self.segments, self.routes)
+        self.named = self.segments.join(self.routes, "root")
+        self.shared = network.shares(self.named)
+        self.groups = network.groups(self.named)
         self.lengths = self.points.groupBy("root").agg(F.count("*").alias("n"))
         self.entries = tables.entries(spark, sf_dir, self.lengths)
-        self.direct = travel.covered(self.entries)
-        self.travelled = travel.propagated(self.direct, self.shared)
-        self.clinched = self.travelled.join(self.shared, ["root", "idx"])
+        self.direct = travel.covered(self.entries, self.named)
+        self.clinched = travel.clinched(self.direct, self.named)
+        self.clinched_groups = travel.clinched_groups(self.direct, self.groups)
 
 
 def D(c: str, digits: int = 2) -> F.Column:  # noqa: N802
@@ -33,7 +35,7 @@ SELECT reg AS region, round(sum(CASE WHEN lvl = 'active' THEN len / n_active ELS
   round(sum(CASE WHEN lvl <> 'devel' THEN len / n_shown ELSE 0 END), 2) AS active_preview_miles, round(sum(len / n_all), 2) AS overall_miles
 FROM shr GROUP BY reg""")
 def region_mileage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.region_mileage(Net(spark, sf_dir).shared)
+    return stats.region_mileage(Net(spark, sf_dir).groups)
 
 
 @query("prj01_segments", "SELECT root, idx, round(len, 4) AS length FROM seg")
@@ -151,12 +153,12 @@ def concurrency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("j06_entry_segments", "SELECT trav AS traveler, root, idx FROM dir")
 def entry_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Net(spark, sf_dir).direct
+    return Net(spark, sf_dir).direct.select("traveler", "root", "idx").distinct()
 
 
 @query("j07_propagation", "SELECT trav AS traveler, root, idx FROM prop")
 def propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Net(spark, sf_dir).travelled
+    return Net(spark, sf_dir).clinched.select("traveler", "root", "idx")
 
 
 @query("a01_concurrency_counts", "SELECT root, idx, CAST(n_all AS BIGINT) AS n_all, CAST(n_active AS BIGINT) AS n_active, CAST(n_shown AS BIGINT) AS n_shown, CAST(n_system AS BIGINT) AS n_system FROM shr")
@@ -171,30 +173,30 @@ def route_mileage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("a04_region_preview_mileage", "SELECT reg AS region, round(sum(len / n_shown), 2) AS miles FROM shr WHERE lvl <> 'devel' GROUP BY reg")
 def region_preview_mileage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Net(spark, sf_dir).shared.where("level <> 'devel'").groupBy("region").agg(stats.miles(stats.shown()).alias("miles"))
+    return Net(spark, sf_dir).groups.where("level <> 'devel'").groupBy("region").agg(stats.miles(stats.shown()).alias("miles"))
 
 
 @query("a05_region_overall_mileage", "SELECT reg AS region, round(sum(len / n_all), 2) AS miles FROM shr GROUP BY reg")
 def region_overall_mileage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Net(spark, sf_dir).shared.groupBy("region").agg(stats.miles(F.col("length") / F.col("n_all")).alias("miles"))
+    return Net(spark, sf_dir).groups.groupBy("region").agg(stats.miles(F.col("length") / F.col("n_all")).alias("miles"))
 
 
 @query("a06_system_region_mileage", "SELECT sys AS system, reg AS region, round(sum(len / n_system), 2) AS miles FROM shr GROUP BY sys, reg")
 def system_region_mileage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Net(spark, sf_dir).shared.groupBy("system", "region").agg(stats.miles(F.col("length") / F.col("n_system")).alias("miles"))
+    return Net(spark, sf_dir).groups.groupBy("system", "region").agg(stats.miles(F.col("length") / F.col("n_system")).alias("miles"))
 
 
 @query("a07_traveler_region_mileage", """
 SELECT trav AS traveler, reg AS region, round(sum(CASE WHEN lvl = 'active' THEN len / n_active ELSE 0 END), 2) AS active_miles, round(sum(len / n_shown), 2) AS active_preview_miles
 FROM cli WHERE lvl <> 'devel' GROUP BY ALL""")
 def traveler_region_mileage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = Net(spark, sf_dir).clinched.where("level <> 'devel'")
+    rows = Net(spark, sf_dir).clinched_groups
     return rows.groupBy("traveler", "region").agg(stats.miles(stats.active()).alias("active_miles"), stats.miles(stats.shown()).alias("active_preview_miles"))
 
 
 @query("a08_traveler_system_mileage", "SELECT trav AS traveler, sys AS system, reg AS region, round(sum(len / n_system), 2) AS miles FROM cli WHERE lvl <> 'devel' GROUP BY ALL")
 def traveler_system_mileage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = Net(spark, sf_dir).clinched.where("level <> 'devel'")
+    rows = Net(spark, sf_dir).clinched_groups
     return rows.groupBy("traveler", "system", "region").agg(stats.miles(F.col("length") / F.col("n_system")).alias("miles"))
 
 
@@ -208,10 +210,10 @@ def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = lambda kind, name, rows, value: rows.groupBy(F.lit(kind).alias("kind"), name.alias("name")).agg(stats.miles(value, 1).alias("miles"))
     length = F.col("length")
     return (
-        part("system", F.col("system"), net.shared, length / F.col("n_system"))
-        .unionByName(part("all", F.lit("active"), net.shared.where("level = 'active'"), length / F.col("n_active")))
-        .unionByName(part("all", F.lit("overall"), net.shared, length / F.col("n_all")))
-        .unionByName(part("traveler", F.col("traveler").cast("string"), net.clinched.where("level = 'active'"), length / F.col("n_active")))
+        part("system", F.col("system"), net.groups, length / F.col("n_system"))
+        .unionByName(part("all", F.lit("active"), net.groups.where("level = 'active'"), length / F.col("n_active")))
+        .unionByName(part("all", F.lit("overall"), net.groups, length / F.col("n_all")))
+        .unionByName(part("traveler", F.col("traveler").cast("string"), net.clinched_groups.where("level = 'active'"), length / F.col("n_active")))
     )
 
 
@@ -280,8 +282,8 @@ def traveler_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT trav AS traveler, miles, CASE WHEN total = 0 THEN 0 ELSE round(100 * miles / total, 2) END AS pct FROM m, t""")
 def rank_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = Net(spark, sf_dir)
-    own = net.clinched.where("level = 'active'").groupBy("traveler").agg(stats.miles(stats.active()).alias("miles"))
-    total = net.shared.where("level = 'active'").agg(F.sum(stats.active()).alias("total"))  # one row
+    own = net.clinched_groups.where("level = 'active'").groupBy("traveler").agg(stats.miles(stats.active()).alias("miles"))
+    total = net.groups.where("level = 'active'").agg(F.sum(stats.active()).alias("total"))  # one row
     return own.crossJoin(F.broadcast(total)).select("traveler", "miles", F.when(F.col("total") == 0, 0.0).otherwise(F.round(100 * F.col("miles") / F.col("total"), 2)).alias("pct"))
 
 
@@ -317,9 +319,9 @@ i AS (SELECT *, trav % 5 <> 0 AS ok FROM m)
 SELECT trav AS traveler, CASE WHEN ok THEN CAST(rank() OVER (PARTITION BY ok ORDER BY am DESC) AS INTEGER) ELSE -1 END AS active_rank, CASE WHEN ok THEN CAST(rank() OVER (PARTITION BY ok ORDER BY pm DESC) AS INTEGER) ELSE -1 END AS preview_rank FROM i""")
 def mileage_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every fifth traveler does not want to be ranked."""
-    rows = Net(spark, sf_dir).clinched.where("level <> 'devel'").groupBy("traveler").agg(stats.miles(stats.active()).alias("am"), stats.miles(stats.shown()).alias("pm"))
+    rows = Net(spark, sf_dir).clinched_groups.groupBy("traveler").agg(stats.miles(stats.active()).alias("am"), stats.miles(stats.shown()).alias("pm"))
     allowed = F.col("traveler") % 5 != 0
-    return stats.ranked(stats.ranked(rows, "am", "active_rank", allowed), "pm", "preview_rank", allowed).select("traveler", "active_rank", "preview_rank")
+    return stats.ranked(rows, {"am": "active_rank", "pm": "preview_rank"}, allowed).select("traveler", "active_rank", "preview_rank")
 
 
 @query("w02_route_ranks", """, x AS (SELECT trav, c.con, any_value(lvl) AS lvl, count(*) AS m FROM cli c WHERE lvl = 'active' GROUP BY trav, c.con),
@@ -330,7 +332,7 @@ def route_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = net.clinched.where("level = 'active'").groupBy("traveler", "con_id").agg(F.count("*").alias("m"))
     whole = net.segments.join(net.routes, "root").where("level = 'active'").groupBy("con_id").agg(F.count("*").alias("n"))
     per = own.join(whole, "con_id").groupBy("traveler").agg(F.count("*").alias("driven"), F.count_if(F.col("m") == F.col("n")).alias("clinched"))
-    return stats.ranked(stats.ranked(per, "driven", "driven_rank", F.lit(True)), "clinched", "clinched_rank", F.lit(True))
+    return stats.ranked(per, {"driven": "driven_rank", "clinched": "clinched_rank"}, F.lit(True)).select("traveler", "driven", "clinched", "driven_rank", "clinched_rank")
 
 
 @query("w03_visible_runs", """, r AS (SELECT p.root, p.idx, p.hid, p.label, s.len, sum(CASE WHEN hid THEN 0 ELSE 1 END) OVER (PARTITION BY p.root ORDER BY p.idx) AS island FROM pts p LEFT JOIN seg s ON p.root = s.root AND p.idx = s.idx)
@@ -379,8 +381,8 @@ _NATIONS = [f"NATION_{k}" for k in range(25)]
 def region_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Traveler x region miles with a Total column and a TOTAL row; columns are the fixed list of regions."""
     net = Net(spark, sf_dir)
-    own = net.clinched.where("level = 'active'").groupBy(F.col("traveler").cast("string").alias("traveler"), "region").agg(F.sum(stats.active()).alias("v"))
-    whole = net.shared.where("level = 'active'").groupBy(F.lit("TOTAL").alias("traveler"), "region").agg(F.sum(stats.active()).alias("v"))
+    own = net.clinched_groups.where("level = 'active'").groupBy(F.col("traveler").cast("string").alias("traveler"), "region").agg(F.sum(stats.active()).alias("v"))
+    whole = net.groups.where("level = 'active'").groupBy(F.lit("TOTAL").alias("traveler"), "region").agg(F.sum(stats.active()).alias("v"))
     wide = own.unionByName(whole).groupBy("traveler").pivot("region", _NATIONS).agg(F.sum("v"))
     total = sum((F.coalesce(F.col(n), F.lit(0.0)) for n in _NATIONS), F.lit(0.0))
     return wide.select("traveler", F.round(total, 1).alias("total"), *(F.round(F.coalesce(F.col(n), F.lit(0.0)), 1).alias(n) for n in _NATIONS))

@@ -25,12 +25,12 @@ def waypoint_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clinched_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = Net(spark, sf_dir)
     ids = dense(net.segments.select("root", "idx"), ["root", "idx"], "segment_id")
-    return net.travelled.join(ids, ["root", "idx"]).select(F.col("segment_id").cast("long"), "traveler")
+    return net.clinched.join(ids, ["root", "idx"]).select(F.col("segment_id").cast("long"), "traveler")
 
 
 @query("snk01_overall_mileage_table", "SELECT reg AS region, round(sum(CASE WHEN lvl = 'active' THEN len / n_active ELSE 0 END), 2) AS active, round(sum(len / n_shown), 2) AS active_preview FROM shr WHERE lvl <> 'devel' GROUP BY reg HAVING sum(len) <> 0")
 def overall_mileage_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = Net(spark, sf_dir).shared.where("level <> 'devel'")
+    rows = Net(spark, sf_dir).groups.where("level <> 'devel'")
     per = rows.groupBy("region").agg(stats.miles(stats.active()).alias("active"), stats.miles(stats.shown()).alias("active_preview"), F.sum("length").alias("s"))
     return per.where("s <> 0").drop("s")
 
@@ -50,7 +50,7 @@ def graph_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("snk04_system_pivot", """, m AS (SELECT trav, sys, reg, sum(len / n_system) AS v FROM cli WHERE lvl <> 'devel' GROUP BY ALL) SELECT sys AS system, CAST(trav AS VARCHAR) AS traveler, round(sum(v), 1) AS total, round(coalesce(sum(v) FILTER (reg = 'NATION_0'), 0), 1) AS nation_0, round(coalesce(sum(v) FILTER (reg = 'NATION_1'), 0), 1) AS nation_1 FROM m GROUP BY ALL""")
 def system_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = Net(spark, sf_dir).clinched.where("level <> 'devel'")
+    rows = Net(spark, sf_dir).clinched_groups
     m = rows.groupBy("system", "traveler", "region").agg(F.sum(F.col("length") / F.col("n_system")).alias("v"))
     of = lambda n: F.round(F.coalesce(F.sum(F.when(F.col("region") == n, F.col("v"))), F.lit(0.0)), 1).alias(n.lower())
     return m.groupBy("system", F.col("traveler").cast("string").alias("traveler")).agg(F.round(F.sum("v"), 1).alias("total"), of("NATION_0"), of("NATION_1"))
@@ -60,8 +60,8 @@ def system_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def route_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = Net(spark, sf_dir)
     part = lambda kind, name, rows, v: rows.groupBy(F.lit(kind).alias("kind"), name.alias("name")).agg(stats.miles(v, 1).alias("miles"))
-    a = part("system", F.concat_ws(" / ", "system", "region"), net.shared, F.col("length") / F.col("n_system"))
-    return a.unionByName(part("region", F.col("region"), net.shared, stats.active())).unionByName(part("route", F.col("root").cast("string"), net.segments, F.col("length")))
+    a = part("system", F.concat_ws(" / ", "system", "region"), net.groups, F.col("length") / F.col("n_system"))
+    return a.unionByName(part("region", F.col("region"), net.groups, stats.active())).unionByName(part("route", F.col("root").cast("string"), net.segments, F.col("length")))
 
 
 @query("snk06_user_logs")
@@ -69,8 +69,8 @@ def user_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every traveler's log in order: processed lines, then mileage by region."""
     net = Net(spark, sf_dir)
     counts = net.entries.groupBy("traveler").agg(F.count("*").alias("n")).select("traveler", F.struct(F.lit(0).alias("section"), F.lit("").alias("name")).alias("seq"), F.format_string("Processed %d lines.", "n").alias("value"))
-    whole = net.shared.where("level = 'active'").groupBy("region").agg(F.sum(stats.active()).alias("all"))
-    own = net.clinched.where("level = 'active'").groupBy("traveler", "region").agg(F.sum(stats.active()).alias("own")).join(whole, "region")
+    whole = net.groups.where("level = 'active'").groupBy("region").agg(F.sum(stats.active()).alias("all"))
+    own = net.clinched_groups.where("level = 'active'").groupBy("traveler", "region").agg(F.sum(stats.active()).alias("own")).join(whole, "region")
     lines = own.select("traveler", F.struct(F.lit(1).alias("section"), F.col("region").alias("name")).alias("seq"), F.concat(F.col("region"), F.lit(": "), of_miles(F.col("own"), F.col("all"))).alias("value"))
     every = counts.unionByName(lines)
     return every.withColumn("line_no", F.row_number().over(Window.partitionBy("traveler").orderBy("seq"))).select("traveler", "line_no", "value")

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .storage import shared_folder
+
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder that executors share: below spark.checkpoint.dir, or a temporary one where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder that driver and executors share."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def write_tables(tables: dict[str, DataFrame], path: str) -> None:
