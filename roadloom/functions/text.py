@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import string
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 
 def ascii_upper(s: Column) -> Column:
@@ -70,10 +68,33 @@ def reversed_border(label: Column) -> Column:
     return F.when(at > 0, F.concat(F.substring_index(label, "/", -1), F.lit("/"), F.substring_index(label, "/", 1))).otherwise(label)
 
 
-@F.pandas_udf(StringType())
-def fifteen_digits(x: pd.Series) -> pd.Series:
-    """Coordinates with 15 significant digits and no trailing zeros; Spark's format keeps them."""
-    return x.map(lambda v: None if pd.isna(v) else f"{v:.15g}")
+def fifteen_digits(x: Column) -> Column:
+    """Plain decimals with 15 significant digits and no trailing zeros, for numbers of absolute value from 0.0001 to below 10**15."""
+    whole = F.length(F.floor(F.abs(x)).cast("decimal(20,0)").cast("string"))
+    # below one, zeros behind the point are no significant digits
+    ahead = F.when(F.abs(x) >= 1, whole).otherwise(F.ceil(F.log10(F.abs(x)) + F.lit(1e-15)).cast("int"))
+    text = lambda digits: F.format_string(f"%.{digits}f", x)
+    places = F.when(x == 0, F.lit(0)).otherwise(F.greatest(F.lit(0), F.least(F.lit(19), F.lit(15) - ahead)))
+    every = F.element_at(F.array(*[text(k) for k in range(20)]), (places + 1).cast("int"))
+    return F.when(x.isNotNull(), F.when(F.contains(every, F.lit(".")), F.regexp_replace(every, r"\.?0+$", "")).otherwise(every))
+
+
+def cut_bytes(s: Column, n: int) -> Column:
+    """The most whole characters from the start that fit into n bytes of UTF-8."""
+    # a character that the cut goes through decodes to the replacement character
+    cut = F.decode(F.substring(F.encode(s, "UTF-8"), 1, n), "UTF-8")
+    return F.when(F.octet_length(s) <= n, s).otherwise(F.regexp_replace(cut, "\ufffd+$", ""))
+
+
+def end_bytes(s: Column, n: int) -> Column:
+    """The most whole characters at the end that fit into n bytes of UTF-8."""
+    cut = F.decode(F.substring(F.encode(s, "UTF-8"), -n, n), "UTF-8")
+    return F.when(F.octet_length(s) <= n, s).otherwise(F.regexp_replace(cut, "^\ufffd+", ""))
+
+
+def shortened(s: Column, n: int) -> Column:
+    """The text if it has n bytes at most, else its start and three dots, n bytes in all at most."""
+    return F.when(F.octet_length(s) <= n, s).otherwise(F.concat(cut_bytes(s, n - 3), F.lit("...")))
 
 
 def without_controls(line: Column) -> Column:

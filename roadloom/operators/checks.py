@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import turn_angle
-from ..functions.text import NUMBER, label_key
+from ..functions.text import NUMBER, cut_bytes, end_bytes, label_key, shortened
 
 # Codes that can never be marked as false positives.
 ALWAYS_ERROR = """ABBREV_AS_CHOP_BANNER ABBREV_AS_CON_BANNER ABBREV_NO_CITY BAD_ANGLE CON_BANNER_MISMATCH CON_ROUTE_MISMATCH
@@ -15,6 +15,10 @@ LABEL_LOWERCASE LABEL_PARENS LABEL_SLASHES LABEL_TOO_LONG LABEL_UNDERSCORES LONG
 MALFORMED_LON MALFORMED_URL MULTI_REGION_OVERLAP NONTERMINAL_UNDERSCORE SINGLE_FIELD_LINE US_LETTER""".split()
 
 
+# The most bytes of a label, an error's code and an error's value.
+LABEL, CODE, VALUE = 26, 22, 59
+
+
 def row(code: str, label1: Column | str = "label", label2: Column | None = None, label3: Column | None = None, info: Column | None = None) -> list[Column]:
     text = lambda c: F.lit("") if c is None else (F.col(c) if isinstance(c, str) else c).cast("string")
     return [F.col("root"), text(label1).alias("label1"), text(label2).alias("label2"), text(label3).alias("label3"), F.lit(code).alias("code"), text(info).alias("info")]
@@ -57,7 +61,7 @@ def line_checks() -> dict[str, Column]:
     """Checks on a waypoint line of fields (column `parts`) with its URL: code to condition."""
     url, single = F.element_at("parts", -1), F.size("parts") == 1
     lacking = ~(F.contains(url, F.lit("lat=")) & F.contains(url, F.lit("lon=")))
-    number = lambda key: F.substring_index(F.substring_index(url, f"{key}=", -1), "&", 1).rlike(NUMBER)
+    number = lambda key: F.substring_index(F.expr(f"substring(element_at(parts, -1), instr(element_at(parts, -1), '{key}=') + 4)"), "&", 1).rlike(NUMBER)
     return {
         "SINGLE_FIELD_LINE": single,
         "MALFORMED_URL": ~single & lacking,
@@ -66,11 +70,38 @@ def line_checks() -> dict[str, Column]:
     }
 
 
-def run(labels: DataFrame, conditions: dict[str, Column]) -> DataFrame:
-    """All given checks in one pass over the labels: an array of the codes that hold, exploded."""
-    codes = F.array_compact(F.array(*[F.when(c, F.lit(code)) for code, c in conditions.items()]))
-    hit = labels.withColumn("code", F.explode(codes))
-    return hit.select("root", F.col("label").alias("label1"), F.lit("").alias("label2"), F.lit("").alias("label3"), "code", F.lit("").alias("info"))
+def told(code: str) -> tuple[Column, Column]:
+    """What a check on a label, line or route name reports: the label and the info."""
+    label, none = F.col("label"), F.lit("")
+    if code == "LABEL_TOO_LONG":
+        head = cut_bytes(label, LABEL - 3)
+        rest = F.substring(label, F.length(head) + 1, F.length(label))
+        return F.concat(head, F.lit("...")), F.concat(F.lit("..."), shortened(rest, VALUE - 3))
+    if code == "SINGLE_FIELD_LINE":  # the end of a URL tells more than its start
+        long = F.octet_length(label) > LABEL
+        return F.when(long & label.startswith("http"), F.concat(F.lit("..."), end_bytes(label, LABEL - 3))).when(long, F.concat(cut_bytes(label, LABEL - 3), F.lit("..."))).otherwise(label), none
+    if code == "MALFORMED_URL":
+        url = F.element_at("parts", -1)
+        plain = (F.octet_length(url) <= CODE) & ~url.rlike("[\\\\'\"\\x00-\\x1F\\x7F]")
+        return label, F.when(plain, url).otherwise("MISSING_ARG(S)")
+    if code in ("MALFORMED_LAT", "MALFORMED_LON"):
+        url, key = F.element_at("parts", -1), "lat=" if code.endswith("LAT") else "lon="
+        return label, shortened(F.substring_index(F.expr(f"substring(element_at(parts, -1), instr(element_at(parts, -1), '{key}') + 4)"), "&", 1), VALUE)
+    shown = lambda c: F.when(F.col(c) == "", "(blank)").otherwise(F.col(c))
+    if code == "CON_ROUTE_MISMATCH":
+        return none, F.concat_ws(" <-> ", "route", "con_route")
+    if code == "CON_BANNER_MISMATCH":
+        return none, F.concat_ws(" <-> ", shown("banner"), shown("con_banner"))
+    if code == "ABBREV_AS_CON_BANNER":  # the lines of both in their files
+        return none, F.concat_ws(",", "system", (F.col("csv_order") + 2).cast("string"), (F.col("con_order") + 2).cast("string"))
+    return (none if code.startswith("ABBREV_") else label), none
+
+
+def run(rows: DataFrame, conditions: dict[str, Column]) -> DataFrame:
+    """All given checks in one pass over the rows (labels, lines or route names): what each one that holds reports, exploded."""
+    hit = lambda code: F.struct(told(code)[0].alias("label1"), F.lit(code).alias("code"), told(code)[1].alias("info"))
+    found = F.array_compact(F.array(*[F.when(c, hit(code)) for code, c in conditions.items()]))
+    return rows.select("root", F.explode(found).alias("x")).select("root", "x.label1", F.lit("").alias("label2"), F.lit("").alias("label3"), "x.code", "x.info")
 
 
 def angles(points: DataFrame) -> DataFrame:
@@ -147,11 +178,16 @@ def mixed_visibility(points: DataFrame) -> DataFrame:
 
 
 def hidden_junctions(points: DataFrame, segments: DataFrame) -> DataFrame:
-    """All-hidden coordinates with more than two different ways out."""
-    hidden = points.groupBy("lat", "lng").agg(F.min(F.concat_ws("@", F.col("root").cast("string"), "label")).alias("name"), F.min_by("root", F.concat_ws("@", F.col("root").cast("string"), "label")).alias("root"), F.bool_and("is_hidden").alias("all_hidden")).where("all_hidden")
-    ends = segments.where("pair IS NOT NULL").select(F.explode(F.array("pair.a", "pair.b")).alias("e"), "pair").select("e.lat", "e.lng", "pair").distinct()
-    ways = ends.groupBy("lat", "lng").agg(F.count("*").alias("n")).where("n > 2")
-    return hidden.join(ways, ["lat", "lng"]).select(*row("HIDDEN_JUNCTION", "name", info=F.col("n")))
+    """All-hidden coordinates with more than two different ways out, or just two with different routes."""
+    front = F.min(F.struct(F.concat_ws("@", F.col("root").cast("string"), "label").alias("name"), "root", "label"))
+    hidden = points.groupBy("lat", "lng").agg(front.alias("f"), F.bool_and("is_hidden").alias("all_hidden")).where("all_hidden").select("lat", "lng", "f")
+    # the routes of a way out: their number and two sums of hashes tell equal sets without a list of them
+    routes = segments.where("pair IS NOT NULL").select("pair", "root").distinct()
+    mark = lambda seed: F.sum(F.pmod(F.xxhash64("root", F.lit(seed)), F.lit(1 << 31))).alias(f"m{seed}")
+    pairs = routes.groupBy("pair").agg(F.count("*").alias("m0"), mark(1), mark(2)).select("pair", F.struct("m0", "m1", "m2").alias("m"))
+    ends = pairs.select(F.explode(F.array("pair.a", "pair.b")).alias("e"), "m").select("e.lat", "e.lng", "m")
+    ways = ends.groupBy("lat", "lng").agg(F.count("*").alias("n"), F.min("m").alias("x"), F.max("m").alias("y")).where("n > 2 OR n = 2 AND x <> y")
+    return hidden.join(ways, ["lat", "lng"]).select(F.col("f.root").alias("root"), "f.label", "n").select(*row("HIDDEN_JUNCTION", info=F.col("n")))
 
 
 def region_overlaps(named: DataFrame) -> DataFrame:
@@ -179,8 +215,8 @@ def route_checks() -> dict[str, Column]:
         "ABBREV_AS_CHOP_BANNER": (c("abbrev") == "") & (c("banner") != "") & c("city").startswith(c("banner")),
         "ABBREV_NO_CITY": (c("abbrev") != "") & (c("city") == ""),
         "CON_ROUTE_MISMATCH": c("route") != c("con_route"),
-        "ABBREV_AS_CON_BANNER": ~same & (c("abbrev") == c("con_banner")),
-        "CON_BANNER_MISMATCH": ~same & (c("abbrev") != c("con_banner")),
+        "ABBREV_AS_CON_BANNER": ~same & (c("abbrev") != "") & (c("abbrev") == c("con_banner")),
+        "CON_BANNER_MISMATCH": ~same & ((c("abbrev") == "") | (c("abbrev") != c("con_banner"))),
     }
 
 
@@ -192,6 +228,13 @@ def matched(found: DataFrame, marked: DataFrame) -> DataFrame:
     return left.join(right, [*six, "turn"], "left").select(*six, F.coalesce("hit", F.lit(False)).alias("fp"))
 
 
+def near_matches(found: DataFrame, marked: DataFrame) -> DataFrame:
+    """Marked rows that no found row matches, but one of another info does: the row and the info it should have."""
+    six, five = ["root", "label1", "label2", "label3", "code", "info"], ["root", "label1", "label2", "label3", "code"]
+    left = marked.select(*six).exceptAll(found.select(*six))
+    return left.join(found.select(*five, F.col("info").alias("change_to")), five).where("info <> change_to").select(*six, "change_to")
+
+
 def self_references(points: DataFrame, routes: DataFrame) -> DataFrame:
     """LABEL_SELFREF: visible labels that name their own route where no other route of that name meets them.
 
