@@ -69,7 +69,10 @@ def reversed_border(label: Column) -> Column:
 
 
 def fifteen_digits(x: Column) -> Column:
-    """Plain decimals with 15 significant digits and no trailing zeros, for numbers of absolute value from 0.0001 to below 10**15."""
+    """Plain decimals with 15 significant digits and no trailing zeros, for numbers of absolute value from 0.0001 to below 10**15.
+
+    Exact for numbers whose shortest text has 15 digits at most, as coordinates read from files have; of others that text is
+    rounded."""
     whole = F.length(F.floor(F.abs(x)).cast("decimal(20,0)").cast("string"))
     # below one, zeros behind the point are no significant digits
     ahead = F.when(F.abs(x) >= 1, whole).otherwise(F.ceil(F.log10(F.abs(x)) + F.lit(1e-15)).cast("int"))

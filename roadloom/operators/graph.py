@@ -1,50 +1,61 @@
-"""Graphs: vertices, edges, visibility, contraction, components, subgraphs."""
+"""Graphs: vertices, edges, visibility, contraction, components, subgraphs, names."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
+from ..functions.text import names_route
 from ..storage import ensure_checkpoints
 
 SHOWN = "level IN ('active', 'preview')"
 
 
 def vertices(points: DataFrame, routes: DataFrame) -> DataFrame:
-    """One for each coordinate with an active or preview point: lat, lng, n (such points), visibility (2 if any is visible), high priority."""
+    """One for each coordinate with an active or preview point: lat, lng, n (such points), visibility (2 if any is visible),
+    high (named first: just two points, both of routes without an abbreviation)."""
     shown = points.join(routes.where(SHOWN), "root")
-    return shown.groupBy("lat", "lng").agg(F.count("*").alias("n"), F.when(F.bool_or(~F.col("is_hidden")), 2).otherwise(0).alias("visibility")).withColumn("high", F.col("n") == 2)
+    per = shown.groupBy("lat", "lng").agg(F.count("*").alias("n"), F.when(F.bool_or(~F.col("is_hidden")), 2).otherwise(0).alias("visibility"), F.count_if(F.col("abbrev") != "").alias("abbrevs"))
+    return per.select("lat", "lng", "n", "visibility", ((F.col("n") == 2) & (F.col("abbrevs") == 0)).alias("high"))
 
 
 def edges(segments: DataFrame, routes: DataFrame) -> DataFrame:
-    """One simple edge for each pair of coordinates with an active or preview segment: pair, canonical root and idx, routes in order."""
+    """One simple edge for each pair of coordinates with an active or preview segment: pair, canonical segment (system, root,
+    idx, region), systems, and routes, the names of all members in order, as the edge's label needs them."""
     shown = segments.where("pair IS NOT NULL").join(routes.where(SHOWN), "root")
-    member = F.struct("system", "root", "idx", "region")
-    rows = shown.groupBy("pair").agg(F.array_sort(F.collect_list(member)).alias("members"))
-    return rows.select("pair", F.col("members")[0].alias("canonical"), F.transform("members", lambda m: F.concat_ws("#", m["system"], m["root"].cast("string"))).alias("routes"))
+    named = F.struct("system", "root", "idx", F.concat_ws("#", "system", F.col("root").cast("string")).alias("name"))
+    rows = shown.groupBy("pair").agg(F.min(F.struct("system", "root", "idx", "region")).alias("canonical"), F.sort_array(F.collect_set("system")).alias("systems"), F.array_sort(F.collect_list(named)).alias("members"))
+    return rows.select("pair", "canonical", "systems", F.col("members.name").alias("routes"))
 
 
 def visibility(vertices_: DataFrame, edges_: DataFrame, travelled: DataFrame | None = None) -> DataFrame:
     """Hidden vertices become 2 unless exactly two edges with the same routes meet there, 1 if only travelers differ.
 
-    travelled: pair, traveler (each once)."""
+    travelled: pair, traveler (each once). A set of travelers is told by its size and two sums of hashes."""
     ends = edges_.select(F.explode(F.array("pair.a", "pair.b")).alias("v"), "pair", "routes")
     if travelled is not None:
-        sets = travelled.groupBy("pair").agg(F.array_sort(F.collect_set("traveler")).alias("t"))
+        mark = lambda seed: F.sum(F.pmod(F.xxhash64("traveler", F.lit(seed)), F.lit(1 << 31)))
+        sets = travelled.groupBy("pair").agg(F.concat_ws(" ", F.count("*").cast("string"), mark(1).cast("string"), mark(2).cast("string")).alias("t"))
         ends = ends.join(sets, "pair", "left")
     else:
-        ends = ends.withColumn("t", F.lit(None).cast("array<bigint>"))
-    told = ends.groupBy("v").agg(F.count("*").alias("degree"), F.count_distinct("routes").alias("r"), F.count_distinct(F.coalesce(F.col("t").cast("string"), F.lit("-"))).alias("s"))
+        ends = ends.withColumn("t", F.lit(None).cast("string"))
+    none = F.coalesce(F.col("t"), F.lit("-"))
+    told = ends.groupBy("v").agg(F.count("*").alias("degree"), (F.min("routes") != F.max("routes")).alias("r"), (F.min(none) != F.max(none)).alias("s"))
     at = told.select(F.col("v.lat").alias("lat"), F.col("v.lng").alias("lng"), "degree", "r", "s")
     joined = vertices_.join(at, ["lat", "lng"], "left")
-    changed = F.when(F.col("visibility") == 2, 2).when(F.col("degree").isNull() | (F.col("degree") != 2) | (F.col("r") > 1), 2).when(F.col("s") > 1, 1).otherwise(0)
+    changed = F.when(F.col("visibility") == 2, 2).when(F.col("degree").isNull() | (F.col("degree") != 2) | F.col("r"), 2).when(F.col("s"), 1).otherwise(0)
     return joined.select("lat", "lng", F.coalesce("degree", F.lit(0)).cast("long").alias("degree"), changed.alias("visibility"))
 
 
+def formats(edges_: DataFrame, visible: DataFrame) -> DataFrame:
+    """Edges with their format bits: 1 simple, 2 collapsed, 4 traveled. A simple edge belongs to the others too if both its
+    ends stay there. visible: lat, lng, visibility."""
+    at = visible.select(F.struct("lat", "lng").alias("v"), "visibility")
+    ends = edges_.select("pair", F.explode(F.array("pair.a", "pair.b")).alias("v")).join(at, "v").groupBy("pair").agg(F.min("visibility").alias("least"))
+    bits = F.lit(1) + F.when(F.col("least") == 2, 2).otherwise(0) + F.when(F.col("least") >= 1, 4).otherwise(0)
+    return edges_.join(ends, "pair").withColumn("format", bits).drop("least")
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -> DataFrame:
     """node, component (least reachable node). Each round points every node to its least smaller neighbour,
     doubles the pointers down to the roots and contracts; roots at least halve, and every step is checkpointed."""
@@ -71,51 +82,45 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -
 
 
 def contract(edges_: DataFrame, visible: DataFrame) -> DataFrame:
-    """Chains of hidden degree-2 vertices become one edge each. edges_: a, b (a < b), label; visible: v (vertices that stay).
-
-    Rows v1, v2 (v1 the smaller end), label, shape (the vertices between, from v1). A chain is all edges joined by hidden
-    vertices; chains are found as components of edges, then ordered in one pass over each, which is as long as the chain."""
-    ids = edges_.withColumn("e", F.struct("a", "b"))
-    ends = ids.select("e", F.explode(F.array("a", "b")).alias("v"))
-    hidden = ends.join(visible.select("v"), "v", "left_anti")
-    around = hidden.groupBy("v").agg(F.min(F.struct("e.a", "e.b")).alias("x"), F.max(F.struct("e.a", "e.b")).alias("y"), F.count("*").alias("n")).where("n = 2")
-    name = lambda c: F.concat_ws("|", F.col(f"{c}.a").cast("string"), F.col(f"{c}.b").cast("string"))
-    chain = components(around.select(name("x").alias("a"), name("y").alias("b")))
-    named = ids.withColumn("node", name("e")).join(chain, "node", "left").withColumn("chain", F.coalesce("component", "node"))
-    kept = visible.select(F.col("v").alias("kept"))
-    marked = named.join(kept, F.col("a") == F.col("kept"), "left").withColumnRenamed("kept", "ka").join(kept, F.col("b") == F.col("kept"), "left")
-    parts = marked.groupBy("chain").agg(F.collect_list(F.struct("a", "b", "label", F.col("ka").isNotNull().alias("va"), F.col("kept").isNotNull().alias("vb"))).alias("edges"))
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            yield pd.DataFrame([ordered(es) for es in frame["edges"]], columns=["v1", "v2", "label", "shape"])
-
-    kind = edges_.schema["a"].dataType.simpleString()
-    return parts.mapInPandas(walk, f"v1 {kind}, v2 {kind}, label string, shape array<{kind}>")
-
-
-def ordered(edges_: list) -> tuple:
-    """A chain's edges as (v1, v2, label, shape); a closed chain of hidden vertices starts at its least one."""
-    at: dict = {}
-    for k, e in enumerate(edges_):
-        at.setdefault(e["a"], []).append(k)
-        at.setdefault(e["b"], []).append(k)
-    shown = {v for e in edges_ for v, s in ((e["a"], e["va"]), (e["b"], e["vb"])) if s}
-    tips = sorted(v for v, ks in at.items() if len(ks) == 1 or v in shown)
-    v = start = tips[0] if tips else min(at)
-    path, used = [v], set()
-    while True:
-        step = next((k for k in sorted(at[v]) if k not in used), None)
-        if step is None or (len(path) > 1 and v in shown):
-            break
-        used.add(step)
-        v = edges_[step]["b"] if edges_[step]["a"] == v else edges_[step]["a"]
-        path.append(v)
-        if v == start:
-            break
-    if path[-1] < path[0]:
-        path.reverse()
-    return path[0], path[-1], edges_[0]["label"], path[1:-1]
+    """Chains of hidden vertices of degree 2 become one edge each. edges_: a, b (a < b), label; visible: v (vertices that stay).
+
+    Rows v1, v2 (v1 the smaller end), label, shape (the vertices between, from v1). Every edge is an arc in both directions,
+    and an arc into a hidden vertex goes on with the next one. Pointers are doubled until each arc knows where its chain ends
+    and how far that is, so a chain of n edges takes log n rounds and no task holds one; a closed chain of hidden vertices
+    opens at its least vertex."""
+    ensure_checkpoints(edges_)
+    arcs = edges_.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("x"), "label").select("x.u", "x.v", "label")
+    two = arcs.groupBy(F.col("u").alias("h")).agg(F.min("v").alias("x"), F.max("v").alias("y"), F.count("*").alias("n")).where("n = 2 AND x <> y").select("h", "x", "y")
+    stays = visible.select(F.col("v").alias("h"))
+    hidden = two.join(stays, "h", "left_anti")
+    arcs = arcs.join(hidden, F.col("v") == F.col("h"), "left").select("u", "v", "label", F.when(F.col("h").isNotNull(), F.when(F.col("x") == F.col("u"), F.col("y")).otherwise(F.col("x"))).alias("w"))
+    arcs = arcs.withColumn("label", F.col("label").cast("string")).checkpoint()
+    ranked = _ranked(arcs)
+    closed = ranked.where("pu IS NOT NULL")
+    if not closed.isEmpty():  # the least vertex of each closed chain stays
+        least = closed.select(F.col("low").alias("h")).distinct()
+        ranked = _ranked(arcs.join(least, F.col("v") == F.col("h"), "left").withColumn("w", F.when(F.col("h").isNull(), F.col("w"))).drop("h").checkpoint())
+    # an arc's start and place are the end and distance of its opposite
+    back = ranked.select(F.col("v").alias("u"), F.col("u").alias("v"), F.col("end").alias("start"), F.col("from_").alias("second"), F.col("distance").alias("place"))
+    both = ranked.join(back, ["u", "v"])
+    forward = both.where((F.col("start") < F.col("end")) | ((F.col("start") == F.col("end")) & (F.col("second") <= F.col("from_"))))
+    inner = F.filter(F.array_sort(F.collect_list(F.struct("place", "v"))), lambda p: p["place"] >= 0)
+    chains = forward.groupBy("start", "second", "end").agg(F.min("label").alias("label"), inner.alias("path"))
+    return chains.select(F.col("start").alias("v1"), F.col("end").alias("v2"), "label", F.slice("path.v", F.lit(1), F.size("path") - 1).alias("shape"))
+
+
+def _ranked(arcs: DataFrame) -> DataFrame:
+    """arcs: u, v, label, w (the vertex after v, or null where the chain ends). Adds end (the chain's last vertex), from_ (the
+    vertex before it) and distance (arcs to come); pu is not null for arcs of closed chains, and low is the least vertex met."""
+    state = arcs.select("u", "v", "label", F.when(F.col("w").isNotNull(), F.col("v")).alias("pu"), F.col("w").alias("pv"), F.col("v").alias("end"), F.col("u").alias("from_"), F.lit(0).cast("long").alias("distance"), F.least("u", "v").alias("low")).checkpoint()
+    left, total = state.where("pu IS NOT NULL").count(), state.count()
+    reach = 1
+    while left and reach <= 2 * total:
+        hop = state.select(F.col("u").alias("pu"), F.col("v").alias("pv"), F.col("pu").alias("qu"), F.col("pv").alias("qv"), F.col("end").alias("e2"), F.col("from_").alias("f2"), F.col("distance").alias("d2"), F.col("low").alias("l2"))
+        on = F.col("e2").isNotNull()
+        state = state.join(hop, ["pu", "pv"], "left").select("u", "v", "label", F.col("qu").alias("pu"), F.col("qv").alias("pv"), F.coalesce("e2", "end").alias("end"), F.when(on, F.col("f2")).otherwise(F.col("from_")).alias("from_"), F.when(on, F.col("distance") + 1 + F.col("d2")).otherwise(F.col("distance")).alias("distance"), F.least("low", "l2").alias("low")).checkpoint()
+        left, reach = state.where("pu IS NOT NULL").count(), 2 * reach
+    return state
 
 
 def packed_travelers(rows: DataFrame, travelers: DataFrame, key: str) -> DataFrame:
@@ -131,54 +136,76 @@ def packed_travelers(rows: DataFrame, travelers: DataFrame, key: str) -> DataFra
 def unique_names(named: DataFrame) -> DataFrame:
     """named: v, name, region, simple, high. Taken names get |region, then the simple name, then ! marks; high priority goes first.
 
-    Each turn settles the first owner of every wanted name that nobody owns yet; the rest want their next form."""
+    Each turn settles the first owner of every wanted name that nobody owns yet; the rest want their next form. Of several that
+    come to marks with one simple name, each wants as many as its place among them, so turns don't grow with their number."""
     ensure_checkpoints(named)
     order = Window.partitionBy("want").orderBy(F.col("high").desc(), "v")
-    open_ = named.withColumn("want", F.col("name")).withColumn("turn", F.lit(0)).checkpoint()
-    done: DataFrame | None = None
-    for _ in range(40):
-        ranked = open_.withColumn("r", F.row_number().over(order))
-        if done is not None:
-            ranked = ranked.join(done.select(F.col("unique_name").alias("taken")), F.col("want") == F.col("taken"), "left")
-        else:
-            ranked = ranked.withColumn("taken", F.lit(None).cast("string"))
-        ranked = ranked.checkpoint()
-        won = ranked.where("r = 1 AND taken IS NULL").select("v", F.col("want").alias("unique_name"))
-        done = (won if done is None else done.unionByName(won)).checkpoint()
-        lost = ranked.where("r > 1 OR taken IS NOT NULL")
-        following = F.when(F.col("turn") == 0, F.concat_ws("|", "name", "region")).when(F.col("turn") == 1, F.col("simple")).otherwise(F.concat("want", F.lit("!")))
-        open_ = lost.select("v", "name", "region", "simple", "high", following.alias("want"), (F.col("turn") + 1).alias("turn")).checkpoint()
-        if open_.isEmpty():
-            return done
-    raise RuntimeError("names did not settle")
-
-
-def simple_name(members: list[dict]) -> str:
+    among = Window.partitionBy("simple").orderBy(F.col("high").desc(), "v")
+    open_ = named.select("v", "name", "region", "simple", "high", F.col("name").alias("want"), F.lit(0).alias("turn"), F.lit(0).alias("marks")).checkpoint()
+    done = open_.select("v", F.col("want").alias("unique_name")).limit(0)
+    while not open_.isEmpty():
+        taken = done.select(F.col("unique_name").alias("want"), F.lit(True).alias("taken"))
+        ranked = open_.withColumn("r", F.row_number().over(order)).join(taken, "want", "left").checkpoint()
+        won = "r = 1 AND taken IS NULL"
+        done = done.unionByName(ranked.where(won).select("v", F.col("want").alias("unique_name"))).checkpoint()
+        lost = ranked.where(f"NOT ({won})").withColumn("turn", F.col("turn") + 1).withColumn("marks", F.when(F.col("turn") >= 3, F.col("marks") + F.row_number().over(among)).otherwise(0))
+        want = F.when(F.col("turn") == 1, F.concat_ws("|", "name", "region")).when(F.col("turn") == 2, F.col("simple")).otherwise(F.concat("simple", F.repeat(F.lit("!"), F.col("marks"))))
+        open_ = lost.select("v", "name", "region", "simple", "high", want.alias("want"), "turn", "marks").checkpoint()
+    return done
+
+
+def simple_name(members: Column) -> Column:
     """The fail-safe name: route@label of every member, joined by &."""
-    return "&".join(f"{m['name']}@{m['label']}" for m in members)
-
-
-def vertex_name(members: list[dict]) -> str:
-    """A vertex's name from its colocated points (name, label) in order: route/route for two that name each other, route(label)
-    where all share a label, exit labels beside the crossing route, else the fail-safe name."""
-    if len(members) == 1:
-        return simple_name(members)
-    labels = {m["label"] for m in members}
-    names = list(dict.fromkeys(m["name"] for m in members))
-    if len(members) == 2 and len(names) == 2:
-        a, b = members
-        if a["label"].split("_")[0] == b["name"] and b["label"].split("_")[0] == a["name"]:
-            return f"{a['name']}/{b['name']}"
-        for x, y in ((a, b), (b, a)):
-            if x["label"].split("_")[0].split("/")[0] == y["name"] and y["label"][:1].isdigit():
-                return f"{y['name']}({y['label']})/{x['name']}"
-    if len(labels) == 1:
-        return f"{'/'.join(names)}@{members[0]['label']}"
-    if len(names) > 2 and all(any(m["label"].startswith(n) for n in names if n != m["name"]) for m in members):
-        return "/".join(names)
-    return simple_name(members)
-
-
-@F.pandas_udf(StringType())
-def vertex_names(members: pd.Series) -> pd.Series:
-    return members.map(lambda ms: vertex_name([{"name": m["name"], "label": m["label"]} for m in ms]))
+    return F.array_join(F.transform(members, lambda m: F.concat(m["name"], F.lit("@"), m["label"])), "&")
+
+
+def vertex_name(members: Column) -> Column:
+    """A vertex's name from its colocated points in order: an array of structs k (place, from 0), root, name (with abbreviation),
+    bare (without), abbrev, label.
+
+    In this order: two routes whose labels name each other; a concurrency under one label; a route that all others name, with
+    its exit; an exit number that all others repeat; three or more that name one another; border labels in both directions;
+    else the fail-safe name."""
+    at = lambda k: F.get(members, F.lit(k))
+    label, size = at(0)["label"], F.size(members)
+    tail = lambda text: F.when(F.contains(text, F.lit("_")), F.regexp_extract(text, "_.*$", 0)).otherwise(F.lit(""))
+    slashed = lambda names: F.array_join(names, "/")
+    different = F.array_distinct(F.transform(members, lambda m: m["name"]))
+    refers = lambda a, b: names_route(a["label"], b["bare"], F.lit(""), b["abbrev"])
+    both = refers(at(1), at(0)) & refers(at(0), at(1))
+    alike = ((at(0)["abbrev"] != "") | (at(1)["abbrev"] != "")) & (at(0)["bare"] == at(1)["bare"])
+    crossing = F.when(alike, F.concat(at(0)["name"], tail(at(1)["label"]), F.lit("/"), at(1)["name"], tail(at(0)["label"]))).otherwise(F.concat_ws("/", at(1)["label"], at(0)["label"]))
+    concurrent = F.forall(members, lambda m: (m["label"] == label) | m["label"].startswith("+"))
+
+    exit_of = lambda m, base: F.concat(base, F.lit("("), m["label"], F.lit(")"))
+    is_exit = lambda m: m["label"].rlike("^[0-9]")
+    exact = lambda c, m: (c["label"] == m["bare"]) | (c["label"] == m["name"]) | c["label"].startswith(exit_of(m, m["bare"])) | c["label"].startswith(exit_of(m, m["name"]))
+    named_by_all = lambda m: F.forall(members, lambda c: (c["k"] == m["k"]) | exact(c, m))
+    number = lambda m: F.regexp_replace(m["bare"], "^[^0-9]+(?=[0-9])", "")
+    longer = lambda c, m: c["label"].startswith(F.concat(m["bare"], F.lit("_"))) | c["label"].startswith(F.concat(m["bare"], F.lit("/"))) | c["label"].startswith(F.concat(m["name"], F.lit("_"))) | c["label"].startswith(F.concat(m["name"], F.lit("/")))
+    repeats = lambda c, m: (c["label"] == m["label"]) | (c["label"] == F.concat(m["label"], F.lit("("), number(m), F.lit(")"))) | (c["label"] == F.concat(m["label"], F.lit("("), m["bare"], F.lit(")")))
+    numbered_by_all = lambda m: is_exit(m) & F.forall(members, lambda c: (c["k"] == m["k"]) | exact(c, m) | longer(c, m) | repeats(c, m))
+    first = lambda holds: F.get(F.filter(members, holds), F.lit(0))
+    hub, exit_ = first(named_by_all), first(numbered_by_all)
+    # of members of one route in a row, the first one is told
+    others = F.filter(members, lambda m: (m["k"] != hub["k"]) & ((m["k"] == 0) | (m["root"] != F.get(members, m["k"] - 1)["root"])))
+    hub_name = F.concat(F.when(is_exit(hub), exit_of(hub, hub["name"])).otherwise(hub["name"]), F.concat_ws("", F.transform(others, lambda m: F.concat(F.lit("/"), m["name"]))))
+    exit_name = F.concat(exit_of(exit_, exit_["name"]), F.concat_ws("", F.transform(F.filter(members, lambda m: m["k"] != exit_["k"]), lambda m: F.concat(F.lit("/"), m["name"]))))
+
+    begins = lambda c, m: (c["k"] != m["k"]) & c["label"].startswith(m["bare"])
+    mutual = (size > 2) & F.forall(members, lambda c: F.exists(members, lambda m: begins(c, m)))
+    told = lambda c, m: begins(c, m) & F.contains(c["label"], F.lit("_")) & ((c["label"] == F.concat(m["bare"], tail(c["label"]))) | (c["label"] == F.concat(m["name"], tail(c["label"]))))
+    with_suffix = lambda m: F.concat(m["name"], F.coalesce(F.try_element_at(F.transform(F.filter(members, lambda c: told(c, m)), lambda c: tail(c["label"])), F.lit(-1)), F.lit("")))
+    turned = F.concat(F.regexp_replace(label, "^[^/]*/", ""), F.lit("/"), F.substring_index(label, "/", 1))
+    border = F.contains(label, F.lit("/")) & F.forall(members, lambda m: (m["label"] == label) | (m["label"] == turned))
+    shared = F.concat(slashed(different), F.lit("@"), label)
+    return (
+        F.when(size == 1, simple_name(members))
+        .when((size == 2) & both, crossing)
+        .when(concurrent, shared)
+        .when(hub.isNotNull(), hub_name)
+        .when(exit_.isNotNull(), exit_name)
+        .when(mutual, slashed(F.transform(members, with_suffix)))
+        .when(border, shared)
+        .otherwise(simple_name(members))
+    )

@@ -10,7 +10,7 @@ from ..sources import tables
 from .network_queries import Net
 from .registry import query
 
-_V = ", vx AS (SELECT lat, lng, count(*) AS n, bool_or(NOT hid) AS vis FROM pts JOIN rts USING (root) WHERE lvl <> 'devel' GROUP BY lat, lng) "
+_V = ", vx AS (SELECT lat, lng, count(*) AS n, bool_or(NOT hid) AS vis, bool_and(abbrev = '') AS plain FROM pts JOIN rts USING (root) WHERE lvl <> 'devel' GROUP BY lat, lng) "
 _E = """, ed AS (SELECT alat, alng, blat, blng, arg_min(root, (sys, root, idx)) AS croot, arg_min(reg, (sys, root, idx)) AS creg, string_agg(sys || '#' || root, ',' ORDER BY sys, root, idx) AS routes, list(DISTINCT sys) AS syss FROM grp WHERE NOT zero AND lvl <> 'devel' GROUP BY ALL) """
 _R = "round({0}lat, 1) AS lat, round({0}lng, 1) AS lng"
 
@@ -31,9 +31,12 @@ class Master:
         self.net = Net(spark, sf_dir)
         self.vertices = graph.vertices(self.net.points, self.net.routes)
         self.edges = graph.edges(self.net.segments, self.net.routes)
+        #: pair, traveler: each once
+        self.travelled = self.net.clinched_groups.where("pair IS NOT NULL").select("pair", "traveler").distinct()
+        self.visible = graph.visibility(self.vertices, self.edges, self.travelled)
 
 
-@query("g01_vertices", _V + f"SELECT {_R.format('')}, CAST(n AS BIGINT) AS n, n = 2 AS high FROM vx")
+@query("g01_vertices", _V + f"SELECT {_R.format('')}, CAST(n AS BIGINT) AS n, n = 2 AND plain AS high FROM vx")
 def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Master(spark, sf_dir).vertices.select(*_at(), "n", "high")
 
@@ -48,11 +51,22 @@ def plain_visibility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Master(spark, sf_dir).vertices.select(*_at(), "visibility")
 
 
-@query("g06_unhidden_vertices", _V + _E + f""", en AS (SELECT alat AS lat, alng AS lng, routes FROM ed UNION ALL SELECT blat, blng, routes FROM ed), dg AS (SELECT lat, lng, count(*) AS d, count(DISTINCT routes) AS r FROM en GROUP BY ALL)
-SELECT {_R.format('vx.')}, CAST(coalesce(d, 0) AS BIGINT) AS degree, CASE WHEN vis OR d IS NULL OR d <> 2 OR r > 1 THEN 2 ELSE 0 END AS visibility FROM vx LEFT JOIN dg ON vx.lat = dg.lat AND vx.lng = dg.lng""")
+_VIS = """, ts AS (SELECT alat, alng, blat, blng, string_agg(DISTINCT trav, ',' ORDER BY trav) AS t FROM cli WHERE NOT zero AND lvl <> 'devel' GROUP BY ALL), et AS (SELECT ed.*, coalesce(t, '-') AS t FROM ed LEFT JOIN ts USING (alat, alng, blat, blng)),
+en AS (SELECT alat AS lat, alng AS lng, routes, t FROM et UNION ALL SELECT blat, blng, routes, t FROM et), dg AS (SELECT lat, lng, count(*) AS d, count(DISTINCT routes) AS r, count(DISTINCT t) AS s FROM en GROUP BY ALL),
+vv AS (SELECT vx.lat, vx.lng, coalesce(d, 0) AS degree, CASE WHEN vis OR d IS NULL OR d <> 2 OR r > 1 THEN 2 WHEN s > 1 THEN 1 ELSE 0 END AS visibility FROM vx LEFT JOIN dg ON vx.lat = dg.lat AND vx.lng = dg.lng) """
+
+
+@query("g06_unhidden_vertices", _V + _E + _VIS + f"SELECT {_R.format('')}, CAST(degree AS BIGINT) AS degree, visibility FROM vv")
 def unhidden_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Master(spark, sf_dir).visible.select(*_at(), "degree", "visibility")
+
+
+@query("a24_edge_formats", _V + _E + _VIS + """, f AS (SELECT 1 + CASE WHEN least(p.visibility, q.visibility) = 2 THEN 2 ELSE 0 END + CASE WHEN least(p.visibility, q.visibility) >= 1 THEN 4 ELSE 0 END AS format
+ FROM ed JOIN vv p ON alat = p.lat AND alng = p.lng JOIN vv q ON blat = q.lat AND blng = q.lng) SELECT format, CAST(count(*) AS BIGINT) AS edges FROM f GROUP BY format""")
+def edge_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Simple edges by the formats they belong to: 1 simple, 2 collapsed, 4 traveled."""
     m = Master(spark, sf_dir)
-    return graph.visibility(m.vertices, m.edges).select(*_at(), "degree", "visibility")
+    return graph.formats(m.edges, m.visible).groupBy("format").agg(F.count("*").alias("edges"))
 
 
 @query("set03_equal_travelers", """, t AS (SELECT g.alat, g.alng, g.blat, g.blng, string_agg(DISTINCT trav, ',' ORDER BY trav) AS s FROM cli g WHERE NOT zero AND lvl <> 'devel' GROUP BY ALL) SELECT s AS travelers, CAST(count(*) AS BIGINT) AS edges FROM t GROUP BY s HAVING count(*) > 1""")
@@ -62,38 +76,53 @@ def equal_travelers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.groupBy("travelers").agg(F.count("*").alias("edges")).where("edges > 1")
 
 
-_SUB_E = _E + "SELECT {0} AS graph, CAST(count(*) AS BIGINT) AS edges FROM ed{1} GROUP BY 1"
+_SUBGRAPH = """SELECT 'edge' AS kind, {0} AS graph, """ + _ENDS + """ FROM ed{1} UNION ALL SELECT 'vertex', {2}, round(lat, 1), round(lng, 1), NULL, NULL FROM (SELECT DISTINCT {2}, lat, lng FROM pts JOIN rts USING (root) WHERE lvl <> 'devel')"""
 
 
-@query("g10_region_subgraphs", _SUB_E.format("creg", ""))
-def region_subgraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edges go with the region of their canonical segment."""
-    return Master(spark, sf_dir).edges.groupBy(F.col("canonical.region").alias("graph")).agg(F.count("*").alias("edges"))
+def subgraph_rows(edges_: DataFrame, vertices_: DataFrame) -> DataFrame:
+    """Edges (graph, pair) and vertices (graph, lat, lng) of graphs as rows of one table."""
+    none = F.lit(None).cast("double")
+    edge = edges_.select(F.lit("edge").alias("kind"), "graph", *_ends())
+    return edge.unionByName(vertices_.distinct().select(F.lit("vertex").alias("kind"), "graph", F.round("lat", 1).alias("alat"), F.round("lng", 1).alias("alng"), none.alias("blat"), none.alias("blng")))
 
 
-@query("g11_system_subgraphs", _SUB_E.format("s", ", (SELECT unnest(['1-URGENT', '2-HIGH', '3-MEDIUM']) AS s) WHERE list_contains(syss, s)"))
-def system_subgraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edges go with every system that has a member."""
-    systems = F.array_distinct(F.transform("routes", lambda r: F.substring_index(r, "#", 1)))
-    return Master(spark, sf_dir).edges.select(F.explode(systems).alias("graph")).groupBy("graph").agg(F.count("*").alias("edges"))
+@query("g10_region_subgraphs", _E + _SUBGRAPH.format("creg", "", "reg"))
+def region_subgraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges go with the region of their canonical segment, vertices with every region of a route there."""
+    m = Master(spark, sf_dir)
+    points = m.net.points.join(m.net.routes.where(graph.SHOWN), "root")
+    return subgraph_rows(m.edges.select(F.col("canonical.region").alias("graph"), "pair"), points.select(F.col("region").alias("graph"), "lat", "lng"))
 
 
-_COMBINED = """, rv AS (SELECT DISTINCT lat, lng FROM pts JOIN rts USING (root) WHERE lvl <> 'devel' AND reg IN ('NATION_1', 'NATION_2', 'NATION_3')), sv AS (SELECT DISTINCT lat, lng FROM pts JOIN rts USING (root) WHERE sys IN ('1-URGENT', '3-MEDIUM')),
-cv AS (SELECT lat, lng FROM rv INTERSECT SELECT lat, lng FROM sv INTERSECT SELECT lat, lng FROM pts WHERE abs(lat) < 30) """
+@query("g11_system_subgraphs", _E + _SUBGRAPH.format("s", ", unnest(syss) t(s)", "sys"))
+def system_subgraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges go with every system that has a member, vertices with every system of a route there."""
+    m = Master(spark, sf_dir)
+    points = m.net.points.join(m.net.routes.where(graph.SHOWN), "root")
+    return subgraph_rows(m.edges.select(F.explode("systems").alias("graph"), "pair"), points.select(F.col("system").alias("graph"), "lat", "lng"))
 
 
-def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vertices of three regions, of two systems, and of a band: unions inside, then the intersection."""
-    net = Net(spark, sf_dir)
-    named = net.points.join(net.routes, "root").where(graph.SHOWN)
-    regions = named.where(F.col("region").isin("NATION_1", "NATION_2", "NATION_3")).select("lat", "lng").distinct()
-    systems = named.where(F.col("system").isin("1-URGENT", "3-MEDIUM")).select("lat", "lng").distinct()
-    return regions.intersect(systems).where("abs(lat) < 30")
+_COS = "3963.1 * acos(greatest(-1, least(1, cos(radians({0}lat)) * cos(radians(10)) * cos(radians(20) - radians({0}lng)) + sin(radians({0}lat)) * sin(radians(10)))))"
+_COMBINED = """, rv AS (SELECT DISTINCT lat, lng FROM pts JOIN rts USING (root) WHERE lvl <> 'devel' AND reg IN ('NATION_1', 'NATION_2', 'NATION_3')), sv AS (SELECT DISTINCT lat, lng FROM pts JOIN rts USING (root) WHERE lvl <> 'devel' AND sys IN ('1-URGENT', '3-MEDIUM')),
+cv AS (SELECT lat, lng FROM rv INTERSECT SELECT lat, lng FROM sv INTERSECT SELECT lat, lng FROM pts WHERE """ + _COS.format("") + """ <= 4000), ce AS (SELECT * FROM ed WHERE creg IN ('NATION_1', 'NATION_2', 'NATION_3') AND list_has_any(syss, ['1-URGENT', '3-MEDIUM']) AND """ + _COS.format("a") + " <= 4000 AND " + _COS.format("b") + " <= 4000) "
 
 
-@query("g12_combined_subgraph", _COMBINED + f"SELECT {_R.format('')} FROM cv")
+@query("g12_combined_subgraph", _E + _COMBINED + f"SELECT 'edge' AS kind, 'combined' AS graph, {_ENDS} FROM ce UNION ALL SELECT 'vertex', 'combined', round(lat, 1), round(lng, 1), NULL, NULL FROM cv")
 def combined_subgraph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return combined(spark, sf_dir).select(*_at())
+    """Three regions, two systems and a circle: unions inside, then the intersection; an edge needs both ends in the circle."""
+    from ..operators import spatial
+
+    m = Master(spark, sf_dir)
+    regions, systems = ["NATION_1", "NATION_2", "NATION_3"], ["1-URGENT", "3-MEDIUM"]
+    circle = spark.createDataFrame([("combined", 10.0, 20.0, 4000.0)], "graph string, clat double, clng double, radius double")
+    inside = spatial.within(m.net.points.select("lat", "lng").distinct().withColumn("name", F.struct("lat", "lng")), circle).select(F.col("name").alias("p"))
+    points = m.net.points.join(m.net.routes.where(graph.SHOWN), "root")
+    of = lambda c, values: points.where(F.col(c).isin(values)).select("lat", "lng").distinct()
+    chosen = of("region", regions).intersect(of("system", systems)).join(inside.select("p.lat", "p.lng"), ["lat", "lng"], "left_semi")
+    edges_ = m.edges.where(F.col("canonical.region").isin(regions) & F.arrays_overlap("systems", F.array(*map(F.lit, systems))))
+    for end in ("a", "b"):
+        edges_ = edges_.join(inside, F.col(f"pair.{end}") == F.col("p"), "left_semi")
+    return subgraph_rows(edges_.select(F.lit("combined").alias("graph"), "pair"), chosen.select(F.lit("combined").alias("graph"), "lat", "lng"))
 
 
 @query("set01_union", """, u AS (SELECT DISTINCT root FROM rts WHERE reg = 'NATION_1' UNION SELECT root FROM rts WHERE sys = '1-URGENT') SELECT root FROM u""")
@@ -117,13 +146,21 @@ def derived_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows("continent", per, "country").unionByName(rows("country", per.where("n >= 2"), "country")).unionByName(rows("region", m.select("region").distinct(), "region"))
 
 
-@query("g14_graph_counts", _V + _E + f""", en AS (SELECT alat AS lat, alng AS lng, routes FROM ed UNION ALL SELECT blat, blng, routes FROM ed), dg AS (SELECT lat, lng, count(*) AS d, count(DISTINCT routes) AS r FROM en GROUP BY ALL)
-SELECT 'simple' AS format, (SELECT CAST(count(*) AS BIGINT) FROM vx) AS vertices, (SELECT CAST(count(*) AS BIGINT) FROM ed) AS edges, (SELECT CAST(count(DISTINCT trav) AS BIGINT) FROM cli WHERE lvl <> 'devel' AND NOT zero) AS travelers""")
+@query("g14_graph_counts", _V + _E + _VIS + """, k AS (SELECT least(p.visibility, q.visibility) AS least FROM ed JOIN vv p ON alat = p.lat AND alng = p.lng JOIN vv q ON blat = q.lat AND blng = q.lng), f(format, least) AS (VALUES ('simple', 0), ('collapsed', 2), ('traveled', 1))
+SELECT format, (SELECT CAST(count(*) AS BIGINT) FROM vv WHERE visibility >= f.least) AS vertices, (SELECT CAST(count(*) AS BIGINT) FROM k WHERE k.least >= f.least) AS edges,
+ CASE WHEN format = 'traveled' THEN (SELECT CAST(count(DISTINCT trav) AS BIGINT) FROM cli WHERE lvl <> 'devel' AND NOT zero) ELSE 0 END AS travelers FROM f""")
 def graph_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vertices, edges and travelers of the master graph in its three formats (in this network no chain is contracted, so the
+    edges of a format are the simple ones between its vertices)."""
     m = Master(spark, sf_dir)
-    count = lambda df, n: df.agg(F.count("*").alias(n))
-    travelers = m.net.clinched.where("level <> 'devel' AND pair IS NOT NULL").select("traveler").distinct()
-    return count(m.vertices, "vertices").crossJoin(count(m.edges, "edges")).crossJoin(count(travelers, "travelers")).select(F.lit("simple").alias("format"), "vertices", "edges", "travelers")
+    least = F.array(*[F.struct(F.lit(f).alias("format"), F.lit(k).alias("least")) for f, k in (("simple", 0), ("collapsed", 2), ("traveled", 1))])
+    spread = lambda df: df.select("*", F.inline(least))
+    vertices_ = spread(m.visible).where("visibility >= least").groupBy("format").agg(F.count("*").alias("vertices"))
+    bit = F.when(F.col("least") == 0, 1).when(F.col("least") == 2, 2).otherwise(4)
+    edges_ = spread(graph.formats(m.edges, m.visible).select(F.col("format").alias("bits"))).where(F.col("bits").bitwiseAND(bit) > 0).groupBy("format").agg(F.count("*").alias("edges"))
+    travelers = m.travelled.agg(F.countDistinct("traveler").alias("t"))  # one row
+    told = vertices_.join(edges_, "format").crossJoin(F.broadcast(travelers))
+    return told.select("format", "vertices", "edges", F.when(F.col("format") == "traveled", F.col("t")).otherwise(0).alias("travelers"))
 
 
 @query("fn16_traveler_codes", """, tn AS (SELECT trav, row_number() OVER (ORDER BY trav) - 1 AS n FROM (SELECT DISTINCT trav FROM ent)), md AS (SELECT CAST(max(n) // 4 AS BIGINT) AS m FROM tn), dr AS (SELECT DISTINCT e.root, n FROM ent e JOIN tn USING (trav)),
@@ -137,13 +174,24 @@ def traveler_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.packed_travelers(entries.select("root", "traveler").distinct(), numbers, "root")
 
 
-@query("g09_traveled_edges", """, tn AS (SELECT trav, row_number() OVER (ORDER BY trav) - 1 AS n FROM (SELECT DISTINCT trav FROM cli WHERE lvl <> 'devel' AND NOT zero)) SELECT trav AS traveler, CAST(n AS BIGINT) AS n FROM tn""")
+@query("g09_traveled_edges", """, te AS (SELECT DISTINCT trav, alat, alng, blat, blng FROM cli WHERE lvl <> 'devel' AND NOT zero), tn AS (SELECT trav, row_number() OVER (ORDER BY trav) - 1 AS n FROM (SELECT DISTINCT trav FROM te)), md AS (SELECT CAST(max(n) // 4 AS BIGINT) AS m FROM tn),
+hx AS (SELECT alat, alng, blat, blng, n // 4 AS dig, upper(to_hex(CAST(sum(1 << CAST(n % 4 AS INTEGER)) AS BIGINT))) AS h FROM te JOIN tn USING (trav) GROUP BY ALL), al AS (SELECT *, unnest(range(0, (SELECT m FROM md) + 1)) AS dig FROM (SELECT DISTINCT alat, alng, blat, blng FROM te))
+SELECT """ + _ENDS + """, string_agg(coalesce(h, '0'), '' ORDER BY dig) AS code FROM al LEFT JOIN hx USING (alat, alng, blat, blng, dig) GROUP BY alat, alng, blat, blng""")
 def traveled_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traveled edges with the packed code of their travelers, who are numbered by name."""
+    from ..operators.numbering import dense
+
+    rows = Master(spark, sf_dir).travelled
+    numbers = dense(rows.select("traveler").distinct(), ["traveler"], "n").select("traveler", F.col("n").cast("long"))
+    return graph.packed_travelers(rows, numbers, "pair").select(*_ends(), "code")
+
+
+@query("g09_traveler_line", """, tn AS (SELECT trav, row_number() OVER (ORDER BY trav) - 1 AS n FROM (SELECT DISTINCT trav FROM cli WHERE lvl <> 'devel' AND NOT zero)) SELECT trav AS traveler, CAST(n AS BIGINT) AS n FROM tn""")
+def traveler_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The traveler line of the traveled graph: names with their bit numbers."""
     from ..operators.numbering import dense
 
-    rows = Net(spark, sf_dir).clinched.where("level <> 'devel' AND pair IS NOT NULL").select("traveler").distinct()
-    return dense(rows, ["traveler"], "n").select("traveler", F.col("n").cast("long"))
+    return dense(Master(spark, sf_dir).travelled.select("traveler").distinct(), ["traveler"], "n").select("traveler", F.col("n").cast("long"))
 
 
 # --- chains: a path for each user over their events; visible vertices are purchases
@@ -180,17 +228,6 @@ def graph_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.agg(F.max("n").alias("max_degree"), F.round(F.avg("n"), 4).alias("average_degree"), F.count("*").alias("vertices"))
 
 
-@query("a24_edge_formats")
-def edge_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edges by the formats they belong to: 1 simple, 2 collapsed, 4 traveled."""
-    m = Master(spark, sf_dir)
-    hidden = graph.visibility(m.vertices, m.edges).where("visibility < 2").select(F.struct("lat", "lng").alias("v"))
-    ends = m.edges.select("pair", F.explode(F.array("pair.a", "pair.b")).alias("v"))
-    inner = ends.join(hidden, "v", "left_semi").select("pair").distinct().withColumn("inner", F.lit(True))
-    bits = F.when(F.col("inner"), 1).otherwise(7)
-    return m.edges.join(inner, "pair", "left").groupBy(bits.alias("format")).agg(F.count("*").alias("edges"))
-
-
 @query("s04_canonical_order", _CHAIN + "SELECT least(a, b) AS v1, greatest(a, b) AS v2, CAST(row_number() OVER (ORDER BY least(a, b), greatest(a, b), CAST(user_id AS VARCHAR)) - 1 AS BIGINT) AS place FROM ce", base=False)
 def canonical_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.numbering import dense
@@ -199,25 +236,50 @@ def canonical_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dense(edges.select(F.col("a").alias("v1"), F.col("b").alias("v2"), "label"), ["v1", "v2", "label"], "place").select("v1", "v2", F.col("place").cast("long"))
 
 
-@query("g02_vertex_names")
-def vertex_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names of all vertices."""
-    return _members(spark, sf_dir).select(*_at(), graph.vertex_names("members").alias("name"))
+_NAMED = """SELECT l_orderkey AS place, row_number() OVER w - 1 AS k, l_suppkey % 12 AS root, 'US' || (l_suppkey % 12) AS bare, CASE WHEN l_suppkey % 5 = 0 THEN 'Cit' ELSE '' END AS abbrev,
+ 'US' || (first(l_suppkey) OVER w % 12) AS one, 'US' || (last(l_suppkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) % 12) AS two, l_partkey % 60 AS n, l_orderkey % 6 AS form, l_linenumber
+ FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice)"""
+_LABELED = """CASE form WHEN 0 THEN CASE WHEN k = 0 THEN two ELSE one END WHEN 1 THEN 'MainSt' WHEN 2 THEN CASE WHEN k = 0 THEN '12B' ELSE one || '(12B)' END WHEN 3 THEN CASE WHEN k % 2 = 0 THEN 'AA/BB' ELSE 'BB/AA' END
+ WHEN 4 THEN CASE WHEN k = 0 THEN two || '_N' ELSE one || CASE WHEN k % 2 = 0 THEN '_S' ELSE '' END END ELSE 'P' || n END"""
 
 
 def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each location is spread over forty places by the route's number, so that a place holds some routes, not hundreds."""
-    net = Net(spark, sf_dir)
-    shown = net.points.join(net.routes.where(graph.SHOWN), "root").withColumn("lat", F.col("lat") + F.col("root") % 40 / 1000)
-    name = F.concat(F.lit("R"), F.col("root").cast("string"))
-    member = F.struct("root", "idx", name.alias("name"), "label")
-    return shown.groupBy("lat", "lng").agg(F.array_sort(F.collect_list(member)).alias("members"), F.min("region").alias("region"))
+    """Colocated points: the lines of an order meet at one place, each as a point of its supplier's route; labels name the first or
+    last route there, an exit, a street or a border, by the order's number."""
+    rows = spark.sql(f"SELECT *, bare || abbrev AS name, {_LABELED} AS label FROM ({_NAMED.replace('FROM lineitem', 'FROM {items}')})", items=tables.read(spark, sf_dir, "lineitem"))
+    member = F.struct(F.col("k").cast("int").alias("k"), F.col("root").cast("string").alias("root"), "name", "bare", "abbrev", "label")
+    return rows.groupBy("place").agg(F.array_sort(F.collect_list(member)).alias("members"))
+
+
+_L = "list_transform(m, lambda x: x.{0})"
+_ALL_NAMES = "array_to_string(list_transform(range(1, len(m) + 1), lambda i: m[i].name || {0}), '/')"
+_TAIL = "regexp_extract({0}, '_.*$')"
+_EXACT = "(c.label = x.bare OR c.label = x.bare || x.abbrev OR starts_with(c.label, x.bare || '(' || x.label || ')') OR starts_with(c.label, x.bare || x.abbrev || '(' || x.label || ')'))"
+_LONGER = "(regexp_matches(substr(c.label, length(x.bare) + 1), '^[_/]') AND starts_with(c.label, x.bare) OR starts_with(c.label, x.name || '_') OR starts_with(c.label, x.name || '/'))"
+_REPEATS = "(c.label = x.label OR c.label = x.label || '(' || regexp_replace(x.bare, '^[^0-9]+', '') || ')' OR c.label = x.label || '(' || x.bare || ')')"
+_REFERS = "(m[{0}].label IN (m[{1}].bare, m[{1}].name) OR starts_with(m[{0}].label, m[{1}].bare || '_') OR starts_with(m[{0}].label, m[{1}].name || '_'))"
+_EVERY = "list_filter(m, lambda x: {0} len(list_filter(m, lambda c: c.k <> x.k AND NOT ({1}))) = 0)[1]"
+
+
+@query("g02_vertex_names", f"""WITH n AS ({_NAMED}), l AS (SELECT *, bare || abbrev AS name, {_LABELED} AS label FROM n), g AS (SELECT place, list(struct_pack(k := k, root := root, name := name, bare := bare, abbrev := abbrev, label := label) ORDER BY k) AS m FROM l GROUP BY place),
+h AS (SELECT *, {_EVERY.format('', _EXACT)} AS hub, {_EVERY.format("regexp_matches(x.label, '^[0-9]') AND", f'{_EXACT} OR {_LONGER} OR {_REPEATS}')} AS ex, m[1].label AS lab, array_to_string(list_transform(m, lambda x: x.name || '@' || x.label), '&') AS simple,
+ array_to_string(list_transform(list_filter(m, lambda x, i: i = 1 OR NOT list_contains(list_transform(m[1 : i - 1], lambda y: y.name), x.name)), lambda x: x.name), '/') AS names FROM g)
+SELECT place, CASE WHEN len(m) = 1 THEN simple
+ WHEN len(m) = 2 AND {_REFERS.format(2, 1)} AND {_REFERS.format(1, 2)} THEN CASE WHEN (m[1].abbrev <> '' OR m[2].abbrev <> '') AND m[1].bare = m[2].bare THEN m[1].name || {_TAIL.format('m[2].label')} || '/' || m[2].name || {_TAIL.format('m[1].label')} ELSE m[2].label || '/' || m[1].label END
+ WHEN len(list_filter(m, lambda x: x.label <> lab AND NOT starts_with(x.label, '+'))) = 0 THEN names || '@' || lab
+ WHEN hub IS NOT NULL THEN hub.name || CASE WHEN regexp_matches(hub.label, '^[0-9]') THEN '(' || hub.label || ')' ELSE '' END || array_to_string(list_transform(list_filter(m, lambda x, i: x.k <> hub.k AND (i = 1 OR m[i - 1].root <> x.root)), lambda x: '/' || x.name), '')
+ WHEN ex IS NOT NULL THEN ex.name || '(' || ex.label || ')' || array_to_string(list_transform(list_filter(m, lambda x: x.k <> ex.k), lambda x: '/' || x.name), '')
+ WHEN len(m) > 2 AND len(list_filter(m, lambda c: len(list_filter(m, lambda x: x.k <> c.k AND starts_with(c.label, x.bare))) = 0)) = 0
+  THEN array_to_string(list_transform(m, lambda x: x.name || coalesce(list_transform(list_filter(m, lambda c: c.k <> x.k AND contains(c.label, '_') AND c.label IN (x.bare || {_TAIL.format('c.label')}, x.name || {_TAIL.format('c.label')})), lambda c: {_TAIL.format('c.label')})[-1], '')), '/')
+ WHEN contains(lab, '/') AND len(list_filter(m, lambda x: x.label NOT IN (lab, split_part(lab, '/', 2) || '/' || split_part(lab, '/', 1)))) = 0 THEN names || '@' || lab ELSE simple END AS name FROM h""", base=False)
+def vertex_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _members(spark, sf_dir).select("place", graph.vertex_name(F.col("members")).alias("name"))
 
 
-@query("g03_unique_names")
+@query("g03_unique_names", """WITH p AS (SELECT c_custkey AS v, 'N' || (c_custkey % 7) AS name, 'REG' || (c_nationkey % 4) AS region, 'S' || (c_custkey % 5) AS simple, c_custkey % 11 = 0 AS high FROM customer),
+a AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY high DESC, v) AS r1 FROM p), b AS (SELECT *, row_number() OVER (PARTITION BY name, region ORDER BY high DESC, v) AS r2 FROM a WHERE r1 > 1), c AS (SELECT *, row_number() OVER (PARTITION BY simple ORDER BY high DESC, v) AS r3 FROM b WHERE r2 > 1)
+SELECT v, name AS unique_name FROM a WHERE r1 = 1 UNION ALL SELECT v, name || '|' || region FROM b WHERE r2 = 1 UNION ALL SELECT v, simple || repeat('!', CAST(r3 - 1 AS INTEGER)) FROM c""", base=False)
 def unique_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many vertices want the same name: the first label of their first point without its number's last digits."""
-    rows = _members(spark, sf_dir)
-    wanted = F.substring(F.col("members")[0]["label"], 1, 3)
-    named = rows.select(F.concat_ws(",", F.col("lat").cast("string"), F.col("lng").cast("string")).alias("v"), wanted.alias("name"), "region", F.concat_ws("@", F.col("members")[0]["name"], F.col("members")[0]["label"]).alias("simple"), (F.size("members") == 2).alias("high"))
+    """Customers want few names, so most go through all forms."""
+    named = tables.read(spark, sf_dir, "customer").selectExpr("c_custkey AS v", "concat('N', c_custkey % 7) AS name", "concat('REG', c_nationkey % 4) AS region", "concat('S', c_custkey % 5) AS simple", "c_custkey % 11 = 0 AS high")
     return graph.unique_names(named)

@@ -19,7 +19,7 @@ WITH pts AS (
     l_returnflag = 'R' AS hid, (CASE WHEN l_returnflag = 'R' THEN '+X' ELSE 'P' END) || l_suppkey AS label
   FROM lineitem),
 rts AS (
-  SELECT o_orderkey AS root, o_orderpriority AS sys, o_custkey AS con, n_name AS reg, r_name AS country,
+  SELECT o_orderkey AS root, o_orderpriority AS sys, o_custkey AS con, n_name AS reg, r_name AS country, CASE WHEN o_orderkey % 3 = 1 THEN 'Cit' ELSE '' END AS abbrev,
     CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'active' WHEN o_orderpriority = '3-MEDIUM' THEN 'preview' ELSE 'devel' END AS lvl
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 seg0 AS (

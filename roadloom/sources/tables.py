@@ -26,13 +26,13 @@ def level_of(priority: Column) -> Column:
 
 
 def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """root, system, level, con_id, region, country: the dimensions are small and broadcast by their size."""
+    """root, system, level, con_id, region, country, abbrev: the dimensions are small and broadcast by their size."""
     nation = read(spark, sf_dir, "nation").join(read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     nation = nation.select("n_nationkey", F.col("n_name").alias("region"), F.col("r_name").alias("country"))
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    return joined.select(F.col("o_orderkey").alias("root"), F.col("o_orderpriority").alias("system"), level_of(F.col("o_orderpriority")).alias("level"), F.col("o_custkey").alias("con_id"), "region", "country")
+    return joined.select(F.col("o_orderkey").alias("root"), F.col("o_orderpriority").alias("system"), level_of(F.col("o_orderpriority")).alias("level"), F.col("o_custkey").alias("con_id"), "region", "country", F.when(F.col("o_orderkey") % 3 == 1, "Cit").otherwise("").alias("abbrev"))
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
