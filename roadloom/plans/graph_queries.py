@@ -36,6 +36,46 @@ class Master:
         self.visible = graph.visibility(self.vertices, self.edges, self.travelled)
 
 
+    def names(self) -> DataFrame:
+        """lat, lng, name: unique names of all vertices. Routes go by few names here, so a place has few different points."""
+        shown = self.net.points.join(self.net.routes.where(graph.SHOWN), "root")
+        name = F.concat(F.lit("R"), (F.col("root") % 7).cast("string"))
+        told = shown.groupBy("lat", "lng").agg(F.array_sort(F.collect_set(F.struct(F.startswith("label", F.lit("+")).alias("hidden"), name.alias("name"), "label"))).alias("p"), F.min("region").alias("region"))
+        members = F.transform("p", lambda m, k: F.struct(k.alias("k"), m["name"].alias("root"), m["name"].alias("name"), m["name"].alias("bare"), F.lit("").alias("abbrev"), m["label"].alias("label")))
+        named = told.withColumn("members", members).select(F.struct("lat", "lng").alias("v"), graph.vertex_name(F.col("members")).alias("name"), "region", graph.simple_name(F.col("members")).alias("simple"), (F.size("p") == 2).alias("high"))
+        return graph.unique_names(named).select("v.lat", "v.lng", F.col("unique_name").alias("name"))
+
+    def texts(self, graphs: list[str]) -> DataFrame:
+        """Lines of the graph files (graph, format, line_no, value) of the kinds asked for: master, region, system."""
+        from ..operators.numbering import dense
+        from ..sinks import graph_texts
+
+        numbers = dense(self.travelled.select("traveler").distinct(), ["traveler"], "n").select("traveler", F.col("n").cast("long"))
+        codes = graph.packed_travelers(self.travelled, numbers, "pair")
+        digits = numbers.agg(F.repeat(F.lit("0"), (F.floor(F.max("n") / 4) + 1).cast("int")).alias("none"))  # one row
+        coded = self.edges.join(codes, "pair", "left").crossJoin(F.broadcast(digits)).withColumn("code", F.coalesce("code", "none"))
+        kept = F.struct(F.array_join("routes", ",").alias("label"), F.col("canonical.region").alias("region"), "systems", "code")
+        simple = coded.select(F.col("pair.a").alias("a"), F.col("pair.b").alias("b"), F.to_json(kept).alias("label"))
+        seen = self.visible.join(self.names(), ["lat", "lng"]).checkpoint()
+        ways, spots = None, None
+        for kind, least in (("simple", 0), ("collapsed", 2), ("traveled", 1)):
+            stays = seen.where(F.col("visibility") >= least)
+            one = simple.withColumn("shape", F.array().cast("array<struct<lat:double,lng:double>>"))
+            if least:
+                one = graph.contract(simple, stays.select(F.struct("lat", "lng").alias("v"))).select(F.col("v1").alias("a"), F.col("v2").alias("b"), "label", "shape")
+            one, at = one.withColumn("format", F.lit(kind)), stays.select(F.lit(kind).alias("format"), "name", "lat", "lng")
+            ways, spots = (one, at) if ways is None else (ways.unionByName(one), spots.unionByName(at))
+        x = F.from_json("label", "label string, region string, systems array<string>, code string")
+        ways = ways.withColumn("x", x).select("format", "a", "b", "shape", "x.label", "x.region", "x.systems", F.when(F.col("format") == "traveled", F.col("x.code")).alias("code"))
+        of = {"master": F.array(F.lit("master")), "region": F.array("region"), "system": F.col("systems")}
+        points = self.net.points.join(self.net.routes.where(graph.SHOWN), "root")
+        where = {"master": F.lit("master"), "region": F.col("region"), "system": F.col("system")}
+        owned = ways.select(F.explode(F.flatten(F.array(*[of[g] for g in graphs]))).alias("graph"), *[c for c in ways.columns if c not in ("region", "systems")])
+        spec = points.select(F.explode(F.array(*[where[g] for g in graphs])).alias("graph"), "lat", "lng").distinct()
+        members = self.net.clinched_groups.where("pair IS NOT NULL").select(F.explode(F.array(*[where[g] for g in graphs])).alias("graph"), F.col("traveler").cast("string").alias("traveler")).distinct()
+        return graph_texts(spec.join(spots, ["lat", "lng"]), owned, members)
+
+
 @query("g01_vertices", _V + f"SELECT {_R.format('')}, CAST(n AS BIGINT) AS n, n = 2 AND plain AS high FROM vx")
 def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Master(spark, sf_dir).vertices.select(*_at(), "n", "high")
@@ -283,3 +323,55 @@ def unique_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers want few names, so most go through all forms."""
     named = tables.read(spark, sf_dir, "customer").selectExpr("c_custkey AS v", "concat('N', c_custkey % 7) AS name", "concat('REG', c_nationkey % 4) AS region", "concat('S', c_custkey % 5) AS simple", "c_custkey % 11 = 0 AS high")
     return graph.unique_names(named)
+
+
+_FILES = _V + _E + _VIS + """, nm AS (SELECT lat, lng, 'R' || root % 7 AS nm, bool_and(hid) AS h, arg_min(label, (hid, label)) AS label FROM pts JOIN rts USING (root) WHERE lvl <> 'devel' GROUP BY ALL),
+nn AS (SELECT lat, lng, string_agg(nm, '/' ORDER BY h, nm) || '@' || arg_min(label, (h, nm)) AS name FROM nm GROUP BY ALL), fm(format, least, head) AS (VALUES ('simple', 0, 'TMG 1.0 simple'), ('collapsed', 2, 'TMG 1.0 collapsed'), ('traveled', 1, 'TMG 2.0 traveled')),
+te AS (SELECT DISTINCT trav, alat, alng, blat, blng FROM cli WHERE lvl <> 'devel' AND NOT zero), tn AS (SELECT trav, row_number() OVER (ORDER BY trav) - 1 AS n FROM (SELECT DISTINCT trav FROM te)), md AS (SELECT CAST(max(n) // 4 AS BIGINT) AS m FROM tn),
+hx AS (SELECT alat, alng, blat, blng, n // 4 AS dig, upper(to_hex(CAST(sum(1 << CAST(n % 4 AS INTEGER)) AS BIGINT))) AS h FROM te JOIN tn USING (trav) GROUP BY ALL), al AS (SELECT alat, alng, blat, blng, unnest(range(0, (SELECT m FROM md) + 1)) AS dig FROM ed),
+cd AS (SELECT alat, alng, blat, blng, string_agg(coalesce(h, '0'), '' ORDER BY dig) AS code FROM al LEFT JOIN hx USING (alat, alng, blat, blng, dig) GROUP BY ALL),
+og AS ({0}), oe AS ({1}), ot AS ({2}),
+fv AS (SELECT graph, format, og.lat, og.lng, name, row_number() OVER (PARTITION BY graph, format ORDER BY og.lat, og.lng) - 1 AS n FROM og JOIN vv ON og.lat = vv.lat AND og.lng = vv.lng JOIN nn ON og.lat = nn.lat AND og.lng = nn.lng, fm WHERE visibility >= least),
+fe AS (SELECT e.graph, fm.format, p.n AS v1, q.n AS v2, p.n || ' ' || q.n || ' ' || routes || CASE WHEN fm.format = 'traveled' THEN ' ' || code ELSE '' END AS value FROM oe e CROSS JOIN fm JOIN cd USING (alat, alng, blat, blng) JOIN fv p ON p.graph = e.graph AND p.format = fm.format AND p.lat = alat AND p.lng = alng JOIN fv q ON q.graph = e.graph AND q.format = fm.format AND q.lat = blat AND q.lng = blng),
+tl AS (SELECT graph, count(*) AS nt, string_agg(trav, ' ' ORDER BY trav) AS names FROM ot GROUP BY graph),
+nv AS (SELECT graph, format, count(*) AS nv FROM fv GROUP BY ALL), ne AS (SELECT graph, format, count(*) AS ne FROM fe GROUP BY ALL),
+li AS (SELECT graph, format, 0 AS s, 0 AS i, 0 AS j, head AS value FROM nv JOIN fm USING (format) UNION ALL SELECT graph, format, 1, 0, 0, nv || ' ' || coalesce(ne, 0) || CASE WHEN format = 'traveled' THEN ' ' || coalesce(nt, 0) ELSE '' END FROM nv LEFT JOIN ne USING (graph, format) LEFT JOIN tl USING (graph)
+ UNION ALL SELECT graph, format, 2, n, 0, name || ' ' || format('{{:.15g}} {{:.15g}}', CAST(lat AS DOUBLE), CAST(lng AS DOUBLE)) FROM fv UNION ALL SELECT graph, format, 3, v1, v2, value FROM fe UNION ALL SELECT graph, format, 4, 0, 0, coalesce(names, '') FROM nv LEFT JOIN tl USING (graph) WHERE format = 'traveled')
+SELECT graph, format, CAST(row_number() OVER (PARTITION BY graph, format ORDER BY s, i, j, value) - 1 AS INTEGER) AS line_no, value FROM li"""
+_SHOWN = "pts JOIN rts USING (root) WHERE lvl <> 'devel'"
+_TRAVELED = "SELECT DISTINCT {0} AS graph, CAST(trav AS VARCHAR) AS trav FROM cli WHERE lvl <> 'devel' AND NOT zero"
+
+
+@query("snk12_master_graph", _FILES.format(f"SELECT DISTINCT 'master' AS graph, lat, lng FROM {_SHOWN}", "SELECT 'master' AS graph, * FROM ed", _TRAVELED.format("'master'")))
+def master_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the master graph's file in each format."""
+    return Master(spark, sf_dir).texts(["master"])
+
+
+_SUBS = _FILES.format(f"SELECT DISTINCT reg AS graph, lat, lng FROM {_SHOWN} UNION ALL SELECT DISTINCT sys, lat, lng FROM {_SHOWN}", "SELECT creg AS graph, * FROM ed UNION ALL SELECT s AS graph, ed.* FROM ed, unnest(syss) t(s)", f"{_TRAVELED.format('reg')} UNION ALL {_TRAVELED.format('sys')}")
+
+
+@query("snk13_subgraphs", _SUBS)
+def subgraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for the graphs of all regions and systems at once."""
+    return Master(spark, sf_dir).texts(["region", "system"])
+
+
+@query("src16_graph_reader", _E + "SELECT creg AS graph, " + _ENDS + ", routes AS label FROM ed")
+def graph_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The regions' traveled graph files, read back: their edges by the coordinates of their ends."""
+    from ..sources import graphs
+
+    lines = Master(spark, sf_dir).texts(["region"]).where("format = 'traveled'").select("graph", "line_no", "value").checkpoint()
+    vertices_, edges_ = graphs.parse(lines)
+    at = lambda e, k: vertices_.select("graph", F.col("n").alias(f"v{k}"), F.round("lat", 1).alias(f"{e}lat"), F.round("lng", 1).alias(f"{e}lng"))
+    return edges_.join(at("a", 1), ["graph", "v1"]).join(at("b", 2), ["graph", "v2"]).select("graph", "alat", "alng", "blat", "blng", F.col("name").alias("label"))
+
+
+@query("snk02_graph_tables", _SUBS.split("SELECT graph, format, CAST(row_number()")[0] + "SELECT lower(graph) || '-' || format || '.tmg' AS filename, graph AS descr, CAST(nv AS BIGINT) AS vertices, CAST(coalesce(ne, 0) AS BIGINT) AS edges, CASE WHEN format = 'traveled' THEN CAST(coalesce(nt, 0) AS BIGINT) ELSE 0 END AS travelers, format, CASE WHEN starts_with(graph, 'NATION') THEN 'region' ELSE 'system' END AS category FROM nv LEFT JOIN ne USING (graph, format) LEFT JOIN tl USING (graph)")
+def graph_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of graphs: a row for each file with its sizes, told by the second line of the file."""
+    second = Master(spark, sf_dir).texts(["region", "system"]).where("line_no = 1")
+    n = lambda k: F.coalesce(F.get(F.split("value", " "), F.lit(k)).cast("long"), F.lit(0).cast("long"))
+    category = F.when(F.startswith("graph", F.lit("NATION")), "region").otherwise("system")
+    return second.select(F.concat(F.lower("graph"), F.lit("-"), "format", F.lit(".tmg")).alias("filename"), F.col("graph").alias("descr"), n(0).alias("vertices"), n(1).alias("edges"), n(2).alias("travelers"), "format", category.alias("category"))

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from .. import sinks
 from ..functions.text import of_miles
-from ..operators import checks, graph, stats
+from ..operators import checks, stats
 from ..operators.numbering import dense
-from ..sources import graphs, tables
+from ..sources import tables
 from .check_queries import LABELS, check_sql, labels, marked_rows
 from .network_queries import Net
 from .registry import query
@@ -40,14 +40,6 @@ def insert_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.sql_text(tables.read(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), "suppliers", batch=500)
 
 
-@query("snk02_graph_tables")
-def graph_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The graphs table: a row for each region graph with its size."""
-    net = Net(spark, sf_dir)
-    per = graph.edges(net.segments, net.routes).groupBy(F.col("canonical.region").alias("code")).agg(F.count("*").alias("edges"))
-    return per.select(F.concat(F.lower("code"), F.lit("-region.tmg")).alias("filename"), F.concat("code", F.lit(" (region)")).alias("descr"), "edges", F.lit("simple").alias("format"), F.lit("region").alias("category"))
-
-
 @query("snk04_system_pivot", """, m AS (SELECT trav, sys, reg, sum(len / n_system) AS v FROM cli WHERE lvl <> 'devel' GROUP BY ALL) SELECT sys AS system, CAST(trav AS VARCHAR) AS traveler, round(sum(v), 1) AS total, round(coalesce(sum(v) FILTER (reg = 'NATION_0'), 0), 1) AS nation_0, round(coalesce(sum(v) FILTER (reg = 'NATION_1'), 0), 1) AS nation_1 FROM m GROUP BY ALL""")
 def system_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = Net(spark, sf_dir).clinched_groups
@@ -115,36 +107,6 @@ def unmatched_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select(F.concat_ws(";", F.col("root").cast("string"), *six[1:]).alias("line"))
 
 
-def _master_text(spark: SparkSession, sf_dir: str, region: str | None = None) -> DataFrame:
-    net = Net(spark, sf_dir)
-    edges = graph.edges(net.segments, net.routes)
-    if region:
-        edges = edges.where(F.col("canonical.region") == region)
-    ends = edges.select(F.explode(F.array("pair.a", "pair.b")).alias("v")).distinct().select("v.lat", "v.lng")
-    numbered = dense(ends, ["lat", "lng"], "n").select(F.col("n").cast("int").alias("n"), F.concat_ws(",", F.col("lat").cast("string"), F.col("lng").cast("string")).alias("name"), "lat", "lng")
-    at = lambda e: numbered.select(F.col("n").alias(f"v{e}"), F.struct("lat", "lng").alias(f"k{e}"))
-    named = edges.select(F.col("pair.a").alias("k1"), F.col("pair.b").alias("k2"), F.concat_ws(",", "routes").alias("name")).join(at(1), "k1").join(at(2), "k2")
-    return sinks.graph_text(numbered, named.select("v1", "v2", "name"))
-
-
-@query("snk12_master_graph")
-def master_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _master_text(spark, sf_dir).select("seq.s", "seq.k", "value")
-
-
-@query("snk13_region_graph")
-def region_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _master_text(spark, sf_dir, "NATION_1").select("seq.s", "seq.k", "value")
-
-
-@query("src16_graph_reader")
-def graph_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A region's graph text read back: its edges."""
-    text = _master_text(spark, sf_dir, "NATION_1")
-    rows = dense(text, ["seq"], "line_no").select(F.lit("NATION_1").alias("graph"), F.col("line_no").cast("int"), "value")
-    return graphs.parse(rows)[1].select("graph", "v1", "v2", "name")
-
-
 @query("snk14_unprocessed_log", "SELECT p_name || '.wpt' AS line FROM part WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = p_partkey)", base=False)
 def unprocessed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = tables.read(spark, sf_dir, "part")

@@ -56,26 +56,46 @@ def write_waypoint_files(points: DataFrame) -> str:
     return path
 
 
-def graph_text(vertices: DataFrame, edges: DataFrame, kind: str = "simple", version: str = "1.0", travelers: DataFrame | None = None) -> DataFrame:
-    """The lines of one graph file in order (seq, value). vertices: n, name, lat, lng; edges: v1, v2, name, shape (array of structs) or none, code or none."""
-    counts = [vertices.agg(F.count("*").alias("nv")), edges.agg(F.count("*").alias("ne"))]
-    size = F.concat_ws(" ", F.col("nv").cast("string"), F.col("ne").cast("string"))
-    head = counts[0].crossJoin(F.broadcast(counts[1]))
-    if travelers is not None:
-        head = head.crossJoin(F.broadcast(travelers.agg(F.count("*").alias("nt"))))
-        size = F.concat_ws(" ", size, F.col("nt").cast("string"))
-    first = head.select(F.explode(F.array(F.struct(F.lit(0).alias("k"), F.lit(f"TMG {version} {kind}").alias("value")), F.struct(F.lit(1).alias("k"), size.alias("value")))).alias("x")).select(F.struct(F.lit(0).alias("s"), F.col("x.k").cast("long").alias("k")).alias("seq"), "x.value")
-    points = vertices.select(F.struct(F.lit(1).alias("s"), F.col("n").cast("long").alias("k")).alias("seq"), F.concat_ws(" ", "name", F.col("lat").cast("string"), F.col("lng").cast("string")).alias("value"))
-    parts = ["v1", "v2", "name"]
-    line = F.concat_ws(" ", *(F.col(c).cast("string") for c in parts))
-    if "code" in edges.columns:
-        line = F.concat_ws(" ", line, "code")
-    if "shape" in edges.columns:
-        line = F.concat_ws(" ", line, F.array_join(F.transform("shape", lambda p: F.concat_ws(" ", p["lat"].cast("string"), p["lng"].cast("string"))), " "))
-    order = Window.partitionBy("v1").orderBy("v2", "name")
-    ways = edges.withColumn("r", F.row_number().over(order)).select(F.struct(F.lit(2).alias("s"), (F.col("v1").cast("long") * 1_000_000 + F.col("r")).alias("k")).alias("seq"), F.trim(line).alias("value"))
-    out = first.unionByName(points).unionByName(ways)
+#: Version and kind as the first line tells them, for each format.
+FORMATS = {"simple": "TMG 1.0 simple", "collapsed": "TMG 1.0 collapsed", "traveled": "TMG 2.0 traveled"}
+
+
+def graph_texts(vertices: DataFrame, edges: DataFrame, travelers: DataFrame | None = None) -> DataFrame:
+    """The lines of many graph files: graph, format, line_no, value.
+
+    vertices: graph, format, name, lat, lng. edges: graph, format, a, b (structs of lat, lng), label, code (null but in
+    traveled graphs), shape (array of structs). travelers: graph, traveler. All files are numbered and ordered at once over
+    ranges of their lines, so a large graph is no single task."""
+    from .functions.text import fifteen_digits
+    from .operators.numbering import dense
+
+    key, digits = ["graph", "format"], lambda c: fifteen_digits(c.cast("double"))
+    numbered = dense(vertices.select(*key, "lat", "lng", "name"), [*key, "lat", "lng"], "_n")
+    sizes = numbered.groupBy(*key).agg(F.min("_n").alias("base"), F.count("*").alias("nv"))
+    numbered = numbered.join(sizes.select(*key, "base"), key).withColumn("n", F.col("_n") - F.col("base"))
+    at = lambda end: numbered.select(*key, F.struct("lat", "lng").alias(end), F.col("n").alias(f"v_{end}"))
+    points = F.array_join(F.transform("shape", lambda p: F.concat(digits(p["lat"]), F.lit(" "), digits(p["lng"]))), " ")
+    text = F.concat_ws(" ", F.col("v_a").cast("string"), F.col("v_b").cast("string"), "label", "code", F.when(F.size("shape") > 0, points))
+    ways = edges.join(at("a"), [*key, "a"]).join(at("b"), [*key, "b"]).select(*key, "v_a", "v_b", text.alias("value"))
+    heads = sizes.join(ways.groupBy(*key).agg(F.count("*").alias("ne")), key, "left")
+    nothing = F.lit(None).cast("long")
     if travelers is not None:
-        names = travelers.agg(F.concat_ws(" ", F.array_sort(F.collect_list(F.struct("n", "traveler")))["traveler"].cast("array<string>")).alias("value"))
-        out = out.unionByName(names.select(F.struct(F.lit(3).alias("s"), F.lit(0).cast("long").alias("k")).alias("seq"), "value"))
-    return out
+        names = travelers.groupBy("graph").agg(F.sort_array(F.collect_set("traveler")).alias("names"))
+        heads = heads.join(names, "graph", "left").withColumn("names", F.when(F.col("format") == "traveled", F.coalesce("names", F.array().cast("array<string>"))))
+    else:
+        heads = heads.withColumn("names", F.lit(None).cast("array<string>"))
+    kind = F.element_at(F.create_map(*[F.lit(x) for pair in FORMATS.items() for x in pair]), F.col("format"))
+    counts = F.concat_ws(" ", F.col("nv").cast("string"), F.coalesce("ne", F.lit(0)).cast("string"), F.when(F.col("names").isNotNull(), F.size("names").cast("string")))
+    line = lambda k, value: F.struct(F.lit(k).alias("s"), value.alias("value"))
+    told = F.array_compact(F.array(line(0, kind), line(1, counts), F.when(F.col("names").isNotNull(), line(4, F.array_join("names", " ")))))
+    frame = heads.select(*key, F.inline(told)).select(*key, "s", nothing.alias("i"), nothing.alias("j"), "value")
+    lines = frame.unionByName(numbered.select(*key, F.lit(2).alias("s"), F.col("n").alias("i"), nothing.alias("j"), F.concat_ws(" ", "name", digits(F.col("lat")), digits(F.col("lng"))).alias("value")))
+    lines = lines.unionByName(ways.select(*key, F.lit(3).alias("s"), F.col("v_a").alias("i"), F.col("v_b").alias("j"), "value"))
+    placed = dense(lines, [*key, "s", "i", "j", "value"], "_l")
+    first = placed.groupBy(*key).agg(F.min("_l").alias("_f"))
+    return placed.join(first, key).select(*key, (F.col("_l") - F.col("_f")).cast("int").alias("line_no"), "value")
+
+
+def write_graphs(lines: DataFrame, path: str) -> None:
+    """A folder for each graph and format; its lines stay in order."""
+    write_logs(lines.withColumn("file", F.concat_ws("-", "graph", "format")).withColumnRenamed("line_no", "seq"), path, by="file")
