@@ -374,15 +374,15 @@ def front_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _PIVOT = """, m AS (SELECT trav, reg, sum(len / n_active) AS v FROM cli WHERE lvl = 'active' GROUP BY ALL), c AS (SELECT CAST(trav AS VARCHAR) AS traveler, reg, v FROM m UNION ALL SELECT 'TOTAL', reg, sum(len / n_active) FROM shr WHERE lvl = 'active' GROUP BY reg)
 SELECT traveler, round(sum(v), 1) AS total, {0} FROM c GROUP BY traveler"""
-_NATIONS = [f"NATION_{k}" for k in range(25)]
+NATIONS = [f"NATION_{k}" for k in range(25)]
 
 
-@query("snk03_region_pivot", _PIVOT.format(", ".join(f"""round(coalesce(sum(v) FILTER (reg = '{n}'), 0), 1) AS "{n}\"""" for n in _NATIONS)))
+@query("snk03_region_pivot", _PIVOT.format(", ".join(f"""round(coalesce(sum(v) FILTER (reg = '{n}'), 0), 1) AS "{n}\"""" for n in NATIONS)))
 def region_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Traveler x region miles with a Total column and a TOTAL row; columns are the fixed list of regions."""
     net = Net(spark, sf_dir)
     own = net.clinched_groups.where("level = 'active'").groupBy(F.col("traveler").cast("string").alias("traveler"), "region").agg(F.sum(stats.active()).alias("v"))
     whole = net.groups.where("level = 'active'").groupBy(F.lit("TOTAL").alias("traveler"), "region").agg(F.sum(stats.active()).alias("v"))
-    wide = own.unionByName(whole).groupBy("traveler").pivot("region", _NATIONS).agg(F.sum("v"))
-    total = sum((F.coalesce(F.col(n), F.lit(0.0)) for n in _NATIONS), F.lit(0.0))
-    return wide.select("traveler", F.round(total, 1).alias("total"), *(F.round(F.coalesce(F.col(n), F.lit(0.0)), 1).alias(n) for n in _NATIONS))
+    wide = own.unionByName(whole).groupBy("traveler").pivot("region", NATIONS).agg(F.sum("v"))
+    total = sum((F.coalesce(F.col(n), F.lit(0.0)) for n in NATIONS), F.lit(0.0))
+    return wide.select("traveler", F.round(total, 1).alias("total"), *(F.round(F.coalesce(F.col(n), F.lit(0.0)), 1).alias(n) for n in NATIONS))

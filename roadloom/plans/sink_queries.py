@@ -11,7 +11,7 @@ from ..operators import checks, stats
 from ..operators.numbering import dense
 from ..sources import tables
 from .check_queries import LABELS, check_sql, labels, marked_rows
-from .network_queries import Net
+from .network_queries import NATIONS, Net
 from .registry import query
 
 
@@ -35,17 +35,96 @@ def overall_mileage_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per.where("s <> 0").drop("s")
 
 
-@query("snk01_insert_text")
+@query("snk01_insert_text", """WITH r AS (SELECT '(' || chr(39) || s_suppkey || chr(39) || ',' || chr(39) || replace(s_name, chr(39), chr(39) || chr(39)) || chr(39) || ')' AS row FROM supplier), n AS (SELECT row, row_number() OVER (ORDER BY row) - 1 AS n FROM r)
+SELECT CAST(-2 AS BIGINT) AS part, 'DROP TABLE IF EXISTS suppliers;' AS value UNION ALL SELECT -1, 'CREATE TABLE suppliers (s_suppkey BIGINT, s_name TEXT);' UNION ALL SELECT CAST(n // 40 AS BIGINT), 'INSERT INTO suppliers VALUES' || chr(10) || string_agg(row, ',' || chr(10) ORDER BY row) || ';' FROM n GROUP BY n // 40""", base=False)
 def insert_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.sql_text(tables.read(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), "suppliers", batch=500)
+    return sinks.sql_text(tables.read(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), "suppliers", batch=40)
 
 
-@query("snk04_system_pivot", """, m AS (SELECT trav, sys, reg, sum(len / n_system) AS v FROM cli WHERE lvl <> 'devel' GROUP BY ALL) SELECT sys AS system, CAST(trav AS VARCHAR) AS traveler, round(sum(v), 1) AS total, round(coalesce(sum(v) FILTER (reg = 'NATION_0'), 0), 1) AS nation_0, round(coalesce(sum(v) FILTER (reg = 'NATION_1'), 0), 1) AS nation_1 FROM m GROUP BY ALL""")
+@query("snk01_countries_table", "SELECT 'C' || r_regionkey AS code, r_name AS name FROM region", base=False)
+def countries_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.read(spark, sf_dir, "region").select(F.concat(F.lit("C"), F.col("r_regionkey").cast("string")).alias("code"), F.col("r_name").alias("name"))
+
+
+@query("snk01_regions_table", "SELECT n_name AS code, n_name AS name, 'C' || n_regionkey AS country, 'C' || n_regionkey AS continent, 'nation' AS regiontype FROM nation", base=False)
+def regions_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    country = F.concat(F.lit("C"), F.col("n_regionkey").cast("string"))
+    return tables.read(spark, sf_dir, "nation").select(F.col("n_name").alias("code"), F.col("n_name").alias("name"), country.alias("country"), country.alias("continent"), F.lit("nation").alias("regiontype"))
+
+
+@query("snk01_systems_table", "SELECT sys AS system, lvl AS level, CAST(left(sys, 1) AS INTEGER) AS tier, CAST(row_number() OVER (ORDER BY sys) - 1 AS BIGINT) AS csv_order FROM (SELECT DISTINCT sys, lvl FROM rts)")
+def systems_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = tables.routes(spark, sf_dir).select("system", "level").distinct()
+    return dense(rows, ["system"], "csv_order").select("system", "level", F.substring("system", 1, 1).cast("int").alias("tier"), F.col("csv_order").cast("long"))
+
+
+@query("snk01_routes_table", """SELECT sys AS system, reg AS region, 'R' || root AS route, abbrev, root, round(coalesce(m, 0), 2) AS mileage, CAST(row_number() OVER (PARTITION BY con ORDER BY root) - 1 AS BIGINT) AS root_order, CAST(row_number() OVER (ORDER BY root) - 1 AS BIGINT) AS csv_order
+FROM rts LEFT JOIN (SELECT root, sum(len) AS m FROM seg GROUP BY root) USING (root)""")
+def routes_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A connected route's roots are a bounded list, numbered as an array."""
+    net = Net(spark, sf_dir)
+    miles = net.segments.groupBy("root").agg(F.sum("length").alias("m"))
+    places = net.routes.groupBy("con_id").agg(F.array_sort(F.collect_list("root")).alias("roots")).select(F.posexplode("roots").alias("root_order", "root"))
+    rows = dense(net.routes, ["root"], "csv_order").join(miles, "root", "left").join(places, "root")
+    return rows.select("system", "region", F.concat(F.lit("R"), F.col("root").cast("string")).alias("route"), "abbrev", "root", F.round(F.coalesce("m", F.lit(0.0)), 2).alias("mileage"), F.col("root_order").cast("long"), F.col("csv_order").cast("long"))
+
+
+@query("snk01_connected_routes_table", """, c AS (SELECT con, min(root) AS first_root, round(coalesce(sum(m), 0), 2) AS mileage FROM rts LEFT JOIN (SELECT root, sum(len) AS m FROM seg GROUP BY root) USING (root) GROUP BY con)
+SELECT first_root, mileage, CAST(row_number() OVER (ORDER BY first_root) - 1 AS BIGINT) AS csv_order FROM c""")
+def connected_routes_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    net = Net(spark, sf_dir)
+    miles = net.segments.groupBy("root").agg(F.sum("length").alias("m"))
+    per = net.routes.join(miles, "root", "left").groupBy("con_id").agg(F.min("root").alias("first_root"), F.round(F.coalesce(F.sum("m"), F.lit(0.0)), 2).alias("mileage"))
+    return dense(per.select("first_root", "mileage"), ["first_root"], "csv_order").select("first_root", "mileage", F.col("csv_order").cast("long"))
+
+
+@query("snk01_connected_roots_table", "SELECT first_root, root FROM (SELECT root, min(root) OVER (PARTITION BY con) AS first_root FROM rts) WHERE root <> first_root")
+def connected_roots_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the second root of a connected route on."""
+    routes = tables.routes(spark, sf_dir).select("con_id", "root")
+    first = routes.groupBy("con_id").agg(F.min("root").alias("first_root"))
+    return routes.join(first, "con_id").where("root <> first_root").select("first_root", "root")
+
+
+@query("snk01_segments_table", """, ids AS (SELECT root, idx, CAST(row_number() OVER (ORDER BY root, idx) - 1 AS BIGINT) AS id FROM pts) SELECT CAST(row_number() OVER (ORDER BY s.root, s.idx) - 1 AS BIGINT) AS segment_id, id AS waypoint1, id + 1 AS waypoint2, s.root FROM seg s JOIN ids USING (root, idx)""")
+def segments_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A segment's second point is the next one after its first."""
+    points = dense(tables.points(spark, sf_dir).select("root", "idx"), ["root", "idx"], "id").select("root", "idx", F.col("id").cast("long").alias("id"))
+    last = points.groupBy("root").agg(F.max("idx").alias("last"))
+    rows = points.join(last, "root").where("idx < last")
+    return dense(rows.select("root", "idx", "id"), ["root", "idx"], "segment_id").select(F.col("segment_id").cast("long"), F.col("id").alias("waypoint1"), (F.col("id") + 1).alias("waypoint2"), "root")
+
+
+@query("snk01_list_entries_table", "SELECT CAST(user_id AS VARCHAR) AS traveler, 'events of ' || user_id AS description, user_id % 5 <> 0 AS include_in_ranks FROM events GROUP BY user_id", base=False)
+def list_entries_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    user = F.col("user_id").cast("string")
+    return tables.read(spark, sf_dir, "events").select("user_id").distinct().select(user.alias("traveler"), F.concat(F.lit("events of "), user).alias("description"), (F.col("user_id") % 5 != 0).alias("include_in_ranks"))
+
+
+@query("snk01_datacheck_errors_table", LABELS + f"SELECT *, root % 3 = 0 AS fp FROM ({check_sql()})", base=False)
+def datacheck_errors_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = checks.run(labels(spark, sf_dir), checks.lexical())
+    return checks.matched(found, found.where("root % 3 = 0"))
+
+
+@query("snk01_system_mileage_table", "SELECT sys AS system, reg AS region, round(sum(len / n_system), 2) AS mileage FROM shr WHERE lvl <> 'devel' GROUP BY ALL HAVING sum(len) <> 0")
+def system_mileage_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = Net(spark, sf_dir).groups.where("level <> 'devel'").groupBy("system", "region")
+    return rows.agg(stats.miles(F.col("length") / F.col("n_system")).alias("mileage"), F.sum("length").alias("s")).where("s <> 0").drop("s")
+
+
+@query("snk04_system_pivot", """, m AS (SELECT trav, sys, reg, sum(len / n_system) AS v FROM cli WHERE lvl <> 'devel' GROUP BY ALL), t AS (SELECT sys, reg, sum(len / n_system) AS v FROM shr WHERE lvl <> 'devel' GROUP BY ALL), c AS (SELECT sys, CAST(trav AS VARCHAR) AS traveler, reg, v FROM m UNION ALL SELECT sys, 'TOTAL', reg, v FROM t)
+SELECT sys AS system, traveler, round(sum(v), 1) AS total, """ + ", ".join(f"""round(coalesce(sum(v) FILTER (reg = '{n}'), 0), 1) AS "{n}\"""" for n in NATIONS) + " FROM c GROUP BY ALL HAVING sum(v) > 0")
 def system_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = Net(spark, sf_dir).clinched_groups
-    m = rows.groupBy("system", "traveler", "region").agg(F.sum(F.col("length") / F.col("n_system")).alias("v"))
-    of = lambda n: F.round(F.coalesce(F.sum(F.when(F.col("region") == n, F.col("v"))), F.lit(0.0)), 1).alias(n.lower())
-    return m.groupBy("system", F.col("traveler").cast("string").alias("traveler")).agg(F.round(F.sum("v"), 1).alias("total"), of("NATION_0"), of("NATION_1"))
+    """Every system's table of travelers with mileage there by region, with a Total column and a TOTAL row."""
+    net = Net(spark, sf_dir)
+    value = F.sum(F.col("length") / F.col("n_system")).alias("v")
+    own = net.clinched_groups.groupBy("system", F.col("traveler").cast("string").alias("traveler"), "region").agg(value)
+    whole = net.groups.where("level <> 'devel'").groupBy("system", F.lit("TOTAL").alias("traveler"), "region").agg(value)
+    wide = own.unionByName(whole).groupBy("system", "traveler").pivot("region", NATIONS).agg(F.sum("v"))
+    cells = [F.coalesce(F.col(n), F.lit(0.0)) for n in NATIONS]
+    total = sum(cells, F.lit(0.0))
+    return wide.where(total > 0).select("system", "traveler", F.round(total, 1).alias("total"), *(F.round(c, 1).alias(n) for c, n in zip(cells, NATIONS, strict=True)))
 
 
 @query("snk05_route_stats", """SELECT 'system' AS kind, sys || ' / ' || reg AS name, round(sum(len / n_system), 1) AS miles FROM shr GROUP BY sys, reg UNION ALL SELECT 'region', reg, round(sum(CASE WHEN lvl = 'active' THEN len / n_active ELSE 0 END), 1) FROM shr GROUP BY reg UNION ALL SELECT 'route', CAST(root AS VARCHAR), round(sum(len), 1) FROM seg GROUP BY root""")
@@ -75,14 +154,24 @@ def points_in_use(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ends.join(net.points.select("root", "idx", "label"), ["root", "idx"]).groupBy("root").agg(F.concat_ws(" ", F.sort_array(F.collect_set("label"))).alias("labels"))
 
 
-@query("snk08_concurrency_log")
+@query("snk08_concurrency_log", """, g AS (SELECT alat, alng, blat, blng, list(root || '#' || idx ORDER BY sys, root, idx) AS m FROM grp WHERE NOT zero GROUP BY ALL HAVING count(*) > 1)
+SELECT CASE WHEN k = 2 THEN 'New' ELSE 'Extended' END AS kind, array_to_string(m[1 : k], ' ') AS members FROM (SELECT m, unnest(range(2, len(m) + 1)) AS k FROM g)""")
 def concurrency_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New and Extended lines of pairs with several segments: each lists the members up to itself."""
-    rows = Net(spark, sf_dir).shared.where("pair IS NOT NULL AND n_all > 1")
-    order = Window.partitionBy("pair").orderBy("system", "root", "idx")
-    upto = F.collect_list(F.concat_ws("#", F.col("root").cast("string"), F.col("idx").cast("string"))).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    told = rows.select("pair", F.row_number().over(order).alias("k"), upto.alias("members")).where("k > 1")
-    return told.select(F.when(F.col("k") == 2, "New").otherwise("Extended").alias("kind"), F.concat_ws(" ", "members").alias("members"))
+    """New and Extended lines of pairs with several segments: each lists the members up to itself, as the log does."""
+    rows = Net(spark, sf_dir).named.where("pair IS NOT NULL")
+    name = F.concat_ws("#", F.col("root").cast("string"), F.col("idx").cast("string"))
+    lists = rows.groupBy("pair").agg(F.array_sort(F.collect_list(F.struct("system", "root", "idx", name.alias("name")))).alias("m")).where("size(m) > 1")
+    told = lists.select("m", F.explode(F.sequence(F.lit(2), F.size("m"))).alias("k"))
+    return told.select(F.when(F.col("k") == 2, "New").otherwise("Extended").alias("kind"), F.concat_ws(" ", F.slice(F.col("m.name"), F.lit(1), F.col("k"))).alias("members"))
+
+
+@query("snk08_augment_log", """SELECT DISTINCT trav AS traveler, p.root || '#' || p.idx AS segment FROM prop p ANTI JOIN dir USING (trav, root, idx)""")
+def augment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments that travelers have only by concurrency, not by their lists."""
+    net = Net(spark, sf_dir)
+    key = ["traveler", "root", "idx"]
+    got = net.clinched.select(*key).join(net.direct.select(*key), key, "left_anti")
+    return got.select("traveler", F.concat_ws("#", F.col("root").cast("string"), F.col("idx").cast("string")).alias("segment"))
 
 
 _LINE = "concat_ws(';', CAST(root AS VARCHAR), label1, label2, label3, code, info)"

@@ -22,14 +22,18 @@ def write_tables(tables: dict[str, DataFrame], path: str) -> None:
 
 
 def sql_text(df: DataFrame, name: str, batch: int = 10_000) -> DataFrame:
-    """INSERT statements of up to `batch` rows each, as one text column in row order of all columns."""
-    quoted = [F.concat(F.lit("'"), F.replace(F.col(c).cast("string"), F.lit("'"), F.lit("''")), F.lit("'")) for c in df.columns]
-    row = F.concat(F.lit("("), F.concat_ws(",", *(F.coalesce(q, F.lit("NULL")) for q in quoted)), F.lit(")"))
+    """A table as SQL text (part, value): statements that drop and create it, then INSERT statements of up to `batch` rows each,
+    in the order of the rows' texts."""
     from .operators.numbering import dense
 
+    quoted = [F.concat(F.lit("'"), F.replace(F.col(c).cast("string"), F.lit("'"), F.lit("''")), F.lit("'")) for c in df.columns]
+    row = F.concat(F.lit("("), F.concat_ws(",", *(F.coalesce(q, F.lit("NULL")) for q in quoted)), F.lit(")"))
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    columns = ", ".join(f"{c} {kinds.get(kind, 'TEXT')}" for c, kind in df.dtypes)
+    head = df.sparkSession.range(1).select(F.inline(F.array(*[F.struct(F.lit(k).cast("long").alias("part"), F.lit(text).alias("value")) for k, text in ((-2, f"DROP TABLE IF EXISTS {name};"), (-1, f"CREATE TABLE {name} ({columns});"))])))
     numbered = dense(df.select(row.alias("row")), ["row"], "n")
     lists = numbered.groupBy(F.floor(F.col("n") / batch).alias("part")).agg(F.array_sort(F.collect_list("row")).alias("rows"))
-    return lists.select("part", F.concat(F.lit(f"INSERT INTO {name} VALUES\n"), F.concat_ws(",\n", "rows"), F.lit(";")).alias("value"))
+    return head.unionByName(lists.select("part", F.concat(F.lit(f"INSERT INTO {name} VALUES\n"), F.concat_ws(",\n", "rows"), F.lit(";")).alias("value")))
 
 
 def write_logs(lines: DataFrame, path: str, by: str | None = None) -> None:
