@@ -17,7 +17,7 @@ from ..shipping import ship
 __all__ = ["CHUNK_BYTES", "Durable", "freed_shuffles", "shared_dir", "ship", "table", "text_buffer", "text_chunks", "unlike"]
 
 #: Bytes of text that one numpy pass handles; bounds the memory of a Python worker.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _own_dir: list[str] = []
 

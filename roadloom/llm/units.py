@@ -18,7 +18,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Distinct units that a worker remembers; beyond it forgets those met only once (memory, not results, depend on it).
-UNIT_LIMIT = 1_200_000
+UNIT_LIMIT = 900_000
 
 _U = np.uint64
 _MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
@@ -127,7 +127,7 @@ class UnitTable:
         k, n = len(a), self.n
         while n + k > len(self.a):
             self.a, self.b, self.again = (np.resize(x, 2 * len(x)) for x in (self.a, self.b, self.again))
-            self.first = np.resize(self.first, 2 * len(self.a) + 1)
+            self.first = np.resize(self.first, len(self.a) + 1)
         while self.used + len(flat) > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
         self.a[n : n + k], self.b[n : n + k], self.again[n : n + k] = a, b, False
