@@ -14,13 +14,14 @@ from roadloom.llm.common import Durable, ship, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which no language can be told: null texts and texts without a letter."""
+    """Keeps documents in a learned language told with enough confidence, which becomes their lang; drops the others."""
     ship(spark)
     return language_id.keep_identified(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group of near-duplicates (word 5-grams, similarity 0.8)."""
+    """Keeps the document of the smallest id of each group of near-duplicates (word 5-grams, similarity 0.8): candidates of the
+    Gray-order SimHash index first, every link verified."""
     ship(spark)
     return shingles.keep_first(docs)
 
@@ -51,7 +52,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Tokenizing, naive Bayes and the genetic algorithm have no SQL form; tests hold the stages against brute force.
+#: Tokenizing, naive Bayes and the genetic algorithm have no SQL form; tests/llm/test_pipeline.py runs all stages on small tables.
 ORACLE_SQL = None
 
 
