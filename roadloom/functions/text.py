@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -82,17 +83,20 @@ def fifteen_digits(x: Column) -> Column:
     return F.when(x.isNotNull(), F.when(F.contains(every, F.lit(".")), F.regexp_replace(every, r"\.?0+$", "")).otherwise(every))
 
 
+def _fitting(s: Column, n: int, part: Callable[[Column], Column]) -> Column:
+    """The most characters of which part(k) has n bytes of UTF-8 at most; a character has one byte at least."""
+    upto = F.sequence(F.lit(0), F.least(F.lit(n), F.length(s)))
+    return F.array_max(F.filter(upto, lambda k: F.octet_length(part(k)) <= n))
+
+
 def cut_bytes(s: Column, n: int) -> Column:
     """The most whole characters from the start that fit into n bytes of UTF-8."""
-    # a character that the cut goes through decodes to the replacement character
-    cut = F.decode(F.substring(F.encode(s, "UTF-8"), 1, n), "UTF-8")
-    return F.when(F.octet_length(s) <= n, s).otherwise(F.regexp_replace(cut, "\ufffd+$", ""))
+    return F.when(F.octet_length(s) <= n, s).otherwise(F.left(s, _fitting(s, n, lambda k: F.left(s, k))))
 
 
 def end_bytes(s: Column, n: int) -> Column:
     """The most whole characters at the end that fit into n bytes of UTF-8."""
-    cut = F.decode(F.substring(F.encode(s, "UTF-8"), -n, n), "UTF-8")
-    return F.when(F.octet_length(s) <= n, s).otherwise(F.regexp_replace(cut, "^\ufffd+", ""))
+    return F.when(F.octet_length(s) <= n, s).otherwise(F.right(s, _fitting(s, n, lambda k: F.right(s, k))))
 
 
 def shortened(s: Column, n: int) -> Column:

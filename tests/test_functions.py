@@ -84,14 +84,37 @@ def network_of(spark):
 
 def test_split_mileage_and_propagation(spark):
     points, routes = network_of(spark)
-    shared = network.shares(network.segments(points), routes).cache()
+    named = network.segments(points).join(routes, "root").cache()
+    shared = network.shares(named).cache()
     counts = {(r["root"], r["idx"]): (r["n_all"], r["n_active"], r["n_shown"]) for r in shared.collect()}
     assert counts == {("a", 0): (1, 1, 1), ("a", 1): (3, 1, 2), ("b", 0): (3, 1, 2), ("c", 0): (3, 1, 2)}
-    direct = spark.createDataFrame([("t", "b", 0)], "traveler string, root string, idx int")
-    spread = travel.propagated(direct, shared)
-    assert sorted((r["root"], r["idx"]) for r in spread.collect()) == [("a", 1), ("b", 0)]
-    again = travel.propagated(spread, shared)
-    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, spread.collect()))
+    entries = spark.createDataFrame([("t", "b", 0, 1), ("t", "b", 0, 1), ("u", "b", 1, 1)], "traveler string, root string, beg int, end int")
+    direct = travel.covered(entries, named)
+    spread = travel.clinched(direct, named)
+    assert sorted((r["traveler"], r["root"], r["idx"]) for r in spread.collect()) == [("t", "a", 1), ("t", "b", 0)]
+    again = travel.clinched(spread.select("traveler", *named.columns), named)
+    assert sorted(map(str, again.collect())) == sorted(map(str, spread.collect()))
+    # sums by system and region tell the same miles
+    groups = network.groups(named)
+    summed = {r["system"]: r["m"] for r in travel.clinched_groups(direct, groups).groupBy("system").agg(F.sum(F.col("length") / F.col("n_shown")).alias("m")).collect()}
+    single = spread.join(shared.select("root", "idx", "n_shown"), ["root", "idx"]).groupBy("system").agg(F.sum(F.col("length") / F.col("n_shown")).alias("m"))
+    assert summed.keys() == {"s1", "s2"} and all(math.isclose(summed[r["system"]], r["m"]) for r in single.collect())
+
+
+def test_ranks(spark):
+    from roadloom.operators import stats
+
+    values = [5.0, 3.0, 5.0, 1.0, 3.0, None]
+    rows = spark.createDataFrame([(i, v, -i, i != 2) for i, v in enumerate(values)], "id int, x double, y int, ok boolean")
+    got = {r["id"]: (r["rx"], r["ry"]) for r in stats.ranked(rows, {"x": "rx", "y": "ry"}, F.col("ok")).collect()}
+    assert {k: v for k, v in got.items() if k != 5} == {0: (1, 1), 1: (2, 2), 2: (-1, -1), 3: (4, 3), 4: (2, 4)}
+
+
+def test_cut_texts(spark):
+    assert one(spark, text.cut_bytes(F.lit("aé日b"), 4)) == "aé" and one(spark, text.end_bytes(F.lit("aé日b"), 5)) == "日b"
+    assert one(spark, text.shortened(F.lit("abcdefgh"), 6)) == "abc..." and one(spark, text.shortened(F.lit("abc"), 6)) == "abc"
+    for value in (0.0, -30.25, 123.456789012345, 0.000125, 100000.5):
+        assert one(spark, text.fifteen_digits(F.lit(value))) == f"{value:.15g}"
 
 
 def test_near_misses_against_brute_force(spark):
