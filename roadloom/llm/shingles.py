@@ -8,9 +8,12 @@ Candidates come first from the Gray-order index of `simhash` over the fingerprin
 differ in some 10 of 64 bits, out of reach of any such index, so minima of the shingles' hashes make `BANDS` keys of `ROWS`
 each: a pair at similarity 0.8 shares none with probability 0.00007, more alike pairs with less. Buckets of equal keys are
 held against each other in turns: in the first ones every member of a bucket is held against one leader, so a crowd of near
-copies mostly becomes one group by as many pairs as it has members; the last one holds all those members of a bucket against
-each other that the turns before left in different groups. No pair of a bucket is left out, so how many are held grows with
-the square of a bucket only where its members are not alike.
+copies mostly becomes one group by as many pairs as it has members. What these turns leave in different groups of one bucket
+is searched by prefix filtering: a set's shingles are ordered by how many of these sets hold them, rarest first; two sets
+of n <= m shingles at similarity 0.8 share one of the first n / 9 + 1 and m / 5 + 1, so texts that only share a passage don't
+meet, as its shingles are frequent and come last. Those that meet are told apart by bitmaps of `PARITY` bits (whether an even
+or odd number of a set's shingles falls on each bit), which differ in no more bits than the sets have shingles of their own.
+These filters lose no linked pair. Crowds of texts just below 0.8 still meet each other within a shingle's group there.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Durable, text_chunks, unlike
@@ -29,7 +32,7 @@ from .simhash import links as simhash_links
 from .simhash import majority
 from .words import packed, words_of
 
-SHINGLE, SEED, BANDS, ROWS, STAR_TURNS = 5, 42, 24, 5, 2
+SHINGLE, SEED, BANDS, ROWS, STAR_TURNS, PARITY = 5, 42, 24, 5, 2, 256
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
@@ -90,25 +93,35 @@ def _signed(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(work, "doc_id long, row long, s long, fp long, bands array<long>")
 
 
+def parity_of(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set (row) the parity of its shingles on each of `PARITY` bits, as longs."""
+    odd = np.zeros((len(sets), PARITY), np.uint8)
+    for k, s in enumerate(sets):
+        odd[k] = np.bincount((s % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd, axis=1, bitorder="little").view(np.int64)
+
+
 def _sets(rows: DataFrame) -> DataFrame:
-    """rows: text. s, shingles (distinct hashes)."""
+    """rows: text. s, n, parity, shingles (n distinct hashes)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, data, offsets in text_chunks(batch, "text"):
                 sets = distinct_of(*shingles_of(data, offsets))
-                flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-                upto = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-                yield pa.RecordBatch.from_arrays([pa.array(names_of(sets)), pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(flat))], ["s", "shingles"])
+                sizes = np.array([len(s) for s in sets], np.int64)
+                upto = np.concatenate([[0], np.cumsum(sizes)])
+                parity = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * (PARITY // 64), pa.int32()), pa.array(parity_of(sets).ravel()))
+                shingles = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(names_of(sets)), pa.array(sizes), parity, shingles], ["s", "n", "parity", "shingles"])
 
-    return rows.mapInArrow(work, "s long, shingles array<long>")
+    return rows.mapInArrow(work, "s long, n long, parity array<long>, shingles array<long>")
 
 
 def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) with similarity 0.8 or more: common / (all - common) >= 4 / 5."""
-    size = sets.select("s", F.size("shingles").alias("n"))
+    size = sets.select("s", "n")
     near = pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b").where("5 * least(na, nb) >= 4 * greatest(na, nb)")
-    both = near.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    both = near.join(sets.select("s", "shingles").toDF("a", "sa"), "a").join(sets.select("s", "shingles").toDF("b", "sb"), "b")
     return both.where(F.size(F.array_intersect("sa", "sb")) * 9 >= (F.col("na") + F.col("nb")) * 4).select("a", "b")
 
 
@@ -116,6 +129,25 @@ def _pair(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _prefix_pairs(left: DataFrame, sets: DataFrame) -> DataFrame:
+    """left: s, c (its group). Pairs (a, b) of different groups, among them all at similarity 0.8."""
+    held = Durable(left.join(sets, "s").select("s", "c", "n", F.explode("shingles").alias("t")), "open-shingles").df
+    shared = held.groupBy("t").agg(F.count("*").alias("f")).where("f > 1")
+    of_set = Window.partitionBy("s")
+    # the shingles of one set alone come first and meet nobody: they only take places
+    placed = held.join(shared, "t").withColumn("alone", F.col("n") - F.count("*").over(of_set)).where("alone <= n div 5")
+    place = (F.col("alone") + F.row_number().over(of_set.orderBy("f", "t"))).alias("at")
+    prefix = Durable(placed.select("t", "s", "c", "n", place).where("at <= n div 5 + 1").join(sets.select("s", "parity"), "s"), "prefixes").df
+    mixed = prefix.groupBy("t").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least <> most").select("t")
+    met = Durable(prefix.join(mixed, "t", "left_semi").select("t", "s", "c", "n", "at", "parity"), "prefixes").df
+    unlike_bits = " + ".join(f"bit_count(parity[{k}] ^ parity2[{k}])" for k in range(PARITY // 64))
+    near = met.where("at <= n div 9 + 1").join(met.toDF("t", "s2", "c2", "n2", "at2", "parity2"), "t").where(
+        "c <> c2 AND (n < n2 OR n = n2 AND s < s2) AND 5 * n >= 4 * n2"
+        f" AND 9 * (1 + least(n - at, n2 - at2)) >= 4 * (n + n2) AND 9 * ({unlike_bits}) <= n + n2"
+    )
+    return near.select(*_pair("s", "s2"))
+
+
 def _gray(firsts: DataFrame) -> DataFrame:
     """Pairs (a, b) that the Gray-order index links: of equal fingerprints with one of them, and of near fingerprints."""
     some = firsts.where(F.size("bands") > 0)
@@ -147,8 +179,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
         if turn < STAR_TURNS:
             open_ = at.join(leaders, "g").where("c <> leader.c").select(*_pair("s", "leader.s"))
         else:
-            left = at.join(leaders.select("g"), "g", "left_semi")
-            open_ = left.toDF("g", "s", "c").join(left.toDF("g", "s2", "c2"), "g").where("c < c2").select(*_pair("s", "s2"))
+            open_ = _prefix_pairs(at.join(leaders.select("g"), "g", "left_semi").select("s", "c").distinct(), sets)
         pairs = Durable(open_.distinct().join(held, ["a", "b"], "left_anti"), "candidates").df
         if turn == STAR_TURNS and pairs.isEmpty():
             break

@@ -48,3 +48,30 @@ def test_stage_takes_out_near_copies(spark):
     assert sorted(map(tuple, kept.collect()), key=str) == sorted(want, key=str)
     assert len(want) < len(rows) - 40
     assert stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_prefix_pairs_lose_no_link(spark):
+    from roadloom.llm import shingles as stage
+
+    r = random.Random(11)
+    passage = [f"p{k}" for k in range(40)]  # one crowd just about the limit, as many texts that only share the passage
+    texts = {" ".join(passage[:k] + [f"x{r.randrange(9)}"] + passage[k + 1 :]) for k in range(40) for _ in range(3)}
+    texts |= {" ".join(passage + [f"y{r.randrange(999)}" for _ in range(r.randint(1, 60))]) for _ in range(60)}
+    texts |= {" ".join(f"z{r.randrange(5)}" for _ in range(r.randint(1, 12))) for _ in range(60)}
+    sets = stage._sets(spark.createDataFrame([(t,) for t in sorted(texts)], "text string"))
+    held = {x.s: frozenset(x.shingles) for x in sets.collect()}
+    group = {s: k % 3 for k, s in enumerate(sorted(held))}
+    left = spark.createDataFrame(list(group.items()), "s long, c long")
+    found = {(x.a, x.b) for x in stage._prefix_pairs(left, sets.dropDuplicates(["s"])).collect()}
+    every = [(a, b) for a in held for b in held if a < b and group[a] != group[b]]
+    want = {(a, b) for a, b in every if similar(held[a], held[b])}
+    assert want and want <= found and len(found) < len(every) / 4
+    for a, b in every:  # the bitmaps never differ in more bits than the sets
+        assert len(held[a] ^ held[b]) >= differing(stage, held[a], held[b])
+
+
+def differing(stage, a, b):
+    import numpy as np
+
+    x, y = stage.parity_of([np.array(sorted(s), np.int64).view(np.uint64) for s in (a, b)]).view(np.uint64)
+    return int(np.bitwise_count(x ^ y).sum())
