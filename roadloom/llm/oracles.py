@@ -39,4 +39,39 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce
 FROM docs LEFT JOIN kept USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op8_max_score": MAX_SCORE, "op9_recompression": RECOMPRESSION}
+#: Every term of every group, every pair of sources.
+DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), words AS (
+  SELECT row, lang, source, unnest(words) AS term FROM docs
+), kept AS (
+  SELECT lang, term, CAST(count(*) AS HUGEINT) AS lang_n FROM words GROUP BY lang, term HAVING count(DISTINCT row) >= 10
+), sizes AS (
+  SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), counts AS (
+  SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term
+), cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.lang_n, s.v, s.lang_total, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+  FROM groups g JOIN kept k USING (lang) JOIN sizes s USING (lang) LEFT JOIN counts c USING (lang, source, term)
+), shares AS (
+  SELECT lang, source, term, n, 1 + 1000000000 * (n + 2) // (total + 2 * v) AS p, 1 + 1000000000 * (lang_n + 2) // (lang_total + 2 * v) AS q FROM cells
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM rows
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op8_max_score": MAX_SCORE, "op9_recompression": RECOMPRESSION, "op11_divergence": DIVERGENCE}
