@@ -74,4 +74,39 @@ WITH docs AS (
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
 """
 
-ORACLES: dict[str, str] = {"op8_max_score": MAX_SCORE, "op9_recompression": RECOMPRESSION, "op11_divergence": DIVERGENCE}
+#: All runs of one to four words of all pieces.
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) AS piece FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, len, array_to_string(w[p : p + len - 1], ' ') AS phrase
+  FROM (SELECT lang, w, len, unnest(range(1, len(w) - len + 2)) AS p FROM words, (SELECT unnest([1, 2, 3, 4]) AS len))
+), counts AS (
+  SELECT lang, len, phrase, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30
+), totals AS (
+  SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang
+), candidates AS (
+  SELECT lang, len, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE len > 1
+), cuts AS (
+  SELECT c.lang, c.len, c.phrase, c.a, c.w, k, array_to_string(w[1 : k], ' ') AS head, array_to_string(w[k + 1 :], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, len)) AS k FROM candidates) c
+), scored AS (
+  SELECT c.*, x.f AS l, y.f AS r, 2000000 * a // (x.f + y.f) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.head JOIN counts y ON y.lang = c.lang AND y.phrase = c.tail
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_runs AS (
+  SELECT lang, array_to_string(w[p : p + m - 1], ' ') AS phrase, a AS longer
+  FROM (SELECT *, unnest(range(1, len - m + 2)) AS p FROM (SELECT *, unnest(range(2, len)) AS m FROM candidates))
+), kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM inner_runs i WHERE i.lang = b.lang AND i.phrase = b.phrase AND 100 * i.longer >= 80 * b.a)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op8_max_score": MAX_SCORE, "op9_recompression": RECOMPRESSION, "op11_divergence": DIVERGENCE, "op12_collocations": COLLOCATIONS}
