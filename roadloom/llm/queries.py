@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import collocations, divergence, html_text, language_id, max_score, mixing, multi_index, packing, prefix_tokens, recompress, simhash, token_files
+from . import collocations, divergence, html_text, language_id, max_score, mixing, multi_index, packing, prefix_tokens, recompress, secret_scan, simhash, token_files
 from .common import table
 from .oracles import ORACLES
 
@@ -60,8 +60,12 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents"), least=30, top=2000)
 
 
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op1_token_ids, op2_html_text, op3_language_id, op4_simhash, op5_multi_index, op6_packing, op7_mixing, op8_max_score, op9_recompression, op10_token_counts, op11_divergence, op12_collocations)
+    made = (op1_token_ids, op2_html_text, op3_language_id, op4_simhash, op5_multi_index, op6_packing, op7_mixing, op8_max_score, op9_recompression, op10_token_counts, op11_divergence, op12_collocations, op13_secrets)
     return {f.__name__: f for f in made}
 
 
