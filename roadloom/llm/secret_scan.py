@@ -14,7 +14,8 @@ Fisher's sum joins the three p-values to one, p, which is uniform for random tok
 The mean and variance of all three depend on the length. Which candidates are told as secrets is a matter of false discovery:
 in each stratum of encoding and length, the tokens with p >= `SURE` tell how many random ones there are, r (that many over
 1 - `SURE`), so of the m tokens at or above a threshold t all but r * (1 - t) are false. The stratum's threshold is the least of `GRID` at which that
-share is at most `FALSE`; it is taken from the counts of all documents, and a stratum's counts are eked out by `WEIGHT` tokens
+share is at most `FALSE`; it is taken from all documents, where a token that
+repeats counts once, and a stratum's counts are eked out by `WEIGHT` tokens
 spread as the whole corpus' are and one of no evidence, so that small strata borrow and a lone token proves nothing. A stratum
 without such a threshold adds no span.
 
@@ -188,15 +189,16 @@ def battery(code: Column, body: Column) -> Column:
 
 
 def judged(text: Column) -> Column:
-    """start, end, stratum, p of all candidates that have an encoding."""
-    known = F.filter(F.transform(candidates(text), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), encoding(m["hit"]).alias("e"))), lambda m: m["e"].isNotNull())
+    """start, end, key, stratum, p of all candidates that have an encoding."""
+    known = F.filter(F.transform(candidates(text), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.xxhash64(m["hit"]).alias("key"), encoding(m["hit"]).alias("e"))), lambda m: m["e"].isNotNull())
     step = lambda body: F.floor(2 * F.log2(F.length(body).cast("double"))).cast("int")
-    return F.transform(known, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), (m["e"]["code"] * 100 + step(m["e"]["body"])).alias("stratum"), battery(m["e"]["code"], m["e"]["body"]).alias("p")))
+    return F.transform(known, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["key"].alias("key"), (m["e"]["code"] * 100 + step(m["e"]["body"])).alias("stratum"), battery(m["e"]["code"], m["e"]["body"]).alias("p")))
 
 
 def thresholds(found: DataFrame) -> DataFrame:
-    """stratum, threshold (hundredths), from the counts of all candidates; strata that reach none are left out."""
-    counts = found.select(F.inline("judged")).groupBy("stratum", F.least(F.floor(F.col("p") * 100), F.lit(99)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    """stratum, threshold (hundredths), from the counts of all different candidates; strata that reach none are left out."""
+    bin_of = F.least(F.floor(F.col("p") * 100), F.lit(99)).cast("int").alias("bin")
+    counts = found.select(F.inline("judged")).select("stratum", bin_of, "key").distinct().groupBy("stratum", "bin").agg(F.count("*").alias("n"))
     at = F.explode(F.sequence(F.lit(0), F.least(F.col("bin"), F.lit(GRID[1])))).alias("t")
     sure = F.sum(F.when(F.col("bin") >= SURE, F.col("n")).otherwise(0))
     per = counts.groupBy("stratum").agg(sure.alias("sure"))
