@@ -288,6 +288,6 @@ def route_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("m01_rank_tables", """, m AS (SELECT trav, reg, round(sum(CASE WHEN lvl = 'active' THEN len / n_active ELSE 0 END), 2) AS am FROM cli WHERE lvl <> 'devel' GROUP BY ALL), s AS (SELECT trav, round(sum(am)) AS miles FROM m GROUP BY trav)
 SELECT trav AS traveler, miles, CAST(rank() OVER (ORDER BY miles DESC) AS INTEGER) AS miles_rank FROM s""")
 def rank_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = Net(spark, sf_dir).clinched.where("level <> 'devel'").groupBy("traveler", "region").agg(stats.miles(stats.active()).alias("am"))
+    rows = Net(spark, sf_dir).clinched_groups.groupBy("traveler", "region").agg(stats.miles(stats.active()).alias("am"))
     totals = rows.groupBy("traveler").agg(F.round(F.sum("am")).alias("miles"))
-    return stats.ranked(totals, "miles", "miles_rank", F.lit(True))
+    return stats.ranked(totals, {"miles": "miles_rank"}, F.lit(True))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T  # noqa: N812
-from ..operators import lists
+from ..operators import lists, travel
 from ..sources import native, tables
 from .registry import query
 
@@ -170,6 +170,9 @@ class _Lists:
         twice = self.routes.where("root % 7 = 0").selectExpr("root", "6 AS idx", "0 AS pos", "'p2' AS label")
         self.labels = lists.point_labels(own.unionByName(twice))
         self.names = lists.route_names(self.routes)
+        # each part has a point for each of its labels, and segments between them
+        self.lengths = self.routes.select("root", F.when(F.col("root") % 7 == 0, 7).otherwise(6).alias("n"))
+        self.segments = self.lengths.select("root", F.explode(F.sequence(F.lit(0), F.col("n") - 2)).alias("idx"))
         n = part.count() + 50
         events = tables.read(spark, sf_dir, "events").selectExpr("user_id AS traveler", "event_id AS line_no", f"event_id % {n} AS p", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k")
         self.lines = events.selectExpr("traveler", "line_no", "array('reg' || (p % 3), CASE WHEN line_no % 6 = 0 THEN 'a' ELSE 'r' END || p, '*P' || (k % 7), 'p' || (k % 5)) AS fields")
@@ -230,15 +233,13 @@ SELECT line_no, root, CAST(CASE WHEN o = fo AND o = to_ THEN least(fi, ti) WHEN
  CAST(CASE WHEN o = fo AND o = to_ THEN greatest(fi, ti) WHEN o = fo THEN CASE WHEN rev THEN fi ELSE last END WHEN o = to_ THEN CASE WHEN rev THEN last ELSE ti END ELSE last END AS INTEGER) AS fin FROM j""", base=False)
 def connected_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = _Lists(spark, sf_dir)
-    lengths = at.routes.select("root", F.when(F.col("root") % 7 == 0, 7).otherwise(6).alias("n"))
-    return lists.connected_ranges(at.resolved_connected, at.connected, lengths).select("line_no", "root", "beg", F.col("end").alias("fin"))
+    return lists.connected_ranges(at.resolved_connected, at.connected, at.lengths).select("line_no", "root", "beg", F.col("end").alias("fin"))
 
 
 @query("tl06_segment_dedupe", _TL + "SELECT DISTINCT trav AS traveler, root, CAST(unnest(range(least(i1, i2), greatest(i1, i2))) AS INTEGER) AS idx FROM st WHERE status = 'ok'", base=False)
 def segment_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.travel import covered
-
-    return covered(_Lists(spark, sf_dir).resolved.where("status = 'ok'"))
+    at = _Lists(spark, sf_dir)
+    return travel.covered(at.resolved.where("status = 'ok'"), at.segments).distinct()
 
 
 @query("tl07_names_in_use", _TL + "SELECT DISTINCT root FROM st WHERE status IN ('ok', 'duplicate label')", base=False)
@@ -261,11 +262,9 @@ def control_characters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("tl10_good_lines", _TL + """, g AS (SELECT trav, count(*) FILTER (status = 'ok') AS n FROM st GROUP BY trav), s AS (SELECT trav, count(*) AS m FROM (SELECT DISTINCT trav, root, unnest(range(least(i1, i2), greatest(i1, i2))) AS i FROM st WHERE status = 'ok') GROUP BY trav)
 SELECT g.trav AS traveler, 'Processed ' || n || ' good lines marking ' || coalesce(m, 0) || ' segments.' AS message FROM g LEFT JOIN s ON g.trav = s.trav""", base=False)
 def good_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.travel import covered
-
     at = _Lists(spark, sf_dir)
     n = at.resolved.groupBy("traveler").agg(F.count_if(F.col("status") == "ok").alias("n"))
-    m = covered(at.resolved.where("status = 'ok'")).groupBy("traveler").agg(F.count("*").alias("m"))
+    m = travel.covered(at.resolved.where("status = 'ok'"), at.segments).distinct().groupBy("traveler").agg(F.count("*").alias("m"))
     return n.join(m, "traveler", "left").select("traveler", F.format_string("Processed %d good lines marking %d segments.", "n", F.coalesce("m", F.lit(0))).alias("message"))
 
 
