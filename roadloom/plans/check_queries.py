@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import checks, network
+from ..operators import checks, connected, network
 from ..sources import tables
 from .network_queries import Net
-from .registry import query
+from .registry import BASE, query
 
 #: Label forms, picked by p_partkey; text that both engines read. n: p_partkey % 1000, s: p_size.
 _FORMS = ["'I-' || s || 'BUS'", "'I' || s", "'US' || s || 'A'", "'_' || s", "'Main_'", "'X' || (100000 + n)", "'main' || s", "'Exit(' || s", "'A/B/C' || s", "'Old' || s", "'A_B_C'", "'Foo_Longer'", "'Foo_Bar/Baz'", "'Foo_bar'", "'Bad!Label' || n", "'LongLabel' || n || 'LongLabelLongLabel'", "'Ex' || s || '(' || n || ')'", "'*I-' || s || 'eBus'", "'US' || s || 'B_Nam'", "'+X' || n", "'*ToI' || s", "'US' || s || 'BCit'", "'A)' || s || '('", "'Foo_U' || s", "'Foo_CitA'", "'P' || n", "'**/' || s", "'*old' || s", "'http://www.example.org/a/long/path/of/' || n", "'VeryLong' || repeat('Label', 20) || n"]
@@ -280,16 +280,44 @@ def combine_con_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.combinable(both.select("con_id", "system", "region", "name", "e.lat", "e.lng")).select("root", F.col("info").cast("string"))
 
 
-@query("dc38_disconnected_route")
+def connected_ends(net: Net) -> DataFrame:
+    """The roots of each customer in order, with their ends. Places are told in three classes here, so that many roots meet."""
+    spot = lambda at: F.struct(F.pmod(F.round(at["lat"] * 10) + 500, F.lit(3)).cast("double").alias("lat"), F.lit(0.0).alias("lng"))
+    at = F.struct("lat", "lng")
+    ends = net.points.groupBy("root").agg(F.min_by(at, "idx").alias("first"), F.max_by(at, "idx").alias("last"), F.count("*").alias("n"))
+    order = F.row_number().over(Window.partitionBy("con_id").orderBy("root"))
+    listed = net.routes.select("con_id", "root", (order - 1).alias("root_order"))
+    # routes without points keep their place; they meet anything
+    return listed.join(ends, "root", "left").select("con_id", "root_order", "root", spot(F.col("first")).alias("a"), spot(F.col("last")).alias("b"), F.coalesce("n", F.lit(0)).alias("n"))
+
+
+#: From root to root: the state of each (0 free, 1 as it stands, 2 reversed), whether it breaks and whether it turns the one before.
+DIRECTIONS = (
+    BASE.replace("WITH pts", "WITH RECURSIVE pts", 1)
+    + """, ls AS (SELECT con, r.root, CAST(row_number() OVER (PARTITION BY con ORDER BY r.root) - 1 AS INTEGER) AS o, a, b, coalesce(n, 0) AS n FROM rts r LEFT JOIN (SELECT root, CAST(round(arg_min(lat, idx) * 10) + 500 AS BIGINT) % 3 AS a, CAST(round(arg_max(lat, idx) * 10) + 500 AS BIGINT) % 3 AS b, count(*) AS n FROM pts GROUP BY root) USING (root)),
+walk AS (
+  SELECT con, o, root, a, b, n, CAST(NULL AS BIGINT) AS before, 0 AS state, FALSE AS broken, FALSE AS flips FROM ls WHERE o = 0
+  UNION ALL
+  SELECT con, o, root, a, b, n, before, k % 10 AS state, k % 10 = 0 AS broken, k >= 10 AS flips FROM (
+    SELECT r.*, w.root AS before, CASE WHEN w.n < 2 OR r.n < 2 OR r.a = e THEN 1
+      WHEN e = r.b THEN CASE WHEN bg = r.a AND w.state = 0 AND coalesce(r.b IN (x.a, x.b), FALSE) THEN 11 ELSE 2 END
+      WHEN bg = r.b THEN CASE WHEN w.state = 0 THEN 12 ELSE 0 END
+      WHEN bg = r.a AND w.state = 0 THEN 11 ELSE 0 END AS k
+    FROM (SELECT *, CASE WHEN state = 2 THEN a ELSE b END AS e, CASE WHEN state = 2 THEN b ELSE a END AS bg FROM walk) w
+    JOIN ls r ON r.con = w.con AND r.o = w.o + 1 LEFT JOIN ls x ON x.con = w.con AND x.o = w.o + 2)),
+directions AS (SELECT w.*, w.state = 2 OR coalesce(f.flips, FALSE) AS reversed FROM walk w LEFT JOIN walk f ON f.con = w.con AND f.o = w.o + 1) """
+)
+
+
+@query("dc38_disconnected_route", DIRECTIONS + "SELECT con AS con_id, root, before FROM directions WHERE broken", base=False)
 def disconnected_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Connected routes of the two first orders of each customer: roots that do not meet after allowed reversals."""
-    from ..operators.connected import disconnected
+    """Neighbouring roots of a customer that do not meet after allowed reversals."""
+    return connected.disconnected(connected_ends(Net(spark, sf_dir)))
 
-    net = Net(spark, sf_dir)
-    ends = net.points.groupBy("root").agg(F.min_by(F.struct("lat", "lng"), "idx").alias("a"), F.max_by(F.struct("lat", "lng"), "idx").alias("b"))
-    order = F.row_number().over(Window.partitionBy("con_id").orderBy("root"))
-    listed = net.routes.select("con_id", "root").withColumn("root_order", order - 1).join(ends, "root")
-    return disconnected(listed)
+
+@query("dc38_reversed_roots", DIRECTIONS + "SELECT con AS con_id, root, reversed FROM directions", base=False)
+def reversed_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return connected.directions(connected_ends(Net(spark, sf_dir))).select("con_id", "root", "reversed")
 
 
 @query("j12_false_positives", LABELS + f", f AS ({check_sql()}) SELECT code, root % 3 = 0 AND root % 2 = 0 AS fp, CAST(count(*) AS BIGINT) AS n FROM f GROUP BY ALL", base=False)

@@ -152,12 +152,49 @@ def test_traveler_codes(spark):
     assert graph.packed_travelers(rows, travelers, "edge").first()["code"] == "3A0"
 
 
-def test_directions_of_connected_routes():
-    a, b, c, d = (0, 0), (0, 1), (0, 2), (9, 9)
-    assert connected.directions([(a, b), (b, c)]) == [(False, False), (False, False)]
-    assert connected.directions([(a, b), (c, b)]) == [(False, False), (True, False)]
-    assert connected.directions([(b, a), (b, c)]) == [(True, False), (False, False)]
-    assert connected.directions([(a, b), (c, d)]) == [(False, False), (False, True)]
+def walked(ends):
+    """The direction of each root of a connected route, one after the other: (broken, reversed)."""
+    free, turned, broken = [True] + [False] * (len(ends) - 1), [False] * len(ends), [False] * len(ends)
+    for k in range(1, len(ends)):
+        (qa, qb), (ra, rb) = ends[k - 1], ends[k]
+        end, begin = (qa, qb) if turned[k - 1] else (qb, qa)
+        ahead = ends[k + 1] if k + 1 < len(ends) else ()
+        if ra == end:
+            continue
+        if end == rb:
+            if begin == ra and free[k - 1] and rb in ahead:
+                turned[k - 1] = True
+            else:
+                turned[k] = True
+        elif begin == rb and free[k - 1]:
+            turned[k - 1] = turned[k] = True
+        elif begin == ra and begin != rb and free[k - 1]:
+            turned[k - 1] = True
+        else:
+            broken[k] = free[k] = True
+    return list(zip(broken, turned, strict=True))
+
+
+def test_directions_of_connected_routes(spark):
+    r = random.Random(4)
+    routes = {con: [tuple(r.choices(range(2 + con % 3), k=2)) for _ in range(r.randrange(1, 60))] for con in range(40)}
+    routes[99] = [(0, 1), (1, 2), (2, 3)]
+    rows = [(con, k, con * 1000 + k, (float(a), 0.0), (float(b), 0.0), 5) for con, ends in routes.items() for k, (a, b) in enumerate(ends)]
+    listed = spark.createDataFrame(rows, "con_id int, root_order int, root int, a struct<lat:double,lng:double>, b struct<lat:double,lng:double>, n int")
+    got = {(x["con_id"], x["root_order"]): (x["broken"], x["reversed"]) for x in connected.directions(listed).collect()}
+    assert got == {(con, k): t for con, ends in routes.items() for k, t in enumerate(walked(ends))}
+    # short routes meet anything; an empty table has no directions
+    short = spark.createDataFrame([(1, 0, 1, (0.0, 0.0), (1.0, 0.0), 5), (1, 1, 2, (5.0, 0.0), (5.0, 0.0), 1)], listed.schema)
+    assert connected.disconnected(short).count() == 0 and connected.directions(listed.limit(0)).count() == 0
+
+
+def test_a_long_connected_route_is_no_single_task(spark):
+    """Every root of 100,000 fits both ways on to the one before, so each direction hangs on all roots before it."""
+    n = 100_000
+    at = lambda c: F.struct((F.col("id") * 0.0 + c).alias("lat"), F.lit(0.0).alias("lng"))
+    long = spark.range(n).select(F.lit(1).alias("con_id"), F.col("id").cast("int").alias("root_order"), F.col("id").alias("root"), at(F.when(F.col("id") % 2 == 1, F.col("id") + 1).otherwise(F.col("id"))).alias("a"), at(F.when(F.col("id") % 2 == 1, F.col("id")).otherwise(F.col("id") + 1)).alias("b"), F.lit(9).alias("n"))
+    told = connected.directions(long)
+    assert told.where("broken").count() == 0 and told.where("reversed").count() == n // 2
 
 
 def test_graph_files_read_back(spark):
