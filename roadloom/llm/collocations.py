@@ -34,9 +34,9 @@ from .runs import LOWER, coded, members, runs_of
 from .units import byte_keys
 
 LEAST, TOP, LONGEST = 30, 2000, 4
-CHUNK = 1 << 22
+CHUNK = 1 << 21
 #: Positions in a container, pairs of containers ANDed at a time, and containers that go down at a time.
-WIDTH, PAIRS, ENTRIES = 16, 1 << 21, 1 << 17
+WIDTH, PAIRS, ENTRIES = 16, 1 << 19, 1 << 16
 SEPARATORS = members((0x0A, 0x0D), *[(ord(c), ord(c)) for c in ".,;:!?"])
 WORD_BYTES = ~(SEPARATORS | members((0x20, 0x20), (0x09, 0x09)))
 _U = np.uint64
