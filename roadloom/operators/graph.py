@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.geometry import haversine
 from ..functions.text import names_route
 from ..storage import ensure_checkpoints
+from .numbering import dense
 
 SHOWN = "level IN ('active', 'preview')"
 
@@ -21,11 +23,11 @@ def vertices(points: DataFrame, routes: DataFrame) -> DataFrame:
 
 def edges(segments: DataFrame, routes: DataFrame) -> DataFrame:
     """One simple edge for each pair of coordinates with an active or preview segment: pair, canonical segment (system, root,
-    idx, region), systems, and routes, the names of all members in order, as the edge's label needs them."""
+    idx, region), systems, and of all members in order, as the edge's label needs them, routes (names) and members (with systems)."""
     shown = segments.where("pair IS NOT NULL").join(routes.where(SHOWN), "root")
     named = F.struct("system", "root", "idx", F.concat_ws("#", "system", F.col("root").cast("string")).alias("name"))
     rows = shown.groupBy("pair").agg(F.min(F.struct("system", "root", "idx", "region")).alias("canonical"), F.sort_array(F.collect_set("system")).alias("systems"), F.array_sort(F.collect_list(named)).alias("members"))
-    return rows.select("pair", "canonical", "systems", F.col("members.name").alias("routes"))
+    return rows.select("pair", "canonical", "systems", F.col("members.name").alias("routes"), F.transform("members", lambda m: F.struct(m["system"].alias("system"), m["name"].alias("name"))).alias("members"))
 
 
 def visibility(vertices_: DataFrame, edges_: DataFrame, travelled: DataFrame | None = None) -> DataFrame:
@@ -47,15 +49,6 @@ def visibility(vertices_: DataFrame, edges_: DataFrame, travelled: DataFrame | N
     return joined.select("lat", "lng", F.coalesce("degree", F.lit(0)).cast("long").alias("degree"), changed.alias("visibility"))
 
 
-def formats(edges_: DataFrame, visible: DataFrame) -> DataFrame:
-    """Edges with their format bits: 1 simple, 2 collapsed, 4 traveled. A simple edge belongs to the others too if both its
-    ends stay there. visible: lat, lng, visibility."""
-    at = visible.select(F.struct("lat", "lng").alias("v"), "visibility")
-    ends = edges_.select("pair", F.explode(F.array("pair.a", "pair.b")).alias("v")).join(at, "v").groupBy("pair").agg(F.min("visibility").alias("least"))
-    bits = F.lit(1) + F.when(F.col("least") == 2, 2).otherwise(0) + F.when(F.col("least") >= 1, 4).otherwise(0)
-    return edges_.join(ends, "pair").withColumn("format", bits).drop("least")
-
-
 def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -> DataFrame:
     """node, component (least reachable node). Each round points every node to its least smaller neighbour,
     doubles the pointers down to the roots and contracts; roots at least halve, and every step is checkpointed."""
@@ -81,13 +74,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -
     raise RuntimeError("components did not settle")
 
 
-def contract(edges_: DataFrame, visible: DataFrame) -> DataFrame:
+def contracted(edges_: DataFrame, visible: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Chains of hidden vertices of degree 2 become one edge each. edges_: a, b (a < b), label; visible: v (vertices that stay).
 
-    Rows v1, v2 (v1 the smaller end), label, shape (the vertices between, from v1). Every edge is an arc in both directions,
-    and an arc into a hidden vertex goes on with the next one. Pointers are doubled until each arc knows where its chain ends
-    and how far that is, so a chain of n edges takes log n rounds and no task holds one; a closed chain of hidden vertices
-    opens at its least vertex."""
+    A contracted edge is known by v1, second, v2: its smaller end, the vertex after that, and its other end. Gives the edges
+    (v1, second, v2, label: the least of the chain) and the vertices inside them as rows (v1, second, v2, place, v; place 0 is
+    second). Every edge is an arc in both directions, and an arc into a hidden vertex goes on with the next one. Pointers are
+    doubled until each arc knows where its chain ends and how far that is, so a chain of n edges takes log n rounds and no row
+    or task holds one; a closed chain of hidden vertices opens at its least vertex."""
     ensure_checkpoints(edges_)
     arcs = edges_.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("x"), "label").select("x.u", "x.v", "label")
     two = arcs.groupBy(F.col("u").alias("h")).agg(F.min("v").alias("x"), F.max("v").alias("y"), F.count("*").alias("n")).where("n = 2 AND x <> y").select("h", "x", "y")
@@ -103,10 +97,74 @@ def contract(edges_: DataFrame, visible: DataFrame) -> DataFrame:
     # an arc's start and place are the end and distance of its opposite
     back = ranked.select(F.col("v").alias("u"), F.col("u").alias("v"), F.col("end").alias("start"), F.col("from_").alias("second"), F.col("distance").alias("place"))
     both = ranked.join(back, ["u", "v"])
-    forward = both.where((F.col("start") < F.col("end")) | ((F.col("start") == F.col("end")) & (F.col("second") <= F.col("from_"))))
-    inner = F.filter(F.array_sort(F.collect_list(F.struct("place", "v"))), lambda p: p["place"] >= 0)
-    chains = forward.groupBy("start", "second", "end").agg(F.min("label").alias("label"), inner.alias("path"))
-    return chains.select(F.col("start").alias("v1"), F.col("end").alias("v2"), "label", F.slice("path.v", F.lit(1), F.size("path") - 1).alias("shape"))
+    forward = both.where((F.col("start") < F.col("end")) | ((F.col("start") == F.col("end")) & (F.col("second") <= F.col("from_")))).withColumnsRenamed({"start": "v1", "end": "v2"})
+    forward = forward.select("v1", "second", "v2", "label", "place", "distance", "v").checkpoint()
+    key = ["v1", "second", "v2"]
+    return forward.groupBy(*key).agg(F.min("label").alias("label")), forward.where("distance > 0").select(*key, "place", "v")
+
+
+def contract(edges_: DataFrame, visible: DataFrame) -> DataFrame:
+    """The same with each edge's inner vertices in its row, as a line of a file needs them: v1, v2, label, shape (from v1)."""
+    ends, inner = contracted(edges_, visible)
+    key = ["v1", "second", "v2"]
+    inside = inner.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("place", "v"))).alias("path"))
+    none = F.array().cast(f"array<{edges_.schema['a'].dataType.simpleString()}>")
+    shape = F.coalesce(F.col("path.v"), none)
+    return ends.join(inside, key, "left").select("v1", "second", "v2", "label", shape.alias("shape"))
+
+
+def intersections_only(edges_: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Contraction by degree alone: every vertex where just two edges meet goes, visible ones too; a closed chain becomes a loop
+    at its least vertex. edges_: a, b, label. The edges and inner vertices as in `contracted`."""
+    degree = edges_.select(F.explode(F.array("a", "b")).alias("v")).groupBy("v").agg(F.count("*").alias("n"))
+    return contracted(edges_, degree.where("n <> 2").select("v"))
+
+
+def format_edges(edges_: DataFrame, seen: DataFrame) -> DataFrame:
+    """The edges of all formats: v1, second, v2, label, bits (1 simple, 2 collapsed, 4 traveled; an edge that is the same in
+    several formats has the sum). edges_: a, b, label; seen: v, visibility (2 stays in all formats, 1 hidden in collapsed ones,
+    0 hidden in collapsed and traveled ones)."""
+    found = edges_.select(F.col("a").alias("v1"), F.col("b").alias("second"), F.col("b").alias("v2"), F.col("label").cast("string").alias("label"), F.lit(1).alias("bit"))
+    for bit, least in ((2, 2), (4, 1)):
+        ends, _ = contracted(edges_, seen.where(F.col("visibility") >= least).select("v"))
+        found = found.unionByName(ends.withColumn("bit", F.lit(bit)))
+    return found.groupBy("v1", "second", "v2").agg(F.min("label").alias("label"), F.sum("bit").cast("int").alias("bits"))
+
+
+def canonical(edges_: DataFrame) -> DataFrame:
+    """The same edges, each in its one canonical direction: v1, v2, label, shape (array of places inside) and all other columns.
+    The lower end goes first; of an edge that comes back to where it began, the lower one of the first and last place inside."""
+    lollipop = (F.col("v1") == F.col("v2")) & (F.size("shape") > 0) & (F.get("shape", F.lit(0)) > F.try_element_at("shape", F.lit(-1)))
+    turn = (F.col("v1") > F.col("v2")) | lollipop
+    pick = lambda x, y: F.when(turn, F.col(y)).otherwise(F.col(x))
+    return edges_.withColumns({"v1": pick("v1", "v2"), "v2": pick("v2", "v1"), "shape": F.when(turn, F.reverse("shape")).otherwise(F.col("shape"))})
+
+
+def canonical_order(edges_: DataFrame, name: str = "place") -> DataFrame:
+    """Canonical edges with their place: by lower end, other end, label, number of places inside, and these."""
+    sized = canonical(edges_).withColumn("_size", F.size("shape"))
+    return dense(sized, ["v1", "v2", "label", "_size", "shape"], name).drop("_size")
+
+
+def statistics(vertices_: DataFrame, edges_: DataFrame) -> DataFrame:
+    """What an archive tells of each of many graphs. vertices_: graph, lat, lng; edges_: graph, a, b (structs of lat, lng).
+
+    graph, vertices, edges, max_degree, average_degree, aspect_ratio (width to height of the box along its middle lines; 1 if it
+    has no width or height), parts (connected ones; a lone vertex is one)."""
+    key = F.struct("graph", "lat", "lng").alias("node")
+    at = lambda e: F.struct("graph", f"{e}.lat", f"{e}.lng")
+    linked = edges_.select(at("a").alias("a"), at("b").alias("b"))
+    ends = linked.select(F.explode(F.array("a", "b")).alias("node"), (F.col("a") != F.col("b")).alias("apart"))
+    degree = ends.groupBy("node").agg(F.count("*").alias("degree"), F.bool_or("apart").alias("apart"))
+    roots = components(linked).where("node = component").select("node", F.lit(1).alias("root"))
+    per = vertices_.select("graph", "lat", "lng").distinct().withColumn("node", key).join(degree, "node", "left").join(roots, "node", "left")
+    # a vertex without links to others is a part of its own
+    own = F.when(~F.coalesce("apart", F.lit(False)), 1).otherwise(F.coalesce("root", F.lit(0)))
+    box = per.groupBy("graph").agg(F.count("*").alias("vertices"), F.coalesce(F.max("degree"), F.lit(0)).alias("max_degree"), F.sum(F.coalesce("degree", F.lit(0))).alias("ends"), F.sum(own).alias("parts"), *(f(c).alias(n) for f, c, n in ((F.max, "lat", "north"), (F.min, "lat", "south"), (F.max, "lng", "east"), (F.min, "lng", "west"))))
+    middle, center = (F.col("north") + F.col("south")) / 2, (F.col("west") + F.col("east")) / 2
+    width, height = haversine(middle, F.col("west"), middle, F.col("east")), haversine(F.col("north"), center, F.col("south"), center)
+    flat = (F.col("west") == F.col("east")) | (F.col("north") == F.col("south"))
+    return box.select("graph", "vertices", (F.col("ends") / 2).cast("long").alias("edges"), "max_degree", (F.col("ends") / F.col("vertices")).alias("average_degree"), F.when(flat, 1.0).otherwise(width / height).alias("aspect_ratio"), "parts")
 
 
 def _ranked(arcs: DataFrame) -> DataFrame:
@@ -123,14 +181,17 @@ def _ranked(arcs: DataFrame) -> DataFrame:
     return state
 
 
-def packed_travelers(rows: DataFrame, travelers: DataFrame, key: str) -> DataFrame:
-    """Hex code of a set of travelers: traveler n is bit n % 4 of hex digit n / 4, low digits first. travelers: traveler, n (from 0)."""
-    digits = travelers.agg((F.floor(F.max("n") / 4) + 1).cast("int").alias("d"))  # one row
-    own = rows.join(travelers, "traveler").groupBy(key, F.floor(F.col("n") / 4).cast("int").alias("digit")).agg(F.hex(F.sum(F.expr("shiftleft(1, CAST(n % 4 AS INT))"))).alias("h"))
-    held = own.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("digit", "h"))).alias("digits"))
+def packed_travelers(rows: DataFrame, travelers: DataFrame, key: str, of: str | None = None) -> DataFrame:
+    """Hex code of a set of travelers: traveler n is bit n % 4 of hex digit n / 4, low digits first. rows: key, traveler;
+    travelers: traveler, n (from 0). With `of` (a column of both), every graph numbers travelers of its own."""
+    rows, travelers = (rows, travelers) if of else (rows.withColumn("_of", F.lit(0)), travelers.withColumn("_of", F.lit(0)))
+    by = of or "_of"
+    digits = travelers.groupBy(by).agg((F.floor(F.max("n") / 4) + 1).cast("int").alias("d"))
+    own = rows.join(travelers, [by, "traveler"]).groupBy(by, key, F.floor(F.col("n") / 4).cast("int").alias("digit")).agg(F.hex(F.sum(F.expr("shiftleft(1, CAST(n % 4 AS INT))"))).alias("h"))
+    held = own.groupBy(by, key).agg(F.array_sort(F.collect_list(F.struct("digit", "h"))).alias("digits"))
     # zeros stand for the digits between those that are held
     code = F.aggregate("digits", F.lit(""), lambda text, p: F.concat(F.rpad(text, p["digit"], F.lit("0")), p["h"]))
-    return held.crossJoin(F.broadcast(digits)).select(key, F.rpad(code, F.col("d"), F.lit("0")).alias("code"))
+    return held.join(digits, by).select(*([of] if of else []), key, F.rpad(code, F.col("d"), F.lit("0")).alias("code"))
 
 
 def unique_names(named: DataFrame) -> DataFrame:

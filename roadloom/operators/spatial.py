@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import cosine_miles, longitude_reach, nearby
+from ..functions.geometry import RADIUS, cosine_miles, longitude_reach, nearby
 
 #: Cells are a little wider than the tolerance, against rounding at their borders.
 SLACK = 1.002
@@ -40,21 +40,59 @@ def merged(points: DataFrame, pairs: DataFrame) -> DataFrame:
     return joined.select("name", F.greatest("lat", "lat2").alias("lat"), F.greatest("lng", "lng2").alias("lng"), F.col("lat2").isNotNull().alias("moved"))
 
 
-def longitude_ranges(lng: Column, reach: Column) -> Column:
-    """The box's longitudes as ranges inside -180 .. 180: itself, and its parts moved by a turn over the date line."""
-    box = lambda shift: F.struct((lng - reach + shift).alias("w"), (lng + reach + shift).alias("e"))
-    return F.array(box(0.0), box(-360.0), box(360.0))
+#: Height of the smallest cells in degrees, and how often it doubles at most.
+CELL, LEVELS = 0.5, 9
 
 
-def within(places: DataFrame, circles: DataFrame, band: float = 5.0) -> DataFrame:
+def _columns(band: Column, height: Column) -> Column:
+    """How many cells a band of latitude is cut into: as wide as high at its middle, so few near the poles, where one is a cap."""
+    middle = (band + 0.5) * height
+    return F.greatest(F.floor(F.cos(F.radians(F.least(F.abs(middle), F.lit(90.0)))) * 360 / height), F.lit(1)).cast("long")
+
+
+def _height(level: Column) -> Column:
+    return F.lit(CELL) * F.pow(F.lit(2.0), level)
+
+
+def _column(lng: Column, columns: Column) -> Column:
+    """The cell that a longitude falls into, counted on over the date line."""
+    return F.floor((lng + 180) / 360 * columns)
+
+
+def circle_cells(circles: DataFrame) -> DataFrame:
+    """All cells that each circle may touch: level, band, cell and the circle's columns. A circle takes the level whose cells are
+    about as high as its radius, so it has few cells, however large it is; with a pole inside it takes whole bands."""
+    half = F.degrees(F.col("radius") / F.lit(RADIUS)) * 1.0001 + 1e-6
+    level = F.least(F.greatest(F.ceil(F.log2(half / CELL)), F.lit(0)), F.lit(LEVELS - 1)).cast("int")
+    sized = circles.withColumns({"_half": half, "level": level}).withColumn("_h", _height(F.col("level")))
+    low, high = F.greatest(F.col("clat") - F.col("_half"), F.lit(-90.0)), F.least(F.col("clat") + F.col("_half"), F.lit(90.0))
+    banded = sized.withColumn("band", F.explode(F.sequence(F.floor(low / F.col("_h")), F.floor(high / F.col("_h")))))
+    n, reach = F.col("_n"), F.col("_reach")
+    placed = banded.withColumns({"_n": _columns(F.col("band"), F.col("_h")), "_reach": longitude_reach(F.col("clat"), F.col("radius")) * 1.0001 + 1e-6})
+    first, last = _column(F.col("clng") - reach, n), _column(F.col("clng") + reach, n)
+    all_of = (reach >= 180) | (last - first + 1 >= n)
+    cells = F.when(all_of, F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(F.transform(F.sequence(first, last), lambda c: F.pmod(c, n)))
+    return placed.withColumn("cell", F.explode(cells)).drop("_half", "_h", "_n", "_reach")
+
+
+def within(places: DataFrame, circles: DataFrame) -> DataFrame:
     """Places inside circles: graph, name, miles. places: name, lat, lng; circles: graph, clat, clng, radius (miles).
 
-    Circles spread over the latitude bands they touch; a place meets only circles of its band."""
-    half = F.degrees(F.col("radius") / F.lit(3963.1))
-    bands = F.sequence(F.floor((F.col("clat") - half) / band), F.floor((F.col("clat") + half) / band))
-    spread = circles.withColumn("reach", longitude_reach(F.col("clat"), F.col("radius"))).withColumn("band", F.explode(bands))
-    joined = places.withColumn("band", F.floor(F.col("lat") / band)).join(spread, "band")
-    boxes = longitude_ranges(F.col("clng"), F.col("reach"))
-    in_box = F.exists(boxes, lambda b: (F.col("lng") >= b["w"]) & (F.col("lng") <= b["e"]))
+    Places meet circles by an equi-join on cells of latitude and longitude, at each level that a circle takes; what stands in
+    a cell is checked exactly. Circles over a pole or the date line need nothing special."""
+    spread = circle_cells(circles)
+    levels = spread.agg(F.array_sort(F.collect_set("level")).alias("_levels"))  # one row of at most LEVELS numbers
+    at = places.crossJoin(F.broadcast(levels)).withColumn("level", F.explode("_levels")).drop("_levels")
+    height = _height(F.col("level"))
+    banded = at.withColumn("band", F.floor(F.col("lat") / height))
+    n = _columns(F.col("band"), height)
+    joined = banded.withColumn("cell", F.pmod(_column(F.col("lng"), n), n)).join(spread, ["level", "band", "cell"])
     miles = cosine_miles(F.col("lat"), F.col("lng"), F.col("clat"), F.col("clng"))
-    return joined.where(in_box).withColumn("miles", miles).where("miles <= radius").select("graph", "name", "miles")
+    return joined.withColumn("miles", miles).where("miles <= radius").select("graph", "name", "miles")
+
+
+def edges_within(edges: DataFrame, circles: DataFrame) -> DataFrame:
+    """Edges with both ends inside circles: graph, edge. edges: edge, a, b (structs lat, lng): matched ends are counted."""
+    ends = edges.select("edge", F.explode(F.array(F.struct(F.lit(0).alias("k"), F.col("a").alias("at")), F.struct(F.lit(1).alias("k"), F.col("b").alias("at")))).alias("e"))
+    found = within(ends.select(F.struct("edge", "e.k").alias("name"), "e.at.lat", "e.at.lng"), circles)
+    return found.groupBy("graph", F.col("name.edge").alias("edge")).agg(F.count("*").alias("n")).where("n = 2").select("graph", "edge")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import graph
 from ..sources import tables
 from .network_queries import Net
-from .registry import query
+from .registry import BASE, query
 
 _V = ", vx AS (SELECT lat, lng, count(*) AS n, bool_or(NOT hid) AS vis, bool_and(abbrev = '') AS plain FROM pts JOIN rts USING (root) WHERE lvl <> 'devel' GROUP BY lat, lng) "
 _E = """, ed AS (SELECT alat, alng, blat, blng, arg_min(root, (sys, root, idx)) AS croot, arg_min(reg, (sys, root, idx)) AS creg, string_agg(sys || '#' || root, ',' ORDER BY sys, root, idx) AS routes, list(DISTINCT sys) AS syss FROM grp WHERE NOT zero AND lvl <> 'devel' GROUP BY ALL) """
@@ -45,35 +45,87 @@ class Master:
         named = told.withColumn("members", members).select(F.struct("lat", "lng").alias("v"), graph.vertex_name(F.col("members")).alias("name"), "region", graph.simple_name(F.col("members")).alias("simple"), (F.size("p") == 2).alias("high"))
         return graph.unique_names(named).select("v.lat", "v.lng", F.col("unique_name").alias("name"))
 
-    def texts(self, graphs: list[str]) -> DataFrame:
-        """Lines of the graph files (graph, format, line_no, value) of the kinds asked for: master, region, system."""
+    def simple(self) -> DataFrame:
+        """a, b, label (the pair) of all simple edges."""
+        return self.edges.select(F.col("pair.a").alias("a"), F.col("pair.b").alias("b"), F.to_json("pair").alias("label"))
+
+    def seen(self) -> DataFrame:
+        """v, visibility of all vertices."""
+        return self.visible.select(F.struct("lat", "lng").alias("v"), "visibility")
+
+    def shown_points(self) -> DataFrame:
+        return self.net.points.join(self.net.routes.where(graph.SHOWN), "root")
+
+    def texts(self, specs: DataFrame) -> DataFrame:
+        """Lines of the graph files (graph, format, line_no, value) of all specs (columns as subgraphs.SPEC).
+
+        Subgraphs take vertices, contracted edges and visibility of the whole network. Labels tell the graph's systems only,
+        where it names any, and each graph numbers the travelers on its own edges."""
+        from ..operators import subgraphs
         from ..operators.numbering import dense
         from ..sinks import graph_texts
 
-        numbers = dense(self.travelled.select("traveler").distinct(), ["traveler"], "n").select("traveler", F.col("n").cast("long"))
-        codes = graph.packed_travelers(self.travelled, numbers, "pair")
-        digits = numbers.agg(F.repeat(F.lit("0"), (F.floor(F.max("n") / 4) + 1).cast("int")).alias("none"))  # one row
-        coded = self.edges.join(codes, "pair", "left").crossJoin(F.broadcast(digits)).withColumn("code", F.coalesce("code", "none"))
-        kept = F.struct(F.array_join("routes", ",").alias("label"), F.col("canonical.region").alias("region"), "systems", "code")
-        simple = coded.select(F.col("pair.a").alias("a"), F.col("pair.b").alias("b"), F.to_json(kept).alias("label"))
+        specs = specs.checkpoint()
         seen = self.visible.join(self.names(), ["lat", "lng"]).checkpoint()
+        edges_ = self.edges.checkpoint()
+        simple = self.simple()
         ways, spots = None, None
         for kind, least in (("simple", 0), ("collapsed", 2), ("traveled", 1)):
             stays = seen.where(F.col("visibility") >= least)
-            one = simple.withColumn("shape", F.array().cast("array<struct<lat:double,lng:double>>"))
+            one = simple.select(F.col("a").alias("v1"), F.col("b").alias("second"), F.col("b").alias("v2"), "label", F.array().cast("array<struct<lat:double,lng:double>>").alias("shape"))
             if least:
-                one = graph.contract(simple, stays.select(F.struct("lat", "lng").alias("v"))).select(F.col("v1").alias("a"), F.col("v2").alias("b"), "label", "shape")
+                one = graph.contract(simple, stays.select(F.struct("lat", "lng").alias("v")))
             one, at = one.withColumn("format", F.lit(kind)), stays.select(F.lit(kind).alias("format"), "name", "lat", "lng")
             ways, spots = (one, at) if ways is None else (ways.unionByName(one), spots.unionByName(at))
-        x = F.from_json("label", "label string, region string, systems array<string>, code string")
-        ways = ways.withColumn("x", x).select("format", "a", "b", "shape", "x.label", "x.region", "x.systems", F.when(F.col("format") == "traveled", F.col("x.code")).alias("code"))
-        of = {"master": F.array(F.lit("master")), "region": F.array("region"), "system": F.col("systems")}
-        points = self.net.points.join(self.net.routes.where(graph.SHOWN), "root")
-        where = {"master": F.lit("master"), "region": F.col("region"), "system": F.col("system")}
-        owned = ways.select(F.explode(F.flatten(F.array(*[of[g] for g in graphs]))).alias("graph"), *[c for c in ways.columns if c not in ("region", "systems")])
-        spec = points.select(F.explode(F.array(*[where[g] for g in graphs])).alias("graph"), "lat", "lng").distinct()
-        members = self.net.clinched_groups.where("pair IS NOT NULL").select(F.explode(F.array(*[where[g] for g in graphs])).alias("graph"), F.col("traveler").cast("string").alias("traveler")).distinct()
-        return graph_texts(spec.join(spots, ["lat", "lng"]), owned, members)
+        # an edge stands for the segment that its label comes from
+        pair = F.from_json("label", "a struct<lat:double,lng:double>, b struct<lat:double,lng:double>")
+        ways = ways.select("format", F.struct("format", "v1", "second", "v2").alias("edge"), "shape", pair.alias("pair")).join(edges_, "pair").checkpoint()
+        traits = ways.select("edge", F.col("edge.v1").alias("a"), F.col("edge.v2").alias("b"), F.col("canonical.region").alias("region"), "systems")
+        owned = subgraphs.edges(traits, specs).join(ways, "edge").join(specs.select("graph", F.col("systems").alias("only")), "graph").checkpoint()
+        spec = subgraphs.vertices(self.shown_points().select("lat", "lng", "region", "system"), specs)
+        named = F.filter("members", lambda m: (F.size("only") == 0) | F.array_contains("only", m["system"]))
+        label = F.array_join(F.transform(named, lambda m: m["name"]), ",")
+        on = owned.where("format = 'traveled'").select("graph", "pair").join(self.travelled, "pair").select("graph", "pair", F.col("traveler").cast("string").alias("traveler")).distinct()
+        # the master graph tells all travelers, other graphs those on their edges
+        everyone = self.net.entries.select(F.col("traveler").cast("string").alias("traveler")).distinct().crossJoin(specs.where("category = 'master'").select("graph"))
+        members = on.select("graph", "traveler").unionByName(everyone).distinct()
+        numbered = dense(members, ["graph", "traveler"], "_n")
+        first = numbered.groupBy("graph").agg(F.min("_n").alias("_f"), F.count("*").alias("_c"))
+        numbers = numbered.join(first, "graph").select("graph", "traveler", (F.col("_n") - F.col("_f")).cast("long").alias("n"))
+        codes = graph.packed_travelers(on, numbers, "pair", "graph")
+        none = F.repeat(F.lit("0"), F.greatest(F.ceil(F.coalesce("_c", F.lit(0)) / 4), F.lit(1)).cast("int"))
+        told = owned.join(first.select("graph", "_c"), "graph", "left").join(codes, ["graph", "pair"], "left")
+        lines = told.select("graph", "format", F.col("edge.v1").alias("a"), F.col("edge.v2").alias("b"), "shape", label.alias("label"), F.when(F.col("format") == "traveled", F.coalesce("code", none)).alias("code"))
+        return graph_texts(spec.join(spots, ["lat", "lng"]), lines, members)
+
+
+def graph_specs(spark: SparkSession, sf_dir: str, net: Net) -> DataFrame:
+    """Specs of every kind but the master graph: lines of the five files, read as such, and those that follow from the mileage."""
+    from ..operators import subgraphs
+    from ..sources import native
+
+    rows = tables.read(spark, sf_dir, "region").selectExpr("CAST(r_regionkey + 1 AS INT) AS line_no", "r_regionkey AS k")
+    forms = {
+        "area": "concat('Place ', k, ';Place', k, ';', k * 20 - 40, '.5;', k * 70 - 150, ';', k * 900 + 300)",
+        "multiregion": "concat('Regions ', k, ';regions', k, ';NATION_', k, ',NATION_', k + 7, ',NATION_', k + 14)",
+        "multisystem": "concat('Systems ', k, ';systems', k, ';', element_at(array('1-URGENT,2-HIGH', '2-HIGH', '3-MEDIUM,1-URGENT', '1-URGENT', '2-HIGH,3-MEDIUM'), CAST(k AS INT) + 1))",
+        "fullcustom": "concat('Custom ', k, ';custom', k, ';', element_at(array('10;20;4000;;', ';;;NATION_1,NATION_2,NATION_9;', '-12.5;100;3000;;3-MEDIUM', ';;;NATION_3,NATION_4,NATION_5,NATION_6;1-URGENT,3-MEDIUM', '0;-60;5000;NATION_1,NATION_2,NATION_3,NATION_4,NATION_10,NATION_11,NATION_12;2-HIGH,1-URGENT'), CAST(k AS INT) + 1))",
+    }
+    out = None
+    for kind, line in forms.items():
+        good = native.graph_specs(rows.select("line_no", F.expr(line).alias("value"), F.lit(kind).alias("path")), kind)[0]
+        out = good if out is None else out.unionByName(good)
+    shown = net.segments.join(net.routes.where(graph.SHOWN), "root")
+    mileage = shown.groupBy("region", "country").agg(F.sum("length").alias("s")).where("s > 0")
+    derived = subgraphs.derived(mileage.select("region", "country", F.col("country").alias("continent")), net.routes.where(graph.SHOWN).select("system").distinct())
+    columns = ["graph", "description", "category", "regions", "systems", "lat", "lng", "radius"]
+    return out.select(*columns).unionByName(derived.select(*columns))
+
+
+def master_spec(spark: SparkSession) -> DataFrame:
+    from ..operators import subgraphs
+
+    return spark.createDataFrame([("master", "All routes", "master", [], [], None, None, None)], subgraphs.SPEC)
 
 
 @query("g01_vertices", _V + f"SELECT {_R.format('')}, CAST(n AS BIGINT) AS n, n = 2 AND plain AS high FROM vx")
@@ -104,9 +156,10 @@ def unhidden_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("a24_edge_formats", _V + _E + _VIS + """, f AS (SELECT 1 + CASE WHEN least(p.visibility, q.visibility) = 2 THEN 2 ELSE 0 END + CASE WHEN least(p.visibility, q.visibility) >= 1 THEN 4 ELSE 0 END AS format
  FROM ed JOIN vv p ON alat = p.lat AND alng = p.lng JOIN vv q ON blat = q.lat AND blng = q.lng) SELECT format, CAST(count(*) AS BIGINT) AS edges FROM f GROUP BY format""")
 def edge_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Simple edges by the formats they belong to: 1 simple, 2 collapsed, 4 traveled."""
+    """Edges of the master graph, contracted ones too, by the formats they belong to: 1 simple, 2 collapsed, 4 traveled."""
     m = Master(spark, sf_dir)
-    return graph.formats(m.edges, m.visible).groupBy("format").agg(F.count("*").alias("edges"))
+    found = graph.format_edges(m.simple(), m.seen())
+    return found.groupBy(F.col("bits").alias("format")).agg(F.count("*").alias("edges"))
 
 
 @query("set03_equal_travelers", """, t AS (SELECT g.alat, g.alng, g.blat, g.blng, string_agg(DISTINCT trav, ',' ORDER BY trav) AS s FROM cli g WHERE NOT zero AND lvl <> 'devel' GROUP BY ALL) SELECT s AS travelers, CAST(count(*) AS BIGINT) AS edges FROM t GROUP BY s HAVING count(*) > 1""")
@@ -190,19 +243,21 @@ def derived_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT format, (SELECT CAST(count(*) AS BIGINT) FROM vv WHERE visibility >= f.least) AS vertices, (SELECT CAST(count(*) AS BIGINT) FROM k WHERE k.least >= f.least) AS edges,
  CASE WHEN format = 'traveled' THEN (SELECT CAST(count(DISTINCT trav) AS BIGINT) FROM cli WHERE lvl <> 'devel' AND NOT zero) ELSE 0 END AS travelers FROM f""")
 def graph_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vertices, edges and travelers of the master graph in its three formats (in this network no chain is contracted, so the
-    edges of a format are the simple ones between its vertices)."""
+    """Vertices, edges (contracted ones, where chains of hidden vertices are) and travelers of the master graph by format."""
     m = Master(spark, sf_dir)
-    least = F.array(*[F.struct(F.lit(f).alias("format"), F.lit(k).alias("least")) for f, k in (("simple", 0), ("collapsed", 2), ("traveled", 1))])
-    spread = lambda df: df.select("*", F.inline(least))
-    vertices_ = spread(m.visible).where("visibility >= least").groupBy("format").agg(F.count("*").alias("vertices"))
-    bit = F.when(F.col("least") == 0, 1).when(F.col("least") == 2, 2).otherwise(4)
-    edges_ = spread(graph.formats(m.edges, m.visible).select(F.col("format").alias("bits"))).where(F.col("bits").bitwiseAND(bit) > 0).groupBy("format").agg(F.count("*").alias("edges"))
     travelers = m.travelled.agg(F.countDistinct("traveler").alias("t"))  # one row
-    told = vertices_.join(edges_, "format").crossJoin(F.broadcast(travelers))
+    told = counts_by_format(graph.format_edges(m.simple(), m.seen()), m.seen()).crossJoin(F.broadcast(travelers))
     return told.select("format", "vertices", "edges", F.when(F.col("format") == "traveled", F.col("t")).otherwise(0).alias("travelers"))
 
 
+def counts_by_format(found: DataFrame, seen: DataFrame) -> DataFrame:
+    """format, vertices, edges. found: bits; seen: visibility."""
+    kinds = F.array(*[F.struct(F.lit(f).alias("format"), F.lit(least).alias("least"), F.lit(bit).alias("bit")) for f, least, bit in (("simple", 0, 1), ("collapsed", 2, 2), ("traveled", 1, 4))])
+    spread = lambda df: df.select("*", F.inline(kinds))
+    spots = spread(seen).where("visibility >= least").groupBy("format").agg(F.count("*").alias("vertices"))
+    return spots.join(spread(found).where("(bits & bit) > 0").groupBy("format").agg(F.count("*").alias("edges")), "format")
+
+
 @query("fn16_traveler_codes", """, tn AS (SELECT trav, row_number() OVER (ORDER BY trav) - 1 AS n FROM (SELECT DISTINCT trav FROM ent)), md AS (SELECT CAST(max(n) // 4 AS BIGINT) AS m FROM tn), dr AS (SELECT DISTINCT e.root, n FROM ent e JOIN tn USING (trav)),
 hx AS (SELECT root, n // 4 AS dig, upper(to_hex(CAST(sum(1 << CAST(n % 4 AS INTEGER)) AS BIGINT))) AS h FROM dr GROUP BY ALL), al AS (SELECT root, unnest(range(0, (SELECT m FROM md) + 1)) AS dig FROM (SELECT DISTINCT root FROM dr))
 SELECT root, string_agg(coalesce(h, '0'), '' ORDER BY dig) AS code FROM al LEFT JOIN hx USING (root, dig) GROUP BY root""")
@@ -234,6 +289,30 @@ def traveler_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dense(Master(spark, sf_dir).travelled.select("traveler").distinct(), ["traveler"], "n").select("traveler", F.col("n").cast("long"))
 
 
+#: The specs of graph_specs in SQL, the master graph among them, then all lines of their files.
+_SPECS = _V + _E + _VIS + """, k AS (SELECT CAST(r_regionkey AS INTEGER) AS k FROM region), dm AS (SELECT country, reg FROM grp WHERE lvl <> 'devel' GROUP BY ALL HAVING sum(len) > 0),
+sp(graph, category, regs, syss, clat, clng, radius) AS (
+  SELECT 'master', 'master', NULL::VARCHAR[], NULL::VARCHAR[], NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE
+  UNION ALL SELECT 'Place' || k || (k * 900 + 300) || '-area', 'area', NULL, NULL, CAST((k * 20 - 40) || '.5' AS DOUBLE), k * 70 - 150, k * 900 + 300 FROM k
+  UNION ALL SELECT 'regions' || k, 'multiregion', ['NATION_' || k, 'NATION_' || (k + 7), 'NATION_' || (k + 14)], NULL, NULL, NULL, NULL FROM k
+  UNION ALL SELECT 'systems' || k, 'multisystem', NULL, [['1-URGENT', '2-HIGH'], ['2-HIGH'], ['3-MEDIUM', '1-URGENT'], ['1-URGENT'], ['2-HIGH', '3-MEDIUM']][k + 1], NULL, NULL, NULL FROM k
+  UNION ALL VALUES ('custom0', 'fullcustom', NULL, NULL, 10, 20, 4000), ('custom1', 'fullcustom', ['NATION_1', 'NATION_2', 'NATION_9'], NULL, NULL, NULL, NULL), ('custom2', 'fullcustom', NULL, ['3-MEDIUM'], -12.5, 100, 3000),
+    ('custom3', 'fullcustom', ['NATION_3', 'NATION_4', 'NATION_5', 'NATION_6'], ['1-URGENT', '3-MEDIUM'], NULL, NULL, NULL), ('custom4', 'fullcustom', ['NATION_1', 'NATION_2', 'NATION_3', 'NATION_4', 'NATION_10', 'NATION_11', 'NATION_12'], ['2-HIGH', '1-URGENT'], 0, -60, 5000)
+  UNION ALL SELECT lower(country) || '-continent', 'continent', list(reg), NULL, NULL, NULL, NULL FROM dm GROUP BY country
+  UNION ALL SELECT lower(country) || '-country', 'country', list(reg), NULL, NULL, NULL, NULL FROM dm GROUP BY country HAVING count(*) >= 2
+  UNION ALL SELECT DISTINCT lower(reg) || '-region', 'region', [reg], NULL, NULL, NULL, NULL FROM dm
+  UNION ALL SELECT DISTINCT lower(sys) || '-system', 'system', NULL, [sys], NULL, NULL, NULL FROM rts WHERE lvl <> 'devel'),
+vf AS (SELECT lat, lng, list(DISTINCT reg) AS regs, list(DISTINCT sys) AS syss FROM pts JOIN rts USING (root) WHERE lvl <> 'devel' GROUP BY lat, lng),
+em AS (SELECT alat, alng, blat, blng, list(struct_pack(s := sys, n := sys || '#' || root) ORDER BY sys, root, idx) AS mem FROM grp WHERE NOT zero AND lvl <> 'devel' GROUP BY ALL),
+og AS (SELECT graph, lat, lng FROM sp, vf WHERE (sp.regs IS NULL OR list_has_any(vf.regs, sp.regs)) AND (sp.syss IS NULL OR list_has_any(vf.syss, sp.syss)) AND (radius IS NULL OR @V <= radius)),
+oe AS (SELECT graph, category, sp.syss AS chosen, mem, alat, alng, blat, blng FROM sp, ed JOIN em USING (alat, alng, blat, blng) WHERE (sp.regs IS NULL OR list_contains(sp.regs, creg)) AND (sp.syss IS NULL OR list_has_any(ed.syss, sp.syss)) AND (radius IS NULL OR (@A <= radius AND @B <= radius))) """
+for _mark, _end in (("@V", ""), ("@A", "a"), ("@B", "b")):
+    _SPECS = _SPECS.replace(_mark, f"acos(greatest(-1.0::DOUBLE, least(1.0::DOUBLE, cos(radians({_end}lat)) * cos(radians(clat)) * cos(radians(clng) - radians({_end}lng)) + sin(radians({_end}lat)) * sin(radians(clat))))) * 3963.1::DOUBLE")
+def _only(sql: str, test: str) -> str:
+    """The same for the specs that pass a test."""
+    return sql.replace("FROM rts WHERE lvl <> 'devel'),\nvf AS", f"FROM rts WHERE lvl <> 'devel'), all_specs AS (SELECT * FROM sp WHERE {test}),\nvf AS", 1).replace("FROM sp, vf", "FROM all_specs sp, vf").replace("FROM sp, ed", "FROM all_specs sp, ed").replace("FROM sp, (SELECT", "FROM all_specs sp, (SELECT")
+
+
 # --- chains: a path for each user over their events; visible vertices are purchases
 _CHAIN = """WITH ch AS (SELECT user_id, event_id AS a, lead(event_id) OVER w AS b FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), ce AS (SELECT * FROM ch WHERE b IS NOT NULL) """
 
@@ -252,8 +331,61 @@ g AS (SELECT user_id, run, arg_min(x, k) AS first, arg_max(y, k) AS last, count(
 
 @query("g07_contracted_edges", _BETWEEN + "SELECT least(first, last) AS v1, greatest(first, last) AS v2, CAST(user_id AS VARCHAR) AS label, CAST(steps - 1 AS BIGINT) AS between_ FROM g", base=False)
 def contracted_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contracted edges with the number of vertices inside."""
     edges, visible = chain(spark, sf_dir)
-    return graph.contract(edges, visible).select("v1", "v2", "label", F.size("shape").cast("long").alias("between_"))
+    ends, inner = graph.contracted(edges, visible)
+    key = ["v1", "second", "v2"]
+    return ends.join(inner.groupBy(*key).agg(F.count("*").alias("n")), key, "left").select("v1", "v2", "label", F.coalesce("n", F.lit(0)).alias("between_"))
+
+
+# --- a net: the users' paths, and a link from every 25th event to some other; some kinds of events are hidden in some formats
+_NET = """WITH RECURSIVE ch AS (SELECT CAST(user_id AS VARCHAR) AS label, event_id AS x, lead(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS y FROM events),
+e0 AS (SELECT * FROM ch WHERE y IS NOT NULL UNION ALL SELECT 'link', event_id, (event_id * 7 + 3) % (SELECT count(*) FROM events) FROM events WHERE event_id % 25 = 0),
+ge AS (SELECT least(x, y) AS a, greatest(x, y) AS b, min(label) AS label FROM e0 WHERE x <> y AND y IN (SELECT event_id FROM events) GROUP BY ALL),
+arc AS (SELECT a AS u, b AS v FROM ge UNION ALL SELECT b, a FROM ge), deg AS (SELECT u, count(*) AS d FROM arc GROUP BY u),
+see AS (SELECT event_id AS v, CASE WHEN coalesce(d, 0) <> 2 OR event_type IN ('purchase', 'signup') THEN 2 WHEN event_type = 'click' THEN 1 ELSE 0 END AS vis, coalesce(d, 0) AS d FROM events LEFT JOIN deg ON u = event_id),
+stay AS (SELECT k, v FROM see, (VALUES (1), (2), (3)) t(k) WHERE CASE k WHEN 3 THEN d <> 2 ELSE vis >= k END),
+walk AS (
+  SELECT k, u AS start, arc.v AS second, u AS prev, arc.v AS cur, 1 AS steps FROM stay JOIN arc ON u = stay.v
+  UNION ALL
+  SELECT w.k, start, second, cur, arc.v, steps + 1 FROM walk w JOIN arc ON u = cur AND arc.v <> prev WHERE NOT EXISTS (SELECT 1 FROM stay s WHERE s.k = w.k AND s.v = cur)),
+way AS (SELECT k, start AS v1, second, cur AS v2, steps FROM walk w WHERE EXISTS (SELECT 1 FROM stay s WHERE s.k = w.k AND s.v = cur) AND (start < cur OR (start = cur AND second <= prev))),
+bits AS (SELECT v1, second, v2, sum(bit) AS bits FROM (SELECT a AS v1, b AS second, b AS v2, 1 AS bit FROM ge UNION ALL SELECT v1, second, v2, CASE k WHEN 2 THEN 2 ELSE 4 END FROM way WHERE k < 3) GROUP BY ALL) """
+
+
+def net(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Edges (a, b, label) and vertices (v, visibility)."""
+    events = tables.read(spark, sf_dir, "events")
+    total = events.agg(F.count("*").alias("total"))  # one row
+    link = events.where("event_id % 25 = 0").crossJoin(F.broadcast(total)).selectExpr("'link' AS label", "event_id AS x", "(event_id * 7 + 3) % total AS y").join(events.select(F.col("event_id").alias("y")), "y", "left_semi").select("label", "x", "y")
+    along = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    path = events.select(F.col("user_id").cast("string").alias("label"), F.col("event_id").alias("x"), F.lead("event_id").over(along).alias("y")).where("y IS NOT NULL")
+    edges = path.unionByName(link).where("x <> y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.min("label").alias("label"))
+    degree = edges.select(F.explode(F.array("a", "b")).alias("v")).groupBy("v").agg(F.count("*").alias("d"))
+    kind = F.col("event_type")
+    visibility = F.when(F.coalesce("d", F.lit(0)) != 2, 2).when(kind.isin("purchase", "signup"), 2).when(kind == "click", 1).otherwise(0)
+    return edges, events.select(F.col("event_id").alias("v"), kind).join(degree, "v", "left").select("v", visibility.alias("visibility"))
+
+
+@query("a24_chain_formats", _NET + "SELECT CAST(bits AS INTEGER) AS format, CAST(count(*) AS BIGINT) AS edges FROM bits GROUP BY bits", base=False)
+def chain_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges by format bits where vertices stay hidden: simple only (1), collapsed (2), traveled (4) and their sums."""
+    return graph.format_edges(*net(spark, sf_dir)).groupBy(F.col("bits").alias("format")).agg(F.count("*").alias("edges"))
+
+
+@query("g14_chain_counts", _NET + """SELECT format, (SELECT CAST(count(*) AS BIGINT) FROM see WHERE vis >= least) AS vertices, (SELECT CAST(count(*) AS BIGINT) FROM bits WHERE CAST(bits AS INTEGER) & bit > 0) AS edges
+FROM (VALUES ('simple', 0, 1), ('collapsed', 2, 2), ('traveled', 1, 4)) f(format, least, bit)""", base=False)
+def chain_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges, seen = net(spark, sf_dir)
+    return counts_by_format(graph.format_edges(edges, seen), seen)
+
+
+@query("g08_intersections_only", _NET + "SELECT v1, second, v2, CAST(steps - 1 AS BIGINT) AS inside FROM way WHERE k = 3", base=False)
+def intersections_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The net contracted by degree alone: edges between places where not just two edges meet, with the vertices inside."""
+    ends, inner = graph.intersections_only(net(spark, sf_dir)[0])
+    key = ["v1", "second", "v2"]
+    return ends.join(inner.groupBy(*key).agg(F.count("*").alias("n")), key, "left").select(*key, F.coalesce("n", F.lit(0)).alias("inside"))
 
 
 @query("g08_components", _CHAIN + "SELECT event_id AS node, min(event_id) OVER (PARTITION BY user_id) AS component FROM events WHERE user_id IN (SELECT user_id FROM events GROUP BY 1 HAVING count(*) > 1)", base=False)
@@ -268,12 +400,56 @@ def graph_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.agg(F.max("n").alias("max_degree"), F.round(F.avg("n"), 4).alias("average_degree"), F.count("*").alias("vertices"))
 
 
-@query("s04_canonical_order", _CHAIN + "SELECT least(a, b) AS v1, greatest(a, b) AS v2, CAST(row_number() OVER (ORDER BY least(a, b), greatest(a, b), CAST(user_id AS VARCHAR)) - 1 AS BIGINT) AS place FROM ce", base=False)
+_RINGS = """WITH o AS (SELECT user_id, event_id, event_type = 'purchase' AS p, row_number() OVER w AS k FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+u AS (SELECT user_id, count(*) AS n, list(event_id ORDER BY k) AS l, bool_or(p) AS shops, min(event_id) AS least FROM o GROUP BY user_id HAVING count(*) > 1),
+s AS (SELECT o.user_id, k, n, l, lead(k) OVER (PARTITION BY o.user_id ORDER BY k) AS k2, min(k) OVER (PARTITION BY o.user_id) + n AS round FROM o JOIN u USING (user_id) WHERE n = 2 OR p OR (NOT shops AND event_id = least)),
+r AS (SELECT user_id, l || l AS ll, k, coalesce(k2, CASE WHEN n > 2 THEN round END) AS k2 FROM s),
+e AS (SELECT user_id, ll[k] AS x, ll[k2] AS y, ll[k + 1 : k2 - 1] AS shape FROM r WHERE k2 IS NOT NULL),
+c AS (SELECT CAST(user_id AS VARCHAR) AS label, least(x, y) AS v1, greatest(x, y) AS v2, CASE WHEN x > y OR (x = y AND shape[1] > shape[-1]) THEN list_reverse(shape) ELSE shape END AS shape FROM e) """
+
+
+@query("s04_canonical_order", _RINGS + "SELECT v1, v2, label, array_to_string(shape, ' ') AS shape, CAST(row_number() OVER (ORDER BY v1, v2, label, len(shape), shape) - 1 AS BIGINT) AS place FROM c", base=False)
 def canonical_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.numbering import dense
+    """Each user's events in a ring, contracted to purchases, in canonical order: with loops, and two edges between one pair."""
+    events = tables.read(spark, sf_dir, "events")
+    along, all_of = Window.partitionBy("user_id").orderBy("ts", "event_id"), Window.partitionBy("user_id")
+    rows = events.select("user_id", "event_id", F.lead("event_id").over(along).alias("next"), F.first("event_id").over(along).alias("first"), F.count("*").over(all_of).alias("n"))
+    step = rows.withColumn("y", F.coalesce("next", F.when(F.col("n") > 2, F.col("first")))).where("y IS NOT NULL")
+    edges = step.select(F.least("event_id", "y").alias("a"), F.greatest("event_id", "y").alias("b"), F.col("user_id").cast("string").alias("label"))
+    whole = graph.contract(edges, events.where("event_type = 'purchase'").select(F.col("event_id").alias("v")))
+    return graph.canonical_order(whole).select("v1", "v2", "label", F.array_join(F.transform("shape", lambda v: v.cast("string")), " ").alias("shape"), F.col("place").cast("long").alias("place"))
+
+
+_ARCHIVE = BASE.replace("WITH pts", "WITH RECURSIVE pts", 1) + _only(_SPECS, "category = 'region'") + """, vn AS (SELECT graph, lat, lng, row_number() OVER () AS id FROM og), ga AS (SELECT oe.graph, p.id AS u, q.id AS v FROM oe JOIN vn p ON p.graph = oe.graph AND p.lat = alat AND p.lng = alng JOIN vn q ON q.graph = oe.graph AND q.lat = blat AND q.lng = blng),
+gr AS (SELECT u, v FROM ga UNION ALL SELECT v, u FROM ga), gd AS (SELECT u, count(*) AS d FROM gr GROUP BY u), kp AS (SELECT id FROM vn LEFT JOIN gd ON u = id WHERE coalesce(d, 0) <> 2),
+wk AS (SELECT u AS start, v AS second, u AS prev, v AS cur FROM gr JOIN kp ON u = id UNION ALL SELECT start, second, cur, v FROM wk JOIN gr ON u = cur AND v <> prev WHERE cur NOT IN (SELECT id FROM kp)),
+cw AS (SELECT start AS u, second, cur AS v FROM wk WHERE cur IN (SELECT id FROM kp) AND (start < cur OR (start = cur AND second <= prev))),
+nodes AS (SELECT 'simple' AS format, graph, id, lat, lng FROM vn UNION ALL SELECT 'intersection-only', graph, id, lat, lng FROM vn WHERE id IN (SELECT id FROM kp)), links AS (SELECT 'simple' AS format, u, v FROM ga UNION ALL SELECT 'intersection-only', u, v FROM cw),
+ends AS (SELECT format, u AS id FROM links UNION ALL SELECT format, v FROM links), ds AS (SELECT format, id, count(*) AS d FROM ends GROUP BY ALL),
+near AS (SELECT format, u, v FROM links UNION SELECT format, v, u FROM links), reach AS (SELECT format, id, id AS c FROM nodes UNION SELECT r.format, v, c FROM reach r JOIN near n ON n.format = r.format AND n.u = r.id AND n.v > r.c), lo AS (SELECT format, id, min(c) AS c FROM reach GROUP BY ALL),
+bx AS (SELECT format, graph, count(*) AS vertices, coalesce(max(d), 0) AS max_degree, sum(coalesce(d, 0)) AS ends, count(DISTINCT c) AS parts, max(lat) AS n, min(lat) AS s, max(lng) AS e, min(lng) AS w FROM nodes JOIN lo USING (format, id) LEFT JOIN ds USING (format, id) GROUP BY format, graph)
+SELECT format, graph, CAST(vertices AS BIGINT) AS vertices, CAST(ends / 2 AS BIGINT) AS edges, CAST(max_degree AS BIGINT) AS max_degree, round(ends / vertices, 4) AS average_degree, CAST(parts AS BIGINT) AS parts,
+ round(CASE WHEN n = s OR e = w THEN 1 ELSE asin(sqrt(pow(cos(radians((n + s) / 2)), 2) * pow(sin(radians(e - w) / 2), 2))) / asin(sqrt(pow(sin(radians(n - s) / 2), 2))) END, 4) AS aspect_ratio FROM bx"""
+
+
+@query("a22_archive_statistics", _ARCHIVE, base=False)
+def archive_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive's row of every region's graph and of its intersection-only form: sizes, degrees, aspect ratio, parts."""
+    from ..operators import subgraphs
 
-    edges, _ = chain(spark, sf_dir)
-    return dense(edges.select(F.col("a").alias("v1"), F.col("b").alias("v2"), "label"), ["v1", "v2", "label"], "place").select("v1", "v2", F.col("place").cast("long"))
+    m = Master(spark, sf_dir)
+    specs = graph_specs(spark, sf_dir, m.net).where("category = 'region'")
+    rows = m.edges.select(F.col("pair").alias("edge"), "pair.a", "pair.b", F.col("canonical.region").alias("region"), "systems")
+    spots = subgraphs.vertices(m.shown_points(), specs).checkpoint()
+    ways = subgraphs.edges(rows, specs).select("graph", "edge.a", "edge.b").checkpoint()
+    at = lambda e: F.struct("graph", f"{e}.lat", f"{e}.lng").alias(e)
+    ends, inner = graph.intersections_only(ways.select(at("a"), at("b"), F.lit("").alias("label")))
+    end = lambda c, e: F.struct(f"{c}.lat", f"{c}.lng").alias(e)
+    short = ends.select("v1.graph", end("v1", "a"), end("v2", "b"))
+    left = spots.join(inner.select("v.graph", "v.lat", "v.lng"), ["graph", "lat", "lng"], "left_anti")
+    told = lambda kind, v, e: graph.statistics(v, e).withColumn("format", F.lit(kind))
+    both = told("simple", spots, ways).unionByName(told("intersection-only", left, short))
+    return both.select("format", "graph", "vertices", "edges", "max_degree", F.round("average_degree", 4).alias("average_degree"), "parts", F.round("aspect_ratio", 4).alias("aspect_ratio"))
 
 
 _NAMED = """SELECT l_orderkey AS place, row_number() OVER w - 1 AS k, l_suppkey % 12 AS root, 'US' || (l_suppkey % 12) AS bare, CASE WHEN l_suppkey % 5 = 0 THEN 'Cit' ELSE '' END AS abbrev,
@@ -325,53 +501,76 @@ def unique_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.unique_names(named)
 
 
-_FILES = _V + _E + _VIS + """, nm AS (SELECT lat, lng, 'R' || root % 7 AS nm, bool_and(hid) AS h, arg_min(label, (hid, label)) AS label FROM pts JOIN rts USING (root) WHERE lvl <> 'devel' GROUP BY ALL),
+_FILES = _SPECS + """, nm AS (SELECT lat, lng, 'R' || root % 7 AS nm, bool_and(hid) AS h, arg_min(label, (hid, label)) AS label FROM pts JOIN rts USING (root) WHERE lvl <> 'devel' GROUP BY ALL),
 nn AS (SELECT lat, lng, string_agg(nm, '/' ORDER BY h, nm) || '@' || arg_min(label, (h, nm)) AS name FROM nm GROUP BY ALL), fm(format, least, head) AS (VALUES ('simple', 0, 'TMG 1.0 simple'), ('collapsed', 2, 'TMG 1.0 collapsed'), ('traveled', 1, 'TMG 2.0 traveled')),
-te AS (SELECT DISTINCT trav, alat, alng, blat, blng FROM cli WHERE lvl <> 'devel' AND NOT zero), tn AS (SELECT trav, row_number() OVER (ORDER BY trav) - 1 AS n FROM (SELECT DISTINCT trav FROM te)), md AS (SELECT CAST(max(n) // 4 AS BIGINT) AS m FROM tn),
-hx AS (SELECT alat, alng, blat, blng, n // 4 AS dig, upper(to_hex(CAST(sum(1 << CAST(n % 4 AS INTEGER)) AS BIGINT))) AS h FROM te JOIN tn USING (trav) GROUP BY ALL), al AS (SELECT alat, alng, blat, blng, unnest(range(0, (SELECT m FROM md) + 1)) AS dig FROM ed),
-cd AS (SELECT alat, alng, blat, blng, string_agg(coalesce(h, '0'), '' ORDER BY dig) AS code FROM al LEFT JOIN hx USING (alat, alng, blat, blng, dig) GROUP BY ALL),
-og AS ({0}), oe AS ({1}), ot AS ({2}),
+te AS (SELECT DISTINCT CAST(trav AS VARCHAR) AS trav, alat, alng, blat, blng FROM cli WHERE lvl <> 'devel' AND NOT zero),
+ot AS (SELECT DISTINCT graph, trav FROM oe JOIN te USING (alat, alng, blat, blng) UNION SELECT graph, CAST(e.trav AS VARCHAR) FROM sp, (SELECT DISTINCT trav FROM ent) e WHERE category = 'master'),
+tn AS (SELECT graph, trav, row_number() OVER (PARTITION BY graph ORDER BY trav) - 1 AS n FROM ot), tl AS (SELECT graph, count(*) AS nt, string_agg(trav || ' ', '' ORDER BY trav) AS names FROM ot GROUP BY graph),
+hx AS (SELECT graph, alat, alng, blat, blng, n // 4 AS dig, upper(to_hex(CAST(sum(1 << CAST(n % 4 AS INTEGER)) AS BIGINT))) AS h FROM oe JOIN te USING (alat, alng, blat, blng) JOIN tn USING (graph, trav) GROUP BY ALL),
+al AS (SELECT graph, alat, alng, blat, blng, unnest(range(0, CAST(greatest(ceil(coalesce(nt, 0) / 4), 1) AS BIGINT))) AS dig FROM oe LEFT JOIN tl USING (graph)),
+cd AS (SELECT graph, alat, alng, blat, blng, string_agg(coalesce(h, '0'), '' ORDER BY dig) AS code FROM al LEFT JOIN hx USING (graph, alat, alng, blat, blng, dig) GROUP BY ALL),
 fv AS (SELECT graph, format, og.lat, og.lng, name, row_number() OVER (PARTITION BY graph, format ORDER BY og.lat, og.lng) - 1 AS n FROM og JOIN vv ON og.lat = vv.lat AND og.lng = vv.lng JOIN nn ON og.lat = nn.lat AND og.lng = nn.lng, fm WHERE visibility >= least),
-fe AS (SELECT e.graph, fm.format, p.n AS v1, q.n AS v2, p.n || ' ' || q.n || ' ' || routes || CASE WHEN fm.format = 'traveled' THEN ' ' || code ELSE '' END AS value FROM oe e CROSS JOIN fm JOIN cd USING (alat, alng, blat, blng) JOIN fv p ON p.graph = e.graph AND p.format = fm.format AND p.lat = alat AND p.lng = alng JOIN fv q ON q.graph = e.graph AND q.format = fm.format AND q.lat = blat AND q.lng = blng),
-tl AS (SELECT graph, count(*) AS nt, string_agg(trav, ' ' ORDER BY trav) AS names FROM ot GROUP BY graph),
-nv AS (SELECT graph, format, count(*) AS nv FROM fv GROUP BY ALL), ne AS (SELECT graph, format, count(*) AS ne FROM fe GROUP BY ALL),
-li AS (SELECT graph, format, 0 AS s, 0 AS i, 0 AS j, head AS value FROM nv JOIN fm USING (format) UNION ALL SELECT graph, format, 1, 0, 0, nv || ' ' || coalesce(ne, 0) || CASE WHEN format = 'traveled' THEN ' ' || coalesce(nt, 0) ELSE '' END FROM nv LEFT JOIN ne USING (graph, format) LEFT JOIN tl USING (graph)
- UNION ALL SELECT graph, format, 2, n, 0, name || ' ' || format('{{:.15g}} {{:.15g}}', CAST(lat AS DOUBLE), CAST(lng AS DOUBLE)) FROM fv UNION ALL SELECT graph, format, 3, v1, v2, value FROM fe UNION ALL SELECT graph, format, 4, 0, 0, coalesce(names, '') FROM nv LEFT JOIN tl USING (graph) WHERE format = 'traveled')
+fe AS (SELECT e.graph, fm.format, p.n AS v1, q.n AS v2, p.n || ' ' || q.n || ' ' || array_to_string(list_transform(list_filter(mem, lambda m: chosen IS NULL OR list_contains(chosen, m.s)), lambda m: m.n), ',') || CASE WHEN fm.format = 'traveled' THEN ' ' || code ELSE '' END AS value
+ FROM oe e CROSS JOIN fm JOIN cd USING (graph, alat, alng, blat, blng) JOIN fv p ON p.graph = e.graph AND p.format = fm.format AND p.lat = alat AND p.lng = alng JOIN fv q ON q.graph = e.graph AND q.format = fm.format AND q.lat = blat AND q.lng = blng),
+nv AS (SELECT graph, format, count(*) AS nv FROM fv GROUP BY ALL), ne AS (SELECT graph, format, count(*) AS ne FROM fe GROUP BY ALL) """
+_LINES = """, li AS (SELECT graph, format, 0 AS s, 0 AS i, 0 AS j, head AS value FROM nv JOIN fm USING (format) UNION ALL SELECT graph, format, 1, 0, 0, nv || ' ' || coalesce(ne, 0) || CASE WHEN format = 'traveled' THEN ' ' || coalesce(nt, 0) ELSE '' END FROM nv LEFT JOIN ne USING (graph, format) LEFT JOIN tl USING (graph)
+ UNION ALL SELECT graph, format, 2, n, 0, name || ' ' || format('{:.15g} {:.15g}', CAST(lat AS DOUBLE), CAST(lng AS DOUBLE)) FROM fv UNION ALL SELECT graph, format, 3, v1, v2, value FROM fe UNION ALL SELECT graph, format, 4, 0, 0, coalesce(names, '') FROM nv LEFT JOIN tl USING (graph) WHERE format = 'traveled')
 SELECT graph, format, CAST(row_number() OVER (PARTITION BY graph, format ORDER BY s, i, j, value) - 1 AS INTEGER) AS line_no, value FROM li"""
-_SHOWN = "pts JOIN rts USING (root) WHERE lvl <> 'devel'"
-_TRAVELED = "SELECT DISTINCT {0} AS graph, CAST(trav AS VARCHAR) AS trav FROM cli WHERE lvl <> 'devel' AND NOT zero"
 
 
-@query("snk12_master_graph", _FILES.format(f"SELECT DISTINCT 'master' AS graph, lat, lng FROM {_SHOWN}", "SELECT 'master' AS graph, * FROM ed", _TRAVELED.format("'master'")))
+@query("snk12_master_graph", _only(_FILES, "category = 'master'") + _LINES)
 def master_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of the master graph's file in each format."""
-    return Master(spark, sf_dir).texts(["master"])
+    return Master(spark, sf_dir).texts(master_spec(spark))
 
 
-_SUBS = _FILES.format(f"SELECT DISTINCT reg AS graph, lat, lng FROM {_SHOWN} UNION ALL SELECT DISTINCT sys, lat, lng FROM {_SHOWN}", "SELECT creg AS graph, * FROM ed UNION ALL SELECT s AS graph, ed.* FROM ed, unnest(syss) t(s)", f"{_TRAVELED.format('reg')} UNION ALL {_TRAVELED.format('sys')}")
+@query("snk13_subgraphs", _only(_FILES, "category <> 'master'") + _LINES)
+def subgraph_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for the graphs of all specs at once: areas, sets of regions and systems, full customs, continents, countries,
+    regions, systems."""
+    m = Master(spark, sf_dir)
+    return m.texts(graph_specs(spark, sf_dir, m.net))
+
 
+@query("g12_spec_members", _SPECS + """SELECT 'vertex' AS kind, graph, CAST(count(*) AS BIGINT) AS n, round(sum(lat), 3) AS place FROM og GROUP BY graph UNION ALL SELECT 'edge', graph, CAST(count(*) AS BIGINT), round(sum(alat + 2 * blat), 3) FROM oe GROUP BY graph""")
+def spec_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vertices and simple edges of the graphs of all specs, the master graph among them, counted and summed."""
+    from ..operators import subgraphs
 
-@query("snk13_subgraphs", _SUBS)
-def subgraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same for the graphs of all regions and systems at once."""
-    return Master(spark, sf_dir).texts(["region", "system"])
+    m = Master(spark, sf_dir)
+    specs = graph_specs(spark, sf_dir, m.net).unionByName(master_spec(spark))
+    rows = m.edges.select(F.col("pair").alias("edge"), "pair.a", "pair.b", F.col("canonical.region").alias("region"), "systems")
+    spots, ways = subgraphs.vertices(m.shown_points(), specs), subgraphs.edges(rows, specs)
+    told = lambda df, kind, value: df.groupBy("graph").agg(F.count("*").alias("n"), F.round(F.sum(value), 3).alias("place")).select(F.lit(kind).alias("kind"), "graph", "n", "place")
+    return told(spots, "vertex", F.col("lat")).unionByName(told(ways, "edge", F.col("edge.a.lat") + 2 * F.col("edge.b.lat")))
 
 
-@query("src16_graph_reader", _E + "SELECT creg AS graph, " + _ENDS + ", routes AS label FROM ed")
+@query("src16_graph_reader", _E + "SELECT lower(creg) || '-region' AS graph, " + _ENDS + ", routes AS label FROM ed")
 def graph_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The regions' traveled graph files, read back: their edges by the coordinates of their ends."""
     from ..sources import graphs
 
-    lines = Master(spark, sf_dir).texts(["region"]).where("format = 'traveled'").select("graph", "line_no", "value").checkpoint()
+    m = Master(spark, sf_dir)
+    lines = m.texts(graph_specs(spark, sf_dir, m.net).where("category = 'region'")).where("format = 'traveled'").select("graph", "line_no", "value").checkpoint()
     vertices_, edges_ = graphs.parse(lines)
     at = lambda e, k: vertices_.select("graph", F.col("n").alias(f"v{k}"), F.round("lat", 1).alias(f"{e}lat"), F.round("lng", 1).alias(f"{e}lng"))
     return edges_.join(at("a", 1), ["graph", "v1"]).join(at("b", 2), ["graph", "v2"]).select("graph", "alat", "alng", "blat", "blng", F.col("name").alias("label"))
 
 
-@query("snk02_graph_tables", _SUBS.split("SELECT graph, format, CAST(row_number()")[0] + "SELECT lower(graph) || '-' || format || '.tmg' AS filename, graph AS descr, CAST(nv AS BIGINT) AS vertices, CAST(coalesce(ne, 0) AS BIGINT) AS edges, CASE WHEN format = 'traveled' THEN CAST(coalesce(nt, 0) AS BIGINT) ELSE 0 END AS travelers, format, CASE WHEN starts_with(graph, 'NATION') THEN 'region' ELSE 'system' END AS category FROM nv LEFT JOIN ne USING (graph, format) LEFT JOIN tl USING (graph)")
+@query("snk02_graph_tables", _FILES + """SELECT graph || CASE format WHEN 'collapsed' THEN '' ELSE '-' || format END || '.tmg' AS filename, CAST(nv AS BIGINT) AS vertices, CAST(coalesce(ne, 0) AS BIGINT) AS edges, CASE WHEN format = 'traveled' THEN CAST(coalesce(nt, 0) AS BIGINT) ELSE 0 END AS travelers, format, category
+FROM nv LEFT JOIN ne USING (graph, format) LEFT JOIN tl USING (graph) JOIN sp USING (graph)""")
 def graph_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table of graphs: a row for each file with its sizes, told by the second line of the file."""
-    second = Master(spark, sf_dir).texts(["region", "system"]).where("line_no = 1")
+    """The table of graphs: a row for each file of each spec with its sizes, told by the second line of the file."""
+    m = Master(spark, sf_dir)
+    specs = graph_specs(spark, sf_dir, m.net).unionByName(master_spec(spark))
+    second = m.texts(specs).where("line_no = 1").join(specs.select("graph", "category"), "graph")
     n = lambda k: F.coalesce(F.get(F.split("value", " "), F.lit(k)).cast("long"), F.lit(0).cast("long"))
-    category = F.when(F.startswith("graph", F.lit("NATION")), "region").otherwise("system")
-    return second.select(F.concat(F.lower("graph"), F.lit("-"), "format", F.lit(".tmg")).alias("filename"), F.col("graph").alias("descr"), n(0).alias("vertices"), n(1).alias("edges"), n(2).alias("travelers"), "format", category.alias("category"))
+    ending = F.when(F.col("format") == "collapsed", "").otherwise(F.concat(F.lit("-"), "format"))
+    return second.select(F.concat("graph", ending, F.lit(".tmg")).alias("filename"), n(0).alias("vertices"), n(1).alias("edges"), n(2).alias("travelers"), "format", "category")
+
+
+@query("snk02_graph_types", _SPECS + "SELECT category, CAST(count(*) AS BIGINT) AS graphs FROM sp GROUP BY category")
+def graph_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of graph types: the categories in use, with the number of their specs."""
+    specs = graph_specs(spark, sf_dir, Net(spark, sf_dir)).unionByName(master_spec(spark))
+    return specs.groupBy("category").agg(F.count("*").alias("graphs"))

@@ -81,9 +81,16 @@ def circles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read(spark, sf_dir, "nation").select(F.concat(F.lit("g"), n.cast("string")).alias("graph"), (n * 3.0 - 40).alias("clat"), (n * 14.0 - 178).alias("clng"), (300.0 + n * 150).alias("radius"))
 
 
-@query("j10_radius_join", _PLACES + f"SELECT graph, s_suppkey AS name, round({_MILES}, 3) AS miles FROM s, c WHERE {_MILES} <= radius", base=False)
+@query("j10_radius_join", _PLACES + f""", w AS (SELECT graph, s_suppkey AS name, round({_MILES}, 3) AS miles FROM s, c WHERE {_MILES} <= radius)
+SELECT graph, 'vertex' AS kind, name, miles FROM w UNION ALL SELECT x.graph, 'edge', x.name, NULL FROM w x JOIN w y ON x.graph = y.graph AND y.name = x.name + 1""", base=False)
 def radius_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spatial.within(places(spark, sf_dir), circles(spark, sf_dir)).select("graph", "name", F.round("miles", 3).alias("miles"))
+    """Places inside circles, and the ways from a place to the next one of which both ends lie inside."""
+    spots, rings = places(spark, sf_dir), circles(spark, sf_dir)
+    spot = F.struct("lat", "lng")
+    to = spots.select((F.col("name") - 1).alias("edge"), spot.alias("b"))
+    ways = spots.select(F.col("name").alias("edge"), spot.alias("a")).join(to, "edge")
+    inside = spatial.within(spots, rings).select("graph", F.lit("vertex").alias("kind"), "name", F.round("miles", 3).alias("miles"))
+    return inside.unionByName(spatial.edges_within(ways, rings).select("graph", F.lit("edge").alias("kind"), F.col("edge").alias("name"), F.lit(None).cast("double").alias("miles")))
 
 
 @query("fn01_haversine", "SELECT root, idx, round(len / 1.02112, 4) AS miles FROM seg")

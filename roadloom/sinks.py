@@ -91,7 +91,7 @@ def graph_texts(vertices: DataFrame, edges: DataFrame, travelers: DataFrame | No
     kind = F.element_at(F.create_map(*[F.lit(x) for pair in FORMATS.items() for x in pair]), F.col("format"))
     counts = F.concat_ws(" ", F.col("nv").cast("string"), F.coalesce("ne", F.lit(0)).cast("string"), F.when(F.col("names").isNotNull(), F.size("names").cast("string")))
     line = lambda k, value: F.struct(F.lit(k).alias("s"), value.alias("value"))
-    told = F.array_compact(F.array(line(0, kind), line(1, counts), F.when(F.col("names").isNotNull(), line(4, F.array_join("names", " ")))))
+    told = F.array_compact(F.array(line(0, kind), line(1, counts), F.when(F.col("names").isNotNull(), line(4, F.concat_ws("", F.transform("names", lambda t: F.concat(t, F.lit(" "))))))))
     frame = heads.select(*key, F.inline(told)).select(*key, "s", nothing.alias("i"), nothing.alias("j"), "value")
     lines = frame.unionByName(numbered.select(*key, F.lit(2).alias("s"), F.col("n").alias("i"), nothing.alias("j"), F.concat_ws(" ", "name", digits(F.col("lat")), digits(F.col("lng"))).alias("value")))
     lines = lines.unionByName(ways.select(*key, F.lit(3).alias("s"), F.col("v_a").alias("i"), F.col("v_b").alias("j"), "value"))

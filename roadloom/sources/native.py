@@ -192,8 +192,10 @@ def graph_specs(rows: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     place = {"area": (2, 3, 4), "fullcustom": (2, 3, 4)}.get(kind)
     regions_ = codes(2) if kind == "multiregion" else codes(5) if kind == "fullcustom" else empty
     systems_ = codes(2) if kind == "multisystem" else F.array(F.col("f")[0]) if kind == "system" else codes(6) if kind == "fullcustom" else empty
-    title = F.col("f")[0] if kind == "system" else F.col("f")[1]
-    spec = split.where(F.size("f") == n).select("line_no", F.col("f")[0].alias("description"), title.alias("graph"), F.lit(kind).alias("category"), regions_.alias("regions"), systems_.alias("systems"), *((number(k) if place else none).alias(c) for k, c in zip(place or (0, 0, 0), ("lat", "lng", "radius"), strict=True)))
+    # files are named by title; of an area also by its radius, of a system by its name
+    title = {"system": F.concat(F.col("f")[0], F.lit("-system")), "area": F.concat(F.col("f")[1], F.col("f")[4], F.lit("-area"))}.get(kind, F.col("f")[1])
+    described = F.concat(F.col("f")[0], F.lit(" ("), F.col("f")[4], F.lit(" mi radius)")) if kind == "area" else F.col("f")[0]
+    spec = split.where(F.size("f") == n).select("line_no", described.alias("description"), title.alias("graph"), F.lit(kind).alias("category"), regions_.alias("regions"), systems_.alias("systems"), *((number(k) if place else none).alias(c) for k, c in zip(place or (0, 0, 0), ("lat", "lng", "radius"), strict=True)))
     given = F.size(F.array_compact(F.array("lat", "lng", "radius")))
     wrong = (given != 3) if kind == "area" else (~given.isin(0, 3)) if kind == "fullcustom" else F.lit(False)
     wrong = wrong | F.coalesce(F.col("radius") <= 0, F.lit(False))

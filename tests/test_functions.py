@@ -62,7 +62,7 @@ def test_native_files(spark, tmp_path):
     points = native.waypoints(native.waypoint_lines(files)).orderBy("idx").collect()
     assert [(p["root"], p["label"], p["alt_labels"], p["lat"], p["lng"], p["is_hidden"]) for p in points] == [("ca.i005", "A", [], 1.5, 2.0, False), ("ca.i005", "+X1", ["alt"], 1.6, 2.1, True)]
     spec, wrong = native.graph_specs(rows_of(spark, "h", "d;t;1;2;30", "d;t2;1;2;-1", "d;t3;1"), "area")
-    assert [r["graph"] for r in spec.collect()] == ["t"] and wrong.count() == 2
+    assert [(r["graph"], r["description"]) for r in spec.collect()] == [("t30-area", "d (30 mi radius)")] and wrong.count() == 2
 
 
 def test_travel_lists(spark):
@@ -136,7 +136,7 @@ def test_components_of_a_long_path(spark):
 def test_contraction_keeps_all_edges(spark):
     edges = spark.createDataFrame([(1, 2, "x"), (2, 3, "x"), (3, 9, "x"), (4, 9, "y"), (5, 6, "z"), (6, 7, "z"), (5, 7, "z")], "a long, b long, label string")
     visible = spark.createDataFrame([(1,), (9,), (4,)], "v long")
-    got = sorted(map(tuple, graph.contract(edges, visible).collect()))
+    got = sorted(map(tuple, graph.contract(edges, visible).drop("second").collect()))
     assert got == [(1, 9, "x", [2, 3]), (4, 9, "y", []), (5, 5, "z", [6, 7])]
 
 
@@ -203,3 +203,25 @@ def test_graph_files_read_back(spark):
     vertices, edges = graphs.parse(rows)
     assert sorted((v["n"], v["name"], v["lat"]) for v in vertices.collect()) == [(0, "a", 1.5), (1, "b", 1.0)]
     assert [(e["v1"], e["v2"], e["name"], [tuple(p) for p in e["shape"]]) for e in edges.collect()] == [(0, 1, "R1,R2", [(3.0, 4.0), (5.0, 6.0)])]
+
+
+def test_circles_over_poles_and_the_date_line(spark):
+    r = random.Random(7)
+    places = [(k, r.choice([r.uniform(-90, 90), r.uniform(85, 90), -r.uniform(85, 90), 90.0, -90.0]), r.choice([r.uniform(-180, 180), 180.0, -180.0, r.uniform(178, 180), -r.uniform(178, 180)])) for k in range(1500)]
+    circles = [(f"c{k}", r.choice([r.uniform(-90, 90), 89.9, -89.5, 90.0]), r.choice([r.uniform(-180, 180), 179.9, -179.9]), r.choice([0.5, 20.0, 300.0, 2500.0, 9000.0, 13000.0])) for k in range(60)]
+
+    def miles(a, b, c, d):
+        a, b, c, d = map(math.radians, (a, b, c, d))
+        return math.acos(max(-1.0, min(1.0, math.cos(a) * math.cos(c) * math.cos(d - b) + math.sin(a) * math.sin(c)))) * 3963.1
+
+    want = {(g, k) for k, lat, lng in places for g, clat, clng, radius in circles if miles(lat, lng, clat, clng) <= radius}
+    at, around = spark.createDataFrame(places, "name int, lat double, lng double"), spark.createDataFrame(circles, "graph string, clat double, clng double, radius double")
+    got = [(x["graph"], x["name"]) for x in spatial.within(at, around).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    # few cells, however large or far north a circle is
+    assert spatial.circle_cells(around).groupBy("graph").count().agg(F.max("count")).first()[0] <= 60
+    spot = {k: {"lat": lat, "lng": lng} for k, lat, lng in places}
+    ways = [(k, spot[k], spot[(k * 7) % 1500]) for k in range(1500)]
+    edges = spark.createDataFrame(ways, "edge int, a struct<lat:double,lng:double>, b struct<lat:double,lng:double>")
+    assert {(x["graph"], x["edge"]) for x in spatial.edges_within(edges, around).collect()} == {(g, k) for g, k in want if (g, (k * 7) % 1500) in want}
+    assert spatial.within(at, around.limit(0)).count() == 0
