@@ -13,7 +13,7 @@ ordered row by row: a source with a third of all rows is no hot spot. Ties in q
 follow from the rows alone, so reruns agree.
 
 Null texts have size 0; a source of size 0 has target 0 and its documents are taken 0 times. Repeated rows are rows of their
-own, but equal rows with equal ids share their draw. An empty table gives an empty table.
+own: they share their draw, and are taken in the order of numbers that are written with their sizes. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -22,11 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Durable, unlike
+from .common import Durable
 
 MOST, BUCKETS, SEED, TILT = 3, 4096, 20, 0.5
 #: Inclusion probabilities stay between these.
 LEAST_P, MOST_P = 1e-9, 1 - 1e-6
+#: Columns beside those of the documents.
+_ROW, _COPIES, _COPY = "_mix_row", "_mix_copies", "_mix_copy"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -62,7 +64,12 @@ def rates(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MO
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST, buckets: int = BUCKETS) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken of every row; copies tells how often the mix holds it."""
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text").cast("string")).alias("size"))
+    return _mixed(docs.withColumn(_ROW, F.monotonically_increasing_id()), weights, most, buckets).drop(_ROW)
+
+
+def _mixed(rows: DataFrame, weights: tuple[int, ...], most: int, buckets: int = BUCKETS) -> DataFrame:
+    """The same with each row's number, which is fixed once sizes are written."""
+    slim = rows.select(_ROW, F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text").cast("string")).alias("size"))
     sized = Durable(slim, "sizes").df
     rate = Durable(rates(sized, weights, most), "rates").df
     share = F.pmod(F.xxhash64(F.lit(SEED), F.coalesce(F.col("doc_id"), F.lit(-1)), F.col("size")), F.lit(1 << 52)).cast("double")
@@ -79,19 +86,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST,
     edge = sums.where("before <= open AND before + words > open").groupBy("source").agg(F.min("bucket").alias("edge"), F.min_by("before", "bucket").alias("before"))
     rows = rows.join(edge.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
     inside = rows.where("bucket = edge")
-    run = W.partitionBy("source").orderBy("q", "doc_id", "size").rowsBetween(W.unboundedPreceding, W.currentRow)
+    run = W.partitionBy("source").orderBy("q", "doc_id", "size", _ROW).rowsBetween(W.unboundedPreceding, W.currentRow)
     inside = inside.withColumn("run", F.col("before") + F.sum("size").over(run))
     # a document is in while more than half of it lies below `open`
     inside = inside.withColumn("extra", (F.col("run") - F.col("size") / 2.0 <= F.col("open")).cast("long"))
     outside = rows.where("NOT coalesce(bucket = edge, false)").withColumn("extra", F.when(F.col("q").isNull(), 0).when(F.col("edge").isNull(), F.when(F.col("open") > 0, 1).otherwise(0)).otherwise((F.col("bucket") < F.col("edge")).cast("long")).cast("long"))
-    columns = ["doc_id", "source", "size", "source_size", "target", (F.col("certain") + F.col("extra")).alias("copies"), ((F.col("certain") + F.col("extra")) * F.col("size")).alias("taken")]
+    columns = [_ROW, "doc_id", "source", "size", "source_size", "target", (F.col("certain") + F.col("extra")).alias("copies"), ((F.col("certain") + F.col("extra")) * F.col("size")).alias("taken")]
     return inside.select(*columns).unionByName(outside.select(*columns))
 
 
 def apply(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST) -> DataFrame:
-    """The mix itself: every row as often as it is taken, with the columns of docs."""
-    names = [unlike(x, docs.columns) for x in ("mix_id", "mix_source", "mix_size", "copies", "copy")]
-    of_id, of_source, of_size, copies, copy = names
-    times = mix(docs, weights, most).where("copies > 0").select("doc_id", "source", "size", "copies").distinct().toDF(*names[:4])
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col(of_id)) & F.col("source").cast("string").eqNullSafe(F.col(of_source)) & (word_count(F.col("text").cast("string")) == F.col(of_size))
-    return docs.join(times, same).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*docs.columns)
+    """The mix itself: every row as often as it is taken, with the columns of docs. Rows are numbered in a written copy, so
+    equal rows are taken one by one, as in `mix`."""
+    numbered = Durable(docs.withColumn(_ROW, F.monotonically_increasing_id()), "numbered").df
+    times = _mixed(numbered, weights, most).where("copies > 0").select(_ROW, F.col("copies").cast("int").alias(_COPIES))
+    return numbered.join(times, _ROW).withColumn(_COPY, F.explode(F.sequence(F.lit(1), F.col(_COPIES)))).select(*docs.columns)

@@ -91,3 +91,17 @@ def test_language_is_a_choice(spark):
     docs = spark.createDataFrame(rows, DOCS)
     kept = language_id.keep_identified(docs, languages=("de",)).collect()
     assert {r["doc_id"] for r in kept} == {i for i, _, lang, *_ in rows if lang != "en"} and {r["lang"] for r in kept} == {"de"}
+
+
+def test_mixing_takes_equal_rows_one_by_one(spark):
+    """Two equal rows of 50 words in one source and one of 100 in the other: the mix and its figures agree."""
+    from roadloom.llm import mixing
+
+    rows = [(1, "w " * 50, "x", "a", 9), (1, "w " * 50, "x", "a", 9), (2, "v " * 100, "x", "b", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, _mix_id long")
+    told = sorted((r["source"], r["copies"]) for r in mixing.mix(docs).collect())
+    held = mixing.apply(docs)
+    assert held.columns == docs.columns
+    kept = [r["source"] for r in held.collect()]
+    assert kept.count("a") == sum(n for s, n in told if s == "a") and kept.count("b") == sum(n for s, n in told if s == "b")
+    assert [n for s, n in told if s == "a"] in ([0, 1], [1, 1], [1, 2], [0, 2])
