@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import Durable, ship, text_chunks
 from .recompress import bit_map
-from .runs import LOWER, coded, members, runs_of
+from .runs import LOWER, coded, members, pieces, runs_of
 from .units import byte_keys
 
 LEAST, TOP, LONGEST = 30, 2000, 4
@@ -186,7 +186,8 @@ def _pass(docs: DataFrame, tell: Callable[[Shard], Iterator[pa.RecordBatch]]) ->
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in text_chunks(batch, "text", CHUNK):
-                yield from tell(Shard(data, offsets, part.column("lang")))
+                for told in tell(Shard(data, offsets, part.column("lang"))):
+                    yield from pieces(told)
 
     return docs.mapInArrow(work, _COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 

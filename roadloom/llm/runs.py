@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
+#: Rows in a batch that a task hands on: what the JVM holds of it at once.
+ROWS = 1 << 14
 #: A-Z to a-z; all other bytes, those of longer characters too, stay.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
@@ -44,3 +48,9 @@ def coded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nd
     body = np.ascontiguousarray(data[np.cumsum(edge[:-1], dtype=np.int8).view(bool)])
     words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(body)).dictionary_encode()
     return words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary
+
+
+def pieces(batch: pa.RecordBatch, rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of a bounded size."""
+    for k in range(0, batch.num_rows, rows):
+        yield batch.slice(k, rows)
