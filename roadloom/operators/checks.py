@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import turn_angle
 from ..functions.text import NUMBER, cut_bytes, end_bytes, label_key, shortened
+from .numbering import numbered_lines
 
 # Codes that can never be marked as false positives.
 ALWAYS_ERROR = """ABBREV_AS_CHOP_BANNER ABBREV_AS_CON_BANNER ABBREV_NO_CITY BAD_ANGLE CON_BANNER_MISMATCH CON_ROUTE_MISMATCH
@@ -223,9 +224,10 @@ def route_checks() -> dict[str, Column]:
 def matched(found: DataFrame, marked: DataFrame) -> DataFrame:
     """One-to-one false positives on all six fields: adds fp; each marked row is used up once."""
     six = ["root", "label1", "label2", "label3", "code", "info"]
-    turn = F.row_number().over(Window.partitionBy(*six).orderBy(F.lit(0)))
-    left, right = found.withColumn("turn", turn), marked.withColumn("turn", turn).withColumn("hit", F.lit(True))
-    return left.join(right, [*six, "turn"], "left").select(*six, F.coalesce("hit", F.lit(False)).alias("fp"))
+    # equal rows are counted on both sides: of n found and m marked ones the first m are false positives
+    n, m = found.groupBy(*six).agg(F.count("*").alias("n")), marked.groupBy(*six).agg(F.count("*").alias("m"))
+    both = n.join(m, six, "left").withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    return both.select(*six, (F.col("k") <= F.coalesce("m", F.lit(0))).alias("fp"))
 
 
 def near_matches(found: DataFrame, marked: DataFrame) -> DataFrame:
@@ -287,3 +289,24 @@ def self_references(points: DataFrame, routes: DataFrame) -> DataFrame:
         .when(abbreviated, F.when(F.expr("substring(rest, length(abbrev) + 1, 1)").isin("", "_", "/"), "TRUE_ERROR").otherwise("FULL_MATCH"))
     )
     return all_.withColumn("kind", kind).where("kind IS NOT NULL").select(*row("LABEL_SELFREF", info=c("kind")))
+
+
+def split_region(segments: DataFrame, prefix: str) -> DataFrame:
+    """Sanity of concurrencies when a region is split into those whose codes begin with prefix. segments: pair, root, idx, system,
+    region, name (without abbreviation), told (how a log names it). Lines system, line_no, value in route order.
+
+    Sizes and matches of a group are aggregates by pair, by pair and name and by pair, name and region, joined back to the
+    segments of those regions; members are only listed of groups of an odd size."""
+    paired = segments.where("pair IS NOT NULL")
+    by_region = paired.groupBy("pair", "name", "region").agg(F.count("*").alias("same"))
+    over = lambda *c: F.sum("same").over(Window.partitionBy(*c))
+    counts = by_region.withColumns({"members": over("pair"), "named": over("pair", "name")})
+    own = segments.where(F.startswith("region", F.lit(prefix))).join(counts, ["pair", "name", "region"], "left").withColumn("matches", F.col("named") - F.col("same"))
+    odd, alone = F.col("members") % 2 == 1, F.coalesce("members", F.lit(1)) == 1
+    text = F.when(alone, F.concat("told", F.lit(" has no concurrencies"))).when(odd, F.lit("Odd number of concurrencies:"))
+    text = text.when(F.col("matches") != 1, F.concat("told", F.lit(" has "), F.col("matches").cast("string"), F.lit(" concurrent segments with same name+banner in different region(s) (1 expected)")))
+    zero = F.lit(0).cast("long")
+    heads = own.select("system", "root", "idx", F.lit(0).alias("s"), zero.alias("r"), zero.alias("i"), text.alias("value")).where("value IS NOT NULL")
+    listed = own.where(odd & ~alone).select("pair", "system", "root", "idx").join(paired.select("pair", F.col("root").cast("long").alias("r"), F.col("idx").cast("long").alias("i"), "told"), "pair")
+    lines = heads.unionByName(listed.select("system", "root", "idx", F.lit(1).alias("s"), "r", "i", F.concat(F.lit("\t"), "told").alias("value")))
+    return numbered_lines(lines, ["system"], ["root", "idx", "s", "r", "i"])

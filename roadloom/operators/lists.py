@@ -28,7 +28,8 @@ def point_labels(labels: DataFrame) -> DataFrame:
 
 
 def resolve_chopped(lines: DataFrame, names: DataFrame, labels: DataFrame, routes: DataFrame) -> DataFrame:
-    """Lines of four fields: traveler, line_no, status, root, beg, end, reverse, deprecated. routes: root, level.
+    """Lines of four fields: traveler, line_no, name and k1, k2 (the keys looked up), status, root, beg, end, reverse, deprecated.
+    routes: root, level.
 
     Failures in order: unknown route, in development, missing label(s), duplicate label, zero distance."""
     f = F.col("fields")
@@ -46,11 +47,12 @@ def resolve_chopped(lines: DataFrame, names: DataFrame, labels: DataFrame, route
         .otherwise("ok")
     )
     ok = status == "ok"
-    return joined.select("traveler", "line_no", status.alias("status"), "root", F.when(ok, F.least("i1", "i2")).alias("beg"), F.when(ok, F.greatest("i1", "i2")).alias("end"), (ok & (F.col("i1") > F.col("i2"))).alias("reverse"), F.coalesce("deprecated", F.lit(False)).alias("deprecated"))
+    return joined.select("traveler", "line_no", "name", "k1", "k2", status.alias("status"), "root", F.when(ok, F.least("i1", "i2")).alias("beg"), F.when(ok, F.greatest("i1", "i2")).alias("end"), (ok & (F.col("i1") > F.col("i2"))).alias("reverse"), F.coalesce("deprecated", F.lit(False)).alias("deprecated"))
 
 
 def resolve_connected(lines: DataFrame, names: DataFrame, labels: DataFrame, routes: DataFrame, connected: DataFrame) -> DataFrame:
-    """Lines of six fields: status, and for good ones both ends in order. connected: con_id, root, root_order.
+    """Lines of six fields: status, the names (n1, n2), roots and label keys of both ends, and of good lines both ends in order.
+    connected: con_id, root, root_order.
 
     Failures in order: unknown route(s), not the same connected route, in development, label missing, duplicate, zero distance."""
     f = F.col("fields")
@@ -73,7 +75,7 @@ def resolve_connected(lines: DataFrame, names: DataFrame, labels: DataFrame, rou
     )
     swap = F.struct("o1", "i1") > F.struct(F.col("o2").alias("o1"), F.col("i2").alias("i1"))
     pick = lambda c, first: F.when(swap if first else ~swap, F.col(f"{c}2")).otherwise(F.col(f"{c}1"))
-    return joined.select("traveler", "line_no", status.alias("status"), F.col("c1").alias("con_id"), *(pick(c, first).alias(f"{n}_{c}") for n, first in (("from", True), ("to", False)) for c in ("o", "i")))
+    return joined.select("traveler", "line_no", status.alias("status"), F.col("c1").alias("con_id"), "n1", "root1", "k1", "n2", "root2", "k2", *(pick(c, first).alias(f"{n}_{c}") for n, first in (("from", True), ("to", False)) for c in ("o", "i")))
 
 
 def connected_ranges(resolved: DataFrame, connected: DataFrame, lengths: DataFrame) -> DataFrame:
@@ -93,10 +95,53 @@ def line_kind(lines: DataFrame) -> DataFrame:
     return lines.select("traveler", "line_no", F.when(n == 4, "chopped").when(n == 6, "connected").otherwise("incorrect format").alias("kind"))
 
 
-def broken_warnings(resolved: DataFrame, broken: DataFrame, regions: DataFrame) -> DataFrame:
-    """Entries on connected routes with breaks: traveler, line_no, message. broken: con_id; regions: con_id, region."""
-    names = regions.groupBy("con_id").agg(F.concat_ws(", ", F.array_sort(F.collect_set("region"))).alias("r"))
-    return resolved.where("status = 'ok'").join(broken.select("con_id").distinct(), "con_id", "left_semi").join(names, "con_id").select("traveler", "line_no", F.concat(F.lit("DISCONNECTED_ROUTE in "), "r").alias("message"))
+def broken_warnings(resolved: DataFrame, directions: DataFrame, routes: DataFrame) -> DataFrame:
+    """Good entries between two roots of a connected route that has breaks: traveler, line_no, message. directions: as
+    connected.directions gives them; routes: root, region, con_name. Regions of roots on either side of a break are told in
+    the order in which they first come."""
+    broken = directions.where("broken").select("con_id", F.explode(F.array("root", "before")).alias("root")).distinct()
+    placed = broken.join(directions.select("root", "root_order"), "root").join(routes.select("root", "region", "con_name"), "root")
+    first = placed.groupBy("con_id", "con_name", "region").agg(F.min("root_order").alias("o"))
+    # a connected route's regions, one name each, as the message lists them
+    regions = first.groupBy("con_id", "con_name").agg(F.array_sort(F.collect_list(F.struct("o", "region"))).alias("r"))
+    text = F.concat(F.array_join("r.region", "/"), F.lit(": DISCONNECTED_ROUTE error in "), "con_name", F.lit("."))
+    return resolved.where("status = 'ok' AND root1 <> root2").join(regions, "con_id").select("traveler", "line_no", text.alias("message"))
+
+
+def marks(chopped: DataFrame, connected: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What list lines use: labels (root, key) and route names (name). Good lines mark theirs, and so do lines with a label that
+    stands twice in its route; lines of other failures mark nothing."""
+    used = F.col("status").isin("ok", "duplicate label")
+    one = chopped.where(used).select(F.explode(F.array(F.struct("root", "name", F.col("k1").alias("key")), F.struct("root", "name", F.col("k2").alias("key")))).alias("m"))
+    end = lambda n: F.struct(F.col(f"root{n}").alias("root"), F.col(f"n{n}").alias("name"), F.col(f"k{n}").alias("key"))
+    both = one.unionByName(connected.where(used).select(F.explode(F.array(end(1), end(2))).alias("m")))
+    return both.select("m.root", "m.key").distinct(), both.select("m.name").distinct()
+
+
+def usage_logs(labels_used: DataFrame, names_used: DataFrame, points: DataFrame, labels: DataFrame, routes: DataFrame, reversed_: DataFrame) -> DataFrame:
+    """Five logs as lines (log, name, value): pointsinuse, unusedaltlabels, listnamesinuse, unusedaltroutenames, flippedroutes; name
+    is what a log's lines go by (root or system; the last line of a log with a total has none).
+
+    points: root, n; labels: root, idx, pos, label; routes: root, system, region, list_name, alt_route_names; reversed_: root.
+    A line lists all names of one root or system, so these come together in one row; nothing else does."""
+    line = lambda head, n, items, quote="": F.concat(head, F.lit("("), n.cast("string"), F.lit("):"), F.concat_ws("", F.transform(items, lambda x: F.concat(F.lit(f" {quote}"), x, F.lit(quote)))))
+    log = lambda name, df, key, value: df.select(F.lit(name).alias("log"), key.cast("string").alias("name"), value.alias("value"))
+    total = lambda name, df: df.agg(F.concat(F.lit("Total: "), F.count("*").cast("string")).alias("value")).select(F.lit(name).alias("log"), F.lit(None).cast("string").alias("name"), "value")
+    root = F.col("root").cast("string")
+    per_root = labels_used.groupBy("root").agg(F.sort_array(F.collect_set("key")).alias("items")).join(points, "root")
+    out = log("pointsinuse", per_root, root, line(root, F.col("n"), F.col("items")))
+    alt = labels.where("pos > 0").select("root", label_key(F.col("label")).alias("key")).distinct().join(labels_used, ["root", "key"], "left_anti")
+    per_alt = alt.groupBy("root").agg(F.sort_array(F.collect_set("key")).alias("items"))
+    out = out.unionByName(log("unusedaltlabels", per_alt, root, line(root, F.size("items"), F.col("items")))).unionByName(total("unusedaltlabels", alt))
+    primary = routes.select("system", ascii_upper(F.concat_ws(" ", "region", "list_name")).alias("name"))
+    other = routes.select("system", "region", F.explode("alt_route_names").alias("alt")).select("system", ascii_upper(F.when(F.contains("alt", F.lit(" ")), F.col("alt")).otherwise(F.concat_ws(" ", "region", "alt"))).alias("name"))
+    used = primary.unionByName(other).join(names_used, "name", "left_semi").groupBy("system").agg(F.sort_array(F.collect_set("name")).alias("items"))
+    sizes = routes.groupBy("system").agg(F.count("*").alias("n"))
+    out = out.unionByName(log("listnamesinuse", used.join(sizes, "system"), F.col("system"), line(F.col("system"), F.col("n"), F.col("items"), '"')))
+    left = other.distinct().join(names_used, "name", "left_anti")
+    per_system = left.groupBy("system").agg(F.sort_array(F.collect_set("name")).alias("items"))
+    out = out.unionByName(log("unusedaltroutenames", per_system, F.col("system"), line(F.col("system"), F.size("items"), F.col("items"), '"'))).unionByName(total("unusedaltroutenames", left))
+    return out.unionByName(log("flippedroutes", reversed_, root, root))
 
 
 def latest_updates(updates: DataFrame) -> DataFrame:

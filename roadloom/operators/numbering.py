@@ -30,3 +30,37 @@ def _running(rows: DataFrame, order: list[Column], weight: Column, name: str) ->
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_s"))  # one row for each partition
     return summed.join(F.broadcast(starts), "_p").withColumn(name, F.col("_r") + F.col("_s")).drop("_p", "_r", "_s", "_w")
+
+
+def occurrences(rows: DataFrame, key: list[str], order: list[str], name: str) -> DataFrame:
+    """Adds 1, 2, 3, ... to the rows that are equal on the key, in the order given. Rows are range-partitioned by key and order and
+    counted inside; a key that spans partitions goes on where the one before ended, so a crowded key is no single task."""
+    ensure_checkpoints(rows)
+    parted = rows.repartitionByRange(*key, *order).withColumn("_p", F.spark_partition_id())
+    inside = Window.partitionBy("_p", *key).orderBy(*order)
+    counted = parted.withColumn("_r", F.row_number().over(inside)).checkpoint()
+    # at most a row for each key and partition, and of a key as many as partitions hold it
+    sums = counted.groupBy(*key, "_p").agg(F.max("_r").cast("long").alias("_n"))
+    before = Window.partitionBy(*key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(*key, "_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_s")).where("_s > 0")
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*key, "_p")]
+    on = same[0]
+    for x in same[1:]:
+        on = on & x
+    joined = counted.alias("a").join(starts.alias("b"), on, "left")
+    return joined.select(*[F.col(f"a.{c}") for c in rows.columns], (F.col("a._r") + F.coalesce("b._s", F.lit(0))).alias(name))
+
+
+def culled(lines: DataFrame, cull: DataFrame, order: list[str]) -> DataFrame:
+    """Lines less one copy for each line of `cull`, the first copies going; the others keep their order. lines: line and the order's
+    columns; cull: line."""
+    gone = cull.groupBy("line").agg(F.count("*").alias("_gone"))
+    numbered = occurrences(lines, ["line"], order, "_nth")
+    return numbered.join(gone, "line", "left").where(F.col("_nth") > F.coalesce("_gone", F.lit(0))).select(*lines.columns)
+
+
+def numbered_lines(lines: DataFrame, of: list[str], order: list[str]) -> DataFrame:
+    """Lines of many files at once: the columns of `of` (which file), line_no (from 0, in order) and value, by one range sort."""
+    placed = dense(lines, [*of, *order, "value"], "_l")
+    first = placed.groupBy(*of).agg(F.min("_l").alias("_f"))
+    return placed.join(first, of).select(*of, (F.col("_l") - F.col("_f")).cast("long").alias("line_no"), "value")

@@ -292,10 +292,7 @@ def connected_ends(net: Net) -> DataFrame:
 
 
 #: From root to root: the state of each (0 free, 1 as it stands, 2 reversed), whether it breaks and whether it turns the one before.
-DIRECTIONS = (
-    BASE.replace("WITH pts", "WITH RECURSIVE pts", 1)
-    + """, ls AS (SELECT con, r.root, CAST(row_number() OVER (PARTITION BY con ORDER BY r.root) - 1 AS INTEGER) AS o, a, b, coalesce(n, 0) AS n FROM rts r LEFT JOIN (SELECT root, CAST(round(arg_min(lat, idx) * 10) + 500 AS BIGINT) % 3 AS a, CAST(round(arg_max(lat, idx) * 10) + 500 AS BIGINT) % 3 AS b, count(*) AS n FROM pts GROUP BY root) USING (root)),
-walk AS (
+WALK = """walk AS (
   SELECT con, o, root, a, b, n, CAST(NULL AS BIGINT) AS before, 0 AS state, FALSE AS broken, FALSE AS flips FROM ls WHERE o = 0
   UNION ALL
   SELECT con, o, root, a, b, n, before, k % 10 AS state, k % 10 = 0 AS broken, k >= 10 AS flips FROM (
@@ -306,6 +303,11 @@ walk AS (
     FROM (SELECT *, CASE WHEN state = 2 THEN a ELSE b END AS e, CASE WHEN state = 2 THEN b ELSE a END AS bg FROM walk) w
     JOIN ls r ON r.con = w.con AND r.o = w.o + 1 LEFT JOIN ls x ON x.con = w.con AND x.o = w.o + 2)),
 directions AS (SELECT w.*, w.state = 2 OR coalesce(f.flips, FALSE) AS reversed FROM walk w LEFT JOIN walk f ON f.con = w.con AND f.o = w.o + 1) """
+DIRECTIONS = (
+    BASE.replace("WITH pts", "WITH RECURSIVE pts", 1)
+    + """, ls AS (SELECT con, r.root, CAST(row_number() OVER (PARTITION BY con ORDER BY r.root) - 1 AS INTEGER) AS o, a, b, coalesce(n, 0) AS n FROM rts r LEFT JOIN (SELECT root, CAST(round(arg_min(lat, idx) * 10) + 500 AS BIGINT) % 3 AS a, CAST(round(arg_max(lat, idx) * 10) + 500 AS BIGINT) % 3 AS b, count(*) AS n FROM pts GROUP BY root) USING (root)),
+"""
+    + WALK
 )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import sinks
 from ..functions.text import of_miles
 from ..operators import checks, stats
-from ..operators.numbering import dense
+from ..operators.numbering import culled, dense
 from ..sources import tables
 from .check_queries import LABELS, check_sql, labels, marked_rows
 from .network_queries import NATIONS, Net
@@ -238,6 +238,28 @@ def split_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(b, ["pair", "system"]).join(offset, "other_root").select("root", "idx", "other_root", (F.col("i") + F.col("off")).cast("long").alias("other_place")).distinct()
 
 
+_SPLIT = """, g AS (SELECT *, 'R' || root % 7 AS name, reg || ' R' || root % 7 || ' ' || p.label || ' ' || q.label AS told FROM grp JOIN pts p USING (root, idx) JOIN (SELECT root, idx - 1 AS idx, label FROM pts) q USING (root, idx)),
+n AS (SELECT alat, alng, blat, blng, count(*) AS n FROM g WHERE NOT zero GROUP BY ALL), m AS (SELECT alat, alng, blat, blng, name, count(*) AS n FROM g WHERE NOT zero GROUP BY ALL), k AS (SELECT alat, alng, blat, blng, name, reg, count(*) AS n FROM g WHERE NOT zero GROUP BY ALL),
+t AS (SELECT g.*, CASE WHEN zero THEN 1 ELSE n.n END AS members, m.n - k.n AS matches FROM g LEFT JOIN n USING (alat, alng, blat, blng) LEFT JOIN m USING (alat, alng, blat, blng, name) LEFT JOIN k USING (alat, alng, blat, blng, name, reg) WHERE starts_with(reg, 'NATION_1')),
+l AS (SELECT sys, root, idx, 0 AS s, 0 AS r, 0 AS i, CASE WHEN members = 1 THEN told || ' has no concurrencies' WHEN members % 2 = 1 THEN 'Odd number of concurrencies:' ELSE told || ' has ' || matches || ' concurrent segments with same name+banner in different region(s) (1 expected)' END AS value FROM t WHERE members = 1 OR members % 2 = 1 OR matches <> 1
+ UNION ALL SELECT t.sys, t.root, t.idx, 1, o.root, o.idx, chr(9) || o.told FROM t JOIN g o USING (alat, alng, blat, blng) WHERE members > 1 AND members % 2 = 1 AND NOT o.zero AND NOT t.zero)
+SELECT sys AS system, CAST(row_number() OVER (PARTITION BY sys ORDER BY root, idx, s, r, i) - 1 AS BIGINT) AS line_no, value FROM l"""
+
+
+@query("snk14_split_region_log", _SPLIT)
+def split_region_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each system, what looks wrong in the concurrencies of the regions whose codes begin alike, in route order: segments
+    without any, groups of an odd size with their members, and other than one match of name and banner in another region.
+    Routes go by few names here."""
+    net = Net(spark, sf_dir)
+    label = net.points.select("root", "idx", "label")
+    to = label.select("root", (F.col("idx") - 1).alias("idx"), F.col("label").alias("to"))
+    name = F.concat(F.lit("R"), (F.col("root") % 7).cast("string"))
+    rows = net.named.select("pair", "root", "idx", "system", "region", name.alias("name")).join(label, ["root", "idx"]).join(to, ["root", "idx"])
+    told = rows.withColumn("told", F.concat_ws(" ", "region", "name", "label", "to")).drop("label", "to")
+    return checks.split_region(told, "NATION_1")
+
+
 @query("s02_sorted_lists", "SELECT root, string_agg(label, ' ' ORDER BY label, idx) AS labels FROM pts GROUP BY root")
 def sorted_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.points(spark, sf_dir).groupBy("root").agg(F.concat_ws(" ", F.sort_array(F.collect_list("label"))).alias("labels"))
@@ -267,6 +289,14 @@ def line_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.groupBy(F.col("p_name").alias("line")).agg(F.count("*").alias("n"))
 
 
+@query("set04_ordered_cull", """WITH g AS (SELECT p_type AS line, count(*) AS n FROM part WHERE p_size % 3 = 0 GROUP BY p_type), o AS (SELECT p_partkey AS place, p_type AS line, row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) AS nth FROM part)
+SELECT place, line FROM o LEFT JOIN g USING (line) WHERE nth > coalesce(n, 0)""", base=False)
+def ordered_cull(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines (types of parts) less one copy for each line of another file, in their order."""
+    part = tables.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("place"), F.col("p_type").alias("line"), "p_size")
+    return culled(part.select("place", "line"), part.where("p_size % 3 = 0").select("line"), ["place"])
+
+
 @query("a20_longest_values", """SELECT 'p_name' AS column_name, arg_max(p_name, (length(p_name), -p_partkey)) AS longest FROM part UNION ALL SELECT 'p_brand', arg_max(p_brand, (length(p_brand), -p_partkey)) FROM part UNION ALL SELECT 'p_type', arg_max(p_type, (length(p_type), -p_partkey)) FROM part""", base=False)
 def longest_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first longest value of each column, in one pass."""

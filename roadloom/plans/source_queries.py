@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T  # noqa: N812
-from ..operators import lists, travel
+from ..operators import connected, lists, travel
 from ..sources import native, tables
+from .check_queries import WALK
 from .registry import query
 
 
@@ -155,36 +156,43 @@ def update_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TL = """WITH rt AS (SELECT p_partkey AS root, 'REG' || (p_partkey % 3) AS reg, 'R' || p_partkey AS ln, CASE WHEN p_partkey % 4 = 0 THEN ['Old R' || p_partkey] ELSE ['A' || p_partkey] END AS alts, CASE WHEN p_partkey % 5 = 0 THEN 'devel' ELSE 'active' END AS lvl FROM part),
 nm0 AS (SELECT root, 0 AS pos, upper(reg || ' ' || ln) AS name FROM rt UNION ALL SELECT root, 1, upper(CASE WHEN contains(alts[1], ' ') THEN alts[1] ELSE reg || ' ' || alts[1] END) FROM rt),
 nm AS (SELECT name, root, pos > 0 AS deprecated FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY pos, root) AS t FROM nm0) WHERE t = 1),
-lb0 AS (SELECT root, k AS idx, 'P' || k AS label FROM rt, (SELECT unnest(range(6)) AS k) UNION ALL SELECT root, 6, 'p2' FROM rt WHERE root % 7 = 0),
+lb0 AS (SELECT root, k AS idx, 'P' || k AS label FROM rt, (SELECT unnest(range(6)) AS k) UNION ALL SELECT root, 6, 'p2' FROM rt WHERE root % 7 = 0 UNION ALL SELECT root, k, 'Q' || k FROM rt, (SELECT unnest(range(6)) AS k) WHERE root % 3 = 0),
 lb AS (SELECT root, upper(label) AS key, CAST(min(idx) AS INTEGER) AS idx, count(*) > 1 AS dup FROM lb0 GROUP BY ALL),
-ln4 AS (SELECT user_id AS trav, event_id AS line_no, upper('REG' || (p % 3) || ' ' || CASE WHEN event_id % 6 = 0 THEN 'A' ELSE 'R' END || p) AS name, 'P' || (k % 7) AS k1, upper('p' || (k % 5)) AS k2 FROM (SELECT *, event_id % (SELECT count(*) + 50 FROM part) AS p, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)),
-st AS (SELECT trav, line_no, n.root, coalesce(n.deprecated, FALSE) AS deprecated, a.idx AS i1, b.idx AS i2, CASE WHEN n.root IS NULL THEN 'unknown route' WHEN lvl = 'devel' THEN 'devel' WHEN a.idx IS NULL AND b.idx IS NULL THEN 'both labels missing' WHEN a.idx IS NULL OR b.idx IS NULL THEN 'label missing' WHEN a.dup OR b.dup THEN 'duplicate label' WHEN a.idx = b.idx THEN 'zero distance' ELSE 'ok' END AS status
+ln4 AS (SELECT user_id AS trav, event_id AS line_no, upper('REG' || (p % 3) || ' ' || CASE WHEN event_id % 6 = 0 THEN 'A' ELSE 'R' END || p) AS name, 'P' || (k % 7) AS k1, CASE WHEN event_id % 4 = 0 THEN 'Q' ELSE 'P' END || (k % 5) AS k2 FROM (SELECT *, event_id % (SELECT count(*) + 50 FROM part) AS p, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)),
+st AS (SELECT trav, line_no, ln4.name, k1, k2, n.root, coalesce(n.deprecated, FALSE) AS deprecated, a.idx AS i1, b.idx AS i2, CASE WHEN n.root IS NULL THEN 'unknown route' WHEN lvl = 'devel' THEN 'devel' WHEN a.idx IS NULL AND b.idx IS NULL THEN 'both labels missing' WHEN a.idx IS NULL OR b.idx IS NULL THEN 'label missing' WHEN a.dup OR b.dup THEN 'duplicate label' WHEN a.idx = b.idx THEN 'zero distance' ELSE 'ok' END AS status
  FROM ln4 LEFT JOIN nm n USING (name) LEFT JOIN rt ON rt.root = n.root LEFT JOIN lb a ON a.root = n.root AND a.key = k1 LEFT JOIN lb b ON b.root = n.root AND b.key = k2) """
 
 
 class _Lists:
     def __init__(self, spark: SparkSession, sf_dir: str):
         part = tables.read(spark, sf_dir, "part")
-        self.routes = part.selectExpr("p_partkey AS root", "'REG' || (p_partkey % 3) AS region", "'R' || p_partkey AS list_name", "CASE WHEN p_partkey % 4 = 0 THEN array('Old R' || p_partkey) ELSE array('A' || p_partkey) END AS alt_route_names", "p_partkey AS route_order", "CASE WHEN p_partkey % 5 = 0 THEN 'devel' ELSE 'active' END AS level")
+        self.routes = part.selectExpr("p_partkey AS root", "'REG' || (p_partkey % 3) AS region", "'R' || p_partkey AS list_name", "CASE WHEN p_partkey % 4 = 0 THEN array('Old R' || p_partkey) ELSE array('A' || p_partkey) END AS alt_route_names", "p_partkey AS route_order", "'S' || p_partkey % 6 AS system", "CASE WHEN p_partkey % 5 = 0 THEN 'devel' ELSE 'active' END AS level")
         own = self.routes.select("root", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("idx")).selectExpr("root", "idx", "0 AS pos", "'P' || idx AS label")
         twice = self.routes.where("root % 7 = 0").selectExpr("root", "6 AS idx", "0 AS pos", "'p2' AS label")
-        self.labels = lists.point_labels(own.unionByName(twice))
+        other = own.where("root % 3 = 0").selectExpr("root", "idx", "1 AS pos", "'Q' || idx AS label")
+        self.all_labels = own.unionByName(twice).unionByName(other)
+        self.labels = lists.point_labels(self.all_labels)
         self.names = lists.route_names(self.routes)
         # each part has a point for each of its labels, and segments between them
         self.lengths = self.routes.select("root", F.when(F.col("root") % 7 == 0, 7).otherwise(6).alias("n"))
         self.segments = self.lengths.select("root", F.explode(F.sequence(F.lit(0), F.col("n") - 2)).alias("idx"))
         n = part.count() + 50
         events = tables.read(spark, sf_dir, "events").selectExpr("user_id AS traveler", "event_id AS line_no", f"event_id % {n} AS p", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k")
-        self.lines = events.selectExpr("traveler", "line_no", "array('reg' || (p % 3), CASE WHEN line_no % 6 = 0 THEN 'a' ELSE 'r' END || p, '*P' || (k % 7), 'p' || (k % 5)) AS fields")
+        self.lines = events.selectExpr("traveler", "line_no", "array('reg' || (p % 3), CASE WHEN line_no % 6 = 0 THEN 'a' ELSE 'r' END || p, '*P' || (k % 7), CASE WHEN line_no % 4 = 0 THEN 'q' ELSE 'p' END || (k % 5)) AS fields")
         self.resolved = lists.resolve_chopped(self.lines, self.names, self.labels, self.routes)
         # connected routes: three parts each; lines of six fields
         self.connected = self.routes.selectExpr("CAST(root - root % 3 AS BIGINT) AS con_id", "root", "CAST(root % 3 AS INT) AS root_order", "root % 4 = 1 AS is_reversed")
         self.six = events.selectExpr("traveler", "line_no", "array('reg' || (p % 3), 'r' || p, 'P' || (k % 7), 'reg' || ((p + k % 4 - 1) % 3), 'r' || (p + k % 4 - 1), 'p' || (k % 5)) AS fields").where("p > 0")
+        ends = self.routes.selectExpr("root", "named_struct('lat', CAST(root * 5 % 4 AS DOUBLE), 'lng', 0D) AS a", "named_struct('lat', CAST((root * 7 + 1) % 4 AS DOUBLE), 'lng', 0D) AS b")
+        self.ends = self.connected.join(ends, "root").join(self.lengths, "root")
         self.resolved_connected = lists.resolve_connected(self.six, self.names, self.labels, self.routes, self.connected)
 
+    def directions(self) -> DataFrame:
+        return connected.directions(self.ends.select("con_id", (F.col("root_order") - F.when(F.col("root") < 3, 1).otherwise(0)).alias("root_order"), "root", "a", "b", "n"))
+
 
 _TL6 = """, ln6 AS (SELECT user_id AS trav, event_id AS line_no, upper('REG' || (p % 3) || ' R' || p) AS n1, 'P' || (k % 7) AS k1, upper('REG' || ((p + k % 4 - 1) % 3) || ' R' || (p + k % 4 - 1)) AS n2, 'P' || (k % 5) AS k2 FROM (SELECT *, event_id % (SELECT count(*) + 50 FROM part) AS p, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) WHERE p > 0),
-s6 AS (SELECT trav, line_no, a.root AS r1, b.root AS r2, a.root - a.root % 3 AS c1, CAST(a.root % 3 AS INTEGER) AS o1, CAST(b.root % 3 AS INTEGER) AS o2, x.idx AS i1, y.idx AS i2, CASE WHEN a.root IS NULL OR b.root IS NULL THEN 'unknown route' WHEN a.root - a.root % 3 <> b.root - b.root % 3 THEN 'different connected routes' WHEN lvl = 'devel' THEN 'devel'
+s6 AS (SELECT trav, line_no, n1, k1, n2, k2, a.root AS r1, b.root AS r2, a.root - a.root % 3 AS c1, CAST(a.root % 3 AS INTEGER) AS o1, CAST(b.root % 3 AS INTEGER) AS o2, x.idx AS i1, y.idx AS i2, CASE WHEN a.root IS NULL OR b.root IS NULL THEN 'unknown route' WHEN a.root - a.root % 3 <> b.root - b.root % 3 THEN 'different connected routes' WHEN lvl = 'devel' THEN 'devel'
  WHEN x.idx IS NULL OR y.idx IS NULL THEN 'label missing' WHEN x.dup OR y.dup THEN 'duplicate label' WHEN a.root = b.root AND x.idx = y.idx THEN 'zero distance' ELSE 'ok' END AS status
  FROM ln6 LEFT JOIN nm a ON a.name = n1 LEFT JOIN nm b ON b.name = n2 LEFT JOIN rt ON rt.root = a.root LEFT JOIN lb x ON x.root = a.root AND x.key = k1 LEFT JOIN lb y ON y.root = b.root AND y.key = k2),
 o6 AS (SELECT *, (o1, i1) > (o2, i2) AS sw FROM s6 WHERE status = 'ok'),
@@ -242,16 +250,44 @@ def segment_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return travel.covered(at.resolved.where("status = 'ok'"), at.segments).distinct()
 
 
+#: Labels and names that lines mark, from lines of four fields and of six.
+_MARKS = _TL.replace("WITH rt", "WITH RECURSIVE rt", 1) + _TL6 + """, mk AS (SELECT root, name, unnest([k1, k2]) AS key FROM st WHERE status IN ('ok', 'duplicate label') UNION ALL SELECT r1, n1, k1 FROM s6 WHERE status IN ('ok', 'duplicate label') UNION ALL SELECT r2, n2, k2 FROM s6 WHERE status IN ('ok', 'duplicate label')),
+ls AS (SELECT root - root % 3 AS con, root, CAST(root % 3 - CASE WHEN root < 3 THEN 1 ELSE 0 END AS INTEGER) AS o, root * 5 % 4 AS a, (root * 7 + 1) % 4 AS b, 6 AS n FROM rt), """ + WALK
+
+
 @query("tl07_names_in_use", _TL + "SELECT DISTINCT root FROM st WHERE status IN ('ok', 'duplicate label')", base=False)
 def names_in_use(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _Lists(spark, sf_dir).resolved.where(F.col("status").isin("ok", "duplicate label")).select("root").distinct()
 
 
-@query("tl08_broken_warnings")
+@query("tl07_labels_in_use", _MARKS + "SELECT DISTINCT root, key FROM mk", base=False)
+def labels_in_use(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels that good lines and lines with a label that stands twice mark, of single and of connected routes."""
+    at = _Lists(spark, sf_dir)
+    return lists.marks(at.resolved, at.resolved_connected)[0]
+
+
+@query("tl08_broken_warnings", _MARKS + """, bk AS (SELECT con, root FROM directions WHERE broken UNION SELECT con, before FROM directions WHERE broken), fr AS (SELECT con, reg, min(root) AS o FROM bk JOIN rt USING (root) GROUP BY ALL), tx AS (SELECT con, string_agg(reg, '/' ORDER BY o) AS regs FROM fr GROUP BY con)
+SELECT trav AS traveler, line_no, regs || ': DISCONNECTED_ROUTE error in C' || con || '.' AS message FROM s6 JOIN tx ON con = c1 WHERE status = 'ok' AND r1 <> r2""", base=False)
 def broken_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warnings for entries between two roots of a connected route whose roots do not all meet."""
+    at = _Lists(spark, sf_dir)
+    named = at.routes.join(at.connected.select("root", "con_id"), "root").select("root", "region", F.concat(F.lit("C"), F.col("con_id").cast("string")).alias("con_name"))
+    return lists.broken_warnings(at.resolved_connected, at.directions(), named)
+
+
+@query("snk07_usage_logs", _MARKS + """, ul AS (SELECT DISTINCT root, key FROM mk), un AS (SELECT DISTINCT name FROM mk), nt AS (SELECT root, CASE WHEN root % 7 = 0 THEN 7 ELSE 6 END AS n FROM rt), sy AS (SELECT root, 'S' || root % 6 AS sys FROM rt), ua AS (SELECT DISTINCT root, 'Q' || k AS key FROM rt, (SELECT unnest(range(6)) AS k) WHERE root % 3 = 0 EXCEPT SELECT root, key FROM ul),
+na AS (SELECT sys, name, pos FROM nm0 JOIN sy USING (root)), ur AS (SELECT DISTINCT sys, name FROM na WHERE pos > 0 AND name NOT IN (SELECT name FROM un))
+SELECT 'pointsinuse' AS log, CAST(root AS VARCHAR) AS name, root || '(' || any_value(n) || '):' || string_agg(' ' || key, '' ORDER BY key) AS value FROM ul JOIN nt USING (root) GROUP BY root
+UNION ALL SELECT 'unusedaltlabels', CAST(root AS VARCHAR), root || '(' || count(*) || '):' || string_agg(' ' || key, '' ORDER BY key) FROM ua GROUP BY root UNION ALL SELECT 'unusedaltlabels', NULL, 'Total: ' || count(*) FROM ua
+UNION ALL SELECT 'listnamesinuse', sys, sys || '(' || (SELECT count(*) FROM sy y WHERE y.sys = x.sys) || '):' || string_agg(' "' || name || '"', '' ORDER BY name) FROM (SELECT DISTINCT sys, name FROM na WHERE name IN (SELECT name FROM un)) x GROUP BY sys
+UNION ALL SELECT 'unusedaltroutenames', sys, sys || '(' || count(*) || '):' || string_agg(' "' || name || '"', '' ORDER BY name) FROM ur GROUP BY sys UNION ALL SELECT 'unusedaltroutenames', NULL, 'Total: ' || count(*) FROM ur
+UNION ALL SELECT 'flippedroutes', CAST(root AS VARCHAR), CAST(root AS VARCHAR) FROM directions WHERE reversed""", base=False)
+def usage_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels and names in use and those nobody uses, and routes that run against their connected route."""
     at = _Lists(spark, sf_dir)
-    regions_ = at.routes.join(at.connected.select("root", "con_id"), "root").select("con_id", "region")
-    return lists.broken_warnings(at.resolved_connected, at.connected, regions_)
+    used, names = lists.marks(at.resolved, at.resolved_connected)
+    return lists.usage_logs(used.checkpoint(), names.checkpoint(), at.lengths, at.all_labels, at.routes, at.directions().where("reversed").select("root"))
 
 
 @query("tl09_control_characters", "SELECT doc_id, regexp_replace(text, '[\\x00-\\x08\\x0A-\\x1F\\x7F]', '?', 'g') AS line FROM documents", base=False)
