@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import sinks
-from ..functions.text import of_miles
-from ..operators import checks, stats
+from ..operators import checks, lists, stats, travel, userlog
 from ..operators.numbering import culled, dense
 from ..sources import tables
 from .check_queries import LABELS, check_sql, labels, marked_rows
 from .network_queries import NATIONS, Net
 from .registry import query
+from .source_queries import _TL, Lists
 
 
 @query("snk01_waypoint_table", "SELECT CAST(row_number() OVER (ORDER BY root, idx) - 1 AS BIGINT) AS point_id, root, label, round(lat, 1) AS lat, round(lng, 1) AS lng FROM pts")
@@ -135,16 +137,68 @@ def route_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(part("region", F.col("region"), net.groups, stats.active())).unionByName(part("route", F.col("root").cast("string"), net.segments, F.col("length")))
 
 
-@query("snk06_user_logs")
+#: All kinds of lines with their sort keys.
+_USERLOG = ", " + _TL.replace("WITH ", "", 1) + """, mx AS (SELECT trav, line_no, status, reg, st.root, 'reg' || (p % 3) || ' ' || CASE WHEN line_no % 6 = 0 THEN 'a' ELSE 'r' END || p || ' *P' || (k % 7) || ' ' || lower(k2) AS line, '*P' || (k % 7) AS l1, lower(k2) AS l2, i1 IS NULL AS m1, d1, d2
+ FROM st JOIN (SELECT event_id AS line_no, event_id % (SELECT count(*) + 50 FROM part) AS p, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) USING (line_no) LEFT JOIN rt ON rt.root = st.root LEFT JOIN (SELECT root AS ra, key AS ka, dup AS d1 FROM lb) ON ra = st.root AND ka = k1 LEFT JOIN (SELECT root AS rb, key AS kb, dup AS d2 FROM lb) ON rb = st.root AND kb = k2),
+ms AS (SELECT trav, line_no, CASE status WHEN 'unknown route' THEN ['Unknown region/highway combo in line: ' || line] WHEN 'devel' THEN ['Ignoring line matching highway in system in development: ' || line] WHEN 'both labels missing' THEN ['Waypoint labels ' || l1 || ' and ' || l2 || ' not found in line: ' || line]
+ WHEN 'label missing' THEN ['Waypoint label ' || CASE WHEN m1 THEN l1 ELSE l2 END || ' not found in line: ' || line] WHEN 'duplicate label' THEN list_filter([CASE WHEN d1 THEN reg || ': duplicate label ' || l1 || ' in ' || root END, CASE WHEN d2 THEN reg || ': duplicate label ' || l2 || ' in ' || root END, '  Unable to parse line: ' || line], lambda x: x IS NOT NULL)
+ ELSE ['Equivalent waypoint labels mark zero distance traveled in line: ' || line] END AS t FROM mx WHERE status <> 'ok'),
+gl AS (SELECT trav, count(*) FILTER (status = 'ok') AS n FROM st GROUP BY trav), sg AS (SELECT trav, count(*) AS m FROM (SELECT DISTINCT trav, root, unnest(range(least(i1, i2), greatest(i1, i2))) AS i FROM st WHERE status = 'ok') GROUP BY trav),
+cl AS (SELECT * FROM cli WHERE lvl <> 'devel'), sh AS (SELECT * FROM shr WHERE lvl <> 'devel'),
+ra AS (SELECT reg, sum(CASE WHEN lvl = 'active' THEN len / n_active ELSE 0 END) AS aw, sum(len / n_shown) AS pw FROM sh GROUP BY reg), ta AS (SELECT sum(aw) AS aw, sum(pw) AS pw FROM ra),
+ro AS (SELECT trav, reg, sum(CASE WHEN lvl = 'active' THEN len / n_active ELSE 0 END) AS am, sum(len / n_shown) AS pm FROM cl GROUP BY ALL), tot AS (SELECT trav, sum(am) AS am, sum(pm) AS pm FROM ro GROUP BY trav),
+sr AS (SELECT sys, lvl, reg, sum(len / n_system) AS t FROM sh GROUP BY ALL), sy AS (SELECT sys, lvl, sum(t) AS t, count(*) AS n FROM sr GROUP BY ALL), so AS (SELECT trav, sys, reg, sum(len / n_system) AS m FROM cl GROUP BY ALL), sv AS (SELECT trav, sys, sum(m) AS m FROM so GROUP BY ALL),
+rw AS (SELECT sys, con, root, sum(len) AS t, count(*) AS n FROM sh GROUP BY ALL), cw AS (SELECT sys, con, sum(t) AS t, sum(n) AS n, count(*) AS roots FROM rw GROUP BY ALL), rm AS (SELECT trav, sys, lvl, con, root, sum(len) AS m, count(*) AS n FROM cl GROUP BY ALL HAVING sum(len) > 0),
+cm AS (SELECT trav, rm.sys, rm.lvl, rm.con, sum(rm.m) AS m, sum(rm.n) AS n, any_value(cw.t) AS t, any_value(cw.n) AS whole, any_value(roots) AS roots FROM rm JOIN cw ON cw.sys = rm.sys AND cw.con = rm.con GROUP BY ALL), sz AS (SELECT sys, count(*) AS size FROM cw GROUP BY sys),
+ct AS (SELECT trav, cm.sys, lvl, count(*) AS driven, count(*) FILTER (n = whole) AS done, any_value(size) AS size FROM cm JOIN sz USING (sys) GROUP BY ALL),
+gs AS (SELECT trav, count(*) FILTER (lvl = 'active') AS a1, count(*) FILTER (lvl = 'active' AND done = size) AS a2, count(*) FILTER (lvl = 'preview') AS p1, count(*) FILTER (lvl = 'preview' AND done = size) AS p2 FROM ct GROUP BY trav), nn AS (SELECT count(*) FILTER (lvl = 'active') AS na, count(*) FILTER (lvl = 'preview') AS np FROM sy),
+us AS (SELECT user_id AS trav, (1992 + user_id % 7) || '-06-01' AS since FROM events GROUP BY user_id), up AS (SELECT DISTINCT ent.trav, o_orderkey AS root, strftime(o_orderdate, '%Y-%m-%d') AS date, reg FROM ent JOIN orders ON o_orderkey = ent.root JOIN rts ON rts.root = ent.root JOIN us ON us.trav = ent.trav WHERE strftime(o_orderdate, '%Y-%m-%d') >= since),
+ln(trav, section, a, sub, b, c, d, e, value) AS (
+ SELECT trav, 0, '', 0, '', line_no, k - 1, 0, t[k] FROM (SELECT *, unnest(range(1, len(t) + 1)) AS k FROM ms)
+ UNION ALL SELECT gl.trav, 1, '', 0, '', 0, 0, 0, format('Processed {} good lines marking {} segments traveled.', n, coalesce(m, 0)) FROM gl LEFT JOIN sg ON sg.trav = gl.trav
+ UNION ALL SELECT trav, 2, '', 0, '', 0, 0, 0, 'Clinched Highway Statistics' FROM tot
+ UNION ALL SELECT trav, 2, '', 0, '', 0, 0, 1, 'Overall in active systems: ' || @{am|ta.aw} FROM tot, ta
+ UNION ALL SELECT trav, 2, '', 0, '', 0, 0, 2, 'Overall in active+preview systems: ' || @{pm|ta.pw} FROM tot, ta
+ UNION ALL SELECT trav, 2, '', 0, '', 0, 0, 3, 'Overall by region: (each line reports active only then active+preview)' FROM tot
+ UNION ALL SELECT trav, 3, '', 0, reg, 0, 0, 0, reg || ': ' || @{am|aw} || ', ' || @{pm|pw} FROM ro JOIN ra USING (reg)
+ UNION ALL SELECT trav, 4, sys, 0, '', 0, 0, 0, 'System ' || sys || ' (' || lvl || ') overall: ' || @{m|t} FROM sv JOIN sy USING (sys)
+ UNION ALL SELECT trav, 4, sys, 1, '', 0, 0, 0, 'System ' || sys || ' by region:' FROM sv JOIN sy USING (sys) WHERE n > 1
+ UNION ALL SELECT trav, 4, sys, 2, reg, 0, 0, 0, '  ' || reg || ': ' || @{m|t} FROM (SELECT sv.trav, sr.sys, sr.reg, sr.t, coalesce(so.m, 0) AS m FROM sv JOIN sy USING (sys) JOIN sr ON sr.sys = sv.sys LEFT JOIN so ON so.trav = sv.trav AND so.sys = sr.sys AND so.reg = sr.reg WHERE n > 1)
+ UNION ALL SELECT trav, 4, sys, 3, '', 0, 0, 0, 'System ' || sys || ' by route (traveled routes only):' FROM sv
+ UNION ALL SELECT trav, 4, sys, 4, '', con, 0, 0, 'C' || con || ': ' || @{m|t} FROM cm
+ UNION ALL SELECT trav, 4, rm.sys, 4, '', rm.con, rm.root, 1, CASE WHEN roots = 1 THEN ' (R' || rm.root || ' only)' ELSE '  R' || rm.root || ': ' || @{m|rw.t} END FROM rm JOIN rw ON rw.sys = rm.sys AND rw.root = rm.root JOIN cw ON cw.sys = rm.sys AND cw.con = rm.con
+ UNION ALL SELECT trav, 4, sys, 4, '', con, 4611686018427387904, 2, '' FROM cm WHERE roots > 1
+ UNION ALL SELECT trav, 4, sys, 5, '', 0, 0, 0, 'System ' || sys || ' connected routes traveled: ' || #{driven|size} || ', clinched: ' || #{done|size} || '.' FROM ct
+ UNION ALL SELECT trav, 5, '', 0, '', 0, 0, 0, '' FROM gs
+ UNION ALL SELECT trav, 5, '', 0, '', 0, 0, 1, 'Traveled ' || #{a1|na} || ', Clinched ' || #{a2|na} || ' active systems' FROM gs, nn
+ UNION ALL SELECT trav, 5, '', 0, '', 0, 0, 2, 'Traveled ' || #{p1|np} || ', Clinched ' || #{p2|np} || ' preview systems' FROM gs, nn
+ UNION ALL SELECT trav, 6, '', 0, '', 0, 0, 0, '' FROM us UNION ALL SELECT trav, 6, '', 0, '', 0, 0, 1, 'Most recent updates for listed routes:' FROM us
+ UNION ALL SELECT trav, 7, '', 0, date, root, 0, 0, date || ' | ' || reg || ' | R' || root || ' | ' || root || ' | opened' FROM up)
+SELECT trav AS traveler, CAST(row_number() OVER (PARTITION BY trav ORDER BY section, a, sub, b, c, d, e, value) - 1 AS BIGINT) AS line_no, value FROM ln"""
+_USERLOG = re.sub(r"@\{(.*?)\|(.*?)\}", r"format('{:.2f} of {:.2f} mi ({})', CAST(\1 AS DOUBLE), \2, CASE WHEN \2 = 0 THEN '-.--%' ELSE format('{:.2f}%', 100 * CAST(\1 AS DOUBLE) / \2) END)", _USERLOG)
+_USERLOG = re.sub(r"#\{(.*?)\|(.*?)\}", r"format('{} of {} ({:.1f}%)', \1, \2, CAST(100 * \1 AS DOUBLE) / \2)", _USERLOG)
+
+
+@query("snk06_user_logs", _USERLOG)
 def user_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of every traveler's log in order: processed lines, then mileage by region."""
-    net = Net(spark, sf_dir)
-    counts = net.entries.groupBy("traveler").agg(F.count("*").alias("n")).select("traveler", F.struct(F.lit(0).alias("section"), F.lit("").alias("name")).alias("seq"), F.format_string("Processed %d lines.", "n").alias("value"))
-    whole = net.groups.where("level = 'active'").groupBy("region").agg(F.sum(stats.active()).alias("all"))
-    own = net.clinched_groups.where("level = 'active'").groupBy("traveler", "region").agg(F.sum(stats.active()).alias("own")).join(whole, "region")
-    lines = own.select("traveler", F.struct(F.lit(1).alias("section"), F.col("region").alias("name")).alias("seq"), F.concat(F.col("region"), F.lit(": "), of_miles(F.col("own"), F.col("all"))).alias("value"))
-    every = counts.unionByName(lines)
-    return every.withColumn("line_no", F.row_number().over(Window.partitionBy("traveler").orderBy("seq"))).select("traveler", "line_no", "value")
+    """Every traveler's log: messages on list lines (of the routes of parts), then mileage by region, system and route and recent
+    updates (of the network of orders)."""
+    net, at = Net(spark, sf_dir), Lists(spark, sf_dir)
+    f = F.col("fields")
+    twice = lambda k: at.labels.where("duplicate").select("root", F.col("key").alias(f"k{k}"), F.lit(True).alias(f"twice{k}"))
+    known = at.labels.select("root", F.col("key").alias("k1"), F.lit(False).alias("missing1"))
+    lines = at.lines.select("traveler", "line_no", f[2].alias("label1"), f[3].alias("label2"), F.array_join(f, " ").alias("line"))
+    told = at.resolved.join(lines, ["traveler", "line_no"]).join(at.routes.select("root", "region"), "root", "left")
+    told = told.join(known, ["root", "k1"], "left").join(twice(1), ["root", "k1"], "left").join(twice(2), ["root", "k2"], "left")
+    told = told.withColumns({"missing1": F.col("missing1").isNull(), "twice1": F.coalesce("twice1", F.lit(False)), "twice2": F.coalesce("twice2", F.lit(False))})
+    marked = travel.covered(at.resolved.where("status = 'ok'"), at.segments).distinct().groupBy("traveler").agg(F.count("*").alias("m"))
+    columns = ["system", "level", "con_id", "root", "length"]
+    segments = net.clinched.select("traveler", *columns).unionByName(net.named.select(F.lit(None).cast("long").alias("traveler"), *columns))
+    dates = tables.read(spark, sf_dir, "events").select(F.col("user_id").alias("traveler")).distinct().withColumn("since", F.concat((F.col("traveler") % 7 + 1992).cast("string"), F.lit("-06-01")))
+    opened = tables.read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("root"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.lit(0).alias("line_no"), F.lit("opened").alias("description"))
+    updates = lists.latest_updates(opened).join(net.routes.select("root", "region"), "root").withColumn("route", F.concat(F.lit("R"), F.col("root").cast("string")))
+    parts = [userlog.messages(told), userlog.processed(at.resolved, marked), userlog.statistics(net.groups, net.clinched_groups, segments), userlog.recent_updates(net.entries.select("traveler", "root"), updates, dates)]
+    return userlog.logs(parts)
 
 
 @query("snk07_points_in_use", """SELECT root, string_agg(DISTINCT label, ' ' ORDER BY label) AS labels FROM (SELECT p.root, p.label FROM ent e JOIN pts p ON e.root = p.root AND p.idx IN (e.beg, e.fin) WHERE e.beg < e.fin) GROUP BY root""")

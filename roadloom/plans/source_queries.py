@@ -163,7 +163,7 @@ st AS (SELECT trav, line_no, ln4.name, k1, k2, n.root, coalesce(n.deprecated, FA
  FROM ln4 LEFT JOIN nm n USING (name) LEFT JOIN rt ON rt.root = n.root LEFT JOIN lb a ON a.root = n.root AND a.key = k1 LEFT JOIN lb b ON b.root = n.root AND b.key = k2) """
 
 
-class _Lists:
+class Lists:
     def __init__(self, spark: SparkSession, sf_dir: str):
         part = tables.read(spark, sf_dir, "part")
         self.routes = part.selectExpr("p_partkey AS root", "'REG' || (p_partkey % 3) AS region", "'R' || p_partkey AS list_name", "CASE WHEN p_partkey % 4 = 0 THEN array('Old R' || p_partkey) ELSE array('A' || p_partkey) END AS alt_route_names", "p_partkey AS route_order", "'S' || p_partkey % 6 AS system", "CASE WHEN p_partkey % 5 = 0 THEN 'devel' ELSE 'active' END AS level")
@@ -201,52 +201,52 @@ e6 AS (SELECT trav, line_no, c1, CASE WHEN sw THEN o2 ELSE o1 END AS fo, CASE WH
 
 @query("j02_route_lookup", _TL + "SELECT line_no, root, deprecated FROM st WHERE root IS NOT NULL", base=False)
 def route_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _Lists(spark, sf_dir).resolved.where("root IS NOT NULL").select("line_no", "root", "deprecated")
+    return Lists(spark, sf_dir).resolved.where("root IS NOT NULL").select("line_no", "root", "deprecated")
 
 
 @query("j03_label_lookup", _TL + "SELECT root, key, idx, dup AS duplicate FROM lb", base=False)
 def label_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _Lists(spark, sf_dir).labels
+    return Lists(spark, sf_dir).labels
 
 
 @query("w05_route_names", _TL + "SELECT name, root, deprecated FROM nm", base=False)
 def route_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _Lists(spark, sf_dir).names
+    return Lists(spark, sf_dir).names
 
 
 @query("tl01_line_kinds", _TL + ", k AS (SELECT CASE WHEN line_no % 5 = 0 THEN 'incorrect format' WHEN line_no % 2 = 0 THEN 'connected' ELSE 'chopped' END AS kind FROM ln4) SELECT kind, CAST(count(*) AS BIGINT) AS n FROM k GROUP BY kind", base=False)
 def line_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.when(F.col("line_no") % 5 == 0, 3).when(F.col("line_no") % 2 == 0, 6).otherwise(4)
-    lines = _Lists(spark, sf_dir).lines.withColumn("fields", F.slice(F.concat("fields", "fields"), F.lit(1), n))
+    lines = Lists(spark, sf_dir).lines.withColumn("fields", F.slice(F.concat("fields", "fields"), F.lit(1), n))
     return lists.line_kind(lines).groupBy("kind").agg(F.count("*").alias("n"))
 
 
 @query("tl02_chopped_status", _TL + "SELECT trav AS traveler, line_no, status FROM st", base=False)
 def chopped_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _Lists(spark, sf_dir).resolved.select("traveler", "line_no", "status")
+    return Lists(spark, sf_dir).resolved.select("traveler", "line_no", "status")
 
 
 @query("tl03_chopped_ranges", _TL + "SELECT line_no, root, least(i1, i2) AS beg, greatest(i1, i2) AS fin, i1 > i2 AS reverse FROM st WHERE status = 'ok'", base=False)
 def chopped_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _Lists(spark, sf_dir).resolved.where("status = 'ok'").select("line_no", "root", "beg", F.col("end").alias("fin"), "reverse")
+    return Lists(spark, sf_dir).resolved.where("status = 'ok'").select("line_no", "root", "beg", F.col("end").alias("fin"), "reverse")
 
 
 @query("tl04_connected_status", _TL + _TL6 + "SELECT trav AS traveler, line_no, status FROM s6", base=False)
 def connected_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _Lists(spark, sf_dir).resolved_connected.select("traveler", "line_no", "status")
+    return Lists(spark, sf_dir).resolved_connected.select("traveler", "line_no", "status")
 
 
 @query("tl05_connected_ranges", _TL + _TL6 + """, j AS (SELECT e.*, root, root % 4 = 1 AS rev, CAST(root % 3 AS INTEGER) AS o, CASE WHEN root % 7 = 0 THEN 6 ELSE 5 END AS last FROM e6 e JOIN rt ON root - root % 3 = c1 AND root % 3 BETWEEN fo AND to_)
 SELECT line_no, root, CAST(CASE WHEN o = fo AND o = to_ THEN least(fi, ti) WHEN o = fo THEN CASE WHEN rev THEN 0 ELSE fi END WHEN o = to_ THEN CASE WHEN rev THEN ti ELSE 0 END ELSE 0 END AS INTEGER) AS beg,
  CAST(CASE WHEN o = fo AND o = to_ THEN greatest(fi, ti) WHEN o = fo THEN CASE WHEN rev THEN fi ELSE last END WHEN o = to_ THEN CASE WHEN rev THEN last ELSE ti END ELSE last END AS INTEGER) AS fin FROM j""", base=False)
 def connected_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = _Lists(spark, sf_dir)
+    at = Lists(spark, sf_dir)
     return lists.connected_ranges(at.resolved_connected, at.connected, at.lengths).select("line_no", "root", "beg", F.col("end").alias("fin"))
 
 
 @query("tl06_segment_dedupe", _TL + "SELECT DISTINCT trav AS traveler, root, CAST(unnest(range(least(i1, i2), greatest(i1, i2))) AS INTEGER) AS idx FROM st WHERE status = 'ok'", base=False)
 def segment_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = _Lists(spark, sf_dir)
+    at = Lists(spark, sf_dir)
     return travel.covered(at.resolved.where("status = 'ok'"), at.segments).distinct()
 
 
@@ -257,13 +257,13 @@ ls AS (SELECT root - root % 3 AS con, root, CAST(root % 3 - CASE WHEN root < 3 T
 
 @query("tl07_names_in_use", _TL + "SELECT DISTINCT root FROM st WHERE status IN ('ok', 'duplicate label')", base=False)
 def names_in_use(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _Lists(spark, sf_dir).resolved.where(F.col("status").isin("ok", "duplicate label")).select("root").distinct()
+    return Lists(spark, sf_dir).resolved.where(F.col("status").isin("ok", "duplicate label")).select("root").distinct()
 
 
 @query("tl07_labels_in_use", _MARKS + "SELECT DISTINCT root, key FROM mk", base=False)
 def labels_in_use(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels that good lines and lines with a label that stands twice mark, of single and of connected routes."""
-    at = _Lists(spark, sf_dir)
+    at = Lists(spark, sf_dir)
     return lists.marks(at.resolved, at.resolved_connected)[0]
 
 
@@ -271,7 +271,7 @@ def labels_in_use(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT trav AS traveler, line_no, regs || ': DISCONNECTED_ROUTE error in C' || con || '.' AS message FROM s6 JOIN tx ON con = c1 WHERE status = 'ok' AND r1 <> r2""", base=False)
 def broken_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Warnings for entries between two roots of a connected route whose roots do not all meet."""
-    at = _Lists(spark, sf_dir)
+    at = Lists(spark, sf_dir)
     named = at.routes.join(at.connected.select("root", "con_id"), "root").select("root", "region", F.concat(F.lit("C"), F.col("con_id").cast("string")).alias("con_name"))
     return lists.broken_warnings(at.resolved_connected, at.directions(), named)
 
@@ -285,7 +285,7 @@ UNION ALL SELECT 'unusedaltroutenames', sys, sys || '(' || count(*) || '):' || s
 UNION ALL SELECT 'flippedroutes', CAST(root AS VARCHAR), CAST(root AS VARCHAR) FROM directions WHERE reversed""", base=False)
 def usage_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels and names in use and those nobody uses, and routes that run against their connected route."""
-    at = _Lists(spark, sf_dir)
+    at = Lists(spark, sf_dir)
     used, names = lists.marks(at.resolved, at.resolved_connected)
     return lists.usage_logs(used.checkpoint(), names.checkpoint(), at.lengths, at.all_labels, at.routes, at.directions().where("reversed").select("root"))
 
@@ -298,7 +298,7 @@ def control_characters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("tl10_good_lines", _TL + """, g AS (SELECT trav, count(*) FILTER (status = 'ok') AS n FROM st GROUP BY trav), s AS (SELECT trav, count(*) AS m FROM (SELECT DISTINCT trav, root, unnest(range(least(i1, i2), greatest(i1, i2))) AS i FROM st WHERE status = 'ok') GROUP BY trav)
 SELECT g.trav AS traveler, 'Processed ' || n || ' good lines marking ' || coalesce(m, 0) || ' segments.' AS message FROM g LEFT JOIN s ON g.trav = s.trav""", base=False)
 def good_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = _Lists(spark, sf_dir)
+    at = Lists(spark, sf_dir)
     n = at.resolved.groupBy("traveler").agg(F.count_if(F.col("status") == "ok").alias("n"))
     m = travel.covered(at.resolved.where("status = 'ok'"), at.segments).distinct().groupBy("traveler").agg(F.count("*").alias("m"))
     return n.join(m, "traveler", "left").select("traveler", F.format_string("Processed %d good lines marking %d segments.", "n", F.coalesce("m", F.lit(0))).alias("message"))
