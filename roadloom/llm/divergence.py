@@ -8,7 +8,7 @@ only the visitors' vectors move. A meeting tells both directions of each pair of
 The terms that a source overuses come from a heap of each resident, since a resident also knows its language's totals.
 
 Memory is bounded by a block's vectors of a shard, whatever the size of a source: a hot source is one vector among others,
-made from counts that were summed before the shuffle. Rounds are written to the shared folder as they end.
+made from counts that were summed before the shuffle. Every `TURNS` turns, their sums are written to the shared folder.
 
 p = 1 + floor(SCALE * (count + 2) / (N + 2 * V)) is a long division in digits of base 1000, exact up to N + 2 * V of
 9 * 10**15 (else an error). f = floor((p - q)**2 / (p + q)) stays within 64 bits.
@@ -32,13 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Durable, freed_shuffles, ship, text_chunks
-from .runs import LOWER, coded, members, runs_of
+from .common import Durable, ship, text_chunks
+from .runs import LOWER, coded, members, pieces, runs_of
 
-SHARD, BLOCK, LEAST, TOP = 1 << 16, 8, 10, 10
+SHARD, BLOCK, SALT, LEAST, TOP = 1 << 13, 8, 64, 10, 10
 SCALE = 10**9
+#: Turns of the tournament that are run and written at a time.
+TURNS = 16
 #: Bytes of text whose counts are summed before they leave a task.
-CHUNK = 1 << 23
+CHUNK = 1 << 22
 TERM_BYTES = members((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 
 _RESIDENT = "lang string, shard int, block int, blocks int, kept long, sources array<string>, totals array<long>, sizes array<int>, vectors binary, heads array<struct<source:string,item:string,value:long>>"
@@ -81,7 +83,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 np.add.at(sums, place, n)
                 langs, sources = pa.array([g[0] for g in groups], pa.string()), pa.array([g[1] for g in groups], pa.string())
                 of_group, of_term = pa.array(keys // len(terms)), pa.array(keys % len(terms))
-                yield pa.RecordBatch.from_arrays([langs.take(of_group), sources.take(of_group), terms.take(of_term).cast(pa.string()), pa.array(sums), pa.array(docs_of)], ["lang", "source", "term", "n", "docs"])
+                yield from pieces(pa.RecordBatch.from_arrays([langs.take(of_group), sources.take(of_group), terms.take(of_term).cast(pa.string()), pa.array(sums), pa.array(docs_of)], ["lang", "source", "term", "n", "docs"]))
 
     return docs.mapInArrow(work, "lang string, source string, term string, n long, docs long")
 
@@ -180,7 +182,10 @@ def audit(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     terms = Durable(counts.df.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs")).where(F.col("docs") >= least).drop("docs"), "terms")
     langs = every.df.select("lang").distinct().join(terms.df.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("lang_n").alias("lang_total")), "lang", "left").na.fill(0)
     langs = langs.withColumn("shards", F.greatest(F.ceil(F.col("kept") / SHARD), F.lit(1)).cast("int"))
-    indexed = terms.df.join(langs.select("lang", "shards"), "lang").withColumn("shard", F.pmod(F.xxhash64("term"), F.col("shards")).cast("int"))
+    # a language's terms are dealt by a salt too: one language may hold most of them
+    salted = langs.select("lang", "shards", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    indexed = terms.df.withColumn("salt", F.pmod(F.xxhash64("term"), F.lit(SALT)).cast("int")).join(salted, ["lang", "salt"]).drop("salt")
+    indexed = indexed.withColumn("shard", F.pmod(F.xxhash64("term", F.lit(1)), F.col("shards")).cast("int"))
     indexed = indexed.withColumn("place", F.row_number().over(W.partitionBy("lang", "shard").orderBy("term")) - 1).drop("shards")
     index = Durable(indexed, "term-index")
     held = Durable(counts.df.select("lang", "source", "term", "n").join(index.df, ["lang", "term"]), "kept-counts")
@@ -196,9 +201,9 @@ def audit(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     residents = Durable(packed, "residents")
     for done in (held, every, terms):
         done.drop()
-    sums = Durable(_tournament(residents, index), "meetings")
+    sums = _tournament(residents, index)
     order = W.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    pairs = sums.df.groupBy("lang", "source", "item").agg(F.sum("value").alias("value")).withColumn("rank", F.row_number().over(order))
+    pairs = sums.groupBy("lang", "source", "item").agg(F.sum("value").alias("value")).withColumn("rank", F.row_number().over(order))
     heads = residents.df.select("lang", F.inline("heads")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     columns = lambda part: ["lang", "source", F.lit(part).alias("part"), "item", "value", F.col("rank").cast("int").alias("rank")]
     return pairs.select(*columns("pair")).unionByName(heads.select(*columns("term")))
@@ -212,15 +217,18 @@ def _tournament(residents: Durable, index: Durable) -> DataFrame:
     blocks = residents.df.agg(F.max("blocks")).first()[0] or 0
     home = home.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *key).persist(StorageLevel.MEMORY_AND_DISK)
     carried = ["sources", "totals", "sizes", "vectors"]
-    schema, turns = "lang string, source string, item string, value long", []
+    schema, sums, found = "lang string, source string, item string, value long", [], None
+    own = home.select("*", *[F.lit(None).cast(residents.df.schema[c].dataType).alias(f"guest_{c}") for c in carried])
+    last = blocks + blocks % 2 - 1
     try:
-        own = home.select("*", *[F.lit(None).cast(residents.df.schema[c].dataType).alias(f"guest_{c}") for c in carried])
-        turns.append(Durable(own.mapInArrow(_meet, schema), "turn"))
-        for turn in range(blocks + blocks % 2 - 1):
+        for turn in range(-1, max(last, 0)):  # before the first turn every block meets itself
             host, travels = _seats(turn)
             guests = home.where(travels).select("lang", "shard", host.cast("int").alias("block"), *[F.col(c).alias(f"guest_{c}") for c in carried])
-            with freed_shuffles(spark):
-                turns.append(Durable(home.join(guests, key).mapInArrow(_meet, schema), "turn"))
+            met = (own if turn < 0 else home.join(guests, key)).mapInArrow(_meet, schema)
+            found = met if found is None else found.unionByName(met)
+            if turn % TURNS == TURNS - 1 or turn >= last - 1:  # what some turns told is summed over shards and written
+                sums.append(Durable(found.groupBy("lang", "source", "item").agg(F.sum("value").alias("value")), "meetings"))
+                found = None
     finally:
         home.unpersist()
-    return spark.read.schema(schema).parquet(*[t.path for t in turns])
+    return spark.read.schema(schema).parquet(*[t.path for t in sums])

@@ -60,6 +60,7 @@ def test_against_brute_force(spark, seed, monkeypatch):
     rows = corpus(seed)
     monkeypatch.setattr(divergence, "SHARD", 16)  # several shards and blocks: every turn of the tournament is played
     monkeypatch.setattr(divergence, "BLOCK", 3 + seed)
+    monkeypatch.setattr(divergence, "TURNS", 2)
     assert run(spark, rows) == brute(rows, 10)
 
 
