@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import RADIUS, cosine_miles, longitude_reach, nearby
+from ..functions.text import fifteen_digits
 
 #: Cells are a little wider than the tolerance, against rounding at their borders.
 SLACK = 1.002
@@ -33,6 +34,16 @@ def near_miss_lines(pairs: DataFrame, marks: DataFrame | None = None) -> DataFra
     return told.join(marks.select("line", F.lit(True).alias("fp")).distinct(), "line", "left").withColumn("fp", F.coalesce("fp", F.lit(False)))
 
 
+def pair_lines(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """Two lines for each pair of near misses: name, other, line; FP tells that the first point's line (lines: name, fp) is marked, LI that
+    the two look alike by intention."""
+    close = (F.abs(F.col("lat") - F.col("lat2")) < 0.0000015) & (F.abs(F.col("lng") - F.col("lng2")) < 0.0000015)
+    told = pairs.where("name < other").join(lines.select("name", "fp"), "name")
+    mark = F.when(F.col("fp") | close, F.concat(F.lit(" "), F.when(F.col("fp"), "FP").otherwise(""), F.when(close, "LI").otherwise(""))).otherwise("")
+    place = lambda name, lat, lng: F.concat(F.concat_ws(" ", name, fifteen_digits(F.col(lat)), fifteen_digits(F.col(lng))), mark)
+    return told.select("name", "other", F.explode(F.array(place("name", "lat", "lng"), place("other", "lat2", "lng2"))).alias("line"))
+
+
 def merged(points: DataFrame, pairs: DataFrame) -> DataFrame:
     """Points moved to the northernmost latitude and easternmost longitude of themselves and their near misses."""
     best = pairs.groupBy("name").agg(F.max("lat2").alias("lat2"), F.max("lng2").alias("lng2"))

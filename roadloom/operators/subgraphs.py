@@ -66,7 +66,7 @@ def derived(mileage: DataFrame, systems: DataFrame) -> DataFrame:
     """Specs that follow from the data. mileage: region, country, continent of all regions with active or preview mileage;
     systems: system. Continents with a region, countries with two, every region, every system."""
     none = F.array().cast("array<string>")
-    spec = lambda df, kind, code, title, regions, systems_: df.select(F.concat(F.lower(code), F.lit(f"-{kind}")).alias("graph"), title.alias("description"), F.lit(kind).alias("category"), regions.alias("regions"), systems_.alias("systems"), *(F.lit(None).cast("double").alias(c) for c in ("lat", "lng", "radius")))
+    spec = lambda df, kind, code, title, regions, systems_: df.select(F.concat(code, F.lit(f"-{kind}")).alias("graph"), title.alias("description"), F.lit(kind).alias("category"), regions.alias("regions"), systems_.alias("systems"), *(F.lit(None).cast("double").alias(c) for c in ("lat", "lng", "radius")))
     # an area's list of regions is its spec itself
     of = lambda c: mileage.select(F.col(c).alias("code"), "region").distinct().groupBy("code").agg(F.array_sort(F.collect_set("region")).alias("r"))
     code = F.col("code")
@@ -75,3 +75,20 @@ def derived(mileage: DataFrame, systems: DataFrame) -> DataFrame:
     regions = mileage.select(F.col("region").alias("code")).distinct()
     out = out.unionByName(spec(regions, "region", code, code, F.array(code), none))
     return out.unionByName(spec(systems.select(F.col("system").alias("code")).distinct(), "system", code, code, none, F.array(code)))
+
+
+def named(specs: DataFrame) -> DataFrame:
+    """Specs with format, filename and tag (what a progress line calls the graph), once for each of the three formats."""
+    title = F.regexp_replace(F.regexp_replace("graph", "-area$", ""), F.concat(F.col("radius").cast("long").cast("string"), F.lit("$")), F.lit(""))
+    kind = lambda x: F.col("category") == x
+    tag = (
+        F.when(kind("master"), "")
+        .when(kind("area"), F.concat(title, F.lit("("), F.regexp_replace(F.col("radius").cast("string"), r"\.0$", ""), F.lit(") ")))
+        .when(kind("region"), F.concat(F.get("regions", F.lit(0)), F.lit(" ")))
+        .when(kind("system"), F.concat(F.get("systems", F.lit(0)), F.lit(" ")))
+        .when(kind("country") | kind("continent"), F.concat(F.regexp_replace("graph", "-(country|continent)$", ""), F.lit(" ")))
+        .otherwise(F.concat("graph", F.lit(" ")))
+    )
+    each = specs.withColumn("format", F.explode(F.array(F.lit("simple"), F.lit("collapsed"), F.lit("traveled"))))
+    ending = F.when(F.col("format") == "collapsed", "").otherwise(F.concat(F.lit("-"), "format"))
+    return each.withColumns({"filename": F.concat("graph", ending, F.lit(".tmg")), "tag": tag})

@@ -298,10 +298,10 @@ sp(graph, category, regs, syss, clat, clng, radius) AS (
   UNION ALL SELECT 'systems' || k, 'multisystem', NULL, [['1-URGENT', '2-HIGH'], ['2-HIGH'], ['3-MEDIUM', '1-URGENT'], ['1-URGENT'], ['2-HIGH', '3-MEDIUM']][k + 1], NULL, NULL, NULL FROM k
   UNION ALL VALUES ('custom0', 'fullcustom', NULL, NULL, 10, 20, 4000), ('custom1', 'fullcustom', ['NATION_1', 'NATION_2', 'NATION_9'], NULL, NULL, NULL, NULL), ('custom2', 'fullcustom', NULL, ['3-MEDIUM'], -12.5, 100, 3000),
     ('custom3', 'fullcustom', ['NATION_3', 'NATION_4', 'NATION_5', 'NATION_6'], ['1-URGENT', '3-MEDIUM'], NULL, NULL, NULL), ('custom4', 'fullcustom', ['NATION_1', 'NATION_2', 'NATION_3', 'NATION_4', 'NATION_10', 'NATION_11', 'NATION_12'], ['2-HIGH', '1-URGENT'], 0, -60, 5000)
-  UNION ALL SELECT lower(country) || '-continent', 'continent', list(reg), NULL, NULL, NULL, NULL FROM dm GROUP BY country
-  UNION ALL SELECT lower(country) || '-country', 'country', list(reg), NULL, NULL, NULL, NULL FROM dm GROUP BY country HAVING count(*) >= 2
-  UNION ALL SELECT DISTINCT lower(reg) || '-region', 'region', [reg], NULL, NULL, NULL, NULL FROM dm
-  UNION ALL SELECT DISTINCT lower(sys) || '-system', 'system', NULL, [sys], NULL, NULL, NULL FROM rts WHERE lvl <> 'devel'),
+  UNION ALL SELECT country || '-continent', 'continent', list(reg), NULL, NULL, NULL, NULL FROM dm GROUP BY country
+  UNION ALL SELECT country || '-country', 'country', list(reg), NULL, NULL, NULL, NULL FROM dm GROUP BY country HAVING count(*) >= 2
+  UNION ALL SELECT DISTINCT reg || '-region', 'region', [reg], NULL, NULL, NULL, NULL FROM dm
+  UNION ALL SELECT DISTINCT sys || '-system', 'system', NULL, [sys], NULL, NULL, NULL FROM rts WHERE lvl <> 'devel'),
 vf AS (SELECT lat, lng, list(DISTINCT reg) AS regs, list(DISTINCT sys) AS syss FROM pts JOIN rts USING (root) WHERE lvl <> 'devel' GROUP BY lat, lng),
 em AS (SELECT alat, alng, blat, blng, list(struct_pack(s := sys, n := sys || '#' || root) ORDER BY sys, root, idx) AS mem FROM grp WHERE NOT zero AND lvl <> 'devel' GROUP BY ALL),
 og AS (SELECT graph, lat, lng FROM sp, vf WHERE (sp.regs IS NULL OR list_has_any(vf.regs, sp.regs)) AND (sp.syss IS NULL OR list_has_any(vf.syss, sp.syss)) AND (radius IS NULL OR @V <= radius)),
@@ -545,7 +545,7 @@ def spec_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told(spots, "vertex", F.col("lat")).unionByName(told(ways, "edge", F.col("edge.a.lat") + 2 * F.col("edge.b.lat")))
 
 
-@query("src16_graph_reader", _E + "SELECT lower(creg) || '-region' AS graph, " + _ENDS + ", routes AS label FROM ed")
+@query("src16_graph_reader", _E + "SELECT creg || '-region' AS graph, " + _ENDS + ", routes AS label FROM ed")
 def graph_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The regions' traveled graph files, read back: their edges by the coordinates of their ends."""
     from ..sources import graphs
@@ -574,3 +574,33 @@ def graph_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table of graph types: the categories in use, with the number of their specs."""
     specs = graph_specs(spark, sf_dir, Net(spark, sf_dir)).unionByName(master_spec(spark))
     return specs.groupBy("category").agg(F.count("*").alias("graphs"))
+
+
+@query("prj12_spec_names", _SPECS + """SELECT graph || CASE format WHEN 'collapsed' THEN '' ELSE '-' || format END || '.tmg' AS filename, format, category, CASE category WHEN 'area' THEN regexp_extract(graph, '^Place[0-4]') || '(' || CAST(radius AS INTEGER) || ') ' WHEN 'region' THEN regs[1] || ' ' WHEN 'system' THEN syss[1] || ' ' WHEN 'country' THEN regexp_replace(graph, '-country$', ' ') WHEN 'continent' THEN regexp_replace(graph, '-continent$', ' ') WHEN 'master' THEN '' ELSE graph || ' ' END AS tag
+FROM sp, (VALUES ('simple'), ('collapsed'), ('traveled')) f(format)""")
+def spec_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File name, category and tag of every spec's graph in its three formats."""
+    from ..operators import subgraphs
+
+    specs = graph_specs(spark, sf_dir, Net(spark, sf_dir)).unionByName(master_spec(spark))
+    return subgraphs.named(specs).select("filename", "format", "category", "tag")
+
+
+#: What an archive set is told by.
+ARCHIVE = ("set", "All regions", "2024-01-31", "a1b2c3d", "d4e5f6a", "0f1e2d3")
+
+
+@query("snk02_graph_archives", _ARCHIVE.rsplit("SELECT format, graph,", 1)[0] + f"""SELECT graph || CASE format WHEN 'simple' THEN '-simple' ELSE '-intonly' END || '.tmg' AS filename, graph AS descr, CAST(vertices AS BIGINT) AS vertices, CAST(ends / 2 AS BIGINT) AS edges, format, 'region' AS category, '{ARCHIVE[0]}' AS set_name, CAST(max_degree AS BIGINT) AS max_degree, format('{{:.4f}}', CAST(ends AS DOUBLE) / vertices) AS average_degree, CAST(parts AS BIGINT) AS components FROM bx""", base=False)
+def graph_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive table's rows for the set's graphs: every region's graph and its intersection-only form."""
+    rows = archive_statistics(spark, sf_dir)
+    ending = F.when(F.col("format") == "simple", "-simple").otherwise("-intonly")
+    return rows.select(F.concat("graph", ending, F.lit(".tmg")).alias("filename"), F.col("graph").alias("descr"), "vertices", "edges", "format", F.lit("region").alias("category"), F.lit(ARCHIVE[0]).alias("set_name"), "max_degree", F.format_string("%.4f", "average_degree").alias("average_degree"), F.col("parts").alias("components"))
+
+
+@query("snk02_archive_sets", _only(_SPECS, "category = 'region'") + f"SELECT '{ARCHIVE[0]}' AS set_name, '{ARCHIVE[1]}' AS descr, '{ARCHIVE[2]}' AS date_stamp, '{ARCHIVE[3]}' AS route_data, '{ARCHIVE[4]}' AS list_data, '{ARCHIVE[5]}' AS program, CAST(count(*) AS BIGINT) AS graphs FROM all_specs")
+def archive_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The set that these archives belong to, with its versions and the number of its graphs."""
+    specs = graph_specs(spark, sf_dir, Net(spark, sf_dir)).where("category = 'region'")
+    names = ("set_name", "descr", "date_stamp", "route_data", "list_data", "program")
+    return specs.agg(F.count("*").alias("graphs")).select(*[F.lit(v).alias(n) for n, v in zip(names, ARCHIVE, strict=True)], "graphs")

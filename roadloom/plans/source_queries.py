@@ -129,9 +129,12 @@ def near_miss_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return native.near_miss_marks(_part(spark, sf_dir, line))
 
 
-@query("src15_graph_specs")
+@query("src15_graph_specs", """SELECT 'area' AS category, 'a' || p_partkey || (p_size % 3 * 10) || '-area' AS graph, p_name || ' (' || (p_size % 3 * 10) || ' mi radius)' AS description, '' AS regions, '' AS systems, p_size + 0.5::DOUBLE AS lat, -p_size::DOUBLE AS lng, (p_size % 3 * 10)::DOUBLE AS radius FROM part WHERE p_size % 3 <> 0
+UNION ALL SELECT 'multiregion', 'm' || p_partkey, p_name, 'NATION_1,NATION_' || p_size, '', NULL, NULL, NULL FROM part UNION ALL SELECT 'multisystem', 's' || p_partkey, p_name, '', '1-URGENT,2-HIGH', NULL, NULL, NULL FROM part
+UNION ALL SELECT 'system', p_brand || '-system', p_brand, '', p_brand, NULL, NULL, NULL FROM part
+UNION ALL SELECT 'fullcustom', 'f' || p_partkey, p_name, 'NATION_1', '2-HIGH', 1.5, 2.5, 25 FROM part WHERE p_size % 2 = 0 AND p_size % 3 <> 0""", base=False)
 def graph_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of all five kinds, parsed into one schema."""
+    """Rows of all five kinds, parsed into one schema; areas without a radius and customs with half a circle are refused."""
     forms = {
         "area": "p_name || ';a' || p_partkey || ';' || p_size || '.5;-' || p_size || ';' || (p_size % 3 * 10)",
         "multiregion": "p_name || ';m' || p_partkey || ';;NATION_1,NATION_' || p_size",
@@ -143,7 +146,7 @@ def graph_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     for kind, line in forms.items():
         good = native.graph_specs(_part(spark, sf_dir, line), kind)[0]
         out = good if out is None else out.unionByName(good)
-    return out
+    return out.select("category", "graph", "description", F.array_join("regions", ",").alias("regions"), F.array_join("systems", ",").alias("systems"), "lat", "lng", "radius")
 
 
 @query("src17_update_dates", "SELECT CAST(event_id AS VARCHAR) AS traveler, strftime(ts, '%Y-%m-%d') AS date FROM events", base=False)
@@ -182,16 +185,21 @@ class Lists:
         self.resolved = lists.resolve_chopped(self.lines, self.names, self.labels, self.routes)
         # connected routes: three parts each; lines of six fields
         self.connected = self.routes.selectExpr("CAST(root - root % 3 AS BIGINT) AS con_id", "root", "CAST(root % 3 AS INT) AS root_order", "root % 4 = 1 AS is_reversed")
-        self.six = events.selectExpr("traveler", "line_no", "array('reg' || (p % 3), 'r' || p, 'P' || (k % 7), 'reg' || ((p + k % 4 - 1) % 3), 'r' || (p + k % 4 - 1), 'p' || (k % 5)) AS fields").where("p > 0")
+        self.six = events.selectExpr("traveler", "line_no", "array('reg' || (p % 3), 'r' || p, 'P' || (k % 7), 'reg' || ((p + k % 4 - 1) % 3), 'r' || (p + k % 4 - 1), 'p' || (k % 5)) AS fields")
         ends = self.routes.selectExpr("root", "named_struct('lat', CAST(root * 5 % 4 AS DOUBLE), 'lng', 0D) AS a", "named_struct('lat', CAST((root * 7 + 1) % 4 AS DOUBLE), 'lng', 0D) AS b")
         self.ends = self.connected.join(ends, "root").join(self.lengths, "root")
         self.resolved_connected = lists.resolve_connected(self.six, self.names, self.labels, self.routes, self.connected)
 
+    def names_of(self, routes: DataFrame) -> DataFrame:
+        """All alternate names, as lines would write them."""
+        alt = routes.select("region", F.explode("alt_route_names").alias("alt"))
+        return alt.select(T.ascii_upper(F.when(F.contains("alt", F.lit(" ")), F.col("alt")).otherwise(F.concat_ws(" ", "region", "alt"))).alias("name")).distinct()
+
     def directions(self) -> DataFrame:
         return connected.directions(self.ends.select("con_id", (F.col("root_order") - F.when(F.col("root") < 3, 1).otherwise(0)).alias("root_order"), "root", "a", "b", "n"))
 
 
-_TL6 = """, ln6 AS (SELECT user_id AS trav, event_id AS line_no, upper('REG' || (p % 3) || ' R' || p) AS n1, 'P' || (k % 7) AS k1, upper('REG' || ((p + k % 4 - 1) % 3) || ' R' || (p + k % 4 - 1)) AS n2, 'P' || (k % 5) AS k2 FROM (SELECT *, event_id % (SELECT count(*) + 50 FROM part) AS p, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) WHERE p > 0),
+_TL6 = """, ln6 AS (SELECT user_id AS trav, event_id AS line_no, upper('REG' || (p % 3) || ' R' || p) AS n1, 'P' || (k % 7) AS k1, upper('REG' || ((p + k % 4 - 1) % 3) || ' R' || (p + k % 4 - 1)) AS n2, 'P' || (k % 5) AS k2 FROM (SELECT *, event_id % (SELECT count(*) + 50 FROM part) AS p, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)),
 s6 AS (SELECT trav, line_no, n1, k1, n2, k2, a.root AS r1, b.root AS r2, a.root - a.root % 3 AS c1, CAST(a.root % 3 AS INTEGER) AS o1, CAST(b.root % 3 AS INTEGER) AS o2, x.idx AS i1, y.idx AS i2, CASE WHEN a.root IS NULL OR b.root IS NULL THEN 'unknown route' WHEN a.root - a.root % 3 <> b.root - b.root % 3 THEN 'different connected routes' WHEN lvl = 'devel' THEN 'devel'
  WHEN x.idx IS NULL OR y.idx IS NULL THEN 'label missing' WHEN x.dup OR y.dup THEN 'duplicate label' WHEN a.root = b.root AND x.idx = y.idx THEN 'zero distance' ELSE 'ok' END AS status
  FROM ln6 LEFT JOIN nm a ON a.name = n1 LEFT JOIN nm b ON b.name = n2 LEFT JOIN rt ON rt.root = a.root LEFT JOIN lb x ON x.root = a.root AND x.key = k1 LEFT JOIN lb y ON y.root = b.root AND y.key = k2),
@@ -304,6 +312,28 @@ def good_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.join(m, "traveler", "left").select("traveler", F.format_string("Processed %d good lines marking %d segments.", "n", F.coalesce("m", F.lit(0))).alias("message"))
 
 
+@query("j11_unused_alternates", _MARKS + """, ul AS (SELECT DISTINCT root, key FROM mk), un AS (SELECT DISTINCT name FROM mk) SELECT 'label' AS kind, CAST(root AS VARCHAR) || ' Q' || k AS name FROM (SELECT root, k FROM rt, (SELECT unnest(range(6)) AS k) WHERE root % 3 = 0) a WHERE NOT EXISTS (SELECT 1 FROM ul WHERE ul.root = a.root AND ul.key = 'Q' || k)
+UNION ALL SELECT DISTINCT 'route name', name FROM nm0 WHERE pos > 0 AND name NOT IN (SELECT name FROM un)""", base=False)
+def unused_alternates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alternate labels and route names that no list line uses."""
+    at = Lists(spark, sf_dir)
+    labels, names = lists.marks(at.resolved, at.resolved_connected)
+    alt = at.all_labels.where("pos > 0").select("root", F.col("label").alias("key")).join(labels, ["root", "key"], "left_anti")
+    other = at.names_of(at.routes).join(names, "name", "left_anti")
+    return alt.select(F.lit("label").alias("kind"), F.concat_ws(" ", F.col("root").cast("string"), "key").alias("name")).unionByName(other.select(F.lit("route name").alias("kind"), "name"))
+
+
+@query("j15_list_updates", """, u AS (SELECT l_orderkey AS root, strftime(l_shipdate, '%Y-%m-%d') AS date, l_linenumber AS line_no FROM lineitem), n AS (SELECT root, date, line_no FROM (SELECT *, row_number() OVER (PARTITION BY root ORDER BY date DESC, line_no) AS t FROM u) WHERE t = 1),
+s AS (SELECT DISTINCT trav, (1992 + trav % 7) || '-06-01' AS since, root FROM ent) SELECT trav AS traveler, s.root, date, CAST(line_no AS BIGINT) AS line_no FROM s JOIN n ON n.root = s.root WHERE date >= since""")
+def list_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest update of each route that a traveler lists, where it is not older than the list: an as-of join by two dates."""
+    points = tables.points(spark, sf_dir)
+    entries = tables.entries(spark, sf_dir, points.groupBy("root").agg(F.count("*").alias("n")))
+    listed = entries.select("traveler", F.concat((F.col("traveler") % 7 + 1992).cast("string"), F.lit("-06-01")).alias("since"), "root").distinct()
+    rows = tables.read(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS root", "date_format(l_shipdate, 'yyyy-MM-dd') AS date", "CAST(l_linenumber AS BIGINT) AS line_no", "'' AS description")
+    return listed.join(lists.latest_updates(rows), "root").where("date >= since").select("traveler", "root", "date", "line_no")
+
+
 @query("j15_latest_updates", """WITH u AS (SELECT o_orderkey AS line_no, 'r' || o_custkey AS root, strftime(o_orderdate, '%Y-%m-%d') AS date FROM orders) SELECT root, date, line_no FROM (SELECT *, row_number() OVER (PARTITION BY root ORDER BY date DESC, line_no) AS t FROM u) WHERE t = 1 AND date >= '1998-01-01'""", base=False)
 def latest_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tables.read(spark, sf_dir, "orders").selectExpr("o_orderkey AS line_no", "'r' || o_custkey AS root", "date_format(o_orderdate, 'yyyy-MM-dd') AS date", "'' AS description")

@@ -45,9 +45,12 @@ def write_logs(lines: DataFrame, path: str, by: str | None = None) -> None:
 
 
 def waypoint_text(points: DataFrame) -> DataFrame:
-    """root, value: the text of each route's waypoint file, six decimals."""
+    """root, value: the text of each route's waypoint file, six decimals. points: root, idx, label, lat, lng; alternate labels
+    (alt_labels) and a mark of merged points (moved), which gives them an https, are told where there are such columns."""
     six = lambda c: F.format_string("%.6f", c)
-    line = F.concat(F.col("label"), F.lit(" http://www.openstreetmap.org/?lat="), six("lat"), F.lit("&lon="), six("lng"))
+    alt = F.concat_ws("", F.transform("alt_labels", lambda x: F.concat(x, F.lit(" ")))) if "alt_labels" in points.columns else F.lit("")
+    start = F.when(F.col("moved"), "https").otherwise("http") if "moved" in points.columns else F.lit("http")
+    line = F.concat(F.col("label"), F.lit(" "), alt, start, F.lit("://www.openstreetmap.org/?lat="), six("lat"), F.lit("&lon="), six("lng"))
     per = points.groupBy("root").agg(F.array_sort(F.collect_list(F.struct("idx", line.alias("line")))).alias("lines"))
     return per.select(F.col("root").cast("string").alias("root"), F.concat(F.concat_ws("\n", F.col("lines.line")), F.lit("\n")).alias("value"))
 

@@ -145,6 +145,8 @@ def lists(spark: SparkSession, folder: str, only: list[str] | None = None, exten
 def list_info(rows: DataFrame) -> DataFrame:
     """listfileinfo.csv: columns as its header says, row 2 the defaults for empty fields; the first of equal names counts."""
     head = rows.where("line_no = 0").first()
+    if head is None:  # an empty file tells nothing, not even columns
+        return rows.select(F.col("value").alias("traveler")).limit(0)
     names = head["value"].rstrip("\r").split(";")
     fields = rows.withColumn("f", F.split(F.regexp_replace("value", "\r$", ""), ";", -1)).where(F.size("f") == len(names))
     defaults = fields.where("line_no = 1").select(F.col("f").alias("d"))
@@ -162,6 +164,13 @@ def updates(rows: DataFrame, limits: list[int | None] | None = None) -> tuple[Da
     return shaped.where("ok").select("line_no", f[0].alias("date"), f[1].alias("region"), f[2].alias("route"), f[3].alias("root"), f[4].alias("description")), bad.unionByName(errors)
 
 
+def system_updates(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """systemupdates.csv: date, region, system, description, status_change; a date is only limited in length."""
+    good, bad = csv_rows(rows, 5, [10, 83, 10, 60, 16])
+    f = F.col("f")
+    return good.select("line_no", *(f[k].alias(c) for k, c in enumerate(("date", "region", "system", "description", "status_change")))), bad
+
+
 def false_positives(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """datacheckfps.csv: six fields; codes that are always errors are refused."""
     good, bad = csv_rows(rows, 6)
