@@ -99,10 +99,23 @@ def told(code: str) -> tuple[Column, Column]:
 
 
 def run(rows: DataFrame, conditions: dict[str, Column]) -> DataFrame:
-    """All given checks in one pass over the rows (labels, lines or route names): what each one that holds reports, exploded."""
-    hit = lambda code: F.struct(told(code)[0].alias("label1"), F.lit(code).alias("code"), told(code)[1].alias("info"))
-    found = F.array_compact(F.array(*[F.when(c, hit(code)) for code, c in conditions.items()]))
-    return rows.select("root", F.explode(found).alias("x")).select("root", "x.label1", F.lit("").alias("label2"), F.lit("").alias("label3"), "x.code", "x.info")
+    """All given checks in one pass over the rows (labels, lines or route names): what each one that holds reports, exploded.
+
+    Codes are exploded first, and what a check reports is told of those rows alone, if anything asks for it."""
+    codes = F.array_compact(F.array(*[F.when(c, F.lit(code)) for code, c in conditions.items()]))
+    hits = rows.withColumn("_codes", codes).where(F.size("_codes") > 0).withColumn("code", F.explode("_codes"))
+    label, info = F.lit(""), F.lit("")
+    # most checks report the label as it stands
+    plain = [code for code in conditions if str(told(code)[0]) == str(F.col("label"))]
+    if plain:
+        label = F.when(F.col("code").isin(plain), F.col("label"))
+    for code in conditions:
+        own = told(code)
+        if code not in plain:
+            label = F.when(F.col("code") == code, own[0]).otherwise(label)
+        if str(own[1]) != str(F.lit("")):
+            info = F.when(F.col("code") == code, own[1]).otherwise(info)
+    return hits.select("root", label.alias("label1"), F.lit("").alias("label2"), F.lit("").alias("label3"), "code", info.alias("info"))
 
 
 def angles(points: DataFrame) -> DataFrame:
