@@ -103,7 +103,8 @@ def run(rows: DataFrame, conditions: dict[str, Column]) -> DataFrame:
 
     Codes are exploded first, and what a check reports is told of those rows alone, if anything asks for it."""
     codes = F.array_compact(F.array(*[F.when(c, F.lit(code)) for code, c in conditions.items()]))
-    hits = rows.withColumn("_codes", codes).where(F.size("_codes") > 0).withColumn("code", F.explode("_codes"))
+    # an outer explode, as an inner one has the conditions worked out twice: once to tell whether there is anything to explode
+    hits = rows.withColumn("code", F.explode_outer(codes)).where("code IS NOT NULL")
     label, info = F.lit(""), F.lit("")
     # most checks report the label as it stands
     plain = [code for code in conditions if str(told(code)[0]) == str(F.col("label"))]

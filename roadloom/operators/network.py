@@ -31,9 +31,9 @@ def shares(named: DataFrame) -> DataFrame:
     Counts come from one aggregate of pairs and systems joined back, so a crowded pair is summed before the shuffle and its
     rows may be split."""
     counts = ["n_all", "n_active", "n_shown", "n_system"]
-    per = groups(named).where("pair IS NOT NULL").groupBy("pair", "system").agg(*(F.first(c).alias(c) for c in counts))
+    per = groups(named).where("pair IS NOT NULL").groupBy("pk", "pair", "system").agg(*(F.first(c).alias(c) for c in counts))
     active, shown, one = (F.col("level") == "active").cast("long"), F.col("level").isin("active", "preview").cast("long"), F.lit(1).cast("long")
-    joined = named.join(per, ["pair", "system"], "left")
+    joined = by_pair(named, per, "left", "system")
     return joined.select(*named.columns, *(F.coalesce(F.col(c), x).alias(c) for c, x in zip(counts, (one, active, shown, one), strict=True)))
 
 
@@ -42,14 +42,15 @@ def groups(named: DataFrame) -> DataFrame:
     n_system as in `shares`. named: segments with their routes' columns.
 
     Sums are made before the shuffle, so a crowded pair is a row for each system and region. Segments of equal ends have no
-    pair and share with none; as they have no length, they count as one group without a pair."""
+    pair and share with none; as they have no length, they count as one group without a pair. pk is the pair's hash: as first
+    key of sorts and joins it tells nearly all pairs apart by one number."""
     keys = ["system", "level", "region"]
-    summed = named.where("pair IS NOT NULL").groupBy("pair", *keys).agg(F.count("*").alias("n"), F.sum("length").alias("length"))
-    of_pair, of_system = Window.partitionBy("pair"), Window.partitionBy("pair", "system")
+    summed = keyed(named.where("pair IS NOT NULL")).groupBy("pk", "pair", *keys).agg(F.count("*").alias("n"), F.sum("length").alias("length"))
+    of_pair, of_system = Window.partitionBy("pk", "pair"), Window.partitionBy("pk", "pair", "system")
     n = lambda level, over=of_pair: F.sum(F.when(level, F.col("n")).otherwise(0)).over(over)
     is_active, is_shown = F.col("level") == "active", F.col("level").isin("active", "preview")
     counted = summed.withColumns({"n_all": n(F.lit(True)), "n_active": n(is_active), "n_shown": n(is_shown)}).withColumn("n_system", n(F.lit(True), of_system))
-    alone = named.where("pair IS NULL").groupBy("pair", *keys).agg(F.count("*").alias("n"), F.sum("length").alias("length"))
+    alone = named.where("pair IS NULL").groupBy(F.lit(None).cast("long").alias("pk"), "pair", *keys).agg(F.count("*").alias("n"), F.sum("length").alias("length"))
     one = F.lit(1).cast("long")
     return counted.unionByName(alone.withColumns({"n_all": one, "n_active": is_active.cast("long"), "n_shown": is_shown.cast("long"), "n_system": one}))
 
@@ -58,3 +59,13 @@ def first_at(points: DataFrame) -> DataFrame:
     """The front point of every coordinate: the least root@label."""
     front = Window.partitionBy("lat", "lng").orderBy("root_label")
     return points.withColumn("root_label", F.concat_ws("@", F.col("root").cast("string"), "label")).withColumn("r", F.row_number().over(front)).where("r = 1").drop("r")
+
+
+def keyed(rows: DataFrame) -> DataFrame:
+    """With pk, the hash of the pair of ends."""
+    return rows if "pk" in rows.columns else rows.withColumn("pk", F.xxhash64("pair"))
+
+
+def by_pair(left: DataFrame, right: DataFrame, how: str = "inner", *more: str) -> DataFrame:
+    """A join on the pair of ends (and more columns), its hash first; equality is that of the pair itself. The hash stays, as pk."""
+    return keyed(left).join(keyed(right), ["pk", "pair", *more], how)

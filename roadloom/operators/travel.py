@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .network import by_pair, keyed
 
 SHOWN = "level IN ('active', 'preview')"
 
@@ -14,29 +15,41 @@ def covered(entries: DataFrame, named: DataFrame) -> DataFrame:
     first; a segment that several entries of a traveler cover comes several times. Routes meet entries by their root alone,
     so segments stay where their points were ordered."""
     real = entries.where(F.col("beg") < F.col("end")).select("traveler", F.col("root").alias("_root"), "beg", "end")
-    joined = named.join(real, (F.col("root") == F.col("_root")) & (F.col("idx") >= F.col("beg")) & (F.col("idx") < F.col("end")))
+    joined = named.join(real.hint("merge"), (F.col("root") == F.col("_root")) & (F.col("idx") >= F.col("beg")) & (F.col("idx") < F.col("end")))
     return joined.select("traveler", *named.columns)
 
 
 def traveled_pairs(direct: DataFrame) -> DataFrame:
-    """traveler, pair: each once."""
-    return direct.where("pair IS NOT NULL").select("traveler", "pair").distinct()
+    """traveler, pk, pair: each once."""
+    return keyed(direct.where("pair IS NOT NULL").select("traveler", "pair")).distinct()
 
 
-def clinched(direct: DataFrame, named: DataFrame) -> DataFrame:
+def clinched(direct: DataFrame, named: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """Travel spread to all active or preview segments of the same pair, each once for a traveler, with the columns of `named`.
+    pairs: the traveled pairs, where they can be told from less than `direct` holds.
 
     What a traveled pair holds is complete and free of repeats; only segments that nothing is spread to (in development, or of
     equal ends) come from the lists themselves."""
-    spread = traveled_pairs(direct).join(named.where(SHOWN), "pair").select("traveler", *named.columns)
+    spread = by_pair(traveled_pairs(direct) if pairs is None else pairs, named.where(SHOWN)).select("traveler", *named.columns)
     own = direct.where(f"pair IS NULL OR NOT {SHOWN}").dropDuplicates(["traveler", "root", "idx"])
     return spread.unionByName(own)
 
 
-def clinched_groups(direct: DataFrame, groups: DataFrame) -> DataFrame:
+def clinched_groups(direct: DataFrame, groups: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """The same, summed: traveler and the columns of network.groups, for active and preview segments."""
-    spread = traveled_pairs(direct).join(groups.where(f"pair IS NOT NULL AND {SHOWN}"), "pair").select("traveler", *groups.columns)
+    spread = by_pair(traveled_pairs(direct) if pairs is None else pairs, groups.where(f"pair IS NOT NULL AND {SHOWN}")).select("traveler", *groups.columns)
     # segments of equal ends have no length, but their traveler was in their region
-    own = direct.where(f"pair IS NULL AND {SHOWN}").select("traveler", "pair", "system", "level", "region").distinct()
+    own = direct.where(f"pair IS NULL AND {SHOWN}").select("traveler", F.lit(None).cast("long").alias("pk"), "pair", "system", "level", "region").distinct()
     one, active = F.lit(1).cast("long"), (F.col("level") == "active").cast("long")
     return spread.unionByName(own.withColumns({"n": one, "length": F.lit(0.0), "n_all": one, "n_active": active, "n_shown": one, "n_system": one}))
+
+
+def clinched_sums(direct: DataFrame, groups: DataFrame, pairs: DataFrame, by: list[str], sums: dict[str, Column]) -> DataFrame:
+    """traveler, `by` columns and sums of clinched active and preview segments. What a pair is worth to a traveler doesn't depend on
+    the traveler, so it is summed by pair before travel is spread: the join makes a row for each of a pair's `by` values, not
+    for each of its groups."""
+    per = groups.where(f"pair IS NOT NULL AND {SHOWN}").groupBy("pk", "pair", *by).agg(*(F.sum(v).alias(n) for n, v in sums.items()))
+    spread = by_pair(pairs, per).drop("pk", "pair")
+    # segments of equal ends are worth nothing, but their traveler was there
+    own = direct.where(f"pair IS NULL AND {SHOWN}").select("traveler", *by).distinct().withColumns({n: F.lit(0.0) for n in sums})
+    return spread.unionByName(own).groupBy("traveler", *by).agg(*(F.sum(n).alias(n) for n in sums))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,19 +13,69 @@ from .registry import query
 
 
 class Net:
-    """The network of one folder, built lazily; every step is a plan, nothing is computed here."""
+    """The network of one folder; every step is a plan, made when it is first asked for, and nothing is computed here."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.points, self.routes = tables.points(spark, sf_dir), tables.routes(spark, sf_dir)
-        self.segments = network.segments(self.points)
-        self.named = self.segments.join(self.routes, "root")
-        self.shared = network.shares(self.named)
-        self.groups = network.groups(self.named)
-        self.lengths = self.points.groupBy("root").agg(F.count("*").alias("n"))
-        self.entries = tables.entries(spark, sf_dir, self.lengths)
-        self.direct = travel.covered(self.entries, self.named)
-        self.clinched = travel.clinched(self.direct, self.named)
-        self.clinched_groups = travel.clinched_groups(self.direct, self.groups)
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def points(self) -> DataFrame:
+        return tables.points(self.spark, self.sf_dir)
+
+    @cached_property
+    def routes(self) -> DataFrame:
+        return tables.routes(self.spark, self.sf_dir)
+
+    @cached_property
+    def segments(self) -> DataFrame:
+        return network.segments(self.points)
+
+    @cached_property
+    def named(self) -> DataFrame:
+        """Segments lie in the order of their routes already, so routes are merged with them rather than either sent around."""
+        return self.segments.join(self.routes.hint("merge"), "root")
+
+    @cached_property
+    def shared(self) -> DataFrame:
+        return network.shares(self.named)
+
+    @cached_property
+    def groups(self) -> DataFrame:
+        return network.groups(self.named)
+
+    @cached_property
+    def lengths(self) -> DataFrame:
+        return self.points.groupBy("root").agg(F.count("*").alias("n"))
+
+    @cached_property
+    def entries(self) -> DataFrame:
+        return tables.entries(self.spark, self.sf_dir, self.lengths)
+
+    @cached_property
+    def covered(self) -> DataFrame:
+        """Listed segments without their routes' columns: enough to tell which pairs are traveled."""
+        return travel.covered(self.entries, self.segments)
+
+    @cached_property
+    def direct(self) -> DataFrame:
+        return self.covered.join(self.routes.hint("merge"), "root").select("traveler", *self.named.columns)
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return travel.traveled_pairs(self.covered)
+
+    @cached_property
+    def clinched(self) -> DataFrame:
+        return travel.clinched(self.direct, self.named, self.pairs)
+
+    @cached_property
+    def clinched_groups(self) -> DataFrame:
+        return travel.clinched_groups(self.direct, self.groups, self.pairs)
+
+    def clinched_miles(self, *by: str, active_only: bool = False) -> DataFrame:
+        """traveler, `by` columns, am and pm: clinched miles of active, and of active and preview segments."""
+        groups, direct = (df.where("level = 'active'") if active_only else df for df in (self.groups, self.direct))
+        return travel.clinched_sums(direct, groups, self.pairs, list(by), {"am": stats.active(), "pm": stats.shown()})
 
 
 def D(c: str, digits: int = 2) -> F.Column:  # noqa: N802
@@ -282,7 +334,7 @@ def traveler_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT trav AS traveler, miles, CASE WHEN total = 0 THEN 0 ELSE round(100 * miles / total, 2) END AS pct FROM m, t""")
 def rank_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = Net(spark, sf_dir)
-    own = net.clinched_groups.where("level = 'active'").groupBy("traveler").agg(stats.miles(stats.active()).alias("miles"))
+    own = net.clinched_miles(active_only=True).select("traveler", F.round("am", 2).alias("miles"))
     total = net.groups.where("level = 'active'").agg(F.sum(stats.active()).alias("total"))  # one row
     return own.crossJoin(F.broadcast(total)).select("traveler", "miles", F.when(F.col("total") == 0, 0.0).otherwise(F.round(100 * F.col("miles") / F.col("total"), 2)).alias("pct"))
 
@@ -319,7 +371,7 @@ i AS (SELECT *, trav % 5 <> 0 AS ok FROM m)
 SELECT trav AS traveler, CASE WHEN ok THEN CAST(rank() OVER (PARTITION BY ok ORDER BY am DESC) AS INTEGER) ELSE -1 END AS active_rank, CASE WHEN ok THEN CAST(rank() OVER (PARTITION BY ok ORDER BY pm DESC) AS INTEGER) ELSE -1 END AS preview_rank FROM i""")
 def mileage_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every fifth traveler does not want to be ranked."""
-    rows = Net(spark, sf_dir).clinched_groups.groupBy("traveler").agg(stats.miles(stats.active()).alias("am"), stats.miles(stats.shown()).alias("pm"))
+    rows = Net(spark, sf_dir).clinched_miles().select("traveler", F.round("am", 2).alias("am"), F.round("pm", 2).alias("pm"))
     allowed = F.col("traveler") % 5 != 0
     return stats.ranked(rows, {"am": "active_rank", "pm": "preview_rank"}, allowed).select("traveler", "active_rank", "preview_rank")
 

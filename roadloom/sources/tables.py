@@ -53,6 +53,6 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def entries(spark: SparkSession, sf_dir: str, lengths: DataFrame) -> DataFrame:
     """traveler, line_no, root, beg, end: a list entry for each event. lengths: root, n (points of each route)."""
     events = read(spark, sf_dir, "events").select("user_id", "event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
-    joined = events.join(lengths, F.col("event_id") == F.col("root"))
+    joined = events.join(lengths.hint("merge"), F.col("event_id") == F.col("root"))
     a, b = F.col("k") % F.col("n"), (3 * F.col("k") + 1) % F.col("n")
     return joined.select(F.col("user_id").alias("traveler"), F.col("event_id").alias("line_no"), "root", F.least(a, b).cast("int").alias("beg"), F.greatest(a, b).cast("int").alias("end"))
