@@ -32,8 +32,7 @@ class Net:
 
     @cached_property
     def named(self) -> DataFrame:
-        """Segments lie in the order of their routes already, so routes are merged with them rather than either sent around."""
-        return self.segments.join(self.routes.hint("merge"), "root")
+        return self.segments.join(self.routes, "root")
 
     @cached_property
     def shared(self) -> DataFrame:
@@ -58,7 +57,7 @@ class Net:
 
     @cached_property
     def direct(self) -> DataFrame:
-        return self.covered.join(self.routes.hint("merge"), "root").select("traveler", *self.named.columns)
+        return self.covered.join(self.routes, "root").select("traveler", *self.named.columns)
 
     @cached_property
     def pairs(self) -> DataFrame:
