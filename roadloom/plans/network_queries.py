@@ -175,7 +175,8 @@ def connected_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ends.select("root", F.when(flipped, F.col("b")).otherwise(F.col("a")).alias("con_beg"), F.when(flipped, F.col("a")).otherwise(F.col("b")).alias("con_end"))
 
 
-@query("prj12_graph_names")
+@query("prj12_graph_names", """, c AS (SELECT DISTINCT 'region' AS category, reg AS code FROM rts UNION ALL SELECT DISTINCT 'country', country FROM rts UNION ALL SELECT DISTINCT 'system', sys FROM rts)
+SELECT category, format, regexp_replace(lower(code), '[^a-z0-9]+', '-', 'g') || '-' || category || CASE format WHEN 'collapsed' THEN '' ELSE '-' || format END || '.tmg' AS file, code || ' (' || category || ')' AS description FROM c, (VALUES ('simple'), ('collapsed'), ('traveled')) f(format)""")
 def graph_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File name, description and category of the graph of every region, country and system in its three formats."""
     routes = tables.routes(spark, sf_dir)
