@@ -9,7 +9,7 @@ filled bins of all shards are then dealt over fewer shards and packed again, unt
 no fewer).
 
 A null text counts as empty: one piece, its end id. Repeated rows are documents of their own. An empty table gives an
-empty table. Rows with equal doc_id are told apart by a running number within a hash of their text.
+empty table. Rows with equal doc_id are told apart by a number that is written with them.
 """
 
 from __future__ import annotations
