@@ -188,8 +188,8 @@ def user_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     twice = lambda k: at.labels.where("duplicate").select("root", F.col("key").alias(f"k{k}"), F.lit(True).alias(f"twice{k}"))
     known = at.labels.select("root", F.col("key").alias("k1"), F.lit(False).alias("missing1"))
     lines = at.lines.select("traveler", "line_no", f[2].alias("label1"), f[3].alias("label2"), F.array_join(f, " ").alias("line"))
-    told = at.resolved.join(lines, ["traveler", "line_no"]).join(at.routes.select("root", "region"), "root", "left")
-    told = told.join(known, ["root", "k1"], "left").join(twice(1), ["root", "k1"], "left").join(twice(2), ["root", "k2"], "left")
+    told = at.resolved.join(lines, ["traveler", "line_no"]).join(lists.shuffled(at.routes.select("root", "region")), "root", "left")
+    told = told.join(lists.shuffled(known), ["root", "k1"], "left").join(lists.shuffled(twice(1)), ["root", "k1"], "left").join(lists.shuffled(twice(2)), ["root", "k2"], "left")
     told = told.withColumns({"missing1": F.col("missing1").isNull(), "twice1": F.coalesce("twice1", F.lit(False)), "twice2": F.coalesce("twice2", F.lit(False))})
     marked = travel.covered(at.resolved.where("status = 'ok'"), at.segments).distinct().groupBy("traveler").agg(F.count("*").alias("m"))
     columns = ["system", "level", "con_id", "root", "length"]
