@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import of_miles
+from ..functions.text import fixed, of_miles
 from ..storage import ensure_checkpoints
 from .numbering import numbered_lines
 
@@ -50,8 +50,8 @@ def processed(resolved: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def of_count(part: str, whole: str) -> Column:
-    """x of y (p%), halves of the last digit to the even one."""
-    return F.format_string("%d of %d (%.1f%%)", part, whole, F.bround(F.lit(100.0) * F.col(part) / F.col(whole), 1))
+    """x of y (p%)."""
+    return F.concat(F.format_string("%d of %d (", part, whole), fixed(F.lit(100.0) * F.col(part) / F.col(whole), 1), F.lit("%)"))
 
 
 def statistics(groups: DataFrame, clinched: DataFrame, segments: DataFrame) -> DataFrame:
