@@ -373,5 +373,5 @@ def route_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT trav AS traveler, miles, CAST(rank() OVER (ORDER BY miles DESC) AS INTEGER) AS miles_rank FROM s""")
 def rank_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = Net(spark, sf_dir).clinched_groups.groupBy("traveler", "region").agg(stats.miles(stats.active()).alias("am"))
-    totals = rows.groupBy("traveler").agg(F.round(F.sum("am")).alias("miles"))
+    totals = rows.groupBy("traveler").agg(stats.whole_miles(F.col("am")).alias("miles"))
     return stats.ranked(totals, {"miles": "miles_rank"}, F.lit(True))
