@@ -13,7 +13,12 @@ def segments(points: DataFrame) -> DataFrame:
 
     Segments of equal ends have no key: they never share their way with others."""
     along = Window.partitionBy("root").orderBy("idx")
-    rows = points.select("root", "idx", "lat", "lng", F.lead("lat").over(along).alias("lat2"), F.lead("lng").over(along).alias("lng2")).where("lat2 IS NOT NULL")
+    return between(points.select("root", "idx", "lat", "lng", F.lead("lat").over(along).alias("lat2"), F.lead("lng").over(along).alias("lng2")))
+
+
+def between(steps: DataFrame) -> DataFrame:
+    """The same from points that know the next one: root, idx, lat, lng, lat2, lng2 (null at the end)."""
+    rows = steps.where("lat2 IS NOT NULL")
     here, there = F.struct("lat", "lng"), F.struct(F.col("lat2").alias("lat"), F.col("lng2").alias("lng"))
     length = haversine(F.col("lat"), F.col("lng"), F.col("lat2"), F.col("lng2"))
     return rows.select("root", "idx", "lat", "lng", "lat2", "lng2", length.alias("length"), F.when(here != there, F.struct(F.least(here, there).alias("a"), F.greatest(here, there).alias("b"))).alias("pair"))
@@ -45,14 +50,16 @@ def groups(named: DataFrame) -> DataFrame:
     pair and share with none; as they have no length, they count as one group without a pair. pk is the pair's hash: as first
     key of sorts and joins it tells nearly all pairs apart by one number."""
     keys = ["system", "level", "region"]
-    summed = keyed(named.where("pair IS NOT NULL")).groupBy("pk", "pair", *keys).agg(F.count("*").alias("n"), F.sum("length").alias("length"))
-    of_pair, of_system = Window.partitionBy("pk", "pair"), Window.partitionBy("pk", "pair", "system")
-    n = lambda level, over=of_pair: F.sum(F.when(level, F.col("n")).otherwise(0)).over(over)
+    # the sums go by plain numbers, which take less room than nested ends, and the pair is put together behind them
+    ends = {f"_{e}{c}": F.col(f"pair.{e}.{c}") for e in "ab" for c in ("lat", "lng")}
+    summed = named.select(*(v.alias(k) for k, v in ends.items()), *keys, "length").groupBy(*ends, *keys).agg(F.count("*").alias("n"), F.sum("length").alias("length"))
+    at = lambda e: F.struct(F.col(f"_{e}lat").alias("lat"), F.col(f"_{e}lng").alias("lng")).alias(e)
+    pair = F.when(F.col("_alat").isNotNull(), F.struct(at("a"), at("b")))
+    summed = keyed(summed.withColumn("pair", pair)).select("pk", "pair", *keys, "n", "length")
+    of_pair, of_system, alone = Window.partitionBy("pk", "pair"), Window.partitionBy("pk", "pair", "system"), F.col("pair").isNull()
+    n = lambda level, over=of_pair: F.when(alone, level.cast("long")).otherwise(F.sum(F.when(level, F.col("n")).otherwise(0)).over(over))
     is_active, is_shown = F.col("level") == "active", F.col("level").isin("active", "preview")
-    counted = summed.withColumns({"n_all": n(F.lit(True)), "n_active": n(is_active), "n_shown": n(is_shown)}).withColumn("n_system", n(F.lit(True), of_system))
-    alone = named.where("pair IS NULL").groupBy(F.lit(None).cast("long").alias("pk"), "pair", *keys).agg(F.count("*").alias("n"), F.sum("length").alias("length"))
-    one = F.lit(1).cast("long")
-    return counted.unionByName(alone.withColumns({"n_all": one, "n_active": is_active.cast("long"), "n_shown": is_shown.cast("long"), "n_system": one}))
+    return summed.withColumns({"n_all": n(F.lit(True)), "n_active": n(is_active), "n_shown": n(is_shown), "n_system": n(F.lit(True), of_system)})
 
 
 def first_at(points: DataFrame) -> DataFrame:

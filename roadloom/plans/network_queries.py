@@ -28,7 +28,7 @@ class Net:
 
     @cached_property
     def segments(self) -> DataFrame:
-        return network.segments(self.points)
+        return network.between(tables.steps(self.spark, self.sf_dir))
 
     @cached_property
     def named(self) -> DataFrame:
