@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import sinks
-from ..operators import checks, lists, stats, travel, userlog
+from ..operators import checks, lists, network, stats, travel, userlog
 from ..operators.numbering import culled, dense
 from ..sources import tables
 from .check_queries import LABELS, check_sql, labels, marked_rows
@@ -305,12 +305,9 @@ def split_region_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each system, what looks wrong in the concurrencies of the regions whose codes begin alike, in route order: segments
     without any, groups of an odd size with their members, and other than one match of name and banner in another region.
     Routes go by few names here."""
-    net = Net(spark, sf_dir)
-    label = net.points.select("root", "idx", "label")
-    to = label.select("root", (F.col("idx") - 1).alias("idx"), F.col("label").alias("to"))
+    named = network.between(tables.steps(spark, sf_dir), "label", "label2").join(tables.routes(spark, sf_dir), "root")
     name = F.concat(F.lit("R"), (F.col("root") % 7).cast("string"))
-    rows = net.named.select("pair", "root", "idx", "system", "region", name.alias("name")).join(label, ["root", "idx"]).join(to, ["root", "idx"])
-    told = rows.withColumn("told", F.concat_ws(" ", "region", "name", "label", "to")).drop("label", "to")
+    told = named.select("pair", "root", "idx", "system", "region", name.alias("name"), F.concat_ws(" ", "region", name, "label", "label2").alias("told"))
     return checks.split_region(told, "NATION_1")
 
 

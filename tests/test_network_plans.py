@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from roadloom.operators import network
+from roadloom.operators import checks, network
 from roadloom.plans.catalog import QUERIES
 from roadloom.sources import tables
 
@@ -32,3 +32,18 @@ def test_groups_with_and_without_pair(spark):
     named = network.between(steps).join(steps.select("root", "system", "level", "region"), "root")
     got = {(r.pair is None, r.system, r.n, r.n_all, r.n_active, r.n_shown, r.n_system) for r in network.groups(named).collect()}
     assert got == {(False, "s", 2, 3, 2, 2, 2), (False, "t", 1, 3, 2, 2, 1), (True, "s", 1, 1, 1, 1, 1), (True, "t", 1, 1, 0, 0, 1)}
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables here")
+def test_split_region_reads_items_once(spark, monkeypatch):
+    # labels of both ends were two more joins with the points
+    monkeypatch.setattr(checks, "split_region", lambda told, prefix: told)
+    plan = QUERIES["snk14_split_region_log"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_orderkey") == 1
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables here")
+def test_self_references_meet_what_stands_there_once(spark):
+    # eleven joins before, five of them of all asking points
+    plan = QUERIES["dc26_label_selfref"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") <= 9
