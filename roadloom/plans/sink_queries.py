@@ -11,6 +11,7 @@ from .. import sinks
 from ..operators import checks, lists, network, stats, travel, userlog
 from ..operators.numbering import culled, dense
 from ..sources import tables
+from ..storage import ensure_checkpoints
 from .check_queries import LABELS, check_sql, labels, marked_rows
 from .network_queries import NATIONS, Net
 from .registry import query
@@ -184,20 +185,17 @@ def user_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every traveler's log: messages on list lines (of the routes of parts), then mileage by region, system and route and recent
     updates (of the network of orders)."""
     net, at = Net(spark, sf_dir), Lists(spark, sf_dir)
+    ensure_checkpoints(net.points)
     f = F.col("fields")
-    twice = lambda k: at.labels.where("duplicate").select("root", F.col("key").alias(f"k{k}"), F.lit(True).alias(f"twice{k}"))
-    known = at.labels.select("root", F.col("key").alias("k1"), F.lit(False).alias("missing1"))
-    lines = at.lines.select("traveler", "line_no", f[2].alias("label1"), f[3].alias("label2"), F.array_join(f, " ").alias("line"))
-    told = at.resolved.join(lines, ["traveler", "line_no"]).join(lists.shuffled(at.routes.select("root", "region")), "root", "left")
-    told = told.join(lists.shuffled(known), ["root", "k1"], "left").join(lists.shuffled(twice(1)), ["root", "k1"], "left").join(lists.shuffled(twice(2)), ["root", "k2"], "left")
-    told = told.withColumns({"missing1": F.col("missing1").isNull(), "twice1": F.coalesce("twice1", F.lit(False)), "twice2": F.coalesce("twice2", F.lit(False))})
-    marked = travel.covered(at.resolved.where("status = 'ok'"), at.segments).distinct().groupBy("traveler").agg(F.count("*").alias("m"))
-    columns = ["system", "level", "con_id", "root", "length"]
-    segments = net.clinched.select("traveler", *columns).unionByName(net.named.select(F.lit(None).cast("long").alias("traveler"), *columns))
+    resolved = lists.resolve_chopped(at.lines, at.names, at.labels, at.routes, told=True).checkpoint()
+    told = resolved.withColumns({"label1": f[2], "label2": f[3], "line": F.array_join(f, " ")})
+    marked = travel.covered(resolved.where("status = 'ok'"), at.segments).distinct().groupBy("traveler").agg(F.count("*").alias("m"))
+    totals = travel.route_totals(net.segments, net.routes).checkpoint()
+    driven = travel.driven_roots(net.covered, net.segments, totals)
     dates = tables.read(spark, sf_dir, "events").select(F.col("user_id").alias("traveler")).distinct().withColumn("since", F.concat((F.col("traveler") % 7 + 1992).cast("string"), F.lit("-06-01")))
     opened = tables.read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("root"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.lit(0).alias("line_no"), F.lit("opened").alias("description"))
     updates = lists.latest_updates(opened).join(net.routes.select("root", "region"), "root").withColumn("route", F.concat(F.lit("R"), F.col("root").cast("string")))
-    parts = [userlog.messages(told), userlog.processed(at.resolved, marked), userlog.statistics(net.groups, net.clinched_groups, segments), userlog.recent_updates(net.entries.select("traveler", "root"), updates, dates)]
+    parts = [userlog.messages(told), userlog.processed(resolved, marked), *userlog.statistics(net.groups, driven, totals), userlog.recent_updates(net.entries.select("traveler", "root"), updates, dates)]
     return userlog.logs(parts)
 
 
