@@ -21,6 +21,11 @@ def dense_by(rows: DataFrame, key: str, head: Column, order: list[str], name: st
     return inside.join(starts, key).select(*rows.columns, (F.col("_before") + F.col("_r") - 1).alias(name))
 
 
+def running(rows: DataFrame, order: list[str], weight: Column, name: str) -> DataFrame:
+    """Adds the sum of the weights of all rows before, in the order of the columns."""
+    return _running(rows, [F.col(c) for c in order], weight, name)
+
+
 def ranks(rows: DataFrame, value: str, name: str) -> DataFrame:
     """value, rank: of each different value how many rows have a larger one, and one more."""
     per = rows.groupBy(value).agg(F.count("*").alias("_c"))
@@ -65,10 +70,3 @@ def culled(lines: DataFrame, cull: DataFrame, order: list[str]) -> DataFrame:
     gone = cull.groupBy("line").agg(F.count("*").alias("_gone"))
     numbered = occurrences(lines, ["line"], order, "_nth")
     return numbered.join(gone, "line", "left").where(F.col("_nth") > F.coalesce("_gone", F.lit(0))).select(*lines.columns)
-
-
-def numbered_lines(lines: DataFrame, of: list[str], order: list[str]) -> DataFrame:
-    """Lines of many files at once: the columns of `of` (which file), line_no (from 0, in order) and value, by one range sort."""
-    placed = dense(lines, [*of, *order, "value"], "_l")
-    first = placed.groupBy(*of).agg(F.min("_l").alias("_f"))
-    return placed.join(first, of).select(*of, (F.col("_l") - F.col("_f")).cast("long").alias("line_no"), "value")
